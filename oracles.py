@@ -162,6 +162,55 @@ def with_model(body: str, extra: dict[str, str] | None = None) -> str:
     return f"WITH {parts}\n{body}"
 
 
+def _ms(c: str) -> str:
+    return money_sum(c)
+
+
+TOP_STORES = f"""
+    SELECT store_id, store_name, store_type, {money_sum('total_revenue')} AS total_revenue,
+           cast(sum(order_count) AS BIGINT) AS order_count, avg(avg_order_value) AS avg_order_value
+    FROM gold_sales_by_store GROUP BY store_id, store_name, store_type
+    ORDER BY total_revenue DESC NULLS FIRST, store_id ASC NULLS FIRST LIMIT 15"""
+SEGMENTS_SQL = f"""
+    SELECT segment, count(*) AS customers, {money_sum('total_spend')} AS total_revenue,
+           {money_avg('total_spend')} AS avg_clv
+    FROM gold_sales_by_customer GROUP BY segment"""
+CATEGORIES_SQL = f"""
+    SELECT category, {money_sum('total_revenue')} AS total_revenue,
+           cast(sum(total_quantity) AS BIGINT) AS total_quantity,
+           cast(sum(order_count) AS BIGINT) AS order_count, avg(avg_discount) AS avg_discount
+    FROM gold_category_performance WHERE category IS NOT NULL GROUP BY category"""
+REGIONS_SQL = f"""
+    SELECT region, {money_sum('total_revenue')} AS total_revenue,
+           cast(sum(order_count) AS BIGINT) AS order_count,
+           cast(sum(unique_customers) AS BIGINT) AS unique_customers
+    FROM gold_regional_sales WHERE region IS NOT NULL GROUP BY region"""
+CHANNELS_SQL = f"""
+    SELECT channel, {money_sum('total_revenue')} AS total_revenue, cast(sum(order_count) AS BIGINT) AS order_count
+    FROM gold_regional_sales WHERE channel IS NOT NULL GROUP BY channel"""
+STORE_TYPE_SQL = f"""
+    SELECT store_type, {money_sum('total_revenue')} AS total_revenue FROM top_stores GROUP BY store_type"""
+REPORT_CTES = {
+    "top_stores": TOP_STORES, "seg": SEGMENTS_SQL, "cats": CATEGORIES_SQL, "regs": REGIONS_SQL,
+    "chans": CHANNELS_SQL, "store_types": STORE_TYPE_SQL,
+}
+SEGMENT_VALUES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _leader(dim: str, table: str, name: str) -> str:
+    return (f"SELECT '{dim}' AS dimension, count(*) AS n_values, "
+            f"first({name} ORDER BY total_revenue DESC, {name} DESC) AS top_name, "
+            f"max(total_revenue) AS top_revenue FROM {table}")
+
+
+def _share(dim: str, table: str, name: str) -> str:
+    return f"SELECT '{dim}' AS dimension, {name} AS name, total_revenue FROM {table}"
+
+
+def with_reports(body: str) -> str:
+    return with_model(body, REPORT_CTES)
+
+
 ORACLES: dict[str, str] = {
     # silver
     "silver_customers": with_model("SELECT * FROM customers_silver"),
@@ -176,4 +225,45 @@ ORACLES: dict[str, str] = {
     "daily_trend": with_model("SELECT * FROM gold_daily_trend"),
     "product_performance": with_model("SELECT * FROM gold_product_performance"),
     "category_performance": with_model("SELECT * FROM gold_category_performance"),
+    # reports
+    "report_trend": with_model("SELECT order_date, total_revenue, order_count, avg_order_value FROM gold_daily_trend"),
+    "report_kpis": with_model(f"""
+        SELECT (SELECT {money_sum('total_revenue')} FROM gold_daily_trend) AS total_revenue,
+               (SELECT cast(sum(order_count) AS BIGINT) FROM gold_daily_trend) AS total_orders,
+               (SELECT avg(avg_order_value) FROM gold_daily_trend) AS avg_order_value,
+               (SELECT cast(sum(unique_customers) AS BIGINT) FROM gold_regional_sales) AS unique_customers"""),
+    "kpis_exact": with_model(f"""
+        SELECT {money_sum('total_amount')} AS total_revenue, count(order_id) AS total_orders,
+               {money_avg('total_amount')} AS avg_order_value, count(DISTINCT customer_id) AS unique_customers
+        FROM orders_enriched"""),
+    "report_top_stores": with_reports("SELECT * FROM top_stores"),
+    "report_store_type_split": with_reports("SELECT * FROM store_types"),
+    "report_top_customers": with_model("""
+        SELECT customer_id, segment, region, total_spend, order_count, avg_order_value
+        FROM gold_sales_by_customer ORDER BY total_spend DESC NULLS FIRST, customer_id ASC NULLS FIRST LIMIT 15"""),
+    "report_segments": with_reports("SELECT * FROM seg"),
+    "report_avg_clv": with_model(f"SELECT {money_avg('total_spend')} AS avg_clv FROM gold_sales_by_customer"),
+    "report_top_products": with_model("""
+        SELECT product_id, total_quantity, total_revenue, order_count FROM gold_product_performance
+        ORDER BY total_revenue DESC NULLS FIRST, product_id ASC NULLS FIRST LIMIT 15"""),
+    "report_categories": with_reports("SELECT * FROM cats"),
+    "report_regions": with_reports("SELECT * FROM regs"),
+    "regions_exact": with_model(f"""
+        SELECT region, {money_sum('total_amount')} AS total_revenue, count(order_id) AS order_count,
+               count(DISTINCT customer_id) AS unique_customers
+        FROM orders_enriched WHERE region IS NOT NULL GROUP BY region"""),
+    "report_channels": with_reports("SELECT * FROM chans"),
+    "report_region_segment_matrix": with_model(
+        "SELECT region, "
+        + ", ".join(
+            f"coalesce(cast(sum(cast(total_revenue AS DECIMAL(18,2))) FILTER (WHERE segment = '{v}') AS DOUBLE), 0) AS \"{v}\""
+            for v in SEGMENT_VALUES)
+        + " FROM gold_regional_sales WHERE region IS NOT NULL GROUP BY region"),
+    "report_leaders": with_reports(
+        _leader("segment", "seg", "segment") + " UNION ALL " + _leader("category", "cats", "category")
+        + " UNION ALL " + _leader("region", "regs", "region")),
+    "report_revenue_share": with_reports(
+        "SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY dimension) AS DOUBLE) AS share FROM ("
+        + _share("category", "cats", "category") + " UNION ALL " + _share("store_type", "store_types", "store_type")
+        + " UNION ALL " + _share("channel", "chans", "channel") + ")"),
 }

@@ -83,3 +83,91 @@ def product_performance(spark, sf_dir):
 @register()
 def category_performance(spark, sf_dir):
     return model(spark, sf_dir).gold("category_performance")
+
+
+# ----------------------------------------------------------------- reports
+# (imported here to keep the registry in one place)
+from . import reports as R  # noqa: E402
+
+
+@register()
+def report_trend(spark, sf_dir):
+    return R.trend(model(spark, sf_dir).gold("daily_trend"))
+
+
+@register()
+def report_kpis(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return R.kpis(m.gold("daily_trend"), m.gold("regional_sales"))
+
+
+@register()
+def kpis_exact(spark, sf_dir):
+    return R.kpis_exact(model(spark, sf_dir).silver("retail_orders"))
+
+
+@register()
+def report_top_stores(spark, sf_dir):
+    return R.top_stores(model(spark, sf_dir).gold("sales_by_store"))
+
+
+@register()
+def report_store_type_split(spark, sf_dir):
+    return R.store_type_split(model(spark, sf_dir).gold("sales_by_store"))
+
+
+@register()
+def report_top_customers(spark, sf_dir):
+    return R.top_customers(model(spark, sf_dir).gold("sales_by_customer"))
+
+
+@register()
+def report_segments(spark, sf_dir):
+    return R.segments(model(spark, sf_dir).gold("sales_by_customer"))
+
+
+@register()
+def report_avg_clv(spark, sf_dir):
+    return R.avg_clv(model(spark, sf_dir).gold("sales_by_customer"))
+
+
+@register()
+def report_top_products(spark, sf_dir):
+    return R.top_products(model(spark, sf_dir).gold("product_performance"))
+
+
+@register()
+def report_categories(spark, sf_dir):
+    return R.categories(model(spark, sf_dir).gold("category_performance"))
+
+
+@register()
+def report_regions(spark, sf_dir):
+    return R.regions(model(spark, sf_dir).gold("regional_sales"))
+
+
+@register()
+def regions_exact(spark, sf_dir):
+    return R.regions_exact(model(spark, sf_dir).silver("retail_orders"))
+
+
+@register()
+def report_channels(spark, sf_dir):
+    return R.channels(model(spark, sf_dir).gold("regional_sales"))
+
+
+@register()
+def report_region_segment_matrix(spark, sf_dir):
+    return R.region_segment_matrix(model(spark, sf_dir).gold("regional_sales"))
+
+
+@register()
+def report_leaders(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return R.leaders(m.gold("sales_by_customer"), m.gold("category_performance"), m.gold("regional_sales"))
+
+
+@register()
+def report_revenue_share(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return R.revenue_share(m.gold("sales_by_store"), m.gold("category_performance"), m.gold("regional_sales"))
