@@ -211,6 +211,32 @@ def with_reports(body: str) -> str:
     return with_model(body, REPORT_CTES)
 
 
+LATER_INGESTION_SQL = "DATE '2024-02-01'"
+DEFECT_CTES = {
+    "orders_nullcust": """SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+        o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""",
+    "orders_nan": """SELECT o_orderkey, o_custkey, o_orderstatus,
+        CASE WHEN o_orderkey % 13 = 0 THEN cast('NaN' AS DOUBLE) ELSE o_totalprice END AS o_totalprice,
+        o_orderdate, o_orderpriority FROM orders""",
+    "orders_defects": """SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+        o_orderstatus, CASE WHEN o_orderkey % 13 = 0 THEN cast('NaN' AS DOUBLE) ELSE o_totalprice END AS o_totalprice,
+        o_orderdate, CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders""",
+    "parts_text": """SELECT p_partkey, p_name,
+        CASE WHEN p_partkey % 11 = 0 THEN 'abc' ELSE cast(p_size AS VARCHAR) END AS p_size,
+        cast(p_retailprice AS VARCHAR) AS p_retailprice,
+        CASE WHEN p_size > 25 THEN 'true' ELSE 'false' END AS p_large FROM part""",
+    "parts_padded": """SELECT p_partkey, concat('  ', upper(p_name), ' ') AS p_name, concat(' ', p_type) AS p_type, p_brand
+        FROM part""",
+    "orders_dup": "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 10 = 0",
+    "orders_versions": f"""SELECT * FROM orders_bronze UNION ALL
+        SELECT order_id, customer_id, store_id, order_date, status, channel, total_amount * 2 AS total_amount,
+               {LATER_INGESTION_SQL} AS ingestion_date
+        FROM orders_bronze WHERE cast(order_id AS BIGINT) % 10 = 0""",
+    "join_orders": """SELECT cast(o_orderkey AS VARCHAR) AS order_id,
+        cast(CASE WHEN o_orderkey % 19 = 0 THEN -1 ELSE o_custkey END AS VARCHAR) AS customer_id,
+        o_totalprice AS total_amount FROM orders""",
+}
+
 ORACLES: dict[str, str] = {
     # silver
     "silver_customers": with_model("SELECT * FROM customers_silver"),
@@ -266,4 +292,42 @@ ORACLES: dict[str, str] = {
         "SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY dimension) AS DOUBLE) AS share FROM ("
         + _share("category", "cats", "category") + " UNION ALL " + _share("store_type", "store_types", "store_type")
         + " UNION ALL " + _share("channel", "chans", "channel") + ")"),
+    # operators over defect-injected inputs
+    **{k: with_model(v, DEFECT_CTES) for k, v in {
+        "filter_nulls_subset": "SELECT * FROM orders_nullcust WHERE o_custkey IS NOT NULL",
+        "filter_nulls_any": """SELECT * FROM orders_defects WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL
+            AND o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)
+            AND o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL""",
+        "filter_nulls_nan": "SELECT * FROM orders_nan WHERE o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)",
+        "dedup_rows": "SELECT DISTINCT * FROM orders_dup",
+        "dedup_subset": _dedup("orders_dup", "o_orderkey",
+                               _nf("o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority")),
+        "dedup_key_latest": _dedup("orders_versions", "order_id", "ingestion_date DESC NULLS LAST, "
+                                   + _nf("customer_id, store_id, order_date, status, channel, total_amount")),
+        "cast_types": """SELECT cast(p_partkey AS VARCHAR) AS p_partkey, p_name, TRY_CAST(p_retailprice AS DOUBLE) AS p_retailprice,
+            TRY_CAST(p_large AS BOOLEAN) AS p_large FROM parts_text""",
+        "cast_malformed": """SELECT p_partkey, p_name, TRY_CAST(p_size AS INTEGER) AS p_size, p_retailprice, p_large
+            FROM parts_text""",
+        "standardize_lower": """SELECT p_partkey, lower(trim(p_name, ' ')) AS p_name, lower(trim(p_type, ' ')) AS p_type, p_brand
+            FROM parts_padded""",
+        "standardize_trim": """SELECT p_partkey, trim(p_name, ' ') AS p_name, trim(p_type, ' ') AS p_type, p_brand
+            FROM parts_padded""",
+        "ingestion_stamp": f"SELECT *, {RUN_DATE_SQL} AS ingestion_date FROM orders",
+        "enforce_schema": """SELECT cast(p_partkey AS VARCHAR) AS p_partkey, p_name, TRY_CAST(p_size AS INTEGER) AS p_size,
+            TRY_CAST(p_retailprice AS DOUBLE) AS p_retailprice, TRY_CAST(p_large AS BOOLEAN) AS p_large FROM parts_text""",
+        "null_violations": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM orders_defects"
+            for c in ("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")),
+        "line_total": "SELECT line_item_id, order_id, product_id, quantity, unit_price, discount, line_total FROM items_raw",
+        "join_inner": "SELECT o.customer_id, o.order_id, o.total_amount, c.segment, c.region FROM join_orders o JOIN customers_silver c ON o.customer_id = c.customer_id",
+        "join_left": "SELECT o.customer_id, o.order_id, o.total_amount, c.segment, c.region FROM join_orders o LEFT JOIN customers_silver c ON o.customer_id = c.customer_id",
+        "join_right": "SELECT c.customer_id, o.order_id, o.total_amount, c.segment, c.region FROM join_orders o RIGHT JOIN customers_silver c ON o.customer_id = c.customer_id",
+        "join_full": "SELECT coalesce(o.customer_id, c.customer_id) AS customer_id, o.order_id, o.total_amount, c.segment, c.region FROM join_orders o FULL JOIN customers_silver c ON o.customer_id = c.customer_id",
+        "join_semi": "SELECT o.customer_id, o.order_id, o.total_amount FROM join_orders o WHERE EXISTS (SELECT 1 FROM customers_silver c WHERE c.customer_id = o.customer_id)",
+        "join_anti": "SELECT o.customer_id, o.order_id, o.total_amount FROM join_orders o WHERE NOT EXISTS (SELECT 1 FROM customers_silver c WHERE c.customer_id = o.customer_id)",
+        "latest_per_key_join": """SELECT i.line_item_id, i.order_id, i.product_id, i.line_total, v.total_amount, v.status
+            FROM items_clean i LEFT JOIN (""" + _dedup(
+                "(SELECT order_id, total_amount, status, ingestion_date FROM orders_versions)", "order_id",
+                "ingestion_date DESC NULLS LAST, " + _nf("total_amount, status")) + """) v ON i.order_id = v.order_id""",
+    }.items()},
 }

@@ -171,3 +171,138 @@ def report_leaders(spark, sf_dir):
 def report_revenue_share(spark, sf_dir):
     m = model(spark, sf_dir)
     return R.revenue_share(m.gold("sales_by_store"), m.gold("category_performance"), m.gold("regional_sales"))
+
+
+# --------------------------------------------------------------- operators
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import cleaning as C  # noqa: E402
+from ..operators.joins import join_using  # noqa: E402
+from ..operators.schema import enforce_schema, null_violations as _null_violations  # noqa: E402
+from ..sources import defects as D  # noqa: E402
+from ..sources.retail import order_items_raw, table  # noqa: E402
+from .retail_model import DEFAULT_RUN_DATE, SILVER_JOBS  # noqa: E402
+from .silver import build_silver  # noqa: E402
+
+
+@register()
+def filter_nulls_subset(spark, sf_dir):
+    return C.filter_nulls(D.orders_with_null_customers(spark, sf_dir), ["o_custkey"])
+
+
+@register()
+def filter_nulls_any(spark, sf_dir):
+    return C.filter_nulls(D.orders_with_defects(spark, sf_dir))
+
+
+@register()
+def filter_nulls_nan(spark, sf_dir):
+    return C.filter_nulls(D.orders_with_nan_totals(spark, sf_dir), ["o_totalprice"])
+
+
+@register()
+def dedup_rows(spark, sf_dir):
+    return C.drop_duplicates(D.orders_duplicated(spark, sf_dir))
+
+
+@register()
+def dedup_subset(spark, sf_dir):
+    return C.drop_duplicates(D.orders_duplicated(spark, sf_dir), ["o_orderkey"])
+
+
+@register()
+def dedup_key_latest(spark, sf_dir):
+    versions = D.orders_versions(spark, sf_dir, DEFAULT_RUN_DATE)
+    return C.latest_per_key(versions, ["order_id"])
+
+
+@register()
+def cast_types(spark, sf_dir):
+    parts = D.parts_as_text(spark, sf_dir).drop("p_size")
+    return C.cast_types(parts, {"p_retailprice": "double", "p_large": "boolean", "p_partkey": "string"})
+
+
+@register()
+def cast_malformed(spark, sf_dir):
+    return C.cast_types(D.parts_as_text(spark, sf_dir), {"p_size": "int"})
+
+
+@register()
+def standardize_lower(spark, sf_dir):
+    return C.standardize_strings(D.parts_padded(spark, sf_dir), ["p_name", "p_type"], lowercase=True)
+
+
+@register()
+def standardize_trim(spark, sf_dir):
+    return C.standardize_strings(D.parts_padded(spark, sf_dir), ["p_name", "p_type"], lowercase=False)
+
+
+@register()
+def ingestion_stamp(spark, sf_dir):
+    return C.add_ingestion_date(table(spark, sf_dir, "orders"), "ingestion_date", DEFAULT_RUN_DATE)
+
+
+# Declared schema for the text-landed parts (p_note is absent: skipped).
+PARTS_SCHEMA = [
+    ("p_partkey", "string", False),
+    ("p_name", "string", True),
+    ("p_size", "int", True),
+    ("p_retailprice", "double", True),
+    ("p_note", "string", True),
+    ("p_large", "boolean", True),
+]
+
+
+@register("enforce_schema")
+def enforce_schema_query(spark, sf_dir):
+    df, _ = enforce_schema(D.parts_as_text(spark, sf_dir), PARTS_SCHEMA, "warn")
+    return df
+
+
+@register()
+def null_violations(spark, sf_dir):
+    return _null_violations(D.orders_with_defects(spark, sf_dir), ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"])
+
+
+@register()
+def line_total(spark, sf_dir):
+    return order_items_raw(spark, sf_dir).select(
+        "line_item_id", "order_id", "product_id", "quantity", "unit_price", "discount", "line_total"
+    )
+
+
+def _orders_for_join(spark, sf_dir):
+    return D.orders_with_orphans(spark, sf_dir).select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_totalprice").alias("total_amount"),
+    )
+
+
+def _join_query(how):
+    def run(spark, sf_dir):
+        customers = model(spark, sf_dir).silver("retail_customers")
+        return join_using(_orders_for_join(spark, sf_dir), customers, "customer_id", how, ["segment", "region"])
+
+    return run
+
+
+for _how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+    REGISTRY[f"join_{_how.replace('left_', '')}" if _how.startswith("left_") else f"join_{_how}"] = _join_query(_how)
+
+
+@register()
+def latest_per_key_join(spark, sf_dir):
+    """Line items against a versioned order table: the latest version only,
+    so no line is duplicated by older versions."""
+    m = model(spark, sf_dir)
+    job = dict(SILVER_JOBS["retail_order_items"])
+    job["joins"] = [
+        {"source": "bronze:retail_orders", "on": "order_id", "type": "left", "latest": True,
+         "select": ["order_id", "total_amount", "status"]},
+    ]
+    schema = [("line_item_id", "string", False), ("order_id", "string", False), ("product_id", "string", False),
+              ("line_total", "double", True), ("total_amount", "double", True), ("status", "string", True)]
+    sides = {"bronze:retail_orders": D.orders_versions(spark, sf_dir, DEFAULT_RUN_DATE)}
+    df, _ = build_silver(job, m.bronze("retail_order_items"), sides, schema=schema)
+    return df
