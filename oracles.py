@@ -237,6 +237,8 @@ DEFECT_CTES = {
         o_totalprice AS total_amount FROM orders""",
 }
 
+LATEST_VERSIONS = _dedup("orders_versions", "order_id", "ingestion_date DESC NULLS LAST")
+
 ORACLES: dict[str, str] = {
     # silver
     "silver_customers": with_model("SELECT * FROM customers_silver"),
@@ -330,4 +332,19 @@ ORACLES: dict[str, str] = {
                 "(SELECT order_id, total_amount, status, ingestion_date FROM orders_versions)", "order_id",
                 "ingestion_date DESC NULLS LAST, " + _nf("total_amount, status")) + """) v ON i.order_id = v.order_id""",
     }.items()},
+    # storage round-trips, partitioned overwrite, upserts, date-addressed scans
+    "csv_roundtrip": with_model("SELECT * FROM orders_enriched"),
+    "json_roundtrip": with_model("SELECT * FROM orders_enriched"),
+    "parquet_partitioned_roundtrip": "SELECT *, cast(ts AS DATE) AS event_date FROM events",
+    "dynamic_overwrite": """SELECT event_id, ts, user_id, event_type,
+        CASE WHEN cast(ts AS DATE) = DATE '2024-01-15' THEN value * 2 ELSE value END AS value,
+        props, cast(ts AS DATE) AS event_date FROM events""",
+    "incremental_scan": "SELECT *, cast(ts AS DATE) AS ingestion_date FROM events WHERE cast(ts AS DATE) > DATE '2024-01-15'",
+    "date_folder_scan": "SELECT * FROM events WHERE cast(ts AS DATE) = DATE '2024-01-15'",
+    "date_range_scan": "SELECT * FROM events WHERE cast(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'",
+    "upsert_first_write": with_model("SELECT * FROM orders_bronze"),
+    "upsert": with_model(LATEST_VERSIONS, DEFECT_CTES),
+    "upsert_rerun": with_model(LATEST_VERSIONS, DEFECT_CTES),
+    "upsert_evolve": with_model(f"""SELECT *, CASE WHEN ingestion_date = {LATER_INGESTION_SQL}
+        THEN cast(substring(channel, 1, 1) AS INTEGER) END AS priority_rank FROM ({LATEST_VERSIONS})""", DEFECT_CTES),
 }

@@ -3,21 +3,10 @@ tables (or data Spark derives from them), whole tables, no row caps."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from .model import RetailModel
-
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def register(name: str | None = None):
-    def deco(fn):
-        REGISTRY[name or fn.__name__] = fn
-        return fn
-
-    return deco
+from .registry import REGISTRY, register
 
 
 def model(spark: SparkSession, sf_dir: str) -> RetailModel:
