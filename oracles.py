@@ -239,6 +239,42 @@ DEFECT_CTES = {
 
 LATEST_VERSIONS = _dedup("orders_versions", "order_id", "ingestion_date DESC NULLS LAST")
 
+# Two-day run: day 2 lands later versions of the orders with key % 10 = 0.
+RUN_CTES = dict(DEFECT_CTES)
+RUN_CTES["orders_enriched_v2"] = f"""
+    SELECT o.order_id, o.customer_id, o.store_id, o.order_date, o.status, o.channel, o.total_amount,
+           c.segment, c.region, s.store_name, s.store_type, o.ingestion_date
+    FROM ({LATEST_VERSIONS}) o
+    LEFT JOIN customers_silver c ON o.customer_id = c.customer_id
+    LEFT JOIN stores_silver s ON o.store_id = s.store_id"""
+for _m in ("gold_regional_sales", "gold_daily_trend", "gold_sales_by_store", "gold_sales_by_customer"):
+    RUN_CTES[_m + "_v2"] = MARTS[_m].replace("FROM orders_enriched", "FROM orders_enriched_v2")
+
+
+def _ledger_row(name: str, layer: str, rows: str, status: str = "success") -> str:
+    return (f"SELECT '{name}' AS dataset_name, '{layer}' AS layer, {LATER_INGESTION_SQL} AS last_processed_date, "
+            f"cast(({rows}) AS BIGINT) AS rows_processed, '{status}' AS status")
+
+
+LEDGER_SQL = " UNION ALL ".join([
+    _ledger_row("bronze_retail_customers", "bronze", "SELECT count(*) FROM customer"),
+    _ledger_row("bronze_retail_products", "bronze", "SELECT count(*) FROM part"),
+    _ledger_row("bronze_retail_stores", "bronze", "SELECT count(*) FROM supplier"),
+    _ledger_row("bronze_retail_orders", "bronze", "SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0"),
+    _ledger_row("bronze_retail_order_items", "bronze", "0", "skipped"),
+    _ledger_row("silver_retail_customers", "silver", "SELECT count(*) FROM customer"),
+    _ledger_row("silver_retail_products", "silver", "SELECT count(*) FROM part"),
+    _ledger_row("silver_retail_stores", "silver", "SELECT count(*) FROM supplier"),
+    _ledger_row("silver_retail_orders", "silver", "SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0"),
+    _ledger_row("silver_retail_order_items", "silver", "0"),
+    _ledger_row("gold_category_performance", "gold", "SELECT count(*) FROM gold_category_performance"),
+    _ledger_row("gold_daily_trend", "gold", "SELECT count(*) FROM gold_daily_trend_v2"),
+    _ledger_row("gold_product_performance", "gold", "SELECT count(*) FROM gold_product_performance"),
+    _ledger_row("gold_regional_sales", "gold", "SELECT count(*) FROM gold_regional_sales_v2"),
+    _ledger_row("gold_sales_by_customer", "gold", "SELECT count(*) FROM gold_sales_by_customer_v2"),
+    _ledger_row("gold_sales_by_store", "gold", "SELECT count(*) FROM gold_sales_by_store_v2"),
+])
+
 ORACLES: dict[str, str] = {
     # silver
     "silver_customers": with_model("SELECT * FROM customers_silver"),
@@ -347,4 +383,13 @@ ORACLES: dict[str, str] = {
     "upsert_rerun": with_model(LATEST_VERSIONS, DEFECT_CTES),
     "upsert_evolve": with_model(f"""SELECT *, CASE WHEN ingestion_date = {LATER_INGESTION_SQL}
         THEN cast(substring(channel, 1, 1) AS INTEGER) END AS priority_rank FROM ({LATEST_VERSIONS})""", DEFECT_CTES),
+    # two-day pipeline run
+    "pipeline_bronze_orders": with_model("SELECT * FROM orders_versions", RUN_CTES),
+    "pipeline_silver_orders": with_model("SELECT * FROM orders_enriched_v2", RUN_CTES),
+    "pipeline_silver_items": with_model("SELECT * FROM items_enriched", RUN_CTES),
+    "pipeline_regional_sales": with_model("SELECT * FROM gold_regional_sales_v2", RUN_CTES),
+    "pipeline_daily_trend": with_model("SELECT * FROM gold_daily_trend_v2", RUN_CTES),
+    "pipeline_category_performance": with_model("SELECT * FROM gold_category_performance", RUN_CTES),
+    "ledger_after_runs": with_model(LEDGER_SQL, RUN_CTES),
+    "skip_rule": with_model(LEDGER_SQL, RUN_CTES),
 }

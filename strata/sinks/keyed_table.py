@@ -156,6 +156,8 @@ def merge_into(
         touched = None
     else:
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
+        if not touched:
+            return MergeResult(0, 0, False)
         target = target.filter(F.col(BUCKET).isin(touched))
 
     parts = n_buckets if touched is None else max(1, len(touched))
