@@ -392,4 +392,12 @@ ORACLES: dict[str, str] = {
     "pipeline_category_performance": with_model("SELECT * FROM gold_category_performance", RUN_CTES),
     "ledger_after_runs": with_model(LEDGER_SQL, RUN_CTES),
     "skip_rule": with_model(LEDGER_SQL, RUN_CTES),
+    # streaming (availableNow + foreachBatch upsert)
+    "stream_events_upsert": """
+        SELECT event_id, ts, user_id, event_type,
+               CASE WHEN cast(ts AS DATE) <= DATE '2024-01-15' AND event_id % 10 = 0 THEN value * 2 ELSE value END AS value,
+               props,
+               CASE WHEN cast(ts AS DATE) <= DATE '2024-01-15' AND event_id % 10 <> 0 THEN DATE '2024-01-16'
+                    ELSE DATE '2024-01-31' END AS ingestion_date
+        FROM events""",
 }

@@ -19,6 +19,6 @@ def register(name: str | None = None):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # Importing the modules fills the registry.
-    from . import queries, queries_io, queries_runs  # noqa: F401
+    from . import queries, queries_io, queries_runs, queries_stream  # noqa: F401
 
     return dict(REGISTRY)
