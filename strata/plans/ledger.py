@@ -1,20 +1,24 @@
-"""Run ledger: the last run of every dataset (one row per dataset).
+"""Run ledger: the last run of every dataset.
 
-Stored as a keyed table on ``dataset_name`` and updated by upsert, so
-recording a run twice leaves one row.  Only ledger rows (one per dataset)
-are ever collected to the driver.
+Stored as an append-only log of run records (one small Parquet file per
+record, a single write job); the ledger's state is the newest record per
+dataset, i.e. an upsert on ``dataset_name`` as seen by readers, plus the
+history for free.  State is read once per layer (``snapshot``); it has one
+row per dataset, the only thing the runner collects to the driver.
+``compact`` rewrites the log as its current state.
 """
 
 from __future__ import annotations
 
 import logging
+import time
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.keyed_table import merge_into, read_keyed_table, table_exists
+from ..operators.cleaning import keep_first_per_key
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +28,8 @@ LEDGER_SCHEMA = (
     "last_run_timestamp timestamp, rows_processed long, status string"
 )
 SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
+_SEQ = "record_seq"
+_LOG_SCHEMA = f"{LEDGER_SCHEMA}, {_SEQ} long"
 
 
 class RunLedger:
@@ -31,38 +37,56 @@ class RunLedger:
         self.spark = spark
         self.path = path
 
+    def _log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_LOG_SCHEMA).parquet(self.path)
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def frame(self) -> DataFrame:
-        if not table_exists(self.spark, self.path):
+        """Current state: the newest record of each dataset."""
+        records = self._log()
+        if records is None:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return read_keyed_table(self.spark, self.path)
+        return keep_first_per_key(records, ["dataset_name"], [F.col(_SEQ).desc()]).drop(_SEQ)
 
-    def get(self, dataset: str) -> dict | None:
-        """Last run of ``dataset``; an unreadable ledger means "never ran"."""
+    def snapshot(self) -> dict[str, dict]:
+        """``dataset_name -> last run`` (one row per dataset); an unreadable
+        ledger means "nothing ran"."""
         try:
-            rows = self.frame().filter(F.col("dataset_name") == dataset).limit(1).collect()
+            return {r["dataset_name"]: r.asDict() for r in self.frame().collect()}
         except AnalysisException as exc:
-            log.debug("ledger read failed (%s): treating %s as never run", exc, dataset)
-            return None
-        return rows[0].asDict() if rows else None
+            log.warning("ledger unreadable (%s): treating every dataset as never run", exc)
+            return {}
+
+    def get(self, dataset: str) -> dict | None:
+        return self.snapshot().get(dataset)
 
     def record(self, dataset: str, layer: str, rows: int, run_date: date, status: str) -> None:
         if status not in (SUCCESS, SKIPPED, FAILED):
             raise ValueError(f"unknown status {status!r}")
-        row = self.spark.createDataFrame(
-            [(dataset, layer, run_date, datetime.now(timezone.utc).replace(tzinfo=None), int(rows), status)],
-            LEDGER_SCHEMA,
-        )
-        merge_into(row, self.path, "dataset_name", buckets=1, check_unique=False)
-
-    def should_skip(self, dataset: str, run_date: date) -> bool:
-        """Skip a dataset already processed successfully for this run date."""
-        last = self.get(dataset)
-        return bool(last) and last["status"] == SUCCESS and str(last["last_processed_date"]) == str(run_date)
-
-    def incremental_bound(self, dataset: str) -> date | None:
-        """Lower bound for an incremental read: the date of the last
-        *successful* run.  A skipped or failed last run clears it (full read)."""
-        last = self.get(dataset)
-        if last and last["status"] == SUCCESS:
-            return last["last_processed_date"]
-        return None
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        row = (dataset, layer, run_date, now, int(rows), status, time.time_ns())
+        self.spark.createDataFrame([row], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def compact(self) -> None:
+        """Rewrite the log as one file holding the current state."""
+        rows = [(*r.values(), i) for i, r in enumerate(self.snapshot().values())]
+        self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(self.path)
+
+
+def should_skip(state: dict[str, dict], dataset: str, run_date: date) -> bool:
+    """Skip a dataset already processed successfully for this run date."""
+    last = state.get(dataset)
+    return bool(last) and last["status"] == SUCCESS and str(last["last_processed_date"]) == str(run_date)
+
+
+def incremental_bound(state: dict[str, dict], dataset: str) -> date | None:
+    """Lower bound for an incremental read: the date of the last *successful*
+    run.  A skipped or failed last run clears it (full read)."""
+    last = state.get(dataset)
+    if last and last["status"] == SUCCESS:
+        return last["last_processed_date"]
+    return None

@@ -3,7 +3,7 @@
 Layout::
 
     <path>/key_bucket=<b>/part-*.parquet   rows, partitioned by hash bucket of the key
-    <path>/_table/                         one JSON row: key columns, bucket count
+    <path>/_table/                         one JSON row: key columns, bucket count, schema
 
 An upsert touches only the buckets its batch hashes to:
 
@@ -11,7 +11,7 @@ An upsert touches only the buckets its batch hashes to:
    (``spark.checkpoint.dir``): lineage is cut, lost executors re-read the
    staged files instead of recomputing the upstream joins;
 2. the touched bucket ids -- at most the bucket count, a table constant --
-   are collected;
+   are collected (the batch's row count rides on the staging write);
 3. only those buckets of the target are read (``PartitionFilters``), merged
    with the batch by ``upsert_frames`` and written back with a dynamic
    partition overwrite.  Both sides are hash-partitioned by bucket before
@@ -28,13 +28,16 @@ schema (reads never need ``mergeSchema``).
 
 from __future__ import annotations
 
+import json
 import logging
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.upsert import duplicate_keys, upsert_frames
 from ..session import new_scratch_path
@@ -43,46 +46,68 @@ log = logging.getLogger(__name__)
 
 BUCKET = "key_bucket"
 META = "_table"
-DEFAULT_BUCKETS = 64
+# Bucket sizing: one bucket per ROWS_PER_BUCKET rows of the first batch (a
+# bucket is one merge task and, normally, one file), capped at MAX_BUCKETS.
+ROWS_PER_BUCKET = 4_000_000
+MAX_BUCKETS = 16_384
 
 
 @dataclass(frozen=True)
 class TableMeta:
     keys: list[str]
     buckets: int
+    schema_json: str
+
+    @property
+    def schema(self) -> StructType:
+        return StructType.fromJson(json.loads(self.schema_json))
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def buckets_for(rows: int) -> int:
+    return int(min(MAX_BUCKETS, max(1, math.ceil(rows / ROWS_PER_BUCKET))))
+
+
 def _meta_path(path: str) -> str:
     return f"{path.rstrip('/')}/{META}"
 
 
 def read_meta(spark: SparkSession, path: str) -> TableMeta | None:
     try:
-        row = spark.read.schema("keys string, buckets int").json(_meta_path(path)).first()
+        row = spark.read.schema("keys string, buckets int, schema string").json(_meta_path(path)).first()
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return None if row is None else TableMeta(row["keys"].split(","), int(row["buckets"]))
+    return None if row is None else TableMeta(row["keys"].split(","), int(row["buckets"]), row["schema"])
 
 
-def _write_meta(spark: SparkSession, path: str, meta: TableMeta) -> None:
-    spark.createDataFrame([(",".join(meta.keys), meta.buckets)], "keys string, buckets int").coalesce(1).write.mode(
-        "overwrite"
-    ).json(_meta_path(path))
+def _write_meta(spark: SparkSession, path: str, keys: Sequence[str], buckets: int, data_schema: StructType) -> None:
+    full = StructType([f for f in data_schema.fields if f.name != BUCKET] + [StructField(BUCKET, IntegerType())])
+    spark.createDataFrame([(",".join(keys), buckets, full.json())], "keys string, buckets int, schema string").coalesce(
+        1
+    ).write.mode("overwrite").json(_meta_path(path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     return read_meta(spark, path) is not None
 
 
+def _read_buckets(spark: SparkSession, path: str, meta: TableMeta) -> DataFrame:
+    return spark.read.schema(meta.schema).parquet(path)
+
+
 def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    """Current rows of a keyed table (raises ``PATH_NOT_FOUND`` if absent)."""
-    return spark.read.parquet(path).drop(BUCKET)
+    """Current rows of a keyed table (raises ``PATH_NOT_FOUND`` if absent).
+    The schema comes from the table's metadata: no footer scan, and an empty
+    table reads as an empty frame."""
+    meta = read_meta(spark, path)
+    if meta is None:
+        return spark.read.parquet(path)  # raises PATH_NOT_FOUND
+    return _read_buckets(spark, path, meta).drop(BUCKET)
 
 
 def _write_buckets(df: DataFrame, path: str, mode: str, dynamic: bool) -> None:
@@ -97,27 +122,28 @@ def write_keyed_table(
     path: str,
     key: str | Sequence[str],
     mode: str = "overwrite",
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Create/replace (``overwrite``) or add rows to (``append``) a keyed table."""
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     meta = read_meta(spark, path)
-    if meta is not None and mode == "errorifexists":
+    if meta is not None and mode in ("errorifexists", "error"):
         raise ValueError(f"table already exists at {path}")
     if meta is not None and mode == "append":
         buckets = meta.buckets
-    frame = df.withColumn(BUCKET, bucket_of(keys, buckets))
+    n = buckets or 1
+    frame = df.withColumn(BUCKET, bucket_of(keys, n))
     # One writer per bucket (AQE splits a bucket that is too large).
     frame = frame.hint("rebalance", BUCKET)
     _write_buckets(frame, path, "append" if mode == "append" else "overwrite", dynamic=False)
     if meta is None or mode != "append":
-        _write_meta(spark, path, TableMeta(keys, buckets))
+        _write_meta(spark, path, keys, n, df.schema)
 
 
 @dataclass
 class MergeResult:
-    rows_in_batch: int | None
+    rows_in_batch: int
     buckets_touched: int
     first_write: bool
 
@@ -126,41 +152,47 @@ def merge_into(
     source: DataFrame,
     path: str,
     key: str | Sequence[str],
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     check_unique: bool = True,
 ) -> MergeResult:
-    """Upsert ``source`` into the keyed table at ``path`` (created if absent)."""
+    """Upsert ``source`` into the keyed table at ``path`` (created if absent;
+    a new table gets ``buckets`` buckets, or one per ``ROWS_PER_BUCKET`` rows
+    of this batch)."""
     spark = source.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     meta = read_meta(spark, path)
     if meta is not None and meta.keys != keys:
         raise ValueError(f"table at {path} is keyed by {meta.keys}, not {keys}")
-    n_buckets = meta.buckets if meta is not None else buckets
 
     stage = new_scratch_path(spark, "merge-batch")
-    source.withColumn(BUCKET, bucket_of(keys, n_buckets)).write.parquet(stage)
-    staged = spark.read.parquet(stage)
+    obs = Observation()
+    source.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
+    rows = int(obs.get.get("rows", 0) or 0)
+    batch = spark.read.schema(source.schema).parquet(stage)
 
-    if check_unique and duplicate_keys(staged.drop(BUCKET), keys).limit(1).count() > 0:
+    if check_unique and rows > 1 and duplicate_keys(batch, keys).limit(1).count() > 0:
         raise ValueError(f"upsert: several source rows share a key in {keys}; deduplicate the batch first")
 
     if meta is None:
+        n = buckets or buckets_for(rows)
+        staged = batch.withColumn(BUCKET, bucket_of(keys, n))
         _write_buckets(staged.hint("rebalance", BUCKET), path, "overwrite", dynamic=False)
-        _write_meta(spark, path, TableMeta(keys, n_buckets))
-        return MergeResult(None, n_buckets, True)
-
-    target = spark.read.parquet(path)
-    new_cols = [c for c in staged.columns if c not in target.columns]
+        _write_meta(spark, path, keys, n, source.schema)
+        return MergeResult(rows, n, True)
+    if rows == 0:
+        return MergeResult(0, 0, False)
+
+    staged = batch.withColumn(BUCKET, bucket_of(keys, meta.buckets))
+    target = _read_buckets(spark, path, meta)
+    new_cols = [c for c in batch.columns if c not in target.columns]
     if new_cols:
         log.info("upsert adds column(s) %s: rewriting every bucket", new_cols)
         touched = None
     else:
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
-        if not touched:
-            return MergeResult(0, 0, False)
         target = target.filter(F.col(BUCKET).isin(touched))
 
-    parts = n_buckets if touched is None else max(1, len(touched))
+    parts = meta.buckets if touched is None else max(1, len(touched))
     merged = upsert_frames(
         target.repartition(parts, BUCKET),
         staged.repartition(parts, BUCKET),
@@ -168,4 +200,6 @@ def merge_into(
         co_keys=[BUCKET],
     )
     _write_buckets(merged, path, "overwrite", dynamic=True)
-    return MergeResult(None, n_buckets if touched is None else len(touched), False)
+    if new_cols:
+        _write_meta(spark, path, keys, meta.buckets, merged.schema)
+    return MergeResult(rows, meta.buckets if touched is None else len(touched), False)

@@ -24,10 +24,12 @@ def _file_writer(df: DataFrame, fmt: str, path: str, mode: str, spec: Mapping):
     if mode not in _FILE_MODES:
         raise ValueError(f"Unsupported mode '{mode}' for format '{fmt}'")
     partition_by: Sequence[str] = spec.get("partition_by") or []
-    if partition_by:
-        # Rebalance (AQE) instead of repartition(partition columns): a day that
-        # holds most of the batch is split over several writers, small ones
-        # are coalesced, so files stay near the advisory size.
+    if partition_by and spec.get("rebalance"):
+        # Opt-in for inputs whose tasks would each write many partitions:
+        # rebalance (AQE) rather than repartition(partition columns), so a day
+        # holding most of the batch is split over several writers and small
+        # ones are coalesced.  A single-date batch needs no shuffle: each
+        # input split writes one file of about its own size.
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).options(**{k: str(v) for k, v in (spec.get("options") or {}).items()})
     if partition_by:

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from strata.plans import pipeline as P
-from strata.plans.ledger import FAILED, SKIPPED, SUCCESS, RunLedger
+from strata.plans.ledger import FAILED, SKIPPED, SUCCESS, RunLedger, incremental_bound, should_skip
 
 
 def test_validate():
@@ -28,14 +28,19 @@ def test_dataset_selection():
 def test_ledger_rules(spark, scratch):
     ledger = RunLedger(spark, scratch("ledger"))
     d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
-    assert ledger.get("a") is None and ledger.incremental_bound("a") is None
+    assert ledger.get("a") is None and incremental_bound(ledger.snapshot(), "a") is None
     ledger.record("a", "silver", 5, d1, SUCCESS)
-    assert ledger.should_skip("a", d1) and not ledger.should_skip("a", d2)
-    assert ledger.incremental_bound("a") == d1
+    state = ledger.snapshot()
+    assert should_skip(state, "a", d1) and not should_skip(state, "a", d2)
+    assert incremental_bound(state, "a") == d1
     ledger.record("a", "silver", 0, d2, FAILED)
-    assert ledger.incremental_bound("a") is None and not ledger.should_skip("a", d2)
+    state = ledger.snapshot()
+    assert incremental_bound(state, "a") is None and not should_skip(state, "a", d2)
     ledger.record("b", "bronze", 0, d2, SKIPPED)
     assert ledger.frame().count() == 2
+    ledger.compact()
+    assert ledger.snapshot() == state | {"b": ledger.get("b")}
+    assert ledger.get("a")["status"] == FAILED
 
 
 def _spec(src, sink, **extra):
