@@ -39,9 +39,13 @@ def read_orc(spark, path, options=None, schema=None) -> DataFrame:
 
 
 def read_keyed(spark, path, options=None, schema=None) -> DataFrame:
-    from ..sinks.keyed_table import read_keyed_table
+    """A keyed table; a plain (e.g. date-partitioned bronze) Parquet table
+    at the same kind of path is read as is."""
+    from ..sinks.keyed_table import read_keyed_table, table_exists
 
-    return read_keyed_table(spark, path)
+    if table_exists(spark, path):
+        return read_keyed_table(spark, path)
+    return _reader(spark, options, schema).parquet(path)
 
 
 def read_jdbc(spark, path, options=None, schema=None) -> DataFrame:

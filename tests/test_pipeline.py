@@ -83,3 +83,66 @@ def test_fail_policy_blocks_write(spark, scratch):
 
     with pytest.raises(AnalysisException):
         read(spark, "parquet", out).count()
+
+
+def _tables(spark, layout):
+    from strata.sinks.keyed_table import read_keyed_table
+
+    out = {}
+    for target in ("retail_orders_enriched", "retail_order_items_enriched", "retail_customers"):
+        out[target] = sorted(tuple(r) for r in read_keyed_table(spark, layout.silver(target)).collect())
+    out["gold"] = sorted(tuple(r) for r in spark.read.parquet(layout.gold("gold_regional_sales")).collect())
+    return out
+
+
+def test_json_configs_and_idempotent_rerun(spark, scratch, tmp_path):
+    """Configs survive a JSON round-trip; a full-refresh rerun of the same day
+    leaves every layer as one run left it."""
+    import json
+
+    from strata.sources.retail import RAW_DATASETS
+
+    sf = "/root/testdata/sf0.001"
+    root = scratch("lake")
+    layout = P.LakeLayout(raw=f"{root}/raw", lake=f"{root}/lake")
+    jobs_dir, gold_dir = tmp_path / "jobs", tmp_path / "gold"
+    jobs_dir.mkdir()
+    gold_dir.mkdir()
+    for i, job in enumerate(P.retail_jobs(layout)):
+        (jobs_dir / f"job_{i:02d}.json").write_text(json.dumps(job))
+    for g in P.retail_gold(layout):
+        (gold_dir / f"{g['dataset']}.json").write_text(json.dumps(g))
+    jobs, golds = P.load_configs(str(jobs_dir)), P.load_configs(str(gold_dir))
+    day = date(2024, 1, 31)
+    P.land_raw(layout, day, {n: fn(spark, sf) for n, fn in RAW_DATASETS.items()})
+    assert P.run_configs(spark, jobs, golds, layout.ledger, day) == 0
+    once = _tables(spark, layout)
+    assert P.run_configs(spark, jobs, golds, layout.ledger, day, full_refresh=True) == 0
+    assert _tables(spark, layout) == once
+    # a normal rerun skips everything
+    before = RunLedger(spark, layout.ledger).snapshot()
+    assert P.run_configs(spark, jobs, golds, layout.ledger, day) == 0
+    assert RunLedger(spark, layout.ledger).snapshot() == before
+
+
+def test_missing_inputs_skip_and_failures_stop(spark, scratch):
+    from strata.sources.retail import orders_raw
+
+    root = scratch("lake")
+    layout = P.LakeLayout(raw=f"{root}/raw", lake=f"{root}/lake")
+    jobs = {j["dataset"]: j for j in P.retail_jobs(layout)}
+    golds = P.retail_gold(layout)
+    day = date(2024, 1, 31)
+    # no raw drop at all: bronze and silver are skipped, not failed
+    assert P.run_configs(spark, [jobs["retail_customers"]], [], layout.ledger, day) == 0
+    state = RunLedger(spark, layout.ledger).snapshot()
+    assert state["bronze_retail_customers"]["status"] == SKIPPED
+    assert state["silver_retail_customers"]["status"] == SKIPPED
+    # orders land, but silver orders' lookup tables do not exist: it fails,
+    # the run stops with exit code 1 and gold never runs
+    P.land_raw(layout, day, {"retail_orders": orders_raw(spark, "/root/testdata/sf0.001")})
+    assert P.run_configs(spark, [jobs["retail_orders"]], golds, layout.ledger, day) == 1
+    state = RunLedger(spark, layout.ledger).snapshot()
+    assert state["bronze_retail_orders"]["status"] == SUCCESS
+    assert state["silver_retail_orders"]["status"] == FAILED
+    assert not any(k.startswith("gold_") for k in state)
