@@ -168,7 +168,7 @@ def _ms(c: str) -> str:
 
 TOP_STORES = f"""
     SELECT store_id, store_name, store_type, {money_sum('total_revenue')} AS total_revenue,
-           cast(sum(order_count) AS BIGINT) AS order_count, avg(avg_order_value) AS avg_order_value
+           cast(sum(order_count) AS BIGINT) AS order_count, round(avg(avg_order_value), 6) AS avg_order_value
     FROM gold_sales_by_store GROUP BY store_id, store_name, store_type
     ORDER BY total_revenue DESC NULLS FIRST, store_id ASC NULLS FIRST LIMIT 15"""
 SEGMENTS_SQL = f"""
@@ -178,7 +178,7 @@ SEGMENTS_SQL = f"""
 CATEGORIES_SQL = f"""
     SELECT category, {money_sum('total_revenue')} AS total_revenue,
            cast(sum(total_quantity) AS BIGINT) AS total_quantity,
-           cast(sum(order_count) AS BIGINT) AS order_count, avg(avg_discount) AS avg_discount
+           cast(sum(order_count) AS BIGINT) AS order_count, round(avg(avg_discount), 6) AS avg_discount
     FROM gold_category_performance WHERE category IS NOT NULL GROUP BY category"""
 REGIONS_SQL = f"""
     SELECT region, {money_sum('total_revenue')} AS total_revenue,
@@ -294,7 +294,7 @@ ORACLES: dict[str, str] = {
     "report_kpis": with_model(f"""
         SELECT (SELECT {money_sum('total_revenue')} FROM gold_daily_trend) AS total_revenue,
                (SELECT cast(sum(order_count) AS BIGINT) FROM gold_daily_trend) AS total_orders,
-               (SELECT avg(avg_order_value) FROM gold_daily_trend) AS avg_order_value,
+               (SELECT round(avg(avg_order_value), 6) FROM gold_daily_trend) AS avg_order_value,
                (SELECT cast(sum(unique_customers) AS BIGINT) FROM gold_regional_sales) AS unique_customers"""),
     "kpis_exact": with_model(f"""
         SELECT {money_sum('total_amount')} AS total_revenue, count(order_id) AS total_orders,
