@@ -400,4 +400,16 @@ ORACLES: dict[str, str] = {
                CASE WHEN cast(ts AS DATE) <= DATE '2024-01-15' AND event_id % 10 <> 0 THEN DATE '2024-01-16'
                     ELSE DATE '2024-01-31' END AS ingestion_date
         FROM events""",
+    # dashboard detail tables (column subset + captions)
+    "report_store_detail": with_reports(
+        'SELECT store_name AS "Store", store_type AS "Type", total_revenue AS "Revenue", order_count AS "Orders" FROM top_stores'),
+    "report_segment_detail": with_reports(
+        'SELECT segment AS "Segment", customers AS "Customers", total_revenue AS "Total Revenue", avg_clv AS "Avg CLV" FROM seg'),
+    "report_product_detail": with_model(
+        'SELECT product_id AS "Product", total_revenue AS "Revenue", total_quantity AS "Units Sold", order_count AS "Orders" '
+        "FROM gold_product_performance ORDER BY total_revenue DESC NULLS FIRST, product_id ASC NULLS FIRST LIMIT 15"),
+    "report_category_detail": with_reports(
+        'SELECT category AS "Category", total_revenue AS "Revenue", total_quantity AS "Units Sold", '
+        'order_count AS "Orders", avg_discount AS "Avg Discount" FROM cats'),
+    "incremental_bound": with_model("SELECT * FROM orders_enriched_v2 WHERE ingestion_date = DATE '2024-02-01'", RUN_CTES),
 }

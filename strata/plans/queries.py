@@ -162,6 +162,26 @@ def report_revenue_share(spark, sf_dir):
     return R.revenue_share(m.gold("sales_by_store"), m.gold("category_performance"), m.gold("regional_sales"))
 
 
+
+@register()
+def report_store_detail(spark, sf_dir):
+    return R.detail(R.top_stores(model(spark, sf_dir).gold("sales_by_store")), R.STORE_DETAIL)
+
+
+@register()
+def report_segment_detail(spark, sf_dir):
+    return R.detail(R.segments(model(spark, sf_dir).gold("sales_by_customer")), R.SEGMENT_DETAIL)
+
+
+@register()
+def report_product_detail(spark, sf_dir):
+    return R.detail(R.top_products(model(spark, sf_dir).gold("product_performance")), R.PRODUCT_DETAIL)
+
+
+@register()
+def report_category_detail(spark, sf_dir):
+    return R.detail(R.categories(model(spark, sf_dir).gold("category_performance")), R.CATEGORY_DETAIL)
+
 # --------------------------------------------------------------- operators
 from pyspark.sql import functions as F  # noqa: E402
 

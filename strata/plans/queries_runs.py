@@ -66,3 +66,12 @@ def skip_rule(spark, sf_dir):
     lake = two_day_lake(spark, sf_dir)
     run(spark, lake.layout, DAY_TWO)
     return _ledger_rows(spark, lake.layout)
+
+
+@register()
+def incremental_bound(spark, sf_dir):
+    """Rows the day-2 silver run wrote: only bronze rows after day 1 were
+    read (the ledger's bound), and they replaced their keys' day-1 rows."""
+    lake = two_day_lake(spark, sf_dir)
+    silver = read_keyed_table(spark, lake.layout.silver("retail_orders_enriched"))
+    return silver.filter(F.col("ingestion_date") == F.lit(str(DAY_TWO)).cast("date"))

@@ -226,3 +226,18 @@ def revenue_share(by_store: DataFrame, by_category: DataFrame, regional: DataFra
     )
     total = F.sum(as_amount("total_revenue")).over(Window.partitionBy("dimension")).cast("double")
     return parts.withColumn("share", F.try_divide(F.col("total_revenue"), total))
+
+
+# The column captions of the dashboard's detail tables.
+STORE_DETAIL = {"store_name": "Store", "store_type": "Type", "total_revenue": "Revenue", "order_count": "Orders"}
+SEGMENT_DETAIL = {"segment": "Segment", "customers": "Customers", "total_revenue": "Total Revenue", "avg_clv": "Avg CLV"}
+PRODUCT_DETAIL = {"product_id": "Product", "total_revenue": "Revenue", "total_quantity": "Units Sold", "order_count": "Orders"}
+CATEGORY_DETAIL = {
+    "category": "Category", "total_revenue": "Revenue", "total_quantity": "Units Sold",
+    "order_count": "Orders", "avg_discount": "Avg Discount",
+}
+
+
+def detail(df: DataFrame, captions: dict[str, str]) -> DataFrame:
+    """Column subset in caption order, renamed to the captions."""
+    return df.select(*[F.col(c).alias(name) for c, name in captions.items()])

@@ -51,10 +51,6 @@ def write_json(df, path, mode="overwrite", spec=None):
     _file_writer(df, "json", path, mode, spec or {})
 
 
-def write_orc(df, path, mode="overwrite", spec=None):
-    _file_writer(df, "orc", path, mode, spec or {})
-
-
 def write_table(df, path, mode="overwrite", spec=None):
     """Keyed table: ``merge`` upserts on ``merge_key``; other modes write."""
     spec = spec or {}
@@ -115,7 +111,6 @@ _WRITERS: dict[str, WriteFn] = {
     "parquet": write_parquet,
     "csv": write_csv,
     "json": write_json,
-    "orc": write_orc,
     "table": write_table,
     "delta": write_table,
     "jdbc": write_jdbc,

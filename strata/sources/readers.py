@@ -34,10 +34,6 @@ def read_json(spark, path, options=None, schema=None) -> DataFrame:
     return _reader(spark, options, schema).json(path)
 
 
-def read_orc(spark, path, options=None, schema=None) -> DataFrame:
-    return _reader(spark, options, schema).orc(path)
-
-
 def read_keyed(spark, path, options=None, schema=None) -> DataFrame:
     """A keyed table; a plain (e.g. date-partitioned bronze) Parquet table
     at the same kind of path is read as is."""
@@ -62,7 +58,6 @@ _READERS: dict[str, ReadFn] = {
     "csv": read_csv,
     "parquet": read_parquet,
     "json": read_json,
-    "orc": read_orc,
     "table": read_keyed,
     "delta": read_keyed,
     "jdbc": read_jdbc,
