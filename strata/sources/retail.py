@@ -27,8 +27,19 @@ TABLES = (
 ).split()
 
 
+# Scan handles of the (read-only) driver tables, per application: a
+# DataFrame is an immutable plan, so reusing it only saves the driver-side
+# listing and footer read of each repeated ``spark.read``.
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    # The memo holds each session (through its frames), so id() stays unique.
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def _str(c: str):
