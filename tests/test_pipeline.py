@@ -146,3 +146,17 @@ def test_missing_inputs_skip_and_failures_stop(spark, scratch):
     assert state["bronze_retail_orders"]["status"] == SUCCESS
     assert state["silver_retail_orders"]["status"] == FAILED
     assert not any(k.startswith("gold_") for k in state)
+
+
+def test_sql_text_metrics(spark, scratch):
+    """Gold aggregation with free SQL aggregate expressions."""
+    src, out = scratch("src"), scratch("out")
+    spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), (None, 7.0)], "g string, v double").write.parquet(src)
+    spec = _spec(src, out, aggregation={"group_by": ["g"], "metrics": [
+        {"name": "mx", "expr": "max(v)"},
+        {"name": "spread", "expr": "max(v) - min(v)"},
+        {"name": "n", "expr": "count(*)"},
+    ]})
+    assert P.run_dataset(spark, spec).rows == 3
+    got = {r.g: (r.mx, r.spread, r.n) for r in spark.read.parquet(out).collect()}
+    assert got == {"a": (3.0, 2.0, 2), "b": (5.0, 0.0, 1), None: (7.0, 0.0, 1)}
