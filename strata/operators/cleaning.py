@@ -81,22 +81,31 @@ def filter_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 # --------------------------------------------------------------------- dedup
 
 
-def _order_columns(df: DataFrame, key: Sequence[str], order_by: Iterable[Column | str] | None) -> list[Column]:
+def _order_columns(df: DataFrame, key: Sequence[str], order_by: Iterable | None) -> list[Column]:
     """Explicit order first, then every remaining column ascending: a total
-    order, so the surviving row never depends on partitioning."""
+    order, so the surviving row never depends on partitioning.
+
+    Items are a column name (ascending), ``(name, "asc" | "desc")`` or a
+    Column (whose column, unknown here, may repeat in the tie-break).
+    """
     explicit: list[Column] = []
     named: set[str] = set(key)
     for o in order_by or []:
         if isinstance(o, str):
             named.add(o)
             explicit.append(F.col(o).asc_nulls_first())
+        elif isinstance(o, tuple):
+            name, direction = o
+            named.add(name)
+            c = F.col(name)
+            explicit.append(c.desc_nulls_last() if direction == "desc" else c.asc_nulls_first())
         else:
             explicit.append(o)
     rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in named]
     return explicit + rest
 
 
-def keep_first_per_key(df: DataFrame, key: Sequence[str], order_by: Iterable[Column | str] | None = None) -> DataFrame:
+def keep_first_per_key(df: DataFrame, key: Sequence[str], order_by: Iterable | None = None) -> DataFrame:
     """One row per key: the first in ``order_by`` (ties broken by all columns).
 
     ``row_number() = 1`` plans a ``WindowGroupLimit`` on *both* sides of the
@@ -111,7 +120,7 @@ def keep_first_per_key(df: DataFrame, key: Sequence[str], order_by: Iterable[Col
 def drop_duplicates(
     df: DataFrame,
     subset: Sequence[str] | None = None,
-    order_by: Iterable[Column | str] | None = None,
+    order_by: Iterable | None = None,
 ) -> DataFrame:
     """Whole-row distinct without ``subset`` (an empty list means all columns);
     otherwise one deterministic row per ``subset`` key."""
@@ -125,7 +134,7 @@ def drop_duplicates(
 
 def latest_per_key(df: DataFrame, key: Sequence[str], version_column: str = "ingestion_date") -> DataFrame:
     """The newest version of each key (ties broken deterministically)."""
-    return keep_first_per_key(df, key, [F.col(version_column).desc_nulls_last()] if version_column in df.columns else None)
+    return keep_first_per_key(df, key, [(version_column, "desc")] if version_column in df.columns else None)
 
 
 # ----------------------------------------------------------------- registry

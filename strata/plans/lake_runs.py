@@ -11,7 +11,6 @@ all run queries of the same Spark application.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import SparkSession
 

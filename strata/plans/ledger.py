@@ -16,7 +16,6 @@ from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.cleaning import keep_first_per_key
 
@@ -50,7 +49,7 @@ class RunLedger:
         records = self._log()
         if records is None:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return keep_first_per_key(records, ["dataset_name"], [F.col(_SEQ).desc()]).drop(_SEQ)
+        return keep_first_per_key(records, ["dataset_name"], [(_SEQ, "desc")]).drop(_SEQ)
 
     def snapshot(self) -> dict[str, dict]:
         """``dataset_name -> last run`` (one row per dataset); an unreadable

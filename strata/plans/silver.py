@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.cleaning import apply_steps, drop_duplicates, filter_nulls, latest_per_key
 from ..operators.joins import join_using
@@ -20,7 +19,7 @@ from .retail_model import SILVER_SCHEMAS
 
 def version_order(df: DataFrame, column: str = "ingestion_date") -> list:
     """Newest ingestion first, when the frame carries one."""
-    return [F.col(column).desc_nulls_last()] if column in df.columns else []
+    return [(column, "desc")] if column in df.columns else []
 
 
 def prepare_side(side: DataFrame, lookup: Mapping) -> DataFrame:
