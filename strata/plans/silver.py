@@ -22,15 +22,26 @@ def version_order(df: DataFrame, column: str = "ingestion_date") -> list:
     return [(column, "desc")] if column in df.columns else []
 
 
-def prepare_side(side: DataFrame, lookup: Mapping) -> DataFrame:
+def prepare_side(side: DataFrame, lookup: Mapping, batch: DataFrame | None = None) -> DataFrame:
     """The right side of a lookup: selected columns, latest version per key
-    when the side is a versioned (bronze) table."""
+    when the side is a versioned (bronze) table.
+
+    With ``batch`` given, the versioned side is first reduced to the keys the
+    batch looks up (left-semi join): an incremental day touches few keys,
+    and when they are small enough AQE broadcasts them, so the history is
+    filtered inside the scan tasks instead of being shuffled whole for the
+    window.  The result of the lookup is unchanged.
+    """
     if not lookup.get("latest"):
         return side
-    keep = [lookup["on"], *[c for c in lookup.get("select") or side.columns if c != lookup["on"]]]
+    on = lookup["on"]
+    keep = [on, *[c for c in lookup.get("select") or side.columns if c != on]]
     if "ingestion_date" in side.columns and "ingestion_date" not in keep:
         keep.append("ingestion_date")
-    return latest_per_key(side.select(*keep), [lookup["on"]])
+    side = side.select(*keep)
+    if batch is not None:
+        side = side.join(batch.select(on).filter(batch[on].isNotNull()).distinct(), on, "left_semi")
+    return latest_per_key(side, [on])
 
 
 def build_silver(
@@ -44,7 +55,7 @@ def build_silver(
     df = drop_duplicates(df, job["dedup_key"], order_by=version_order(df))
     df = apply_steps(df, job.get("transformations", []))
     for lookup in job.get("joins", []):
-        side = prepare_side(sides[lookup["source"]], lookup)
+        side = prepare_side(sides[lookup["source"]], lookup, df)
         df = join_using(df, side, lookup["on"], lookup.get("type", "left"), lookup.get("select"))
     declared = schema if schema is not None else SILVER_SCHEMAS[job["target"]]
     return enforce_schema(df, declared, on_null_violation or job.get("on_null_violation", "warn"))
