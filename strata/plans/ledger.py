@@ -28,6 +28,7 @@ LEDGER_SCHEMA = (
 )
 SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
 _SEQ = "record_seq"
+COMPACT_AFTER_FILES = 512
 _LOG_SCHEMA = f"{LEDGER_SCHEMA}, {_SEQ} long"
 
 
@@ -71,10 +72,22 @@ class RunLedger:
         self.spark.createDataFrame([row], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def compact(self) -> None:
-        """Rewrite the log as one file holding the current state."""
+        """Rewrite the log as one file holding the current state (one row per
+        dataset, collected first, so the write never reads what it replaces).
+        A crash between delete and write empties the ledger: the next run
+        then reprocesses everything, which every layer tolerates."""
         rows = [(*r.values(), i) for i, r in enumerate(self.snapshot().values())]
         self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(self.path)
 
+    def compact_if_larger(self, max_files: int = COMPACT_AFTER_FILES) -> bool:
+        """Compact once the log holds more than ``max_files`` files (counted
+        from the driver-side file listing, no job)."""
+        records = self._log()
+        if records is None or len(records.inputFiles()) <= max_files:
+            return False
+        self.compact()
+        return True
+
 
 def should_skip(state: dict[str, dict], dataset: str, run_date: date) -> bool:
     """Skip a dataset already processed successfully for this run date."""

@@ -41,6 +41,9 @@ def test_ledger_rules(spark, scratch):
     ledger.compact()
     assert ledger.snapshot() == state | {"b": ledger.get("b")}
     assert ledger.get("a")["status"] == FAILED
+    ledger.record("c", "gold", 1, d2, SUCCESS)
+    assert ledger.compact_if_larger(max_files=1)
+    assert len(ledger._log().inputFiles()) == 1 and set(ledger.snapshot()) == {"a", "b", "c"}
 
 
 def _spec(src, sink, **extra):
