@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from .money import as_amount
+
 
-def share_of_total(c: str | Column) -> Column:
-    """``c / sum(c) over ()``.
+def share_of_total(c: str | Column, partition_by: Sequence[str] = (), money: bool = True) -> Column:
+    """``c / sum(c) over (partition by …)``; the total is an exact decimal sum
+    when ``money``.
 
-    Only used on already-aggregated, small relations (one row per category,
-    store type or channel); an unpartitioned window moves all rows to one
-    task, so never apply it to a fact table.
+    Only meant for already-aggregated, small relations (one row per category,
+    store type or channel): without ``partition_by`` the window moves every
+    row to one task, so never apply it to a fact table.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(col, F.sum(col).over(Window.partitionBy()))
+    w = Window.partitionBy(*partition_by)
+    total = F.sum(as_amount(col)).over(w).cast("double") if money else F.sum(col).over(w)
+    return F.try_divide(col, total)

@@ -53,15 +53,16 @@ def pivot_sum(
 ) -> DataFrame:
     """``row x column`` matrix of ``sum(measure)``, missing cells ``fill``.
 
-    The pivot values are passed explicitly: no job to discover them and a
-    stable output schema.  Null row keys are dropped (a matrix has no null
-    row label).
+    ``measure`` is a column name (summed) or an aggregate Column.  The pivot
+    values are passed explicitly: no job to discover them and a stable
+    output schema.  Null row keys are dropped (a matrix has no null row
+    label).
     """
-    m = F.col(measure) if isinstance(measure, str) else measure
+    agg = F.sum(F.col(measure)) if isinstance(measure, str) else measure
     out = (
         df.filter(F.col(row).isNotNull())
         .groupBy(row)
         .pivot(column, list(values))
-        .agg(F.sum(m))
+        .agg(agg)
     )
     return out.na.fill(fill, subset=list(values))

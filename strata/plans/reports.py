@@ -16,10 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import as_amount, long_sum, money_avg, money_sum
+from ..functions.shares import share_of_total
+from ..operators.aggregate import pivot_sum
 
 TOP_K = 15
 # Unweighted means of per-group averages (doubles) depend on summation order
@@ -184,14 +186,9 @@ def region_segment_matrix(regional: DataFrame, segment_values: Sequence[str] = S
     """Region x segment revenue; missing cells are 0.  Pivot values are given
     explicitly (no discovery job, stable schema); null regions/segments are
     not labels of the matrix."""
-    values = list(segment_values)
-    out = (
-        regional.filter(F.col("region").isNotNull())
-        .groupBy("region")
-        .pivot("segment", values)
-        .agg(F.sum(as_amount("total_revenue")).cast("double"))
+    return pivot_sum(
+        regional, "region", "segment", list(segment_values), F.sum(as_amount("total_revenue")).cast("double")
     )
-    return out.na.fill(0.0, subset=values)
 
 
 def _leader(dim: str, table: DataFrame, name_col: str) -> DataFrame:
@@ -224,8 +221,7 @@ def revenue_share(by_store: DataFrame, by_category: DataFrame, regional: DataFra
         )
         .unionByName(channels(regional).select(F.lit("channel").alias("dimension"), F.col("channel").alias("name"), "total_revenue"))
     )
-    total = F.sum(as_amount("total_revenue")).over(Window.partitionBy("dimension")).cast("double")
-    return parts.withColumn("share", F.try_divide(F.col("total_revenue"), total))
+    return parts.withColumn("share", share_of_total("total_revenue", ["dimension"]))
 
 
 # The column captions of the dashboard's detail tables.

@@ -184,9 +184,12 @@ def merge_into(
 
     staged = batch.withColumn(BUCKET, bucket_of(keys, meta.buckets))
     target = _read_buckets(spark, path, meta)
-    new_cols = [c for c in batch.columns if c not in target.columns]
-    if new_cols:
-        log.info("upsert adds column(s) %s: rewriting every bucket", new_cols)
+    target_types = dict(target.dtypes)
+    new_cols = [c for c in batch.columns if c not in target_types]
+    changed = [c for c, t in batch.dtypes if c in target_types and target_types[c] != t]
+    if new_cols or changed:
+        # Every file must keep one schema: rewrite all buckets.
+        log.info("upsert adds %s / retypes %s: rewriting every bucket", new_cols, changed)
         touched = None
     else:
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
@@ -200,6 +203,6 @@ def merge_into(
         co_keys=[BUCKET],
     )
     _write_buckets(merged, path, "overwrite", dynamic=True)
-    if new_cols:
+    if touched is None:
         _write_meta(spark, path, keys, meta.buckets, merged.schema)
     return MergeResult(rows, meta.buckets if touched is None else len(touched), False)

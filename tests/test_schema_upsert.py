@@ -79,3 +79,12 @@ def test_merge_schema_evolution(spark, scratch):
     merge_into(spark.createDataFrame([("2", 3.0, "x")], "k string, v double, extra string"), path, "k")
     rows = sorted(tuple(r) for r in read_keyed_table(spark, path).collect())
     assert rows == [("1", 1.0, None), ("2", 3.0, "x")]
+
+
+def test_merge_type_change_rewrites_all_buckets(spark, scratch):
+    path = scratch("tbl")
+    merge_into(spark.createDataFrame([("1", 1), ("2", 2), ("3", 3)], "k string, v int"), path, "k", buckets=4)
+    merge_into(spark.createDataFrame([("2", 20)], "k string, v bigint"), path, "k")
+    got = read_keyed_table(spark, path)
+    assert dict(got.dtypes)["v"] == "bigint"
+    assert sorted(tuple(r) for r in got.collect()) == [("1", 1), ("2", 20), ("3", 3)]
