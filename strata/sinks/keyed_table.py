@@ -14,16 +14,21 @@ An upsert touches only the buckets its batch hashes to:
    are collected (the batch's row count rides on the staging write);
 3. only those buckets of the target are read (``PartitionFilters``), merged
    with the batch by ``upsert_frames`` and written back with a dynamic
-   partition overwrite.  Both sides are hash-partitioned by bucket before
-   the join, so the merge output is already grouped by bucket and is written
-   with one shuffle per side.
+   partition overwrite.  Both sides are hash-partitioned by (bucket, split)
+   -- ``split`` a second hash of the key that cuts a large bucket into
+   ~``ROWS_PER_TASK`` slices -- and the join uses that partitioning as is,
+   so the merge costs one shuffle per side and each task writes whole
+   (bucket, split) slices (a few files per bucket, never tasks x buckets).
+
+The table's metadata keeps its key, bucket count, schema and row count (kept
+current by the merges' observed counts).
 
 Spark's dynamic overwrite replaces bucket directories one by one at commit, so
 a driver crash during the commit can leave some buckets old and some new; the
 upsert is idempotent by key, so rerunning the same batch repairs it.
 
-If a batch adds columns, every bucket is rewritten so all files share one
-schema (reads never need ``mergeSchema``).
+If a batch adds or retypes columns, every bucket is rewritten so all files
+share one schema (reads never need ``mergeSchema``).
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ import json
 import logging
 import math
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -45,11 +51,16 @@ from ..session import new_scratch_path
 log = logging.getLogger(__name__)
 
 BUCKET = "key_bucket"
+SPLIT = "key_split"
 META = "_table"
-# Bucket sizing: one bucket per ROWS_PER_BUCKET rows of the first batch (a
-# bucket is one merge task and, normally, one file), capped at MAX_BUCKETS.
+# Bucket sizing: one bucket per ROWS_PER_BUCKET rows of the first batch,
+# capped at MAX_BUCKETS.  A table that outgrows its buckets is merged with
+# each bucket split over ceil(rows per bucket / ROWS_PER_TASK) tasks (a
+# second, independent hash of the key), so merge tasks stay bounded.
 ROWS_PER_BUCKET = 4_000_000
+ROWS_PER_TASK = 4_000_000
 MAX_BUCKETS = 16_384
+MAX_SPLITS = 4_096
 
 
 @dataclass(frozen=True)
@@ -57,6 +68,11 @@ class TableMeta:
     keys: list[str]
     buckets: int
     schema_json: str
+    rows: int = 0
+
+    @property
+    def splits(self) -> int:
+        return int(min(MAX_SPLITS, max(1, math.ceil(self.rows / self.buckets / ROWS_PER_TASK))))
 
     @property
     def schema(self) -> StructType:
@@ -67,6 +83,11 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def split_of(keys: Sequence[str], splits: int) -> Column:
+    # murmur3, independent of the bucket's xxhash64
+    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(splits)).cast("int")
+
+
 def buckets_for(rows: int) -> int:
     return int(min(MAX_BUCKETS, max(1, math.ceil(rows / ROWS_PER_BUCKET))))
 
@@ -77,19 +98,24 @@ def _meta_path(path: str) -> str:
 
 def read_meta(spark: SparkSession, path: str) -> TableMeta | None:
     try:
-        row = spark.read.schema("keys string, buckets int, schema string").json(_meta_path(path)).first()
+        row = spark.read.schema("keys string, buckets int, schema string, rows long").json(_meta_path(path)).first()
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return None if row is None else TableMeta(row["keys"].split(","), int(row["buckets"]), row["schema"])
+    if row is None:
+        return None
+    return TableMeta(row["keys"].split(","), int(row["buckets"]), row["schema"], int(row["rows"] or 0))
 
 
-def _write_meta(spark: SparkSession, path: str, keys: Sequence[str], buckets: int, data_schema: StructType) -> None:
-    full = StructType([f for f in data_schema.fields if f.name != BUCKET] + [StructField(BUCKET, IntegerType())])
-    spark.createDataFrame([(",".join(keys), buckets, full.json())], "keys string, buckets int, schema string").coalesce(
-        1
-    ).write.mode("overwrite").json(_meta_path(path))
+def _write_meta(
+    spark: SparkSession, path: str, keys: Sequence[str], buckets: int, data_schema: StructType, rows: int
+) -> None:
+    fields = [f for f in data_schema.fields if f.name not in (BUCKET, SPLIT)]
+    full = StructType(fields + [StructField(BUCKET, IntegerType())])
+    spark.createDataFrame(
+        [(",".join(keys), buckets, full.json(), int(rows))], "keys string, buckets int, schema string, rows long"
+    ).coalesce(1).write.mode("overwrite").json(_meta_path(path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -110,6 +136,25 @@ def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
     return _read_buckets(spark, path, meta).drop(BUCKET)
 
 
+@contextmanager
+def _co_partitioned_join(spark: SparkSession):
+    """Let a join on (bucket, split, key) use inputs hash-partitioned by
+    (bucket, split) as they are.  Spark otherwise re-shuffles on all join
+    keys (``requireAllClusterKeysForCoPartition``, a guard against skew from
+    low-cardinality partial keys); (bucket, split) slices are balanced by
+    construction, so the guard only costs a second shuffle per side."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _write_buckets(df: DataFrame, path: str, mode: str, dynamic: bool) -> None:
     writer = df.write.mode(mode).partitionBy(BUCKET)
     if dynamic:
@@ -133,12 +178,14 @@ def write_keyed_table(
     if meta is not None and mode == "append":
         buckets = meta.buckets
     n = buckets or 1
-    frame = df.withColumn(BUCKET, bucket_of(keys, n))
+    obs = Observation()
+    frame = df.withColumn(BUCKET, bucket_of(keys, n)).observe(obs, F.count(F.lit(1)).alias("rows"))
     # One writer per bucket (AQE splits a bucket that is too large).
     frame = frame.hint("rebalance", BUCKET)
     _write_buckets(frame, path, "append" if mode == "append" else "overwrite", dynamic=False)
-    if meta is None or mode != "append":
-        _write_meta(spark, path, keys, n, df.schema)
+    written = int(obs.get.get("rows", 0) or 0)
+    rows = written + (meta.rows if meta is not None and mode == "append" else 0)
+    _write_meta(spark, path, keys, n, df.schema if meta is None or mode != "append" else meta.schema, rows)
 
 
 @dataclass
@@ -177,7 +224,7 @@ def merge_into(
         n = buckets or buckets_for(rows)
         staged = batch.withColumn(BUCKET, bucket_of(keys, n))
         _write_buckets(staged.hint("rebalance", BUCKET), path, "overwrite", dynamic=False)
-        _write_meta(spark, path, keys, n, source.schema)
+        _write_meta(spark, path, keys, n, source.schema, rows)
         return MergeResult(rows, n, True)
     if rows == 0:
         return MergeResult(0, 0, False)
@@ -195,14 +242,25 @@ def merge_into(
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
         target = target.filter(F.col(BUCKET).isin(touched))
 
-    parts = meta.buckets if touched is None else max(1, len(touched))
+    # Both sides hash-partitioned by (bucket, split): the join needs no other
+    # exchange and each task writes whole (bucket, split) slices.
+    splits = meta.splits
+    parts = (meta.buckets if touched is None else max(1, len(touched))) * splits
+    target = target.withColumn(SPLIT, split_of(keys, splits))
+    staged = staged.withColumn(SPLIT, split_of(keys, splits))
+    obs_in, obs_out = Observation(), Observation()
+    target = target.observe(obs_in, F.count(F.lit(1)).alias("rows"))
     merged = upsert_frames(
-        target.repartition(parts, BUCKET),
-        staged.repartition(parts, BUCKET),
+        target.repartition(parts, BUCKET, SPLIT),
+        staged.repartition(parts, BUCKET, SPLIT),
         keys,
-        co_keys=[BUCKET],
-    )
-    _write_buckets(merged, path, "overwrite", dynamic=True)
-    if touched is None:
-        _write_meta(spark, path, keys, meta.buckets, merged.schema)
+        co_keys=[BUCKET, SPLIT],
+    ).drop(SPLIT)
+    merged = merged.observe(obs_out, F.count(F.lit(1)).alias("rows"))
+    with _co_partitioned_join(spark):
+        _write_buckets(merged, path, "overwrite", dynamic=True)
+    replaced = int(obs_in.get.get("rows", 0) or 0)
+    written = int(obs_out.get.get("rows", 0) or 0)
+    schema = merged.schema if touched is None else meta.schema
+    _write_meta(spark, path, keys, meta.buckets, schema, meta.rows - replaced + written)
     return MergeResult(rows, meta.buckets if touched is None else len(touched), False)

@@ -41,3 +41,21 @@ def test_incremental_prunes_partitions(spark, scratch):
     df = incremental(spark.read.parquet(path), date(2024, 1, 2))
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan(df)
     assert df.count() == 3
+
+
+def test_merge_join_keeps_bucket_partitioning(spark):
+    """The upsert join reuses the (bucket, split) partitioning of its inputs:
+    one exchange per side, none on the join keys."""
+    from pyspark.sql import functions as F
+
+    from strata.operators.upsert import upsert_frames
+    from strata.sinks.keyed_table import BUCKET, SPLIT, _co_partitioned_join, bucket_of, split_of
+
+    def side(lo, hi, v):
+        df = spark.range(lo, hi).select(F.col("id").cast("string").alias("k"), F.lit(v).alias("v"))
+        return df.withColumn(BUCKET, bucket_of(["k"], 4)).withColumn(SPLIT, split_of(["k"], 2)).repartition(8, BUCKET, SPLIT)
+
+    merged = upsert_frames(side(0, 100, 1.0), side(50, 150, 2.0), ["k"], co_keys=[BUCKET, SPLIT])
+    with _co_partitioned_join(spark):
+        p = plan(merged)
+    assert p.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in p

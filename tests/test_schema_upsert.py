@@ -111,3 +111,22 @@ def test_stream_upsert_is_incremental_and_replay_safe(spark, scratch):
     merge_into(clean_batch(second, ["k"]), target, "k", check_unique=False)
     got = sorted(tuple(r)[:2] for r in read_keyed_table(spark, target).collect())
     assert got == [("1", 1.0), ("2", 20.0), ("3", 3.0)]
+
+
+def test_merge_splits_large_buckets(spark, scratch, monkeypatch):
+    """A bucket larger than a task's share is merged by several tasks; the
+    table's row count follows every merge."""
+    from strata.sinks import keyed_table as K
+
+    path = scratch("tbl")
+    base = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("v"))
+    merge_into(base, path, "k", buckets=2)
+    assert K.read_meta(spark, path).rows == 1000
+    monkeypatch.setattr(K, "ROWS_PER_TASK", 100)  # 500 rows per bucket -> 5 splits
+    assert K.read_meta(spark, path).splits == 5
+    batch = spark.range(900, 1100).select(F.col("id").cast("string").alias("k"), F.lit(2.0).alias("v"))
+    merge_into(batch, path, "k")
+    got = read_keyed_table(spark, path)
+    assert got.count() == 1100 and got.filter("v = 2.0").count() == 200
+    assert K.read_meta(spark, path).rows == 1100
+    assert len(got.inputFiles()) > 2  # buckets written as several files
