@@ -4,9 +4,19 @@ tables (or data Spark derives from them), whole tables, no row caps."""
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-
+from pyspark.sql import functions as F
+
+from ..operators import cleaning as C
+from ..operators.joins import join_using
+from ..operators.schema import enforce_schema
+from ..operators.schema import null_violations as _null_violations
+from ..sources import defects as D
+from ..sources.retail import order_items_raw, table
+from . import reports as R
 from .model import RetailModel
 from .registry import REGISTRY, register
+from .retail_model import DEFAULT_RUN_DATE, SILVER_JOBS
+from .silver import build_silver
 
 
 def model(spark: SparkSession, sf_dir: str) -> RetailModel:
@@ -75,8 +85,6 @@ def category_performance(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- reports
-# (imported here to keep the registry in one place)
-from . import reports as R  # noqa: E402
 
 
 @register()
@@ -183,15 +191,6 @@ def report_category_detail(spark, sf_dir):
     return R.detail(R.categories(model(spark, sf_dir).gold("category_performance")), R.CATEGORY_DETAIL)
 
 # --------------------------------------------------------------- operators
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators import cleaning as C  # noqa: E402
-from ..operators.joins import join_using  # noqa: E402
-from ..operators.schema import enforce_schema, null_violations as _null_violations  # noqa: E402
-from ..sources import defects as D  # noqa: E402
-from ..sources.retail import order_items_raw, table  # noqa: E402
-from .retail_model import DEFAULT_RUN_DATE, SILVER_JOBS  # noqa: E402
-from .silver import build_silver  # noqa: E402
 
 
 @register()
@@ -296,8 +295,16 @@ def _join_query(how):
     return run
 
 
-for _how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
-    REGISTRY[f"join_{_how.replace('left_', '')}" if _how.startswith("left_") else f"join_{_how}"] = _join_query(_how)
+JOIN_QUERIES = {
+    "join_inner": "inner",
+    "join_left": "left",
+    "join_right": "right",
+    "join_full": "full",
+    "join_semi": "left_semi",
+    "join_anti": "left_anti",
+}
+for _name, _how in JOIN_QUERIES.items():
+    REGISTRY[_name] = _join_query(_how)
 
 
 @register()
