@@ -57,19 +57,26 @@ class RunLedger:
         ledger means "nothing ran"."""
         try:
             return {r["dataset_name"]: r.asDict() for r in self.frame().collect()}
-        except AnalysisException as exc:
+        except Exception as exc:  # noqa: BLE001 - any error means "never ran"
             log.warning("ledger unreadable (%s): treating every dataset as never run", exc)
             return {}
 
     def get(self, dataset: str) -> dict | None:
         return self.snapshot().get(dataset)
 
-    def record(self, dataset: str, layer: str, rows: int, run_date: date, status: str) -> None:
+    def record(self, dataset: str, layer: str, rows: int, run_date: date, status: str) -> bool:
+        """Append a run record.  A failed write is logged, not raised (the
+        dataset's own result stands; the next run simply redoes it)."""
         if status not in (SUCCESS, SKIPPED, FAILED):
             raise ValueError(f"unknown status {status!r}")
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         row = (dataset, layer, run_date, now, int(rows), status, time.time_ns())
-        self.spark.createDataFrame([row], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        try:
+            self.spark.createDataFrame([row], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        except Exception as exc:  # noqa: BLE001 - ledger errors never fail a dataset
+            log.error("ledger write failed for %s: %s", dataset, exc)
+            return False
+        return True
 
     def compact(self) -> None:
         """Rewrite the log as one file holding the current state (one row per

@@ -163,3 +163,12 @@ def test_sql_text_metrics(spark, scratch):
     assert P.run_dataset(spark, spec).rows == 3
     got = {r.g: (r.mx, r.spread, r.n) for r in spark.read.parquet(out).collect()}
     assert got == {"a": (3.0, 2.0, 2), "b": (5.0, 0.0, 1), None: (7.0, 0.0, 1)}
+
+
+def test_ledger_errors_are_soft(spark, tmp_path):
+    """An unreadable ledger means "never ran"; a failed record is logged."""
+    blocker = tmp_path / "not_a_dir"
+    blocker.write_text("x")
+    ledger = RunLedger(spark, str(blocker / "ledger"))
+    assert ledger.snapshot() == {}
+    assert ledger.record("a", "bronze", 1, date(2024, 1, 1), SUCCESS) is False
