@@ -16,6 +16,11 @@ def test_validate():
     with pytest.raises(ValueError, match="Unsupported writer format"):
         P.validate({"dataset": "x", "source": {"format": "json", "path": "p"}, "sink": {"format": "excel"}})
     P.validate({"dataset": "x", "source": {"format": "json", "path": "p"}, "sink": {"format": "json"}})
+    with pytest.raises(ValueError, match="Unknown transformer"):
+        P.validate({"dataset": "x", "source": {"format": "json", "path": "p"}, "sink": {"format": "json"},
+                    "transformations": [{"name": "nonexistent"}]})
+    with pytest.raises(ValueError, match="merge_key"):
+        P.validate({"dataset": "x", "source": {"format": "json", "path": "p"}, "sink": {"format": "table", "mode": "merge"}})
 
 
 def test_dataset_selection():
