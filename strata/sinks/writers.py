@@ -67,25 +67,31 @@ def write_table(df, path, mode="overwrite", spec=None):
 def jdbc_properties(spec: Mapping) -> tuple[str, str, dict]:
     """URL, qualified table and connection properties of a JDBC sink.
 
-    Credentials come from the spec or the environment (``JDBC_URL``,
-    ``JDBC_USER``, ``JDBC_PASSWORD``, ``JDBC_DRIVER``); the schema defaults
-    to ``public`` and is then left unqualified.
+    Connection settings come from the spec or the environment: ``JDBC_URL``,
+    ``JDBC_USER``, ``JDBC_PASSWORD``, ``JDBC_DRIVER``, or for a ``postgres``
+    sink ``POSTGRES_HOST``, ``POSTGRES_PORT``, ``POSTGRES_DB``,
+    ``POSTGRES_USER``, ``POSTGRES_PASSWORD``.  The schema defaults to
+    ``public`` and is then left unqualified.
     """
+    env = os.environ
     opts = dict(spec.get("options") or {})
-    url = spec.get("url") or opts.pop("url", None) or os.environ.get("JDBC_URL")
+    url = spec.get("url") or opts.pop("url", None) or env.get("JDBC_URL")
+    pg = spec.get("format") == "postgres"
+    if not url and pg and env.get("POSTGRES_HOST"):
+        url = f"jdbc:postgresql://{env['POSTGRES_HOST']}:{env.get('POSTGRES_PORT', '5432')}/{env.get('POSTGRES_DB', '')}"
     if not url:
-        raise ValueError("JDBC sink needs a url (spec 'url' or JDBC_URL)")
+        raise ValueError("JDBC sink needs a url (spec 'url', JDBC_URL or POSTGRES_HOST)")
     table = spec.get("table")
     if not table:
         raise ValueError("JDBC sink needs 'table'")
     schema = spec.get("schema", "public")
     qualified = table if schema in (None, "", "public") else f"{schema}.{table}"
     props = {
-        "user": spec.get("user") or os.environ.get("JDBC_USER", ""),
-        "password": spec.get("password") or os.environ.get("JDBC_PASSWORD", ""),
+        "user": spec.get("user") or env.get("JDBC_USER") or (env.get("POSTGRES_USER", "") if pg else ""),
+        "password": spec.get("password") or env.get("JDBC_PASSWORD") or (env.get("POSTGRES_PASSWORD", "") if pg else ""),
         "batchsize": str(spec.get("batchsize", 10000)),
     }
-    driver = spec.get("driver") or os.environ.get("JDBC_DRIVER")
+    driver = spec.get("driver") or env.get("JDBC_DRIVER") or ("org.postgresql.Driver" if pg else None)
     if driver:
         props["driver"] = driver
     props.update({k: str(v) for k, v in opts.items()})

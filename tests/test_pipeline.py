@@ -177,3 +177,46 @@ def test_ledger_errors_are_soft(spark, tmp_path):
     ledger = RunLedger(spark, str(blocker / "ledger"))
     assert ledger.snapshot() == {}
     assert ledger.record("a", "bronze", 1, date(2024, 1, 1), SUCCESS) is False
+
+
+def test_reference_shaped_configs(spark, scratch, tmp_path):
+    """Job configs as the reference writes them: "delta" formats, schema files
+    of {column_name, datatype, nullable}, gold metrics as SQL text."""
+    import json
+
+    from strata.plans.retail_model import SILVER_JOBS, SILVER_SCHEMAS
+    from strata.sinks.keyed_table import read_keyed_table
+    from strata.sources.retail import RAW_DATASETS
+
+    sf = "/root/testdata/sf0.001"
+    root = scratch("lake")
+    layout = P.LakeLayout(raw=f"{root}/raw", lake=f"{root}/lake")
+    jobs = []
+    for job in P.retail_jobs(layout):
+        sv = dict(job["silver"])
+        schema_file = tmp_path / f"{job['dataset']}.json"
+        schema_file.write_text(json.dumps([
+            {"column_name": n, "datatype": t, "nullable": nl} for n, t, nl in SILVER_SCHEMAS[SILVER_JOBS[job["dataset"]]["target"]]
+        ]))
+        sv.pop("schema")
+        sv["schema_path"] = str(schema_file)
+        sv["joins"] = [{k: v for k, v in j.items() if k != "latest"} | {"format": "delta"} for j in sv["joins"]]
+        jobs.append({"dataset": job["dataset"], "bronze": job["bronze"], "silver": sv})
+    gold = [{
+        "dataset": "gold_daily_trend", "layer": "gold",
+        "source": {"format": "delta", "path": layout.silver("retail_orders_enriched"), "options": {}},
+        "aggregation": {"group_by": ["order_date"], "metrics": [
+            {"name": "total_revenue", "expr": "sum(total_amount)"},
+            {"name": "order_count", "expr": "count(order_id)"},
+        ]},
+        "sink": {"format": "parquet", "path": layout.gold("gold_daily_trend"), "mode": "overwrite"},
+    }]
+    jobs = json.loads(json.dumps(jobs))
+    day = date(2024, 1, 31)
+    P.land_raw(layout, day, {n: fn(spark, sf) for n, fn in RAW_DATASETS.items()})
+    assert P.run_configs(spark, jobs, gold, layout.ledger, day) == 0
+    items = read_keyed_table(spark, layout.silver("retail_order_items_enriched"))
+    assert items.count() == items.select("line_item_id").distinct().count()  # bronze orders side: no fan-out
+    trend = spark.read.parquet(layout.gold("gold_daily_trend"))
+    orders = read_keyed_table(spark, layout.silver("retail_orders_enriched"))
+    assert trend.agg({"order_count": "sum"}).first()[0] == orders.count()

@@ -64,6 +64,13 @@ def test_jdbc_properties(monkeypatch):
     assert table == "daily"
     with pytest.raises(ValueError):
         W.jdbc_properties({"url": "jdbc:x"})
+    monkeypatch.delenv("JDBC_URL")
+    monkeypatch.setenv("POSTGRES_HOST", "pg")
+    monkeypatch.setenv("POSTGRES_DB", "gold")
+    monkeypatch.setenv("POSTGRES_USER", "writer")
+    url, table, props = W.jdbc_properties({"format": "postgres", "schema": "gold_schema", "table": "t"})
+    assert url == "jdbc:postgresql://pg:5432/gold" and props["user"] == "writer"
+    assert props["driver"] == "org.postgresql.Driver" and table == "gold_schema.t"
 
 
 def test_date_templates():
