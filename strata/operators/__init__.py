@@ -15,6 +15,7 @@ from .cleaning import (
 )
 from .joins import enrich, join_using
 from .schema import ColumnSpec, enforce_schema, missing_columns, null_violations
+from .upsert import upsert_frames
 
 __all__ = [
     "ColumnSpec",
@@ -35,4 +36,5 @@ __all__ = [
     "pivot_sum",
     "register_transform",
     "standardize_strings",
+    "upsert_frames",
 ]
