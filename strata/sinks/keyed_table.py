@@ -126,13 +126,14 @@ def _read_buckets(spark: SparkSession, path: str, meta: TableMeta) -> DataFrame:
     return spark.read.schema(meta.schema).parquet(path)
 
 
-def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
+def read_keyed_table(spark: SparkSession, path: str, fallback=None) -> DataFrame:
     """Current rows of a keyed table (raises ``PATH_NOT_FOUND`` if absent).
     The schema comes from the table's metadata: no footer scan, and an empty
-    table reads as an empty frame."""
+    table reads as an empty frame.  A folder without metadata is read as
+    plain Parquet (with the ``fallback`` reader when given)."""
     meta = read_meta(spark, path)
     if meta is None:
-        return spark.read.parquet(path)  # raises PATH_NOT_FOUND
+        return (fallback or spark.read).parquet(path)  # raises PATH_NOT_FOUND if absent
     return _read_buckets(spark, path, meta).drop(BUCKET)
 
 

@@ -37,11 +37,9 @@ def read_json(spark, path, options=None, schema=None) -> DataFrame:
 def read_keyed(spark, path, options=None, schema=None) -> DataFrame:
     """A keyed table; a plain (e.g. date-partitioned bronze) Parquet table
     at the same kind of path is read as is."""
-    from ..sinks.keyed_table import read_keyed_table, table_exists
+    from ..sinks.keyed_table import read_keyed_table
 
-    if table_exists(spark, path):
-        return read_keyed_table(spark, path)
-    return _reader(spark, options, schema).parquet(path)
+    return read_keyed_table(spark, path, fallback=_reader(spark, options, schema))
 
 
 def read_jdbc(spark, path, options=None, schema=None) -> DataFrame:
