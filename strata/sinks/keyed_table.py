@@ -240,7 +240,8 @@ def merge_into(
         log.info("upsert adds %s / retypes %s: rewriting every bucket", new_cols, changed)
         touched = None
     else:
-        touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
+        # (a one-bucket table is always touched whole: no job to find out)
+        touched = [0] if meta.buckets == 1 else sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
         target = target.filter(F.col(BUCKET).isin(touched))
 
     # Both sides hash-partitioned by (bucket, split): the join needs no other
