@@ -22,6 +22,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when a later operator reuses the
+    # join's partitioning (e.g. a distinct count grouped on the join key) and
+    # the split costs an extra shuffle: a key holding a third of the rows
+    # must not pin one task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Size check behind every broadcast: the planner only broadcasts a side
     # whose estimated (or, under AQE, measured) size is below this bound.
