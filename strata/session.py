@@ -61,9 +61,24 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if shuffle_partitions is None:
+        scale_shuffle_width(spark)
     return spark
 
 
+def scale_shuffle_width(spark: SparkSession, per_core: int = 4) -> int:
+    """Give shuffles room to stay small: when the width is still Spark's
+    default (200), start at ``per_core`` partitions per core of the cluster.
+    AQE coalesces them to ~128 MB each, so the width only caps how large a
+    reducer can get (200 reducers over 100 TB would each spill hundreds of
+    GB)."""
+    if spark.conf.get("spark.sql.shuffle.partitions") != "200":
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(200, per_core * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    return width
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables this library writes for itself.
 
