@@ -48,6 +48,12 @@ def two_day_lake(spark: SparkSession, sf_dir: str) -> TwoDayLake:
     first = run(spark, layout, DAY_ONE)
     land_raw(layout, DAY_TWO, {"retail_orders": newer_orders(spark, sf_dir)})
     second = run(spark, layout, DAY_TWO)
+    if first or second:
+        # never let queries read half-built tables
+        from .ledger import RunLedger
+
+        failed = {k: v["status"] for k, v in RunLedger(spark, layout.ledger).snapshot().items() if v["status"] == "failed"}
+        raise RuntimeError(f"two-day run failed (exit codes {first}, {second}): {failed}")
     lake = TwoDayLake(layout, (first, second))
     _CACHE[key] = lake
     return lake
