@@ -220,3 +220,23 @@ def test_reference_shaped_configs(spark, scratch, tmp_path):
     trend = spark.read.parquet(layout.gold("gold_daily_trend"))
     orders = read_keyed_table(spark, layout.silver("retail_orders_enriched"))
     assert trend.agg({"order_count": "sum"}).first()[0] == orders.count()
+
+
+def test_cli_runs_config_folders(spark, scratch, tmp_path):
+    import json
+
+    from strata.sources.retail import products_raw
+
+    root = scratch("lake")
+    layout = P.LakeLayout(raw=f"{root}/raw", lake=f"{root}/lake")
+    jobs_dir = tmp_path / "jobs"
+    jobs_dir.mkdir()
+    job = next(j for j in P.retail_jobs(layout) if j["dataset"] == "retail_products")
+    (jobs_dir / "job_products.json").write_text(json.dumps(job))
+    P.land_raw(layout, date(2024, 1, 31), {"retail_products": products_raw(spark, "/root/testdata/sf0.001")})
+    argv = ["--layer", "all", "--date", "2024-01-31", "--jobs-dir", str(jobs_dir), "--ledger", layout.ledger]
+    assert P.main(argv) == 0
+    state = RunLedger(spark, layout.ledger).snapshot()
+    assert state["silver_retail_products"]["rows_processed"] == 200
+    with pytest.raises(SystemExit):
+        P.main(["--layer", "all", "--jobs-dir", str(jobs_dir)])  # --ledger required
