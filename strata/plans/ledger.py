@@ -64,20 +64,29 @@ class RunLedger:
     def get(self, dataset: str) -> dict | None:
         return self.snapshot().get(dataset)
 
-    def record(self, dataset: str, layer: str, rows: int, run_date: date, status: str) -> bool:
-        """Append a run record.  A failed write is logged, not raised (the
-        dataset's own result stands; the next run simply redoes it)."""
+    @staticmethod
+    def entry(dataset: str, layer: str, rows: int, run_date: date, status: str) -> tuple:
+        """One run record (timestamped now)."""
         if status not in (SUCCESS, SKIPPED, FAILED):
             raise ValueError(f"unknown status {status!r}")
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        row = (dataset, layer, run_date, now, int(rows), status, time.time_ns())
+        return (dataset, layer, run_date, now, int(rows), status, time.time_ns())
+
+    def record_many(self, entries: list[tuple]) -> bool:
+        """Append run records in one write.  A failed write is logged, not
+        raised (the datasets' own results stand; the next run redoes them)."""
+        if not entries:
+            return True
         try:
-            self.spark.createDataFrame([row], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self.spark.createDataFrame(entries, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
         except Exception as exc:  # noqa: BLE001 - ledger errors never fail a dataset
-            log.error("ledger write failed for %s: %s", dataset, exc)
+            log.error("ledger write failed for %s: %s", [e[0] for e in entries], exc)
             return False
         return True
 
+    def record(self, dataset: str, layer: str, rows: int, run_date: date, status: str) -> bool:
+        return self.record_many([self.entry(dataset, layer, rows, run_date, status)])
+
     def compact(self) -> None:
         """Rewrite the log as one file holding the current state (one row per
         dataset, collected first, so the write never reads what it replaces).
