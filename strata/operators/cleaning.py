@@ -53,12 +53,11 @@ def not_null_predicate(df: DataFrame, columns: Sequence[str] | None = None) -> C
     Written as explicit predicates (not ``na.drop``) so the null tests are
     pushed into the Parquet scan as ``IsNotNull`` filters.
     """
-    cols = list(columns) if columns else df.columns
-    types = dict(df.dtypes)
     fields = {f.name: f.dataType for f in df.schema.fields}
+    cols = list(columns) if columns else list(fields)
     preds: list[Column] = []
     for c in cols:
-        if c not in types:
+        if c not in fields:
             raise ValueError(f"filter_nulls: unknown column '{c}'")
         preds.append(F.col(c).isNotNull())
         if isinstance(fields[c], (DoubleType, FloatType)):
