@@ -130,3 +130,24 @@ def test_merge_splits_large_buckets(spark, scratch, monkeypatch):
     assert got.count() == 1100 and got.filter("v = 2.0").count() == 200
     assert K.read_meta(spark, path).rows == 1100
     assert len(got.inputFiles()) > 2  # buckets written as several files
+
+
+def test_keyed_table_write_modes(spark, scratch):
+    from strata.sinks import keyed_table as K
+
+    path = scratch("tbl")
+    a = spark.createDataFrame([("1", 1.0), ("2", 2.0)], "k string, v double")
+    b = spark.createDataFrame([("3", 3.0)], "k string, v double")
+    K.write_keyed_table(a, path, "k", buckets=2)
+    K.write_keyed_table(b, path, "k", mode="append")
+    assert sorted(tuple(r) for r in read_keyed_table(spark, path).collect()) == [("1", 1.0), ("2", 2.0), ("3", 3.0)]
+    assert K.read_meta(spark, path).rows == 3 and K.read_meta(spark, path).buckets == 2
+    with pytest.raises(ValueError, match="already exists"):
+        K.write_keyed_table(a, path, "k", mode="errorifexists")
+    K.write_keyed_table(b, path, "k", mode="overwrite")
+    assert [tuple(r) for r in read_keyed_table(spark, path).collect()] == [("3", 3.0)]
+    assert K.read_meta(spark, path).rows == 1
+    # an empty first batch still creates a readable table
+    empty = scratch("empty")
+    merge_into(a.limit(0), empty, "k")
+    assert read_keyed_table(spark, empty).count() == 0
