@@ -263,6 +263,7 @@ def merge_into(
         _write_buckets(merged, path, "overwrite", dynamic=True)
     replaced = int(obs_in.get.get("rows", 0) or 0)
     written = int(obs_out.get.get("rows", 0) or 0)
-    schema = merged.schema if touched is None else meta.schema
-    _write_meta(spark, path, keys, meta.buckets, schema, meta.rows - replaced + written)
+    if touched is None or written != replaced:  # schema or row count changed
+        schema = merged.schema if touched is None else meta.schema
+        _write_meta(spark, path, keys, meta.buckets, schema, meta.rows - replaced + written)
     return MergeResult(rows, meta.buckets if touched is None else len(touched), False)
