@@ -240,3 +240,13 @@ def test_cli_runs_config_folders(spark, scratch, tmp_path):
     assert state["silver_retail_products"]["rows_processed"] == 200
     with pytest.raises(SystemExit):
         P.main(["--layer", "all", "--jobs-dir", str(jobs_dir)])  # --ledger required
+
+
+def test_ignore_mode_does_not_wait_for_a_skipped_write(spark, scratch):
+    src, out = scratch("src"), scratch("out")
+    spark.createDataFrame([(1,)], "k int").write.parquet(src)
+    spark.createDataFrame([(9,)], "k int").write.parquet(out)
+    spec = _spec(src, out)
+    spec["sink"]["mode"] = "ignore"
+    assert P.run_dataset(spark, spec).rows == 0
+    assert [r.k for r in spark.read.parquet(out).collect()] == [9]
