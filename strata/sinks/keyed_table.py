@@ -170,12 +170,17 @@ def write_keyed_table(
     mode: str = "overwrite",
     buckets: int | None = None,
 ) -> None:
-    """Create/replace (``overwrite``) or add rows to (``append``) a keyed table."""
+    """Create/replace (``overwrite``) or add rows to (``append``) a keyed
+    table; ``errorifexists`` raises and ``ignore`` does nothing when it exists."""
+    if mode not in ("overwrite", "append", "errorifexists", "error", "ignore"):
+        raise ValueError(f"Unsupported mode '{mode}' for a keyed table")
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     meta = read_meta(spark, path)
     if meta is not None and mode in ("errorifexists", "error"):
         raise ValueError(f"table already exists at {path}")
+    if meta is not None and mode == "ignore":
+        return
     if meta is not None and mode == "append":
         buckets = meta.buckets
     n = buckets or 1

@@ -144,6 +144,8 @@ def test_keyed_table_write_modes(spark, scratch):
     assert K.read_meta(spark, path).rows == 3 and K.read_meta(spark, path).buckets == 2
     with pytest.raises(ValueError, match="already exists"):
         K.write_keyed_table(a, path, "k", mode="errorifexists")
+    K.write_keyed_table(a, path, "k", mode="ignore")
+    assert read_keyed_table(spark, path).count() == 3
     K.write_keyed_table(b, path, "k", mode="overwrite")
     assert [tuple(r) for r in read_keyed_table(spark, path).collect()] == [("3", 3.0)]
     assert K.read_meta(spark, path).rows == 1
