@@ -16,7 +16,7 @@ def _norm(v):
     if v is None:
         return "~"
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9e}"
+        return "nan" if math.isnan(v) else f"{v:.15e}"
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return str(v)
