@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate
-from .common import table
+from . import decontaminate, simhash
+from .common import stage, table
 from .oracles import ORACLES
 
 QUERIES = {}
@@ -22,5 +23,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(hits)
 
 
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_docs``, for every id divisible by 100: documents within the radius,
+    itself left out; null for the rest."""
+    report = stage(simhash.fingerprint_report(table(spark, sf_dir, "documents")), "simhash")
+    asked = F.pmod("doc_id", F.lit(100)) == 0
+    near = simhash.near_counts(report, report.where(asked))
+    return report.join(near, report.fingerprint == near["query"], "left").select(
+        *report.columns, F.when(asked, F.col("near_docs") - 1).alias("near_docs")
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
