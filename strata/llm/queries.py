@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, linkgraph, simhash
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -23,6 +23,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(hits)
 
 
+@query
+def op3_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judge_pages(
+        table(spark, sf_dir, "pages"), block=["net/", "example.com/de/"], allow=["example.net/en/", "org/fr/"]
+    )
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``near_docs``, for every id divisible by 100: documents within the radius,
