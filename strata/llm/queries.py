@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linkgraph, simhash
+from . import decontaminate, huffman, linkgraph, simhash
 from .common import stage, table
 from .oracles import ORACLES
 
 QUERIES = {}
 
 
+def word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -30,6 +36,12 @@ def op3_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_huffman(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    read = huffman.write_and_read(table(spark, sf_dir, "documents"), vocabulary or word_vocabulary())
+    return huffman.digest(read)
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``near_docs``, for every id divisible by 100: documents within the radius,
