@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, linkgraph, simhash
+from . import decontaminate, huffman, linkgraph, minhash, simhash
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -54,5 +54,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(minhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
