@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, linkgraph, minhash, simhash
+from . import decontaminate, huffman, linkgraph, minhash, simhash, suffix_dedup
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -59,5 +59,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(minhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
