@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, linkgraph, minhash, simhash, suffix_dedup
+from . import decontaminate, huffman, linkgraph, minhash, quality, simhash, suffix_dedup
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -54,6 +54,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.resampler(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.decide(found)
+
+
 @query
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(minhash.near_duplicates(table(spark, sf_dir, "documents")))

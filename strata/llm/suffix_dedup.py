@@ -126,7 +126,9 @@ class Anchors:
 CHUNKS = "chunk bigint, doc_ids array<bigint>, sizes array<bigint>, n_bytes bigint, payload binary"
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int | None = None) -> DataFrame:
+    limit = chunk_bytes or CHUNK_BYTES
+
     def pack(batches):
         from pyspark import TaskContext
 
@@ -148,7 +150,7 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or b""
-                if held and n + len(text) > CHUNK_BYTES:
+                if held and n + len(text) > limit:
                     yield row()
                     chunk, ids, held, n = chunk + 1, [], [], 0
                 ids.append(doc_id)
