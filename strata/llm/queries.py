@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, linkgraph, minhash, quality, simhash, suffix_dedup
+from . import decontaminate, huffman, linkgraph, lm_score, minhash, quality, simhash, suffix_dedup
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -29,6 +29,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(hits)
 
 
+@query
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_pages(
