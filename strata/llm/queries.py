@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, linkgraph, lm_score, minhash, quality, simhash, suffix_dedup
+from . import chat, decontaminate, huffman, linkgraph, lm_score, minhash, mixing, quality, simhash, suffix_dedup
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -23,6 +23,11 @@ def query(fn):
     return fn
 
 
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.parse_transcripts(chat.as_transcript(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -34,6 +39,11 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_pages(
