@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_width, stage, table  # noqa: F401
+from .common import shuffle_width
 from .decontaminate import words
 
 BITS = 128
@@ -120,7 +120,8 @@ def _ordered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = base.withColumn("bucket", bucket.cast("int"))
     heads = sorted(tuple(r) for r in rows.groupBy("bucket").agg(F.max("doc_id")).collect())  # a row per bucket
     into = [(b, i, heads[k - 1][0]) for k, (b, i) in enumerate(heads)]
-    wanted = spark.createDataFrame(into, "b int, head bigint, into int")
+    # A row per bucket, so the documents need no shuffle to find their heads.
+    wanted = F.broadcast(spark.createDataFrame(into, "b int, head bigint, into int"))
     firsts = rows.join(wanted, (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("head")))
     sentinels = firsts.groupBy("into").agg(F.min(F.struct("text", "doc_id")).alias("s")).select(
         "s.doc_id", "s.text", F.col("into").alias("bucket"), F.lit(True).alias("sentinel")
