@@ -95,8 +95,6 @@ def find_hits(
         F.lit(None).cast("string").alias("item"),
     )
     probe = windows.unionByName(markers)
-    if n_windows <= BROADCAST_WINDOWS:
-        probe = F.broadcast(probe)
 
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     base = base.withColumn("text_hash", F.xxhash64("text"))
@@ -115,9 +113,17 @@ def find_hits(
     # The outer form: Spark would push a copy of ``found`` as a not-empty filter
     # below everything else, and compute it twice.  It is never empty.
     rows = tokens.select("doc_id", "text_hash", "n_words", "ws", F.inline_outer("found"))
-    hits = rows.join(probe, ["key", "size"]).where(
-        (F.col("size") == 0) | (F.expr("slice(ws, pos + 1, size)") == F.col("window"))
-    )
+    right = F.expr("slice(ws, pos + 1, size)") == F.col("window")
+    if n_windows <= BROADCAST_WINDOWS:
+        hits = rows.join(F.broadcast(probe), ["key", "size"]).where((F.col("size") == 0) | right).drop("ws", "window")
+    else:
+        # The join shuffles: rows go without the document's words, matches are verified after it.
+        found = rows.drop("ws").join(probe, ["key", "size"])
+        whole = tokens.select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_"), "ws")
+        same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_hash") == F.col("hash_"))
+        hits = found.where("size = 0").drop("window").unionByName(
+            found.where("size > 0").join(whole, same).where(right).drop("ws", "window", "id_", "hash_")
+        )
     # Rows equal in id and text share a group; the marker count restores them.
     per_doc = hits.groupBy("doc_id", "text_hash", "n_words").agg(
         F.sum(F.when(F.col("size") == 0, 1).otherwise(0)).alias("copies"),

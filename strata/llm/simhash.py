@@ -28,7 +28,7 @@ RADIUS = 3
 
 def term_weight(term: Column) -> Column:
     short = F.least(F.length(term), F.lit(MAX_LEN)) - 1
-    return F.coalesce((short * short).cast("long"), F.lit(0).cast("long"))
+    return F.when(term.isNotNull(), (short * short).cast("long")).otherwise(F.lit(0).cast("long"))
 
 
 def _half_hex(half: int) -> Column:
