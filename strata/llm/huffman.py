@@ -1,7 +1,7 @@
 """Token-id output: canonical length-limited Huffman coding in independent blocks.
 
 Texts are tokenised in ascending ``doc_id`` order (null ids first, ties by
-text), every document ends with ``end_id``.  Code lengths come from the counts
+a hash of the text), every document ends with ``end_id``.  Code lengths come from the counts
 of all ids, at most ``MAX_BITS`` bits, and the canonical code follows from the
 lengths alone.  A file row is a block of whole documents: its bit string, a
 checkpoint (bit offset) every ``STRIDE`` ids, and the documents' ids and lengths.
@@ -16,6 +16,7 @@ once each.  An empty table writes no blocks.
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import new_scratch_path
-from .common import shuffle_width
+from .common import shuffle_width, stage
 
 END_ID = 2
 MAX_BITS = 16
@@ -41,40 +42,55 @@ BLOCK_SCHEMA = (
 # ---- tokenising ---------------------------------------------------------------
 
 class WordEncoder:
-    """Ids of whole texts, as uint32.  The vocabulary drops white space and never
-    joins across it, so texts are encoded word by word and words are kept."""
+    """Ids of whole texts (UTF-8 bytes).  The vocabulary lower-cases, drops white space and
+    never joins across it, so texts are encoded word by word and words are kept.
+    A full stop or comma after letters alone is a token of its own, so such words
+    are put together from two known ones."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.kind = id_kind(self.tokenizer.get_vocab_size())
+        self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.asarray(e.ids, dtype=self.kind).tobytes() for e in found]
 
-    def learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
+        known = self.known
+        new = [w for w in words if w not in known]
+        ending = [w for w in new if w[-1:] in b".," and len(w) > 1 and w[:-1].decode("utf-8", "replace").isalpha()]
+        plain = set(new).difference(ending)
+        plain.update(w for e in ending for w in (e[:-1], e[-1:]) if w not in known)
+        plain = list(plain)
+        for i in range(0, len(plain), 8192):
+            known.update(zip(plain[i : i + 8192], self._look_up(plain[i : i + 8192]), strict=True))
+        for e in ending:
+            known[e] = known[e[:-1]] + known[e[-1:]]
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text, as little-endian numbers of ``kind``."""
+        # Bytes split at ASCII white space alone; other kinds stay with the tokenizer.
+        # Special tokens are told by case, so texts that may hold one keep theirs.
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            self.known.update(zip(part, self._encode(part), strict=True))
-
-    def encode(self, text: str | None) -> np.ndarray:
-        # Only ASCII white space: other kinds stay with the tokenizer.
-        words = (text or "").translate(_BLANKS).split(" ")
-        self.learn({w for w in words if len(w) <= LONG_WORD})
-        known = self.known
-        try:
-            ids = b"".join([known[w] for w in words])
-        except KeyError:
-            ids = b"".join([known[w] if w in known else self._encode([w])[0] for w in words])
-        return np.frombuffer(ids, dtype="<u4")
+        flat = list(itertools.chain.from_iterable(split))
+        ids = list(map(self.known.get, flat))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if gaps:
+            self._learn({flat[i] for i in gaps if len(flat[i]) <= LONG_WORD})
+            for i in gaps:
+                w = flat[i]
+                ids[i] = self.known[w] if w in self.known else self._look_up([w])[0]
+        ends = [0, *itertools.accumulate(map(len, split))]
+        return [b"".join(ids[a:b]) for a, b in itertools.pairwise(ends)]
 
 
-_BLANKS = {ord(c): " " for c in "\t\n\r\f\v"}
+def id_kind(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 @functools.lru_cache(maxsize=2)
@@ -82,21 +98,36 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def count_ids(docs: DataFrame, path: str, text_col: str = "text", end_id: int = END_ID) -> DataFrame:
-    """``id, n`` over all texts, the end ids included."""
+def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+    """``doc_id, tie, ids``: every text's ids and the end id, staged, so that each text is
+    tokenised once.  ``tie`` orders rows of equal id."""
+
+    def run(batches):
+        enc = encoder(path)
+        end = np.asarray([end_id], enc.kind).tobytes()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                ids = [x + end for x in enc.encode(part.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
+
+    read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary"))
+    return stage(read.mapInArrow(run, "doc_id bigint, tie bigint, ids binary"), "token-ids")
+
+
+def count_ids(tokens: DataFrame, path: str) -> DataFrame:
+    """``id, n`` over all documents."""
 
     def counts(batches):
-        total = np.zeros(0, np.int64)
+        total, kind = np.zeros(0, np.int64), encoder(path).kind
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = np.append(encoder(path).encode(text), np.uint32(end_id))
-                more = np.bincount(ids, minlength=len(total))
-                more[: len(total)] += total
-                total = more
+            more = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(total))
+            more[: len(total)] += total
+            total = more
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": found.astype(np.int32), "n": total[found]})
 
-    return docs.select(text_col).mapInArrow(counts, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("ids").mapInArrow(counts, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # ---- the code -------------------------------------------------------------------
@@ -178,16 +209,16 @@ class Code:
 
 # ---- files ----------------------------------------------------------------------
 
-def write_blocks(docs: DataFrame, path: str, lengths: dict[int, int], to: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
-    """Encode ``docs`` in id order and write the blocks as a table at ``to``."""
-    spark = docs.sparkSession
+def write_blocks(tokens: DataFrame, path: str, lengths: dict[int, int], to: str) -> None:
+    """Encode what :func:`tokenise` made, in id order, and write the blocks as a table at ``to``."""
+    spark = tokens.sparkSession
     code = spark.sparkContext.broadcast(lengths)  # at most 2**MAX_BITS entries
 
     def encode(batches):
         from pyspark import TaskContext
 
         part, block = TaskContext.get().partitionId(), 0
-        table, enc = Code(code.value), encoder(path)
+        table, kind = Code(code.value), encoder(path).kind
         names, sizes, held, n = [], [], [], 0
 
         def close():
@@ -209,8 +240,8 @@ def write_blocks(docs: DataFrame, path: str, lengths: dict[int, int], to: str, i
             return row
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(enc.encode(text), np.uint32(end_id))
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = np.frombuffer(raw, kind)
                 if n and n + len(ids) > BLOCK_IDS:
                     yield close()
                 names.append(doc_id)
@@ -220,13 +251,7 @@ def write_blocks(docs: DataFrame, path: str, lengths: dict[int, int], to: str, i
         if n:
             yield close()
 
-    ordered = (
-        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange(shuffle_width(spark), "doc_id", "tie")
-        .sortWithinPartitions("doc_id", "text")
-        .select("doc_id", "text")
-    )
+    ordered = tokens.repartitionByRange(shuffle_width(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
     ordered.mapInArrow(encode, BLOCK_SCHEMA).write.option("compression", "none").parquet(to)
 
 
@@ -270,11 +295,12 @@ def read_blocks(spark, at: str, lengths: dict[int, int]) -> DataFrame:
 def write_and_read(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """Encode ``docs`` to files in the shared folder and read the ids back."""
     spark = docs.sparkSession
+    tokens = tokenise(docs, path, id_col, text_col, end_id)
     # The tokenizer's vocabulary bounds this: at most 2**MAX_BITS rows.
-    counts = {r.id: r.n for r in count_ids(docs, path, text_col, end_id).collect()}
+    counts = {r.id: r.n for r in count_ids(tokens, path).collect()}
     to = new_scratch_path(spark, "token-blocks")
     lengths = code_lengths(counts) if counts else {}
-    write_blocks(docs, path, lengths, to, id_col, text_col, end_id)
+    write_blocks(tokens, path, lengths, to)
     return read_blocks(spark, to, lengths)
 
 
