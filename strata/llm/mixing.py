@@ -125,9 +125,9 @@ class Mix:
         return F.when(col.isin(self.known[d]), col).otherwise(OTHER)
 
     def place(self, docs: DataFrame) -> DataFrame:
-        """``docs`` (as ``d``) with ``factor_`` and ``probability_`` of their cell."""
-        on = [self._fold(d, c) == F.col(f"{d}_") for d, c in zip(DIMS, _columns(docs, self.names), strict=True)]
-        return docs.alias("d").join(self.table, on)
+        """``docs`` (as ``d``) joined with their cell (as ``m``)."""
+        on = [self._fold(d, c) == F.col(f"m.{d}_") for d, c in zip(DIMS, _columns(docs, self.names), strict=True)]
+        return docs.alias("d").join(self.table.alias("m"), on)
 
 
 def draw(id_col: Column, text: Column) -> Column:
@@ -148,8 +148,8 @@ def sample_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col(id_col).alias("doc_id"),
         *_columns(docs, names),
         n_tokens(text).alias("n_tokens"),
-        F.col("factor_").alias("factor"),
-        F.col("probability_").alias("probability"),
+        F.col("m.factor_").alias("factor"),
+        F.col("m.probability_").alias("probability"),
         u.alias("draw"),
     )
     kept = F.col("draw") < F.col("probability")
@@ -161,4 +161,4 @@ def sampled_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     names = names or _defaults(text_col)
     mix = Mix(docs, names, F.col(text_col), targets, share)
     u = draw(F.col(f"d.`{id_col}`"), F.col(f"d.`{text_col}`"))
-    return mix.place(docs).where(u < F.col("probability_")).select("d.*")
+    return mix.place(docs).where(u < F.col("m.probability_")).select("d.*")
