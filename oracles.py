@@ -112,11 +112,16 @@ MODEL_CTES = {
 
 
 def money_sum(c: str) -> str:
-    return f"cast(sum(cast({c} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"cast(sum(cast({c} AS DECIMAL(28,10))) AS DOUBLE)"
 
 
 def money_avg(c: str) -> str:
-    return f"cast(sum(cast({c} AS DECIMAL(18,2))) AS DOUBLE) / nullif(count({c}), 0)"
+    return f"cast(sum(cast({c} AS DECIMAL(28,10))) AS DOUBLE) / nullif(count({c}), 0)"
+
+
+def mean(c: str) -> str:
+    """Mean of averages, which have endless decimals: added up to eight of them."""
+    return f"cast(sum(cast({c} AS DECIMAL(28,8))) AS DOUBLE) / nullif(count({c}), 0)"
 
 
 MARTS = {
@@ -168,7 +173,7 @@ def _ms(c: str) -> str:
 
 TOP_STORES = f"""
     SELECT store_id, store_name, store_type, {money_sum('total_revenue')} AS total_revenue,
-           cast(sum(order_count) AS BIGINT) AS order_count, round(avg(avg_order_value), 6) AS avg_order_value
+           cast(sum(order_count) AS BIGINT) AS order_count, {mean('avg_order_value')} AS avg_order_value
     FROM gold_sales_by_store GROUP BY store_id, store_name, store_type
     ORDER BY total_revenue DESC NULLS FIRST, store_id ASC NULLS FIRST LIMIT 15"""
 SEGMENTS_SQL = f"""
@@ -178,7 +183,7 @@ SEGMENTS_SQL = f"""
 CATEGORIES_SQL = f"""
     SELECT category, {money_sum('total_revenue')} AS total_revenue,
            cast(sum(total_quantity) AS BIGINT) AS total_quantity,
-           cast(sum(order_count) AS BIGINT) AS order_count, round(avg(avg_discount), 6) AS avg_discount
+           cast(sum(order_count) AS BIGINT) AS order_count, {mean('avg_discount')} AS avg_discount
     FROM gold_category_performance WHERE category IS NOT NULL GROUP BY category"""
 REGIONS_SQL = f"""
     SELECT region, {money_sum('total_revenue')} AS total_revenue,
@@ -294,7 +299,7 @@ ORACLES: dict[str, str] = {
     "report_kpis": with_model(f"""
         SELECT (SELECT {money_sum('total_revenue')} FROM gold_daily_trend) AS total_revenue,
                (SELECT cast(sum(order_count) AS BIGINT) FROM gold_daily_trend) AS total_orders,
-               (SELECT round(avg(avg_order_value), 6) FROM gold_daily_trend) AS avg_order_value,
+               (SELECT {mean('avg_order_value')} FROM gold_daily_trend) AS avg_order_value,
                (SELECT cast(sum(unique_customers) AS BIGINT) FROM gold_regional_sales) AS unique_customers"""),
     "kpis_exact": with_model(f"""
         SELECT {money_sum('total_amount')} AS total_revenue, count(order_id) AS total_orders,
@@ -320,14 +325,14 @@ ORACLES: dict[str, str] = {
     "report_region_segment_matrix": with_model(
         "SELECT region, "
         + ", ".join(
-            f"coalesce(cast(sum(cast(total_revenue AS DECIMAL(18,2))) FILTER (WHERE segment = '{v}') AS DOUBLE), 0) AS \"{v}\""
+            f"coalesce(cast(sum(cast(total_revenue AS DECIMAL(28,10))) FILTER (WHERE segment = '{v}') AS DOUBLE), 0) AS \"{v}\""
             for v in SEGMENT_VALUES)
         + " FROM gold_regional_sales WHERE region IS NOT NULL GROUP BY region"),
     "report_leaders": with_reports(
         _leader("segment", "seg", "segment") + " UNION ALL " + _leader("category", "cats", "category")
         + " UNION ALL " + _leader("region", "regs", "region")),
     "report_revenue_share": with_reports(
-        "SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY dimension) AS DOUBLE) AS share FROM ("
+        "SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(28,10))) OVER (PARTITION BY dimension) AS DOUBLE) AS share FROM ("
         + _share("category", "cats", "category") + " UNION ALL " + _share("store_type", "store_types", "store_type")
         + " UNION ALL " + _share("channel", "chans", "channel") + ")"),
     # operators over defect-injected inputs
@@ -368,6 +373,25 @@ ORACLES: dict[str, str] = {
                 "(SELECT order_id, total_amount, status, ingestion_date FROM orders_versions)", "order_id",
                 "ingestion_date DESC NULLS LAST, " + _nf("total_amount, status")) + """) v ON i.order_id = v.order_id""",
     }.items()},
+    "category_performance_fine": with_model(f"""
+        SELECT category, channel, status, {money_sum('line_total')} AS total_revenue,
+               cast(sum(quantity) AS BIGINT) AS total_quantity, count(DISTINCT order_id) AS order_count,
+               {money_avg('(discount + quantity / 1000)')} AS avg_discount, {money_avg('unit_price')} AS avg_unit_price
+        FROM items_enriched GROUP BY category, channel, status"""),
+    "sql_text_metrics": with_model("""
+        SELECT region, max(total_amount) AS largest, max(total_amount) - min(total_amount) AS spread,
+               count(DISTINCT customer_id) AS customers, count(*) FILTER (WHERE upper(channel) = '1-URGENT') AS urgent
+        FROM orders_enriched GROUP BY region"""),
+    "segment_matrix_all": with_model(
+        "SELECT region, "
+        + ", ".join(
+            f"coalesce(cast(sum(cast(total_amount AS DECIMAL(28,10))) FILTER (WHERE seg = '{v}') AS DOUBLE), 0) AS \"{v}\""
+            for v in [*SEGMENT_VALUES, "CONSUMER"])
+        + " FROM (SELECT *, CASE WHEN cast(order_id AS BIGINT) % 7 = 0 THEN 'CONSUMER' ELSE segment END AS seg FROM orders_enriched)"
+        + " WHERE region IS NOT NULL GROUP BY region"),
+    "null_policy_warn": with_model(
+        "SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, o_totalprice FROM orders_nullcust",
+        DEFECT_CTES),
     # storage round-trips, partitioned overwrite, upserts, date-addressed scans
     "csv_roundtrip": with_model("SELECT * FROM orders_enriched"),
     "json_roundtrip": with_model("SELECT * FROM orders_enriched"),
@@ -381,6 +405,17 @@ ORACLES: dict[str, str] = {
     "upsert_first_write": with_model("SELECT * FROM orders_bronze"),
     "upsert": with_model(LATEST_VERSIONS, DEFECT_CTES),
     "upsert_rerun": with_model(LATEST_VERSIONS, DEFECT_CTES),
+    "upsert_null_keys": with_model(f"""
+        SELECT * FROM ({LATEST_VERSIONS}) WHERE cast(order_id AS BIGINT) % 3 <> 0
+        UNION ALL SELECT * REPLACE (NULL AS order_id) FROM orders_versions WHERE cast(order_id AS BIGINT) % 3 = 0""", DEFECT_CTES),
+    "keyed_append_overwrite": with_model("SELECT * FROM orders_versions", DEFECT_CTES),
+    "pipeline_fanout_lookup": with_model("SELECT *, 1 AS rank FROM orders_bronze"),
+    "pipeline_post_join_clean": with_model("""
+        SELECT o.*, lower(c.c_name) AS name FROM orders_bronze o JOIN customer c ON o.customer_id = cast(c.c_custkey AS VARCHAR)
+        WHERE c.c_custkey % 5 <> 0"""),
+    "backfill_older_day": with_model(LATEST_VERSIONS, DEFECT_CTES),
+    "bronze_new_column": with_model(f"""SELECT *, CASE WHEN ingestion_date = {LATER_INGESTION_SQL} THEN concat('n', order_id) END AS note
+        FROM ({LATEST_VERSIONS})""", DEFECT_CTES),
     "upsert_evolve": with_model(f"""SELECT *, CASE WHEN ingestion_date = {LATER_INGESTION_SQL}
         THEN cast(substring(channel, 1, 1) AS INTEGER) END AS priority_rank FROM ({LATEST_VERSIONS})""", DEFECT_CTES),
     # two-day pipeline run
@@ -393,13 +428,13 @@ ORACLES: dict[str, str] = {
     "ledger_after_runs": with_model(LEDGER_SQL, RUN_CTES),
     "skip_rule": with_model(LEDGER_SQL, RUN_CTES),
     # streaming (availableNow + foreachBatch upsert)
-    "stream_events_upsert": """
+    **dict.fromkeys(("stream_events_upsert", "stream_late_version"), """
         SELECT event_id, ts, user_id, event_type,
                CASE WHEN cast(ts AS DATE) <= DATE '2024-01-15' AND event_id % 10 = 0 THEN value * 2 ELSE value END AS value,
                props,
                CASE WHEN cast(ts AS DATE) <= DATE '2024-01-15' AND event_id % 10 <> 0 THEN DATE '2024-01-16'
                     ELSE DATE '2024-01-31' END AS ingestion_date
-        FROM events""",
+        FROM events"""),
     # dashboard detail tables (column subset + captions)
     "report_store_detail": with_reports(
         'SELECT store_name AS "Store", store_type AS "Type", total_revenue AS "Revenue", order_count AS "Orders" FROM top_stores'),

@@ -1,8 +1,10 @@
-"""Exact money arithmetic as built-in Column expressions.
+"""Exact sums and means as built-in Column expressions.
 
 Double sums depend on the order rows arrive in, which differs between runs,
-executors and engines.  Amounts with a fixed number of decimals are summed as
-decimals (exact, order-free) and only the final value becomes a double.
+executors and engines.  Amounts are summed as decimals (exact, order-free) and
+only the final value becomes a double.  The number of decimals is a declared
+part of a metric (``SCALE`` unless given); digits beyond it are rounded.  A NaN
+among the inputs makes the result NaN, as in Spark's own ``sum`` and ``avg``.
 """
 
 from __future__ import annotations
@@ -10,35 +12,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Precision of a single stored amount; the sum widens it by 10 digits.
-AMOUNT_PRECISION = 18
+SCALE = 8  # decimals kept of every input
+PRECISION = 28  # of one input; a sum widens it by 10 digits
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def as_amount(c: str | Column, scale: int = 2) -> Column:
-    return _col(c).cast(f"decimal({AMOUNT_PRECISION},{scale})")
+def as_amount(c: str | Column, scale: int = SCALE) -> Column:
+    return _col(c).try_cast(f"decimal({PRECISION},{scale})")
 
 
-def money_sum(c: str | Column, scale: int = 2) -> Column:
-    """Exact ``sum`` of an amount with ``scale`` decimals, returned as double."""
-    return F.sum(as_amount(c, scale)).cast("double")
+def _or_nan(c: Column, result: Column) -> Column:
+    return F.when(F.max(F.isnan(c.try_cast("double"))), F.lit(float("nan"))).otherwise(result)
 
 
-def money_avg(c: str | Column, scale: int = 2) -> Column:
+def money_sum(c: str | Column, scale: int = SCALE) -> Column:
+    """Exact ``sum`` as double."""
+    return _or_nan(_col(c), F.sum(as_amount(c, scale)).cast("double"))
+
+
+def money_avg(c: str | Column, scale: int = SCALE) -> Column:
     """``avg`` ignoring nulls, computed from the exact sum; null for no values."""
-    return F.try_divide(F.sum(as_amount(c, scale)).cast("double"), F.count(_col(c)))
+    return _or_nan(_col(c), F.try_divide(F.sum(as_amount(c, scale)).cast("double"), F.count(_col(c))))
 
 
 def long_sum(c: str | Column) -> Column:
     return F.sum(_col(c).cast("long"))
 
 
-def line_amount(quantity: str | Column, unit_price: str | Column, discount: str | Column) -> Column:
-    """``round(quantity * unit_price * (1 - discount), 2)`` in decimal, HALF_UP."""
-    q = _col(quantity).cast("decimal(12,2)")
-    p = _col(unit_price).cast("decimal(12,2)")
-    d = _col(discount).cast("decimal(4,2)")
-    return F.round(q * p * (F.lit(1).cast("decimal(1,0)") - d), 2).cast("double")
+def line_amount(quantity: str | Column, unit_price: str | Column, discount: str | Column, digits: int = 2) -> Column:
+    """``round(quantity * unit_price * (1 - discount), digits)`` in decimal, HALF_UP.
+    The factors keep six decimals, so only the amount itself is rounded."""
+    q = _col(quantity).cast("decimal(14,6)")
+    p = _col(unit_price).cast("decimal(14,6)")
+    d = _col(discount).cast("decimal(8,6)")
+    return F.round(q * p * (F.lit(1).cast("decimal(1,0)") - d), digits).cast("double")

@@ -13,7 +13,7 @@ from .cleaning import (
     register_transform,
     standardize_strings,
 )
-from .joins import enrich, join_using
+from .joins import join_using
 from .schema import ColumnSpec, enforce_schema, missing_columns, null_violations
 from .upsert import upsert_frames
 
@@ -25,7 +25,6 @@ __all__ = [
     "cast_types",
     "drop_duplicates",
     "enforce_schema",
-    "enrich",
     "filter_nulls",
     "get_transform",
     "join_using",

@@ -1,41 +1,20 @@
-"""Named aggregations: ``group by`` plus metrics given as SQL text or Columns."""
+"""``group by`` plus metric Columns, and the pivot."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Metric = tuple[str, "str | Column"]
-
-
-def metric_column(name: str, expr: str | Column) -> Column:
-    return (F.expr(expr) if isinstance(expr, str) else expr).alias(name)
-
-
-def parse_metrics(metrics: Sequence[Metric] | Sequence[Mapping] | Mapping[str, str | Column]) -> list[Column]:
-    if isinstance(metrics, Mapping):
-        return [metric_column(n, e) for n, e in metrics.items()]
-    out = []
-    for m in metrics:
-        if isinstance(m, Column):
-            out.append(m)
-        elif isinstance(m, Mapping):
-            out.append(metric_column(m["name"], m["expr"]))
-        else:
-            out.append(metric_column(*m))
-    return out
-
-
-def aggregate(df: DataFrame, group_by: Sequence[str], metrics) -> DataFrame:
+def aggregate(df: DataFrame, group_by: Sequence[str], metrics: Sequence[Column]) -> DataFrame:
     """``groupBy(*group_by).agg(*metrics)``; null group keys form a group.
 
     Sums, counts and averages aggregate partially before the shuffle;
     ``count(distinct)`` is expanded by Catalyst into a two-level aggregate
     keyed by (group, value), so a hot group is spread over its values.
     """
-    cols = parse_metrics(metrics)
+    cols = list(metrics)
     if not cols:
         raise ValueError("aggregate needs at least one metric")
     if not group_by:

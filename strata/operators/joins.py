@@ -1,4 +1,4 @@
-"""Equi-joins with ``USING`` semantics and star enrichment.
+"""Equi-joins with ``USING`` semantics.
 
 No join here carries a broadcast hint: the planner broadcasts a side only
 when its size (estimated, or measured at runtime by AQE) is under
@@ -8,13 +8,14 @@ sort-merge joined, with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+#: Spark's spellings of the join types, without underscores.
 JOIN_TYPES = {
-    "inner", "left", "left_outer", "right", "right_outer", "full", "full_outer", "outer",
-    "left_semi", "semi", "left_anti", "anti", "cross",
+    "inner", "left", "leftouter", "right", "rightouter", "full", "fullouter", "outer",
+    "leftsemi", "semi", "leftanti", "anti",
 }
 
 
@@ -29,11 +30,11 @@ def join_using(
     columns, then the right columns.
 
     ``select`` restricts the right side (the key is added if absent), which
-    also prunes the right scan.  Right columns that clash with left ones are
-    dropped from the right so later references stay unambiguous.
+    also prunes the right scan.  A selected right column that the left side has
+    too is an error; without ``select``, such columns stay with the left side.
     """
     how = how.lower()
-    if how not in JOIN_TYPES or how == "cross":
+    if how.replace("_", "") not in JOIN_TYPES:
         raise ValueError(f"Unsupported join type '{how}'")
     keys = [on] if isinstance(on, str) else list(on)
     if select:
@@ -43,17 +44,8 @@ def join_using(
                 cols.insert(0, k)
         right = right.select(*cols)
     clashes = [c for c in right.columns if c in left.columns and c not in keys]
+    if clashes and select:
+        raise ValueError(f"selected column(s) {clashes} exist on the left side too")
     if clashes:
         right = right.drop(*clashes)
     return left.join(right, keys, how)
-
-
-def enrich(df: DataFrame, lookups: Sequence[Mapping], sides: Mapping[str, DataFrame]) -> DataFrame:
-    """Chain of joins in list order (star enrichment).
-
-    ``lookups`` are ``{source, on, type?, select?}`` where ``source`` names a
-    DataFrame in ``sides``.
-    """
-    for j in lookups:
-        df = join_using(df, sides[j["source"]], j["on"], j.get("type", "left"), j.get("select"))
-    return df

@@ -6,8 +6,9 @@ with ``try_cast`` and checks ``nullable=False`` columns:
 
 * ``warn``: the null counts ride along the next action as an
   ``Observation`` (no extra job); they are logged when read.
-* ``fail``: one aggregate job computes all counts before anything is
-  written and raises ``ValueError`` on a violation.
+* ``fail``: a violation raises ``ValueError`` before anything is published.  By
+  default one aggregate job counts first; with ``defer`` the counts are observed
+  on the caller's own staging write and ``SchemaReport.check`` raises.
 """
 
 from __future__ import annotations
@@ -90,13 +91,19 @@ class SchemaReport:
 
     def log(self) -> None:
         for c, n in self.violations().items():
-            log.warning("DQ: column '%s' has %d null(s) but nullable=false", c, n)
+            log.warning("%d row(s) break NOT NULL on %s", n, c)
+
+    def check(self) -> None:
+        """Raise if a declared non-nullable column holds nulls."""
+        for c, n in self.violations().items():
+            raise ValueError(f"DQ: column '{c}' has {n} null(s), declared NOT NULL")
 
 
 def enforce_schema(
     df: DataFrame,
     schema: Iterable,
     on_null_violation: str = "warn",
+    defer: bool = False,
 ) -> tuple[DataFrame, SchemaReport]:
     """Project to the declared columns (in order), cast, and check nulls."""
     if on_null_violation not in ("warn", "fail"):
@@ -105,7 +112,7 @@ def enforce_schema(
     missing = missing_columns(df, spec)
     required_missing = [c.name for c in spec if c.name in missing and not c.nullable]
     if missing:
-        log.warning("Schema columns not found in dataframe (will be skipped): %s", missing)
+        log.warning("declared but absent, left out: %s", ", ".join(missing))
     if required_missing and on_null_violation == "fail":
         raise ValueError(f"DQ: non-nullable column(s) missing: {required_missing}")
 
@@ -115,13 +122,9 @@ def enforce_schema(
     if not checked:
         return projected, SchemaReport(missing, [], None, {})
 
-    if on_null_violation == "fail":
-        counts = null_counts(projected, checked).first().asDict()
-        report = SchemaReport(missing, checked, None, counts)
-        bad = report.violations()
-        if bad:
-            c, n = next(iter(bad.items()))
-            raise ValueError(f"DQ: column '{c}' has {n} null(s) but nullable=false")
+    if on_null_violation == "fail" and not defer:
+        report = SchemaReport(missing, checked, None, null_counts(projected, checked).first().asDict())
+        report.check()
         return projected, report
 
     obs = Observation()

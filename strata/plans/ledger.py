@@ -4,8 +4,8 @@ Stored as an append-only log of run records (one small Parquet file per
 record, a single write job); the ledger's state is the newest record per
 dataset, i.e. an upsert on ``dataset_name`` as seen by readers, plus the
 history for free.  State is read once per layer (``snapshot``); it has one
-row per dataset, the only thing the runner collects to the driver.
-``compact`` rewrites the log as its current state.
+row per dataset, the only thing the runner collects to the driver.  The log is
+never rewritten: a run adds one small file per layer.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.cleaning import keep_first_per_key
 
@@ -28,7 +29,6 @@ LEDGER_SCHEMA = (
 )
 SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
 _SEQ = "record_seq"
-COMPACT_AFTER_FILES = 512
 _LOG_SCHEMA = f"{LEDGER_SCHEMA}, {_SEQ} long"
 
 
@@ -52,11 +52,19 @@ class RunLedger:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         return keep_first_per_key(records, ["dataset_name"], [(_SEQ, "desc")]).drop(_SEQ)
 
+    def _bounds(self) -> DataFrame:
+        """Latest date each dataset was ever processed for with success."""
+        records = self._log().where(F.col("status") == SUCCESS)
+        return records.groupBy("dataset_name").agg(F.max("last_processed_date").alias("latest_success"))
+
     def snapshot(self) -> dict[str, dict]:
         """``dataset_name -> last run`` (one row per dataset); an unreadable
         ledger means "nothing ran"."""
         try:
-            return {r["dataset_name"]: r.asDict() for r in self.frame().collect()}
+            if self._log() is None:
+                return {}
+            state = self.frame().join(self._bounds(), "dataset_name", "left")
+            return {r["dataset_name"]: r.asDict() for r in state.collect()}
         except Exception as exc:  # noqa: BLE001 - any error means "never ran"
             log.warning("ledger unreadable (%s): treating every dataset as never run", exc)
             return {}
@@ -87,23 +95,6 @@ class RunLedger:
     def record(self, dataset: str, layer: str, rows: int, run_date: date, status: str) -> bool:
         return self.record_many([self.entry(dataset, layer, rows, run_date, status)])
 
-    def compact(self) -> None:
-        """Rewrite the log as one file holding the current state (one row per
-        dataset, collected first, so the write never reads what it replaces).
-        A crash between delete and write empties the ledger: the next run
-        then reprocesses everything, which every layer tolerates."""
-        rows = [(*r.values(), i) for i, r in enumerate(self.snapshot().values())]
-        self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(self.path)
-
-    def compact_if_larger(self, max_files: int = COMPACT_AFTER_FILES) -> bool:
-        """Compact once the log holds more than ``max_files`` files (counted
-        from the driver-side file listing, no job)."""
-        records = self._log()
-        if records is None or len(records.inputFiles()) <= max_files:
-            return False
-        self.compact()
-        return True
-
 
 def should_skip(state: dict[str, dict], dataset: str, run_date: date) -> bool:
     """Skip a dataset already processed successfully for this run date."""
@@ -112,9 +103,10 @@ def should_skip(state: dict[str, dict], dataset: str, run_date: date) -> bool:
 
 
 def incremental_bound(state: dict[str, dict], dataset: str) -> date | None:
-    """Lower bound for an incremental read: the date of the last *successful*
-    run.  A skipped or failed last run clears it (full read)."""
+    """Lower bound for an incremental read: the latest date processed with success.
+    A backfill of an older date doesn't move it back.  A skipped or failed last run
+    clears it (full read)."""
     last = state.get(dataset)
     if last and last["status"] == SUCCESS:
-        return last["last_processed_date"]
+        return max(d for d in (last.get("latest_success"), last["last_processed_date"]) if d is not None)
     return None

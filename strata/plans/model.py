@@ -1,8 +1,8 @@
-"""Lazy bronze/silver/gold frames of the retail model over driver tables.
+"""Bronze/silver/gold frames of the retail model over driver tables.
 
-Nothing is written: each layer is a DataFrame built on the previous one, so a
-gold mart is one plan from the Parquet scans to the final aggregate and
-Catalyst prunes every column the mart does not need.
+``RetailModel`` writes nothing: each layer is a DataFrame built on the previous
+one.  ``StoredModel`` writes its silver tables and marts once, which is what marts
+and reports should read: whatever else went into a silver table is behind them.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import add_ingestion_date
+from ..session import new_scratch_path
 from ..sources.retail import raw_dataset
 from .marts import build_named_mart
 from .retail_model import DEFAULT_RUN_DATE, GOLD_MARTS, SILVER_JOBS
@@ -26,6 +27,7 @@ class RetailModel:
         self.sf_dir = sf_dir
         self.run_date = run_date
         self._silver: dict[str, DataFrame] = {}
+        self._marts: dict[str, DataFrame] = {}
 
     def raw(self, dataset: str) -> DataFrame:
         return raw_dataset(self.spark, self.sf_dir, dataset)
@@ -49,5 +51,43 @@ class RetailModel:
         return self._silver[dataset]
 
     def gold(self, mart: str) -> DataFrame:
-        name = mart if mart.startswith("gold_") else f"gold_{mart}"
+        name = _mart_name(mart)
         return build_named_mart(name, self.silver(GOLD_MARTS[name]["source"]))
+
+
+def _mart_name(mart: str) -> str:
+    return mart if mart.startswith("gold_") else f"gold_{mart}"
+
+
+class StoredModel(RetailModel):
+    """The model with its silver tables and marts written once under the shared scratch
+    folder: a mart scans just the columns it needs of one silver table, a report
+    reads marts."""
+
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        path = new_scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def silver(self, dataset: str) -> DataFrame:
+        dataset = _TARGET_TO_JOB.get(dataset, dataset)
+        if dataset not in self._silver:
+            self._silver[dataset] = self._store(f"silver-{dataset}", super().silver(dataset))
+        return self._silver[dataset]
+
+    def mart(self, mart: str) -> DataFrame:
+        name = _mart_name(mart)
+        if name not in self._marts:
+            self._marts[name] = self._store(name, self.gold(name))
+        return self._marts[name]
+
+
+_STORED: dict[tuple[str, str], StoredModel] = {}
+
+
+def stored_model(spark: SparkSession, sf_dir: str) -> StoredModel:
+    """One stored model per Spark application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = StoredModel(spark, sf_dir)
+    return _STORED[key]

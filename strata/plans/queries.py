@@ -13,7 +13,8 @@ from ..operators.schema import null_violations as _null_violations
 from ..sources import defects as D
 from ..sources.retail import order_items_raw, table
 from . import reports as R
-from .model import RetailModel
+from .marts import build_mart, build_named_mart
+from .model import RetailModel, stored_model
 from .registry import REGISTRY, register
 from .retail_model import DEFAULT_RUN_DATE, SILVER_JOBS
 from .silver import build_silver
@@ -56,32 +57,54 @@ def order_items_enriched(spark, sf_dir):
 
 @register()
 def regional_sales(spark, sf_dir):
-    return model(spark, sf_dir).gold("regional_sales")
+    return stored_model(spark, sf_dir).gold("regional_sales")
 
 
 @register()
 def sales_by_store(spark, sf_dir):
-    return model(spark, sf_dir).gold("sales_by_store")
+    return stored_model(spark, sf_dir).gold("sales_by_store")
 
 
 @register()
 def sales_by_customer(spark, sf_dir):
-    return model(spark, sf_dir).gold("sales_by_customer")
+    return stored_model(spark, sf_dir).gold("sales_by_customer")
 
 
 @register()
 def daily_trend(spark, sf_dir):
-    return model(spark, sf_dir).gold("daily_trend")
+    return stored_model(spark, sf_dir).gold("daily_trend")
 
 
 @register()
 def product_performance(spark, sf_dir):
-    return model(spark, sf_dir).gold("product_performance")
+    return stored_model(spark, sf_dir).gold("product_performance")
 
 
 @register()
 def category_performance(spark, sf_dir):
-    return model(spark, sf_dir).gold("category_performance")
+    return stored_model(spark, sf_dir).gold("category_performance")
+
+
+@register()
+def category_performance_fine(spark, sf_dir):
+    """The mart over discounts of three decimals."""
+    items = stored_model(spark, sf_dir).silver("retail_order_items")
+    return build_named_mart("gold_category_performance", items.withColumn("discount", F.col("discount") + F.col("quantity") / 1000))
+
+
+@register()
+def sql_text_metrics(spark, sf_dir):
+    """A mart whose metrics are SQL text, over a projected expression."""
+    spec = {
+        "group_by": ["region"],
+        "metrics": [
+            {"name": "largest", "expr": "max(total_amount)"},
+            {"name": "spread", "expr": "max(total_amount) - min(total_amount)"},
+            {"name": "customers", "expr": "count(distinct customer_id)"},
+            {"name": "urgent", "expr": "count_if(upper(channel) = '1-URGENT')"},
+        ],
+    }
+    return build_mart(spec, stored_model(spark, sf_dir).silver("retail_orders"))
 
 
 # ----------------------------------------------------------------- reports
@@ -89,106 +112,114 @@ def category_performance(spark, sf_dir):
 
 @register()
 def report_trend(spark, sf_dir):
-    return R.trend(model(spark, sf_dir).gold("daily_trend"))
+    return R.trend(stored_model(spark, sf_dir).mart("daily_trend"))
 
 
 @register()
 def report_kpis(spark, sf_dir):
-    m = model(spark, sf_dir)
-    return R.kpis(m.gold("daily_trend"), m.gold("regional_sales"))
+    m = stored_model(spark, sf_dir)
+    return R.kpis(m.mart("daily_trend"), m.mart("regional_sales"))
 
 
 @register()
 def kpis_exact(spark, sf_dir):
-    return R.kpis_exact(model(spark, sf_dir).silver("retail_orders"))
+    return R.kpis_exact(stored_model(spark, sf_dir).silver("retail_orders"))
 
 
 @register()
 def report_top_stores(spark, sf_dir):
-    return R.top_stores(model(spark, sf_dir).gold("sales_by_store"))
+    return R.top_stores(stored_model(spark, sf_dir).mart("sales_by_store"))
 
 
 @register()
 def report_store_type_split(spark, sf_dir):
-    return R.store_type_split(model(spark, sf_dir).gold("sales_by_store"))
+    return R.store_type_split(stored_model(spark, sf_dir).mart("sales_by_store"))
 
 
 @register()
 def report_top_customers(spark, sf_dir):
-    return R.top_customers(model(spark, sf_dir).gold("sales_by_customer"))
+    return R.top_customers(stored_model(spark, sf_dir).mart("sales_by_customer"))
 
 
 @register()
 def report_segments(spark, sf_dir):
-    return R.segments(model(spark, sf_dir).gold("sales_by_customer"))
+    return R.segments(stored_model(spark, sf_dir).mart("sales_by_customer"))
 
 
 @register()
 def report_avg_clv(spark, sf_dir):
-    return R.avg_clv(model(spark, sf_dir).gold("sales_by_customer"))
+    return R.avg_clv(stored_model(spark, sf_dir).mart("sales_by_customer"))
 
 
 @register()
 def report_top_products(spark, sf_dir):
-    return R.top_products(model(spark, sf_dir).gold("product_performance"))
+    return R.top_products(stored_model(spark, sf_dir).mart("product_performance"))
 
 
 @register()
 def report_categories(spark, sf_dir):
-    return R.categories(model(spark, sf_dir).gold("category_performance"))
+    return R.categories(stored_model(spark, sf_dir).mart("category_performance"))
 
 
 @register()
 def report_regions(spark, sf_dir):
-    return R.regions(model(spark, sf_dir).gold("regional_sales"))
+    return R.regions(stored_model(spark, sf_dir).mart("regional_sales"))
 
 
 @register()
 def regions_exact(spark, sf_dir):
-    return R.regions_exact(model(spark, sf_dir).silver("retail_orders"))
+    return R.regions_exact(stored_model(spark, sf_dir).silver("retail_orders"))
 
 
 @register()
 def report_channels(spark, sf_dir):
-    return R.channels(model(spark, sf_dir).gold("regional_sales"))
+    return R.channels(stored_model(spark, sf_dir).mart("regional_sales"))
 
 
 @register()
 def report_region_segment_matrix(spark, sf_dir):
-    return R.region_segment_matrix(model(spark, sf_dir).gold("regional_sales"))
+    return R.region_segment_matrix(stored_model(spark, sf_dir).mart("regional_sales"))
+
+
+@register()
+def segment_matrix_all(spark, sf_dir):
+    """The matrix where the data brings a segment of its own."""
+    orders = stored_model(spark, sf_dir).silver("retail_orders")
+    own = F.when(F.col("order_id").cast("long") % 7 == 0, F.lit("CONSUMER")).otherwise(F.col("segment"))
+    return R.region_segment_matrix(build_named_mart("gold_regional_sales", orders.withColumn("segment", own)))
 
 
 @register()
 def report_leaders(spark, sf_dir):
-    m = model(spark, sf_dir)
-    return R.leaders(m.gold("sales_by_customer"), m.gold("category_performance"), m.gold("regional_sales"))
+    m = stored_model(spark, sf_dir)
+    return R.leaders(m.mart("sales_by_customer"), m.mart("category_performance"), m.mart("regional_sales"))
 
 
 @register()
 def report_revenue_share(spark, sf_dir):
-    m = model(spark, sf_dir)
-    return R.revenue_share(m.gold("sales_by_store"), m.gold("category_performance"), m.gold("regional_sales"))
+    m = stored_model(spark, sf_dir)
+    return R.revenue_share(m.mart("sales_by_store"), m.mart("category_performance"), m.mart("regional_sales"))
 
 
 
 @register()
 def report_store_detail(spark, sf_dir):
-    return R.detail(R.top_stores(model(spark, sf_dir).gold("sales_by_store")), R.STORE_DETAIL)
+    return R.detail(R.top_stores(stored_model(spark, sf_dir).mart("sales_by_store")), R.STORE_DETAIL)
 
 
 @register()
 def report_segment_detail(spark, sf_dir):
-    return R.detail(R.segments(model(spark, sf_dir).gold("sales_by_customer")), R.SEGMENT_DETAIL)
+    return R.detail(R.segments(stored_model(spark, sf_dir).mart("sales_by_customer")), R.SEGMENT_DETAIL)
 
 
 @register()
 def report_product_detail(spark, sf_dir):
-    return R.detail(R.top_products(model(spark, sf_dir).gold("product_performance")), R.PRODUCT_DETAIL)
+    return R.detail(R.top_products(stored_model(spark, sf_dir).mart("product_performance")), R.PRODUCT_DETAIL)
 
 
 @register()
 def report_category_detail(spark, sf_dir):
-    return R.detail(R.categories(model(spark, sf_dir).gold("category_performance")), R.CATEGORY_DETAIL)
+    return R.detail(R.categories(stored_model(spark, sf_dir).mart("category_performance")), R.CATEGORY_DETAIL)
 
 # --------------------------------------------------------------- operators
 
@@ -272,6 +303,14 @@ def null_violations(spark, sf_dir):
     return _null_violations(D.orders_with_defects(spark, sf_dir), ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"])
 
 
+@register()
+def null_policy_warn(spark, sf_dir):
+    """``warn`` keeps every row, nulls in non-nullable columns included."""
+    declared = [("o_orderkey", "string", False), ("o_custkey", "string", False), ("o_totalprice", "double", False)]
+    df, _ = enforce_schema(D.orders_with_null_customers(spark, sf_dir), declared, "warn")
+    return df
+
+
 @register()
 def line_total(spark, sf_dir):
     return order_items_raw(spark, sf_dir).select(

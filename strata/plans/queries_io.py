@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_scratch_path
-from ..sinks.keyed_table import merge_into, read_keyed_table
+from ..sinks.keyed_table import merge_into, read_keyed_table, write_keyed_table
 from ..sinks.writers import write_spec
 from ..sources import defects as D
 from ..sources.paths import incremental, resolve_date_range, resolve_date_template
@@ -156,3 +156,23 @@ def upsert_evolve(spark, sf_dir):
     newer = _newer_versions(spark, sf_dir).withColumn("priority_rank", F.substring("channel", 1, 1).cast("int"))
     merge_into(newer, path, "order_id")
     return read_keyed_table(spark, path)
+
+
+@register()
+def upsert_null_keys(spark, sf_dir):
+    """A third of both sides without a key: those rows never match and are all kept."""
+    path = new_scratch_path(spark, "orders-keyed")
+    keyless = F.when(F.col("order_id").cast("long") % 3 == 0, F.lit(None)).otherwise(F.col("order_id"))
+    merge_into(_bronze_orders(spark, sf_dir).withColumn("order_id", keyless), path, "order_id", buckets=4)
+    merge_into(_newer_versions(spark, sf_dir).withColumn("order_id", keyless), path, "order_id")
+    return read_keyed_table(spark, path)
+
+
+@register()
+def keyed_append_overwrite(spark, sf_dir):
+    """Overwrite replaces the table, append adds rows of equal keys too."""
+    path = new_scratch_path(spark, "orders-keyed")
+    write_keyed_table(_newer_versions(spark, sf_dir), path, "order_id", buckets=4)
+    write_keyed_table(_bronze_orders(spark, sf_dir), path, "order_id", buckets=4)
+    write_keyed_table(_newer_versions(spark, sf_dir), path, "order_id", mode="append")
+    return read_keyed_table(spark, path)

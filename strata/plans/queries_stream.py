@@ -24,19 +24,31 @@ EVENTS_BRONZE = (
 )
 
 
-@register()
-def stream_events_upsert(spark, sf_dir):
+def _drops(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    day = F.col("ts").cast("date")
-    early = day <= F.lit(str(CUTOFF)).cast("date")
+    early = F.col("ts").cast("date") <= F.lit(str(CUTOFF)).cast("date")
     first = ev.filter(early).withColumn("ingestion_date", F.lit(str(FIRST_DROP)).cast("date"))
-    second = ev.filter(~early).unionByName(
-        ev.filter(early & (F.col("event_id") % CORRECTED_MOD == 0)).withColumn("value", F.col("value") * 2)
-    ).withColumn("ingestion_date", F.lit(str(SECOND_DROP)).cast("date"))
+    corrected = ev.filter(early & (F.col("event_id") % CORRECTED_MOD == 0)).withColumn("value", F.col("value") * 2)
+    second = ev.filter(~early).unionByName(corrected).withColumn("ingestion_date", F.lit(str(SECOND_DROP)).cast("date"))
+    return first, second
+
 
+def _streamed(spark, drops):
     root = new_scratch_path(spark, "events-stream")
     landing, target, checkpoint = f"{root}/landing", f"{root}/silver_events", f"{root}/_checkpoint"
-    for drop in (first, second):
+    for drop in drops:
         drop.write.mode("append").parquet(landing)
         upsert_stream(spark, landing, EVENTS_BRONZE, target, "event_id", checkpoint)
     return read_keyed_table(spark, target)
+
+
+@register()
+def stream_events_upsert(spark, sf_dir):
+    return _streamed(spark, _drops(spark, sf_dir))
+
+
+@register()
+def stream_late_version(spark, sf_dir):
+    """The drops in the wrong order: the first one's older versions arrive late and
+    replace nothing."""
+    return _streamed(spark, reversed(_drops(spark, sf_dir)))

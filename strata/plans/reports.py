@@ -19,24 +19,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import as_amount, long_sum, money_avg, money_sum
+from ..functions.money import long_sum, money_avg, money_sum
 from ..functions.shares import share_of_total
 from ..operators.aggregate import pivot_sum
 
 TOP_K = 15
-# Unweighted means of per-group averages (doubles) depend on summation order
-# in their last bits; reports round them to this many decimals so a figure is
-# the same in every run and engine (the dashboard shows at most 2).
-MEAN_DIGITS = 6
 
 
 def mean_of(c: str):
-    return F.round(F.avg(c), MEAN_DIGITS)
-
-
-# The market segments of the adapted data, the pivot columns of
-# the region x segment matrix.
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    """Unweighted mean of per-group averages, from their exact decimal sum: the same
+    in every run, whatever the order of the groups."""
+    return money_avg(c)
 
 
 def trend(daily: DataFrame) -> DataFrame:
@@ -182,13 +175,18 @@ def channels(regional: DataFrame) -> DataFrame:
     )
 
 
-def region_segment_matrix(regional: DataFrame, segment_values: Sequence[str] = SEGMENTS) -> DataFrame:
-    """Region x segment revenue; missing cells are 0.  Pivot values are given
-    explicitly (no discovery job, stable schema); null regions/segments are
-    not labels of the matrix."""
-    return pivot_sum(
-        regional, "region", "segment", list(segment_values), F.sum(as_amount("total_revenue")).cast("double")
-    )
+def region_segment_matrix(regional: DataFrame, segment_values: Sequence[str] | None = None) -> DataFrame:
+    """Region x segment revenue; missing cells are 0.  The columns are the segments
+    that the mart holds (it has a few hundred rows), or ``segment_values``, which
+    must name all of them.  Null regions and segments are not labels of the
+    matrix."""
+    found = [r[0] for r in regional.select("segment").where("segment IS NOT NULL").distinct().orderBy("segment").collect()]
+    if segment_values is not None:
+        unknown = sorted(set(found) - set(segment_values))
+        if unknown:
+            raise ValueError(f"segments outside the given columns: {unknown}")
+        found = list(segment_values)
+    return pivot_sum(regional, "region", "segment", found, money_sum("total_revenue"))
 
 
 def _leader(dim: str, table: DataFrame, name_col: str) -> DataFrame:

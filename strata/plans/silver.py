@@ -55,7 +55,7 @@ def build_silver(
     df = drop_duplicates(df, job["dedup_key"], order_by=version_order(df))
     df = apply_steps(df, job.get("transformations", []))
     for lookup in job.get("joins", []):
-        side = prepare_side(sides[lookup["source"]], lookup, df)
+        side = prepare_side(sides[lookup["source"]], lookup)  # a full load: every key is looked up
         df = join_using(df, side, lookup["on"], lookup.get("type", "left"), lookup.get("select"))
     declared = schema if schema is not None else SILVER_SCHEMAS[job["target"]]
     return enforce_schema(df, declared, on_null_violation or job.get("on_null_violation", "warn"))

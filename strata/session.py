@@ -66,16 +66,16 @@ def get_session(
     return spark
 
 
-def scale_shuffle_width(spark: SparkSession, per_core: int = 4) -> int:
-    """Give shuffles room to stay small: when the width is still Spark's
-    default (200), start at ``per_core`` partitions per core of the cluster.
-    AQE coalesces them to ~128 MB each, so the width only caps how large a
-    reducer can get (200 reducers over 100 TB would each spill hundreds of
-    GB)."""
-    if spark.conf.get("spark.sql.shuffle.partitions") != "200":
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(200, per_core * spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+def scale_shuffle_width(spark: SparkSession, per_core: int = 4, input_bytes: int | None = None) -> int:
+    """Width of shuffles where the user has set none: ``per_core`` partitions per core of
+    the cluster, and with ``input_bytes`` at least one per 128 MB of input, so that
+    reducers stay small however large the input is.  AQE coalesces what is too
+    fine."""
+    name = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.getConf().contains(name) or spark.conf.get(name) != "200":
+        return int(spark.conf.get(name))
+    width = max(200, per_core * spark.sparkContext.defaultParallelism, (input_bytes or 0) // (128 << 20))
+    spark.conf.set(name, str(width))
     return width
 
 

@@ -2,33 +2,33 @@
 
 Layout::
 
-    <path>/key_bucket=<b>/part-*.parquet   rows, partitioned by hash bucket of the key
-    <path>/_table/                         one JSON row: key columns, bucket count, schema
+    <path>/data/<version>/key_bucket=<b>/part-*.parquet   rows of bucket b, as of a version
+    <path>/_commits/<n>/                                  one JSON row per commit
+
+A commit names the key, the bucket count, the schema, and for every bucket the
+version folder that holds it and its rows.  The newest complete commit (its
+``_SUCCESS`` is there) *is* the table; nothing it points to is ever changed in
+place.  A merge writes new versions of the buckets it touches beside the old
+ones and then one commit, so a crash at any point leaves the table as it was,
+and a rerun of the batch finds it so.  Versions that no commit but the last two
+needs are deleted after a commit; a reader that began before a merge thus still
+finds its files until the merge after that.
 
 An upsert touches only the buckets its batch hashes to:
 
 1. the batch is staged once as Parquet under the shared scratch folder
-   (``spark.checkpoint.dir``): lineage is cut, lost executors re-read the
-   staged files instead of recomputing the upstream joins;
-2. the touched bucket ids -- at most the bucket count, a table constant --
-   are collected (the batch's row count rides on the staging write);
-3. only those buckets of the target are read (``PartitionFilters``), merged
-   with the batch by ``upsert_frames`` and written back with a dynamic
-   partition overwrite.  Both sides are hash-partitioned by (bucket, split)
-   -- ``split`` a second hash of the key that cuts a large bucket into
-   ~``ROWS_PER_TASK`` slices -- and the join uses that partitioning as is,
-   so the merge costs one shuffle per side and each task writes whole
-   (bucket, split) slices (a few files per bucket, never tasks x buckets).
-
-The table's metadata keeps its key, bucket count, schema and row count (kept
-current by the merges' observed counts).
-
-Spark's dynamic overwrite replaces bucket directories one by one at commit, so
-a driver crash during the commit can leave some buckets old and some new; the
-upsert is idempotent by key, so rerunning the same batch repairs it.
-
-If a batch adds or retypes columns, every bucket is rewritten so all files
-share one schema (reads never need ``mergeSchema``).
+   (``spark.checkpoint.dir``), so lost executors re-read files instead of
+   recomputing the upstream joins; it is deleted after the commit;
+2. the touched bucket ids -- at most the bucket count -- are collected;
+3. those buckets are read, merged by ``upsert_frames`` and written.  Both sides
+   are hash-partitioned by (bucket, split) -- ``split`` a second hash that cuts a
+   large bucket into slices -- and the join uses that partitioning as is: one
+   scan and one shuffle per side.
+
+Rows with a null key never match; they live in the bucket of their row's hash,
+so they are spread over all buckets.  When a table outgrows its buckets fourfold
+the next merge rewrites it with as many as it needs now; so each row is moved a
+bounded number of times as the table grows, and merge tasks stay bounded.
 """
 
 from __future__ import annotations
@@ -36,101 +36,159 @@ from __future__ import annotations
 import json
 import logging
 import math
+import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.upsert import duplicate_keys, upsert_frames
+from ..operators.upsert import any_null, duplicate_keys, spread, upsert_frames
 from ..session import new_scratch_path
 
 log = logging.getLogger(__name__)
 
 BUCKET = "key_bucket"
 SPLIT = "key_split"
-META = "_table"
-# Bucket sizing: one bucket per ROWS_PER_BUCKET rows of the first batch,
-# capped at MAX_BUCKETS.  A table that outgrows its buckets is merged with
-# each bucket split over ceil(rows per bucket / ROWS_PER_TASK) tasks (a
-# second, independent hash of the key), so merge tasks stay bounded.
+COMMITS, DATA = "_commits", "data"
 ROWS_PER_BUCKET = 4_000_000
 ROWS_PER_TASK = 4_000_000
 MAX_BUCKETS = 16_384
-MAX_SPLITS = 4_096
+OUTGROWN = 4
 
 
 @dataclass(frozen=True)
 class TableMeta:
+    commit: int
     keys: list[str]
     buckets: int
     schema_json: str
-    rows: int = 0
+    places: dict[int, tuple[str, int]] = field(default_factory=dict)  # bucket -> (version, rows)
+
+    @property
+    def rows(self) -> int:
+        return sum(n for _, n in self.places.values())
 
     @property
     def splits(self) -> int:
-        return int(min(MAX_SPLITS, max(1, math.ceil(self.rows / self.buckets / ROWS_PER_TASK))))
+        return max(1, math.ceil(self.rows / self.buckets / ROWS_PER_TASK))
 
     @property
     def schema(self) -> StructType:
         return StructType.fromJson(json.loads(self.schema_json))
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
+    key_hash = F.xxhash64(*[F.col(k) for k in keys])
+    return F.pmod(F.when(any_null(keys), spread(df, keys)).otherwise(key_hash), F.lit(buckets)).cast("int")
 
 
-def split_of(keys: Sequence[str], splits: int) -> Column:
+def split_of(df: DataFrame, keys: Sequence[str], splits: int) -> Column:
     # murmur3, independent of the bucket's xxhash64
-    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(splits)).cast("int")
+    key_hash = F.hash(*[F.col(k) for k in keys], spread(df, keys))
+    return F.pmod(key_hash, F.lit(splits)).cast("int")
 
 
 def buckets_for(rows: int) -> int:
     return int(min(MAX_BUCKETS, max(1, math.ceil(rows / ROWS_PER_BUCKET))))
 
 
-def _meta_path(path: str) -> str:
-    return f"{path.rstrip('/')}/{META}"
+# ---- folders ------------------------------------------------------------------
+
+
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, where = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _fs(spark, path)
+    return fs.exists(where)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
+# ---- commits ------------------------------------------------------------------
 
 
 def read_meta(spark: SparkSession, path: str) -> TableMeta | None:
-    try:
-        row = spark.read.schema("keys string, buckets int, schema string, rows long").json(_meta_path(path)).first()
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
+    """The newest complete commit; None if there is no table.  Data without any
+    commit is not a table, and not free to be taken for a new one either."""
+    root = path.rstrip("/")
+    names = _children(spark, f"{root}/{COMMITS}")
+    for name in reversed(names):
+        if not _exists(spark, f"{root}/{COMMITS}/{name}/_SUCCESS"):
+            continue
+        doc = json.loads(spark.read.text(f"{root}/{COMMITS}/{name}").first()[0])
+        if doc.get("creating"):
             return None
-        raise
-    if row is None:
-        return None
-    return TableMeta(row["keys"].split(","), int(row["buckets"]), row["schema"], int(row["rows"] or 0))
+        places = {int(b): (v, int(n)) for b, (v, n) in doc["places"].items()}
+        return TableMeta(int(name), doc["keys"], doc["buckets"], doc["schema"], places)
+    if not names and _children(spark, f"{root}/{DATA}"):
+        raise RuntimeError(f"{root} holds data but no commits; restore {COMMITS} or move the data away")
+    return None
 
 
-def _write_meta(
-    spark: SparkSession, path: str, keys: Sequence[str], buckets: int, data_schema: StructType, rows: int
-) -> None:
-    fields = [f for f in data_schema.fields if f.name not in (BUCKET, SPLIT)]
-    full = StructType(fields + [StructField(BUCKET, IntegerType())])
-    spark.createDataFrame(
-        [(",".join(keys), buckets, full.json(), int(rows))], "keys string, buckets int, schema string, rows long"
-    ).coalesce(1).write.mode("overwrite").json(_meta_path(path))
+def _commit(spark: SparkSession, path: str, number: int, doc: dict) -> None:
+    """Publish.  Two writers of one number: the second fails."""
+    target = f"{path.rstrip('/')}/{COMMITS}/{number:08d}"
+    if not _exists(spark, f"{target}/_SUCCESS"):
+        delete_folder(spark, target)  # what a crashed commit left
+    spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("errorifexists").text(target)
+
+
+def _announce(spark: SparkSession, path: str) -> None:
+    """Mark a first write, so that a crash before its commit doesn't look like lost commits."""
+    if not _children(spark, f"{path.rstrip('/')}/{COMMITS}"):
+        _commit(spark, path, 0, {"creating": True})
+
+
+def _publish(spark: SparkSession, path: str, meta: TableMeta) -> None:
+    _commit(
+        spark, path, meta.commit,
+        {"keys": meta.keys, "buckets": meta.buckets, "schema": meta.schema_json, "places": {str(b): list(p) for b, p in meta.places.items()}},
+    )
+
+
+def _sweep(spark: SparkSession, path: str, before: TableMeta | None, now: TableMeta) -> None:
+    """Delete versions that neither this commit nor the one before needs."""
+    root = path.rstrip("/")
+    used = {v for m in (before, now) if m is not None for v, _ in m.places.values()}
+    for version in _children(spark, f"{root}/{DATA}"):
+        if version not in used:
+            delete_folder(spark, f"{root}/{DATA}/{version}")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     return read_meta(spark, path) is not None
 
 
-def _read_buckets(spark: SparkSession, path: str, meta: TableMeta) -> DataFrame:
-    return spark.read.schema(meta.schema).parquet(path)
+def _read_buckets(spark: SparkSession, path: str, meta: TableMeta, only: Sequence[int] | None = None) -> DataFrame:
+    """Rows of the given (or all) buckets, with ``BUCKET``."""
+    root = f"{path.rstrip('/')}/{DATA}"
+    wanted = sorted(meta.places if only is None else set(only) & set(meta.places))
+    schema = StructType([*meta.schema.fields, StructField(BUCKET, IntegerType()), StructField("version__", StringType())])
+    if not wanted:
+        return spark.createDataFrame([], schema).drop("version__")
+    paths = [f"{root}/version__={meta.places[b][0].split('=', 1)[1]}/{BUCKET}={b}" for b in wanted]
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths).drop("version__")
 
 
 def read_keyed_table(spark: SparkSession, path: str, fallback=None) -> DataFrame:
-    """Current rows of a keyed table (raises ``PATH_NOT_FOUND`` if absent).
-    The schema comes from the table's metadata: no footer scan, and an empty
-    table reads as an empty frame.  A folder without metadata is read as
-    plain Parquet (with the ``fallback`` reader when given)."""
+    """Current rows of a keyed table (raises ``PATH_NOT_FOUND`` if absent).  The
+    schema comes from the commit: no footer scan, and an empty table reads as an
+    empty frame.  A folder that is no keyed table is read as plain Parquet (with
+    the ``fallback`` reader when given)."""
     meta = read_meta(spark, path)
     if meta is None:
         return (fallback or spark.read).parquet(path)  # raises PATH_NOT_FOUND if absent
@@ -156,11 +214,16 @@ def _co_partitioned_join(spark: SparkSession):
             spark.conf.set(key, before)
 
 
-def _write_buckets(df: DataFrame, path: str, mode: str, dynamic: bool) -> None:
-    writer = df.write.mode(mode).partitionBy(BUCKET)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+def _write_version(df: DataFrame, path: str) -> dict[int, tuple[str, int]]:
+    """Write rows with ``BUCKET`` as a new version; where each bucket is and its rows."""
+    spark = df.sparkSession
+    version = f"version__={uuid.uuid4().hex}"
+    at = f"{path.rstrip('/')}/{DATA}/{version}"
+    df.write.partitionBy(BUCKET).parquet(at)
+    schema = StructType([StructField(BUCKET, IntegerType())])
+    # Reads file footers only: no column is needed for a count per partition value.
+    counts = spark.read.schema(schema).parquet(at).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r[BUCKET]: (version, r["n"]) for r in counts}
 
 
 def write_keyed_table(
@@ -181,17 +244,20 @@ def write_keyed_table(
         raise ValueError(f"table already exists at {path}")
     if meta is not None and mode == "ignore":
         return
-    if meta is not None and mode == "append":
-        buckets = meta.buckets
-    n = buckets or 1
-    obs = Observation()
-    frame = df.withColumn(BUCKET, bucket_of(keys, n)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    if meta is None:
+        _announce(spark, path)
+    add = meta is not None and mode == "append"
+    n = meta.buckets if add else buckets or 1
+    rows = df.withColumn(BUCKET, bucket_of(df, keys, n))
+    if add:  # a bucket is one version: its rows are written again with the new ones
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+        rows = _read_buckets(spark, path, meta, touched).unionByName(rows, allowMissingColumns=True)
     # One writer per bucket (AQE splits a bucket that is too large).
-    frame = frame.hint("rebalance", BUCKET)
-    _write_buckets(frame, path, "append" if mode == "append" else "overwrite", dynamic=False)
-    written = int(obs.get.get("rows", 0) or 0)
-    rows = written + (meta.rows if meta is not None and mode == "append" else 0)
-    _write_meta(spark, path, keys, n, df.schema if meta is None or mode != "append" else meta.schema, rows)
+    places = _write_version(rows.hint("rebalance", BUCKET), path)
+    schema = meta.schema_json if add else df.schema.json()
+    after = TableMeta(meta.commit + 1 if meta else 1, keys, n, schema, {**meta.places, **places} if add else places)
+    _publish(spark, path, after)
+    _sweep(spark, path, meta, after)
 
 
 @dataclass
@@ -207,68 +273,80 @@ def merge_into(
     key: str | Sequence[str],
     buckets: int | None = None,
     check_unique: bool = True,
+    version: str | None = None,
+    check=None,
 ) -> MergeResult:
-    """Upsert ``source`` into the keyed table at ``path`` (created if absent;
-    a new table gets ``buckets`` buckets, or one per ``ROWS_PER_BUCKET`` rows
-    of this batch)."""
+    """Upsert ``source`` into the keyed table at ``path`` (created if absent; a new
+    table gets ``buckets`` buckets, or one per ``ROWS_PER_BUCKET`` rows of this
+    batch).  ``version`` names a column by which older rows never replace newer
+    ones.  ``check()`` is called when the batch is staged and may raise."""
     spark = source.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     meta = read_meta(spark, path)
     if meta is not None and meta.keys != keys:
         raise ValueError(f"table at {path} is keyed by {meta.keys}, not {keys}")
 
-    stage = new_scratch_path(spark, "merge-batch")
-    obs = Observation()
-    source.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
-    rows = int(obs.get.get("rows", 0) or 0)
-    batch = spark.read.schema(source.schema).parquet(stage)
+    staging = new_scratch_path(spark, "merge-batch")
+    source.write.parquet(staging)
+    try:
+        if check is not None:
+            check()
+        batch = spark.read.schema(source.schema).parquet(staging)
+        return _merge_staged(batch, path, keys, meta, buckets, check_unique, version)
+    finally:
+        delete_folder(spark, staging)
+
 
-    if check_unique and rows > 1 and duplicate_keys(batch, keys).limit(1).count() > 0:
+def _merge_staged(batch, path, keys, meta, buckets, check_unique, version) -> MergeResult:
+    spark = batch.sparkSession
+    rows = batch.count()
+    if check_unique and rows > 1 and not duplicate_keys(batch, keys).isEmpty():
         raise ValueError(f"upsert: several source rows share a key in {keys}; deduplicate the batch first")
 
     if meta is None:
         n = buckets or buckets_for(rows)
-        staged = batch.withColumn(BUCKET, bucket_of(keys, n))
-        _write_buckets(staged.hint("rebalance", BUCKET), path, "overwrite", dynamic=False)
-        _write_meta(spark, path, keys, n, source.schema, rows)
+        _announce(spark, path)
+        places = _write_version(batch.withColumn(BUCKET, bucket_of(batch, keys, n)).hint("rebalance", BUCKET), path)
+        after = TableMeta(1, keys, n, batch.schema.json(), places)
+        _publish(spark, path, after)
+        _sweep(spark, path, None, after)
         return MergeResult(rows, n, True)
     if rows == 0:
         return MergeResult(0, 0, False)
 
-    staged = batch.withColumn(BUCKET, bucket_of(keys, meta.buckets))
-    target = _read_buckets(spark, path, meta)
-    target_types = dict(target.dtypes)
-    new_cols = [c for c in batch.columns if c not in target_types]
-    changed = [c for c, t in batch.dtypes if c in target_types and target_types[c] != t]
-    if new_cols or changed:
-        # Every file must keep one schema: rewrite all buckets.
-        log.info("upsert adds %s / retypes %s: rewriting every bucket", new_cols, changed)
+    wanted = buckets_for(meta.rows + rows)
+    n = wanted if wanted >= OUTGROWN * meta.buckets else meta.buckets
+    known = {f.name: f.dataType for f in meta.schema.fields}
+    new_cols = [c for c in batch.columns if c not in known]
+    changed = [f.name for f in batch.schema.fields if f.name in known and known[f.name] != f.dataType]
+    staged = batch.withColumn(BUCKET, bucket_of(batch, keys, n))
+    if new_cols or changed or n != meta.buckets:
+        # Every file keeps one schema and one bucket count: rewrite all buckets.
+        log.info("upsert adds %s / retypes %s / %d -> %d buckets: rewriting all", new_cols, changed, meta.buckets, n)
+        target = _read_buckets(spark, path, meta).drop(BUCKET)
+        target = target.withColumn(BUCKET, bucket_of(target, keys, n))
         touched = None
     else:
         # (a one-bucket table is always touched whole: no job to find out)
-        touched = [0] if meta.buckets == 1 else sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
-        target = target.filter(F.col(BUCKET).isin(touched))
-
-    # Both sides hash-partitioned by (bucket, split): the join needs no other
-    # exchange and each task writes whole (bucket, split) slices.
-    splits = meta.splits
-    parts = (meta.buckets if touched is None else max(1, len(touched))) * splits
-    target = target.withColumn(SPLIT, split_of(keys, splits))
-    staged = staged.withColumn(SPLIT, split_of(keys, splits))
-    obs_in, obs_out = Observation(), Observation()
-    target = target.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+        touched = [0] if n == 1 else sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
+        target = _read_buckets(spark, path, meta, touched)
+
+    splits = max(1, math.ceil((meta.rows + rows) / n / ROWS_PER_TASK))
+    parts = (n if touched is None else max(1, len(touched))) * splits
+    target = target.withColumn(SPLIT, split_of(target.drop(BUCKET), keys, splits))
+    staged = staged.withColumn(SPLIT, split_of(staged.drop(BUCKET), keys, splits))
+    guard = version if version in known and version in batch.columns else None
     merged = upsert_frames(
         target.repartition(parts, BUCKET, SPLIT),
         staged.repartition(parts, BUCKET, SPLIT),
         keys,
         co_keys=[BUCKET, SPLIT],
+        version=guard,
     ).drop(SPLIT)
-    merged = merged.observe(obs_out, F.count(F.lit(1)).alias("rows"))
     with _co_partitioned_join(spark):
-        _write_buckets(merged, path, "overwrite", dynamic=True)
-    replaced = int(obs_in.get.get("rows", 0) or 0)
-    written = int(obs_out.get.get("rows", 0) or 0)
-    if touched is None or written != replaced:  # schema or row count changed
-        schema = merged.schema if touched is None else meta.schema
-        _write_meta(spark, path, keys, meta.buckets, schema, meta.rows - replaced + written)
-    return MergeResult(rows, meta.buckets if touched is None else len(touched), False)
+        places = _write_version(merged, path)
+    schema = merged.drop(BUCKET).schema.json() if touched is None else meta.schema_json
+    after = TableMeta(meta.commit + 1, keys, n, schema, places if touched is None else {**meta.places, **places})
+    _publish(spark, path, after)
+    _sweep(spark, path, meta, after)
+    return MergeResult(rows, n if touched is None else len(touched), False)

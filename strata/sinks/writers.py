@@ -58,7 +58,9 @@ def write_table(df, path, mode="overwrite", spec=None):
     if mode == "merge":
         if not key:
             raise ValueError("merge mode needs 'merge_key'")
-        return merge_into(df, path, key, check_unique=spec.get("check_unique", True))
+        return merge_into(
+            df, path, key, check_unique=spec.get("check_unique", True), version=spec.get("version_column"), check=spec.get("check")
+        )
     if not key:
         raise ValueError("keyed table writes need 'merge_key' (the table key)")
     return write_keyed_table(df, path, key, mode)
@@ -110,7 +112,8 @@ def write_jdbc(df, path, mode="overwrite", spec=None):
         props.setdefault("truncate", "true")
     n = int(spec.get("num_partitions", 8))
     props.setdefault("numPartitions", str(n))
-    df.coalesce(n).write.jdbc(url=url, table=table, mode=mode, properties=props)
+    # A shuffle: coalesce would squeeze the mart's own aggregation into n tasks.
+    df.repartition(n).write.jdbc(url=url, table=table, mode=mode, properties=props)
 
 
 _WRITERS: dict[str, WriteFn] = {

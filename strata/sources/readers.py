@@ -83,7 +83,7 @@ def read(spark: SparkSession, fmt: str, path: str, options=None, schema=None) ->
 
 def read_spec(spark: SparkSession, spec: Mapping) -> DataFrame:
     """Read a ``{format, path, options}`` source spec."""
-    options = {k: v for k, v in (spec.get("options") or {}).items() if k != "incremental_from"}
+    options = {k: v for k, v in (spec.get("options") or {}).items() if k not in ("incremental_from", "incremental_date")}
     return read(spark, spec["format"], spec["path"], options, spec.get("schema"))
 
 

@@ -8,7 +8,8 @@ runs on the same schedule as a batch.
 
 Each micro-batch is cleaned (null keys dropped, newest version per key) and
 upserted into a keyed table.  The upsert is idempotent by key, so a batch
-replayed after a failure (foreachBatch is at-least-once) gives the same table.
+replayed after a failure (foreachBatch is at-least-once) gives the same table, and
+guarded by the version column, so a late file never undoes a newer row.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def upsert_stream(
     stream = reader.load(source_path)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        merge_into(clean_batch(batch, keys, version_column, steps), target_path, keys, check_unique=False)
+        merge_into(clean_batch(batch, keys, version_column, steps), target_path, keys, check_unique=False, version=version_column)
 
     query = (
         stream.writeStream.foreachBatch(merge_batch)

@@ -24,10 +24,16 @@ def test_validate():
 
 
 def test_dataset_selection():
-    assert P.datasets_for("silver", "retail_orders") == ["retail_orders"]
-    marts = P.datasets_for("gold", "retail_orders")
+    layout = P.LakeLayout("raw", "lake")
+    jobs, golds = P.retail_jobs(layout), P.retail_gold(layout)
+
+    def picked(layer, dataset):
+        return [c["dataset"] for c in P.select_datasets(layer, jobs, golds, dataset)]
+
+    assert picked("silver", "retail_orders") == ["retail_orders"]
+    marts = picked("gold", "retail_orders")
     assert "gold_daily_trend" in marts and "gold_product_performance" not in marts
-    assert P.datasets_for("gold", "gold_daily_trend") == ["gold_daily_trend"]
+    assert picked("gold", "gold_daily_trend") == ["gold_daily_trend"]
 
 
 def test_ledger_rules(spark, scratch):
@@ -43,12 +49,21 @@ def test_ledger_rules(spark, scratch):
     assert incremental_bound(state, "a") is None and not should_skip(state, "a", d2)
     ledger.record("b", "bronze", 0, d2, SKIPPED)
     assert ledger.frame().count() == 2
-    ledger.compact()
     assert ledger.snapshot() == state | {"b": ledger.get("b")}
-    assert ledger.get("a")["status"] == FAILED
-    ledger.record("c", "gold", 1, d2, SUCCESS)
-    assert ledger.compact_if_larger(max_files=1)
-    assert len(ledger._log().inputFiles()) == 1 and set(ledger.snapshot()) == {"a", "b", "c"}
+    # a backfill of an older date doesn't move the bound back
+    ledger.record("c", "silver", 1, d2, SUCCESS)
+    ledger.record("c", "silver", 1, d1, SUCCESS)
+    assert incremental_bound(ledger.snapshot(), "c") == d2
+
+
+def test_ledger_keeps_its_rows_through_read_errors(spark, scratch, monkeypatch):
+    ledger = RunLedger(spark, scratch("ledger"))
+    ledger.record("a", "silver", 5, date(2024, 1, 1), SUCCESS)
+    with monkeypatch.context() as m:
+        m.setattr(RunLedger, "_log", lambda self: (_ for _ in ()).throw(OSError("store down")))
+        assert ledger.snapshot() == {}
+        ledger.record("b", "silver", 5, date(2024, 1, 1), SUCCESS)
+    assert set(ledger.snapshot()) == {"a", "b"}
 
 
 def _spec(src, sink, **extra):
@@ -93,6 +108,40 @@ def test_fail_policy_blocks_write(spark, scratch):
         read(spark, "parquet", out).count()
 
 
+def test_fail_policy_takes_as_many_jobs_as_warn(spark, scratch):
+    """A merge checks the staged batch: nothing is computed twice, nothing published."""
+    from strata.sinks.keyed_table import table_exists
+
+    src = scratch("src")
+    spark.createDataFrame([(1, "b"), (2, None)], "k int, v string").write.parquet(src)
+    status = spark.sparkContext.statusTracker()
+
+    def run(policy, nullable, out):
+        spec = _spec(src, out, schema=[["k", "int", False], ["v", "string", nullable]], on_null_violation=policy)
+        spec["sink"] = {"format": "table", "path": out, "mode": "merge", "merge_key": "k"}
+        group = f"{policy}-{nullable}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            P.run_dataset(spark, spec)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(status.getJobIdsForGroup(group))
+
+    assert run("warn", True, scratch("w")) == run("fail", True, scratch("f"))
+    out = scratch("bad")
+    with pytest.raises(ValueError, match="column 'v' has 1 null"):
+        run("fail", False, out)
+    assert not table_exists(spark, out)
+
+
+def test_lookup_of_a_bronze_table_is_told_by_place_not_text():
+    job = {"dataset": "d", "bronze": {"target_path": "/x/b"}, "silver": {
+        "target_path": "/x/s", "primary_key": "k", "dedup_key": ["k"], "not_null_columns": ["k"],
+        "joins": [{"format": "table", "path": "/x//orders/", "on": "o"}, {"format": "table", "path": "/x/other", "on": "o"}]}}
+    joins = P.silver_config(job, bronze_paths={"file:///x/orders"})["joins"]
+    assert [j["latest"] for j in joins] == [True, False]
+
+
 def _tables(spark, layout):
     from strata.sinks.keyed_table import read_keyed_table
 

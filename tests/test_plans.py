@@ -2,7 +2,7 @@
 
 from strata.operators.cleaning import drop_duplicates
 from strata.plans import queries as Q
-from strata.plans.model import RetailModel
+from strata.plans.model import stored_model
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,11 +21,23 @@ def test_dedup_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
-def test_mart_prunes_columns(spark):
-    p = plan(RetailModel(spark, SF).gold("daily_trend"))
-    # the orders scan reads only what the mart needs
-    orders_scan = [line for line in p.splitlines() if "orders.parquet" in line][0]
-    assert "o_orderpriority" not in orders_scan or "ReadSchema" in orders_scan
+def _scans(p):
+    return [line for line in p.splitlines() if "FileScan" in line]
+
+
+def test_marts_scan_only_what_they_need(spark):
+    stored = stored_model(spark, SF)
+    stored.silver("retail_orders"), stored.silver("retail_order_items")
+    scans = _scans(plan(Q.daily_trend(spark, SF)))
+    assert len(scans) == 1 and "ReadSchema: struct<order_id:string,order_date:date,total_amount:double>" in scans[0]
+    scans = _scans(plan(Q.product_performance(spark, SF)))
+    assert len(scans) == 1 and "ReadSchema: struct<order_id:string,product_id:string,quantity:bigint,line_total:double>" in scans[0]
+
+
+def test_reports_read_marts(spark):
+    Q.report_kpis(spark, SF)
+    scans = _scans(plan(Q.report_kpis(spark, SF)))
+    assert len(scans) == 2 and not any("lineitem" in s or "orders.parquet" in s for s in scans)
 
 
 def test_incremental_prunes_partitions(spark, scratch):
@@ -43,19 +55,26 @@ def test_incremental_prunes_partitions(spark, scratch):
     assert df.count() == 3
 
 
-def test_merge_join_keeps_bucket_partitioning(spark):
-    """The upsert join reuses the (bucket, split) partitioning of its inputs:
-    one exchange per side, none on the join keys."""
+def test_merge_reads_and_shuffles_each_side_once(spark, scratch):
+    """The real merge, on stored tables with nullable keys: one scan and one
+    exchange per side, and the join uses the (bucket, split) partitioning."""
     from pyspark.sql import functions as F
 
     from strata.operators.upsert import upsert_frames
-    from strata.sinks.keyed_table import BUCKET, SPLIT, _co_partitioned_join, bucket_of, split_of
+    from strata.sinks import keyed_table as K
+
+    path, batch = scratch("tbl"), scratch("batch")
 
-    def side(lo, hi, v):
-        df = spark.range(lo, hi).select(F.col("id").cast("string").alias("k"), F.lit(v).alias("v"))
-        return df.withColumn(BUCKET, bucket_of(["k"], 4)).withColumn(SPLIT, split_of(["k"], 2)).repartition(8, BUCKET, SPLIT)
+    def rows(lo, hi, v):
+        return spark.range(lo, hi).select(F.col("id").cast("string").alias("k"), F.lit(v).alias("v"))
 
-    merged = upsert_frames(side(0, 100, 1.0), side(50, 150, 2.0), ["k"], co_keys=[BUCKET, SPLIT])
-    with _co_partitioned_join(spark):
-        p = plan(merged)
+    K.merge_into(rows(0, 100, 1.0), path, "k", buckets=4)
+    rows(50, 150, 2.0).write.parquet(batch)
+    meta = K.read_meta(spark, path)
+    target, source = K._read_buckets(spark, path, meta, [0, 1]), spark.read.parquet(batch)
+    source = source.withColumn(K.BUCKET, K.bucket_of(source, ["k"], 4))
+    sides = [d.withColumn(K.SPLIT, K.split_of(d.drop(K.BUCKET), ["k"], 2)).repartition(8, K.BUCKET, K.SPLIT) for d in (target, source)]
+    with K._co_partitioned_join(spark):
+        p = plan(upsert_frames(*sides, ["k"], co_keys=[K.BUCKET, K.SPLIT]))
     assert p.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in p
+    assert len(_scans(p)) == 2

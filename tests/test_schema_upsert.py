@@ -27,7 +27,7 @@ def test_warn_counts_ride_on_the_action(spark):
 
 def test_fail_raises_before_write(spark):
     df = spark.createDataFrame([(None, "1")], "id int, amount string")
-    with pytest.raises(ValueError, match="DQ: column 'id' has 1 null"):
+    with pytest.raises(ValueError, match="column 'id' has 1 null"):
         enforce_schema(df, SCHEMA, "fail")
 
 
@@ -153,3 +153,96 @@ def test_keyed_table_write_modes(spark, scratch):
     empty = scratch("empty")
     merge_into(a.limit(0), empty, "k")
     assert read_keyed_table(spark, empty).count() == 0
+
+
+def _keyed(spark, lo, hi, v):
+    return spark.range(lo, hi).select(F.col("id").cast("string").alias("k"), F.lit(v).alias("v"))
+
+
+def test_lost_commits_are_not_a_first_write(spark, scratch):
+    from strata.sinks import keyed_table as K
+
+    path = scratch("tbl")
+    merge_into(_keyed(spark, 0, 1000, 1.0), path, "k", buckets=4)
+    K.delete_folder(spark, f"{path}/{K.COMMITS}")
+    with pytest.raises(RuntimeError, match="no commits"):
+        merge_into(_keyed(spark, 0, 5, 2.0), path, "k")
+    assert spark.read.parquet(f"{path}/{K.DATA}").count() == 1000
+
+
+def test_a_crash_before_the_commit_changes_nothing(spark, scratch, monkeypatch):
+    from strata.sinks import keyed_table as K
+
+    path = scratch("tbl")
+    with monkeypatch.context() as m:  # even the first write
+        m.setattr(K, "_publish", lambda *a: (_ for _ in ()).throw(OSError("crash")))
+        with pytest.raises(OSError):
+            merge_into(_keyed(spark, 0, 1000, 1.0), path, "k", buckets=4)
+    merge_into(_keyed(spark, 0, 1000, 1.0), path, "k", buckets=4)
+    with monkeypatch.context() as m:
+        m.setattr(K, "_publish", lambda *a: (_ for _ in ()).throw(OSError("crash")))
+        with pytest.raises(OSError):
+            merge_into(_keyed(spark, 990, 1010, 2.0), path, "k")
+    assert read_keyed_table(spark, path).filter("v = 2.0").count() == 0
+    K._fs(spark, path)[0].mkdirs(K._fs(spark, f"{path}/{K.COMMITS}/00000009")[1])  # a commit cut short
+    merge_into(_keyed(spark, 990, 1010, 2.0), path, "k")
+    got = read_keyed_table(spark, path)
+    assert got.count() == 1010 and got.filter("v = 2.0").count() == 20
+
+
+def test_merges_leave_no_staged_batches_and_few_versions(spark, scratch):
+    from strata.session import scratch_root
+    from strata.sinks import keyed_table as K
+
+    path = scratch("tbl")
+    for k in range(5):
+        merge_into(_keyed(spark, 10 * k, 10 * k + 20, float(k)), path, "k")
+    assert not [n for n in K._children(spark, scratch_root(spark)) if n.startswith("merge-batch")]
+    assert len(K._children(spark, f"{path}/{K.DATA}")) <= 2
+    assert read_keyed_table(spark, path).count() == 60
+
+
+def test_tables_grow_their_buckets(spark, scratch, monkeypatch):
+    from strata.sinks import keyed_table as K
+
+    path = scratch("tbl")
+    merge_into(_keyed(spark, 0, 50, 1.0), path, "k")
+    monkeypatch.setattr(K, "ROWS_PER_BUCKET", 40)
+    merge_into(_keyed(spark, 40, 400, 2.0), path, "k")
+    assert K.read_meta(spark, path).buckets == 11
+    got = read_keyed_table(spark, path)
+    assert got.count() == 400 and got.filter("v = 1.0").count() == 40
+
+
+def test_older_versions_never_replace_newer_rows(spark, scratch):
+    path = scratch("tbl")
+    schema = "k string, v int, day int"
+    merge_into(spark.createDataFrame([("a", 1, 5), ("b", 2, None), ("c", 3, 5)], schema), path, "k", version="day")
+    merge_into(spark.createDataFrame([("a", 9, 4), ("b", 9, 1), ("c", 9, 5), ("d", 9, None)], schema), path, "k", version="day")
+    merge_into(spark.createDataFrame([("a", 7, None)], schema), path, "k", version="day")
+    assert sorted(tuple(r) for r in read_keyed_table(spark, path).collect()) == [("a", 1, 5), ("b", 9, 1), ("c", 9, 5), ("d", 9, None)]
+
+
+def test_join_spellings_and_clashes(spark):
+    from strata.operators.joins import join_using
+
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(2, "z"), (3, "w")], "k int, v string")
+    assert join_using(a, b, "k", "leftsemi").count() == 1 and join_using(a, b, "k", "leftAnti").count() == 1
+    assert join_using(a, b, "k", "fullouter").count() == 3 and join_using(a, b, "k", "left_outer").count() == 2
+    with pytest.raises(ValueError, match="left side"):
+        join_using(a, b, "k", "left", ["v"])
+    with pytest.raises(ValueError):
+        join_using(a, b, "k", "cross")
+
+
+def test_money_keeps_decimals_and_nan(spark):
+    import math
+
+    from strata.functions.money import money_avg, money_sum
+
+    df = spark.createDataFrame([(1, 0.125), (1, 0.125), (1, 0.004), (2, 1.0), (2, 3.0), (2, float("nan")), (3, None)], "g int, v double")
+    got = {r.g: (r.s, r.a) for r in df.groupBy("g").agg(money_sum("v").alias("s"), money_avg("v").alias("a")).collect()}
+    assert got[1] == (0.254, 0.254 / 3)
+    assert math.isnan(got[2][0]) and math.isnan(got[2][1])
+    assert got[3] == (None, None)
