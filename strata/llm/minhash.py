@@ -4,14 +4,15 @@
    keys of 5 minima each; the low 4 bits of every minimum packed into 8 longs.
    Two sets of similarity 0.85 share no band with probability 4e-7.
 2. Documents with equal sets form a class; from here on a class is one row.
-3. Candidates: in every band bucket each class meets the bucket's smallest class.
-   The packed bits estimate the similarity, ``(matches - C) / (1 - C)`` with
+3. Candidates: in every band bucket each class meets the bucket's smallest class,
+   its leader.  Each class confirms the leader it meets in most buckets.  The
+   packed bits estimate the similarity, ``(matches - C) / (1 - C)`` with
    ``C = 1/16`` for chance; pairs far below the threshold go (0.14 is more than
-   four standard deviations).  Each class confirms its likeliest leader.
+   four standard deviations).
 4. Buckets that still hold several components compare the classes outside their
-   largest component with those of other components.  So every pair of a bucket
-   is either known to be connected or tested, and a large group of copies costs
-   its size, not its square.
+   largest component with those of other components; a pair counts in the first
+   bucket it shares.  So every pair of a bucket is either known to be connected or
+   tested, and a large group of copies costs its size, not its square.
 5. Components of the confirmed links.
 
 Inputs: null text and text without words have an empty set and are linked with
@@ -223,7 +224,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "shingle-classes",
     )
     least = threshold / 100 - MARGIN
-    keys = classes.select("cls", F.explode("bands").alias("bucket"))
+    keys = classes.select("cls", F.posexplode("bands").alias("band", "bucket"))
     leaders = keys.groupBy("bucket").agg(F.min("cls").alias("lead"), F.max("cls").alias("last")).where("lead < last").drop("last")
     members = stage(keys.join(leaders, "bucket"), "bucket-members")
     sigs = classes.select("cls", "sig")
@@ -233,8 +234,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sb = sigs.select(F.col("cls").alias("b"), F.col("sig").alias("gb"))
         return pairs.join(sa, "a").join(sb, "b").withColumn("est", estimate("ga", "gb")).where(F.col("est") >= least).drop("ga", "gb")
 
-    led = members.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-    first = with_estimate(led).groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a")).select("a", "b")
+    met = members.where("cls <> lead").groupBy(F.col("cls").alias("b"), F.col("lead").alias("a")).agg(F.count(F.lit(1)).alias("n"))
+    likeliest = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+    first = with_estimate(likeliest).select("a", "b")
 
     # Whole sets of the classes that share any bucket, from their first documents.
     wanted = members.select("cls").distinct().join(classes.select("cls", "c0", "c1", "first_id"), "cls")
@@ -248,19 +250,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(_confirmed(first, sets, threshold))
 
     # Buckets that still hold several components.
-    placed = members.join(roots, members.cls == roots.node, "left").select("bucket", "cls", F.coalesce("root", "cls").alias("comp"))
+    placed = members.join(roots, members.cls == roots.node, "left").select("bucket", "band", "cls", F.coalesce("root", "cls").alias("comp"))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    rest = stage(placed.join(mixed.select("bucket", "major"), "bucket").join(sigs, "cls"), "mixed-buckets")
-    minor = rest.where("comp <> major").select("bucket", F.col("cls").alias("a"), F.col("comp").alias("ca"), F.col("sig").alias("ga"))
-    other = rest.select("bucket", F.col("cls").alias("b"), F.col("comp").alias("cb"), F.col("sig").alias("gb"), (F.col("comp") == F.col("major")).alias("is_major"))
+    rest = stage(placed.join(mixed.select("bucket", "major"), "bucket").join(classes.select("cls", "sig", "bands"), "cls"), "mixed-buckets")
+    minor = rest.where("comp <> major").select("bucket", F.col("cls").alias("a"), F.col("comp").alias("ca"), F.col("sig").alias("ga"), "band", F.col("bands").alias("ba"))
+    other = rest.select("bucket", F.col("cls").alias("b"), F.col("comp").alias("cb"), F.col("sig").alias("gb"), F.col("bands").alias("bb"), (F.col("comp") == F.col("major")).alias("is_major"))
     cross = (
         minor.alias("m").join(
             other.alias("o"),
             (F.col("m.bucket") == F.col("o.bucket"))
             & (F.col("is_major") | (F.col("ca") < F.col("cb")))
             & (F.col("ca") != F.col("cb"))
-            & (estimate("ga", "gb") >= least),
+            & (estimate("ga", "gb") >= least)
+            & ~F.arrays_overlap(F.slice("ba", 1, F.col("band")), F.slice("bb", 1, F.col("band"))),
         )
         .select("a", "b", "ca", "cb")
         .distinct()
