@@ -15,8 +15,9 @@ the run of windows that name it.
 3. ``runs``: suffixes at repeated anchors, sorted per chunk, equal ones reduced to
    the earliest (the others are settled on the spot, so a passage that a third of
    all documents share leaves a chunk once), front-coded and cut by hash range.
-   A suffix is its gram's hash, 100 bytes to the right and 68 to the left; the
-   leading hash spreads the sort evenly over ranges without sampling.
+   A suffix is its gram's hash, up to 100 bytes to the right and 68 to the left, as
+   far as its windows reach; the leading hash spreads the sort evenly over ranges
+   without sampling.
 4. ``merge_range``: loser trees combine the runs of a range.  Every contender
    carries the length of the prefix it shares with the last winner, characters
    are compared from there on only, and the merged order comes with its LCPs.
@@ -44,7 +45,7 @@ CHUNK_BYTES = 2 << 20
 BLOCK = 1 << 17
 HEAD = 6  # bytes of the gram hash in front of a suffix
 RIGHT = HEAD + LENGTH
-WIDTH = HEAD + LENGTH + SPAN - 1 + 2  # and the two lengths of right and left context
+WIDTH = HEAD + LENGTH + SPAN - 1 + 2  # and how far back its windows begin, least and most
 
 _U = np.uint64
 _M = _U(0x9E3779B97F4A7C15)
@@ -163,6 +164,13 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int | None
     return stage(packed, "text-chunks")
 
 
+def _each(batches):
+    """Rows as dicts, one at a time: a chunk is large."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 class Chunk:
     def __init__(self, row: dict):
         self.id, self.doc_ids = row["chunk"], row["doc_ids"]
@@ -186,19 +194,18 @@ def _ranges(gram: np.ndarray, n: int) -> np.ndarray:
 
 def _ask(n_ranges: int):
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                grams = np.unique(Chunk(row).anchors().gram)
-                cut = np.searchsorted(_ranges(grams, n_ranges), np.arange(n_ranges + 1))
-                full = np.flatnonzero(np.diff(cut))
-                six = grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "chunk": pa.array(np.full(len(full), row["chunk"]), pa.int64()),
-                        "range": pa.array(full, pa.int32()),
-                        "grams": pa.array([six[cut[r] : cut[r + 1]].tobytes() for r in full], pa.binary()),
-                    }
-                )
+        for row in _each(batches):
+            grams = np.unique(Chunk(row).anchors().gram)
+            cut = np.searchsorted(_ranges(grams, n_ranges), np.arange(n_ranges + 1))
+            full = np.flatnonzero(np.diff(cut))
+            six = grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "chunk": pa.array(np.full(len(full), row["chunk"]), pa.int64()),
+                    "range": pa.array(full, pa.int32()),
+                    "grams": pa.array([six[cut[r] : cut[r + 1]].tobytes() for r in full], pa.binary()),
+                }
+            )
 
     return run
 
@@ -217,21 +224,22 @@ def _answer(table: pa.Table) -> pa.Table:
 
 # ---- sorted runs --------------------------------------------------------------------------
 
-RUNS = "chunk bigint, range int, n int, lcps binary, tails binary, meta binary, settled binary"
+RUNS = "chunk bigint, range int, n int, size bigint, lcps binary, tails binary, meta binary, settled binary"
 META = np.dtype([("doc_id", "<i8"), ("doc", "<i4"), ("at", "<i8"), ("lo", "u1"), ("hi", "u1")])
 SPANS = np.dtype([("lo", "<i8"), ("hi", "<i8")])
 
 
-def _suffixes(raw: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """``len(at) x WIDTH`` bytes: hash, right context, reversed left context, both lengths."""
+def _suffixes(raw: np.ndarray, at: np.ndarray, least: np.ndarray, most: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """``len(at) x WIDTH`` bytes: hash, right context, reversed left context, and how far
+    back the windows begin.  Bytes that no window covers are zero."""
     out = np.zeros((len(at), WIDTH), np.uint8)
     out[:, :HEAD] = gram.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - HEAD :]
-    right, left = np.minimum(end - at, LENGTH), np.minimum(at - begin, SPAN - 1)
+    right = LENGTH - least
     for k in range(LENGTH):
         out[:, HEAD + k] = np.where(k < right, raw[np.minimum(at + k, len(raw) - 1)], 0)
     for k in range(SPAN - 1):
-        out[:, RIGHT + k] = np.where(k < left, raw[np.maximum(at - 1 - k, 0)], 0)
-    out[:, WIDTH - 2], out[:, WIDTH - 1] = right, left
+        out[:, RIGHT + k] = np.where(k < most, raw[np.maximum(at - 1 - k, 0)], 0)
+    out[:, WIDTH - 2], out[:, WIDTH - 1] = least, most
     return out
 
 
@@ -241,6 +249,23 @@ def _lcps(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH)]).astype(np.uint8)
 
 
+def _pack(x: bytes) -> bytes:
+    return pa.compress(x, codec="zstd", asbytes=True)
+
+
+def _unpack(x: bytes, size: int) -> bytes:
+    return pa.decompress(x, size, codec="zstd", asbytes=True)
+
+
+def _meta(x: bytes, n: int) -> np.ndarray:
+    raw, out, at = _unpack(x, n * META.itemsize), np.empty(n, META), 0
+    for f in META.names:
+        kind = META[f]
+        out[f] = np.frombuffer(raw, kind, n, at)
+        at += n * kind.itemsize
+    return out
+
+
 def _runs(n_ranges: int):
     def one(row: dict):
         c = Chunk(row)
@@ -253,7 +278,8 @@ def _runs(n_ranges: int):
             known[lo:hi] |= np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=hi - lo).astype(bool)
         pick = np.flatnonzero(known[where])
         at, doc = a.at[pick], a.doc[pick]
-        rows = _suffixes(c.raw, at, c.begins[doc], c.ends[doc], a.gram[pick])
+        least, most = at - a.hi[pick], at - a.lo[pick]
+        rows = _suffixes(c.raw, at, least, most, a.gram[pick])
         ids = np.array([-(1 << 63) if x is None else x for x in c.doc_ids], np.int64)[doc]
         text = np.ascontiguousarray(rows).view(f"S{WIDTH}").ravel()
         order = np.lexsort((at, doc, ids))
@@ -268,7 +294,7 @@ def _runs(n_ranges: int):
         order, rows, lcps = order[first], rows[first], lcps[first]
         meta = np.empty(len(order), META)
         meta["doc_id"], meta["doc"], meta["at"] = ids[order], doc[order], at[order]
-        meta["lo"], meta["hi"] = (at - a.hi[pick])[order], (at - a.lo[pick])[order]
+        meta["lo"], meta["hi"] = least[order], most[order]
         cut = np.searchsorted(_ranges(a.gram[pick][order], n_ranges), np.arange(n_ranges + 1))
         names, parts = np.flatnonzero(np.diff(cut)), []
         for r in names:
@@ -276,19 +302,21 @@ def _runs(n_ranges: int):
             own = lcps[lo:hi].copy()
             own[0] = 0
             tails = rows[lo:hi][np.arange(WIDTH) >= own[:, None]]
-            parts.append((int(r), hi - lo, own.tobytes(), tails.tobytes(), meta[lo:hi].tobytes(), None))
+            # Columns of equal kind side by side compress better.
+            flat = b"".join(np.ascontiguousarray(meta[f][lo:hi]).tobytes() for f in META.names)
+            parts.append((int(r), hi - lo, len(tails), _pack(own.tobytes()), _pack(tails.tobytes()), _pack(flat), None))
         if len(rest):
-            parts.append((-1, 0, None, None, None, settled.tobytes()))
+            # No range: these only pass by, under keys of their own.
+            parts.append((-1 - c.id % n_ranges, 0, 0, None, None, None, settled.tobytes()))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(parts), c.id), pa.int64())]
-            + [pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int32(), pa.int32(), *[pa.binary()] * 4))],
-            names=["chunk", "range", "n", "lcps", "tails", "meta", "settled"],
+            + [pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4))],
+            names=["chunk", "range", "n", "size", "lcps", "tails", "meta", "settled"],
         )
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield one(row)
+        for row in _each(batches):
+            yield one(row)
 
     return run
 
@@ -396,14 +424,17 @@ def _repeats(rows: np.ndarray, lcps: np.ndarray, meta: np.ndarray, chunk: np.nda
 
 def merge_range(table: pa.Table) -> pa.Table:
     """Merge the runs of one hash range and report the windows that repeat."""
+    if table.column("range")[0].as_py() < 0:
+        return pa.table({"chunk": table.column("chunk"), "spans": table.column("settled")})
     runs, metas, owners = [], [], []
-    for row in table.to_pylist():
-        lcps = np.frombuffer(row["lcps"], np.uint8)
-        rows = _unfold(row["n"], lcps, row["tails"])
-        whole = rows.tobytes()
+    for k in range(table.num_rows):
+        row = table.slice(k, 1).to_pylist()[0]
+        n = row["n"]
+        lcps = np.frombuffer(_unpack(row["lcps"], n), np.uint8)
+        whole = _unfold(n, lcps, _unpack(row["tails"], row["size"])).tobytes()
         runs.append(([whole[i : i + WIDTH] for i in range(0, len(whole), WIDTH)], lcps.tolist()))
-        metas.append(np.frombuffer(row["meta"], META))
-        owners.append(np.full(row["n"], row["chunk"], np.int64))
+        metas.append(_meta(row["meta"], n))
+        owners.append(np.full(n, row["chunk"], np.int64))
     order, lcps = merge_runs(runs)
     begin = np.cumsum([0, *[len(m) for m in metas]])
     place = np.array([begin[r] + i for r, i in order])
@@ -431,9 +462,8 @@ def repeated_spans(packed: DataFrame) -> DataFrame:
     asked = packed.mapInArrow(_ask(n_ranges), "chunk bigint, range int, grams binary")
     answered = asked.groupBy("range").applyInArrow(_answer, "chunk bigint, range int, bits binary")
     per_chunk = answered.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias("answers"))
-    runs = stage(packed.join(per_chunk, "chunk").mapInArrow(_runs(n_ranges), RUNS), "suffix-runs")
-    merged = runs.where("range >= 0").drop("settled").groupBy("range").applyInArrow(merge_range, "chunk bigint, spans binary")
-    return merged.unionByName(runs.where("range < 0").select("chunk", F.col("settled").alias("spans")))
+    runs = packed.join(per_chunk, "chunk").mapInArrow(_runs(n_ranges), RUNS)
+    return runs.groupBy("range").applyInArrow(merge_range, "chunk bigint, spans binary")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -442,25 +472,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = repeated_spans(packed).groupBy("chunk").agg(F.collect_list("spans").alias("spans"))
 
     def cut(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row)
-                found = np.frombuffer(b"".join(row["spans"] or []), SPANS)
-                edge = np.zeros(len(c.raw) + 1, np.int64)
-                np.add.at(edge, found["lo"], 1)
-                np.add.at(edge, found["hi"] + LENGTH, -1)
-                gone = np.cumsum(edge)[:-1] > 0
-                for lo in range(0, len(c.sizes), 256):
-                    out = []
-                    for d in range(lo, min(lo + 256, len(c.sizes))):
-                        mine = gone[c.begins[d] : c.ends[d]]
-                        starts = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0])
-                        out.append((c.doc_ids[d], len(mine), int(mine.sum()), starts, c.raw[c.begins[d] : c.ends[d]][~mine].tobytes()))
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)],
-                        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
-                    )
+        for row in _each(batches):
+            c = Chunk(row)
+            found = np.frombuffer(b"".join(row["spans"] or []), SPANS)
+            edge = np.zeros(len(c.raw) + 1, np.int64)
+            np.add.at(edge, found["lo"], 1)
+            np.add.at(edge, found["hi"] + LENGTH, -1)
+            gone = np.cumsum(edge)[:-1] > 0
+            for lo in range(0, len(c.sizes), 256):
+                out = []
+                for d in range(lo, min(lo + 256, len(c.sizes))):
+                    mine = gone[c.begins[d] : c.ends[d]]
+                    starts = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0])
+                    out.append((c.doc_ids[d], len(mine), int(mine.sum()), starts, c.raw[c.begins[d] : c.ends[d]][~mine].tobytes()))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                )
 
     return packed.join(spans, "chunk", "left").mapInArrow(
         cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
