@@ -153,8 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             weights = [[m.weigh(g) for m in tried.value] for g in grams]
             yield pa.RecordBatch.from_pydict({"good": batch.column(0), "w": pa.array(weights, pa.list_(pa.float64()))})
 
-    # At most HOLD percent of the sampled labels.
-    seen = base.join(known, "doc_id").select("good", "text").mapInArrow(weigh, "good boolean, w array<double>").toPandas()
+    # At most HOLD percent of the sampled labels: small enough to broadcast, by FIT_ROWS.
+    seen = base.join(F.broadcast(known), "doc_id").select("good", "text").mapInArrow(weigh, "good boolean, w array<double>").toPandas()
     best = None
     for i, model in enumerate(models):
         w = np.array([x[i] for x in seen.w])
