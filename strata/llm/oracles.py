@@ -37,3 +37,104 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 ORACLES = {"op7_decontamination": OP7}
+
+# ---- near duplicates: shared shingles, then reachability
+
+_SPACED = "list_filter(string_split_regex(" + _LOWER.format("text") + r", '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP9 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce({_SPACED}, []) AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, ws[p + 1 : p + least(5, len(ws))] AS s
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - 4))) AS p FROM d WHERE len(ws) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+# ---- host trust: rules, links, and the rounds written out
+
+
+def _op3(block: list[str], allow: list[str], rounds: int, damping: int, unit: int, threshold: int) -> str:
+    rules = ", ".join(
+        f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for v, rs in (("block", block), ("allow", allow)) for r in rs
+    )
+
+    def split(url: str) -> str:
+        rest = f"CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) END"
+        host = f"regexp_extract({rest}, '^([^/?#]*)', 1)"
+        return f"coalesce({_LOWER.format(host)}, '') AS host, coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '') AS path"
+
+    link = r"""(?i)\bhref\s*=\s*["'']?([a-z][a-z0-9+.-]*://[^\s"''<>]+)"""
+    steps = ["r0 AS (SELECT kind, host, own AS rank FROM base)"]
+    for i in range(rounds):
+        steps.append(
+            f"r{i + 1} AS (SELECT kind, host, CAST(sum(rank) AS BIGINT) AS rank FROM (SELECT kind, host, own AS rank FROM base UNION ALL "
+            f"SELECT g.kind, g.dst, (r.rank * {damping}) // (100 * g.fanout) FROM graph g JOIN r{i} r ON r.kind = g.kind AND r.host = g.src) "
+            "GROUP BY kind, host)"
+        )
+    return f"""
+WITH p AS (SELECT page_id, html, {split('url')}, row_number() OVER () AS i FROM pages),
+rules(rh, rp, rule, ruling) AS (VALUES {rules}),
+best AS (
+  SELECT i, arg_max(rule, length(rule)) AS rule, arg_max(ruling, length(rule)) AS ruling
+  FROM p JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY i
+),
+ruled AS (SELECT p.i, page_id, host, path, rule, ruling FROM p LEFT JOIN best USING (i)),
+hosts AS (
+  SELECT host, count(*) AS n, count(*) FILTER (WHERE ruling = 'allow') AS al, count(*) FILTER (WHERE ruling = 'block') AS bl
+  FROM ruled WHERE host <> '' GROUP BY host
+),
+base AS (
+  SELECT kind, host, ((100 - {damping}) * seed) // 100 AS own FROM (
+    SELECT 'trust' AS kind, host, (al * {unit}) // n AS seed FROM hosts UNION ALL SELECT 'distrust', host, (bl * {unit}) // n FROM hosts
+  ) WHERE seed > 0
+),
+found AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS url FROM p),
+ends AS (SELECT DISTINCT src, host AS dst FROM (SELECT src, {split('url')} FROM found) WHERE src <> host AND src <> ''),
+edge AS (SELECT src, dst FROM ends WHERE dst IN (SELECT host FROM hosts)),
+both_ways AS (SELECT 'trust' AS kind, src, dst FROM edge UNION ALL SELECT 'distrust', dst, src FROM edge),
+graph AS (SELECT kind, src, dst, count(*) OVER (PARTITION BY kind, src) AS fanout FROM both_ways),
+{", ".join(steps)},
+ranks AS (
+  SELECT host, sum(rank) FILTER (WHERE kind = 'trust') AS t, sum(rank) FILTER (WHERE kind = 'distrust') AS d FROM r{rounds} GROUP BY host
+)
+SELECT page_id, ruled.host, path, rule,
+  coalesce(ruling, CASE WHEN coalesce(d, 0) - coalesce(t, 0) > {threshold} THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(coalesce(t, 0) AS DOUBLE) / {unit} AS trust, CAST(coalesce(d, 0) AS DOUBLE) / {unit} AS distrust
+FROM ruled LEFT JOIN ranks USING (host)
+"""
+
+
+OP3 = _op3(["net/", "example.com/de/"], ["example.net/en/", "org/fr/"], 12, 85, 10**12, 75 * 10**9)
+
+# ---- repeated byte strings, as hex text
+
+OP10 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
+r AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w),
+hit AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM r WHERE k > 1),
+span AS (
+  SELECT doc_id, min(p) AS lo, max(p) + 100 AS hi
+  FROM (SELECT *, sum(CASE WHEN before IS NULL OR before + 100 < p THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM hit)
+  GROUP BY doc_id, g
+),
+gap AS (
+  SELECT doc_id, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS a, lo AS b FROM span
+  UNION ALL SELECT span.doc_id, max(hi), any_value(len(h) // 2) FROM span JOIN d USING (doc_id) GROUP BY span.doc_id
+),
+kept AS (
+  SELECT gap.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gap JOIN d USING (doc_id) GROUP BY gap.doc_id
+),
+n AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES |= {"op3_link_graph": OP3, "op9_minhash": OP9, "op10_suffix_dedup": OP10}
