@@ -17,9 +17,9 @@
 
 Inputs: null text and text without words have an empty set and are linked with
 nothing.  Fewer than five words are one shingle.  Rows with equal ids are rows
-of their own.  A null id never is a component's id; a component of null ids
-alone has a null ``component_id`` and its rows are kept if they are linked with
-nothing else.
+of their own; rows equal in id and text share their fate.  A null id never is a
+component's id; a component of null ids alone has a null ``component_id`` and its
+rows are kept.
 """
 
 from __future__ import annotations
@@ -119,12 +119,12 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, c0, c1, bands, sig``; no keys for empty sets."""
+    """``doc_id, text_hash, n_shingles, c0, c1, bands, sig``; no keys for empty sets."""
 
     def run(batches):
         shingler = Shingler()
 
-        def rows(ids, sets):
+        def rows(ids, hashes, sets):
             full = [i for i, s in enumerate(sets) if len(s)]
             keys = [_set_key(s) if len(s) else (None, None) for s in sets]
             bands, sig = [None] * len(sets), [None] * len(sets)
@@ -135,6 +135,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             return pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(ids, pa.int64()),
+                    "text_hash": pa.array(hashes, pa.int64()),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "c0": pa.array([k[0] for k in keys], pa.int64()),
                     "c1": pa.array([k[1] for k in keys], pa.int64()),
@@ -143,25 +144,27 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 }
             )
 
-        ids, sets, n = [], [], 0
+        ids, hashes, sets, n = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc_id, text, h in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 s = shingler(text.as_py())
                 ids.append(doc_id)
+                hashes.append(h)
                 sets.append(s)
                 n += len(s)
                 if n >= CHUNK or len(ids) >= 2048:
-                    yield rows(ids, sets)
-                    ids, sets, n = [], [], 0
+                    yield rows(ids, hashes, sets)
+                    ids, hashes, sets, n = [], [], [], 0
         if ids:
-            yield rows(ids, sets)
+            yield rows(ids, hashes, sets)
 
-    schema = "doc_id bigint, n_shingles bigint, c0 bigint, c1 bigint, bands array<bigint>, sig array<bigint>"
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, c0 bigint, c1 bigint, bands array<bigint>, sig array<bigint>"
     return _id_and_bytes(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def _id_and_bytes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.cast("binary").alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -213,8 +216,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept, c0, c1`` (the
-    last two name the set)."""
+    """One row per document: ``doc_id, text_hash, n_shingles, component_id, kept``."""
     sketched = stage(sketches(docs, id_col, text_col), "sketches")
     classes = stage(
         sketched.where("n_shingles > 0")
@@ -281,10 +283,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     ids = final.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     named = final.join(ids, "comp").select(F.col("c0").alias("k0"), F.col("c1").alias("k1"), "component_id")
-    rows = sketched.select("doc_id", "n_shingles", "c0", "c1")
+    rows = sketched.select("doc_id", "text_hash", "n_shingles", "c0", "c1")
     placed_docs = rows.join(named, (F.col("c0") == F.col("k0")) & (F.col("c1") == F.col("k1")), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return placed_docs.select("doc_id", "n_shingles", component.alias("component_id"), "c0", "c1").withColumn(
+    return placed_docs.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
@@ -295,7 +297,7 @@ def report(found: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """The documents without those that repeat an earlier one, columns as they came."""
-    gone = near_duplicates(docs, id_col, text_col, threshold).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.alias("d").join(
-        gone.alias("g"), F.col(f"d.`{id_col}`").cast("bigint").eqNullSafe(F.col("g.gone_id")), "left_anti"
-    ).select("d.*")
+    gone = near_duplicates(docs, id_col, text_col, threshold).where("NOT kept")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    same = F.col(f"d.`{id_col}`").cast("bigint").eqNullSafe(F.col("g.gone_id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("g.gone_hash"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti").select("d.*")

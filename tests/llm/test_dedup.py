@@ -34,6 +34,8 @@ def test_first_of_each_keeps_columns(edge_docs, doc_rows):
     assert kept.columns == edge_docs.columns
     ids = sorted(r.doc_id for r in kept.where("doc_id between 40 and 45").collect())
     assert ids == [i for i, _, _, k in sorted(near_dups(doc_rows[:40])) if k and 40 <= i <= 45]
+    # Of three rows with id 70 two repeat document 40, the third is a text of its own.
+    assert kept.where("doc_id = 70").count() == 1
 
 
 def test_classes_beyond_the_leader_are_found(spark):
