@@ -111,12 +111,13 @@ MODEL_CTES = {
 }
 
 
+# Six decimals: DuckDB scales doubles in floating point, which is exact up to 2**53.
 def money_sum(c: str) -> str:
-    return f"cast(sum(cast({c} AS DECIMAL(28,10))) AS DOUBLE)"
+    return f"cast(sum(cast({c} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def money_avg(c: str) -> str:
-    return f"cast(sum(cast({c} AS DECIMAL(28,10))) AS DOUBLE) / nullif(count({c}), 0)"
+    return f"cast(sum(cast({c} AS DECIMAL(28,6))) AS DOUBLE) / nullif(count({c}), 0)"
 
 
 def mean(c: str) -> str:
@@ -325,14 +326,14 @@ ORACLES: dict[str, str] = {
     "report_region_segment_matrix": with_model(
         "SELECT region, "
         + ", ".join(
-            f"coalesce(cast(sum(cast(total_revenue AS DECIMAL(28,10))) FILTER (WHERE segment = '{v}') AS DOUBLE), 0) AS \"{v}\""
+            f"coalesce(cast(sum(cast(total_revenue AS DECIMAL(28,6))) FILTER (WHERE segment = '{v}') AS DOUBLE), 0) AS \"{v}\""
             for v in SEGMENT_VALUES)
         + " FROM gold_regional_sales WHERE region IS NOT NULL GROUP BY region"),
     "report_leaders": with_reports(
         _leader("segment", "seg", "segment") + " UNION ALL " + _leader("category", "cats", "category")
         + " UNION ALL " + _leader("region", "regs", "region")),
     "report_revenue_share": with_reports(
-        "SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(28,10))) OVER (PARTITION BY dimension) AS DOUBLE) AS share FROM ("
+        "SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(28,6))) OVER (PARTITION BY dimension) AS DOUBLE) AS share FROM ("
         + _share("category", "cats", "category") + " UNION ALL " + _share("store_type", "store_types", "store_type")
         + " UNION ALL " + _share("channel", "chans", "channel") + ")"),
     # operators over defect-injected inputs
@@ -385,7 +386,7 @@ ORACLES: dict[str, str] = {
     "segment_matrix_all": with_model(
         "SELECT region, "
         + ", ".join(
-            f"coalesce(cast(sum(cast(total_amount AS DECIMAL(28,10))) FILTER (WHERE seg = '{v}') AS DOUBLE), 0) AS \"{v}\""
+            f"coalesce(cast(sum(cast(total_amount AS DECIMAL(28,6))) FILTER (WHERE seg = '{v}') AS DOUBLE), 0) AS \"{v}\""
             for v in [*SEGMENT_VALUES, "CONSUMER"])
         + " FROM (SELECT *, CASE WHEN cast(order_id AS BIGINT) % 7 = 0 THEN 'CONSUMER' ELSE segment END AS seg FROM orders_enriched)"
         + " WHERE region IS NOT NULL GROUP BY region"),
