@@ -11,8 +11,9 @@ The documents have no topic column; the default topic is the length class
 ``TEMPER``, which lifts small categories.
 
 Bounds: a margin has at most ``MAX_CATEGORIES`` categories; those with fewer tokens
-form one, ``OTHER``, which is raked and sampled like any.  So the cells that the
-driver rakes are bounded, whatever the number of sources.
+form one, ``OTHER``, which is raked and sampled like any.  So there are at most
+(MAX_CATEGORIES + 1) ** 3 cells (275 thousand, some 20 MB), whatever the number of
+sources; the driver rakes them and the documents get them broadcast.
 
 Inputs: null categories form the category ``(none)``.  Null and empty texts have
 no tokens; they don't weigh and are sampled like their cell.  Draws are hashes
@@ -31,7 +32,7 @@ DIMS = ("source", "lang", "topic")
 NONE, OTHER = "(none)", "(other)"
 TEMPER = 0.85
 SHARE = 0.9
-MAX_CATEGORIES = 256
+MAX_CATEGORIES = 64
 ROUNDS = 200
 SEED = 977
 
@@ -127,7 +128,7 @@ class Mix:
     def place(self, docs: DataFrame) -> DataFrame:
         """``docs`` (as ``d``) joined with their cell (as ``m``)."""
         on = [self._fold(d, c) == F.col(f"m.{d}_") for d, c in zip(DIMS, _columns(docs, self.names), strict=True)]
-        return docs.alias("d").join(self.table.alias("m"), on)
+        return docs.alias("d").join(F.broadcast(self.table.alias("m")), on)
 
 
 def draw(id_col: Column, text: Column) -> Column:
