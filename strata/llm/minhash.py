@@ -4,8 +4,8 @@
    keys of 5 minima each; the low 4 bits of every minimum packed into 8 longs.
    Two sets of similarity 0.85 share no band with probability 4e-7.
 2. Documents with equal sets form a class; from here on a class is one row.
-3. Candidates: in every band bucket each class meets the bucket's smallest class,
-   its leader.  Each class confirms the leader it meets in most buckets.  The
+3. Candidates: in every band bucket each class meets the bucket's leader, drawn by
+   a hash.  Each class confirms the LEADERS leaders it meets in most buckets.  The
    packed bits estimate the similarity, ``(matches - C) / (1 - C)`` with
    ``C = 1/16`` for chance; pairs far below the threshold go (0.14 is more than
    four standard deviations).
@@ -38,6 +38,7 @@ BANDS, ROWS = 25, 5
 LOW_BITS = 4
 THRESHOLD = 85  # percent
 MARGIN = 0.14
+LEADERS = 4
 CHUNK = 1 << 16  # shingles hashed at a time
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -227,7 +228,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     least = threshold / 100 - MARGIN
     keys = classes.select("cls", F.posexplode("bands").alias("band", "bucket"))
-    leaders = keys.groupBy("bucket").agg(F.min("cls").alias("lead"), F.max("cls").alias("last")).where("lead < last").drop("last")
+    drawn = F.min_by("cls", F.xxhash64("bucket", "cls")).alias("lead")
+    leaders = keys.groupBy("bucket").agg(drawn, F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high").drop("low", "high")
     members = stage(keys.join(leaders, "bucket"), "bucket-members")
     sigs = classes.select("cls", "sig")
 
@@ -237,8 +239,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.join(sa, "a").join(sb, "b").withColumn("est", estimate("ga", "gb")).where(F.col("est") >= least).drop("ga", "gb")
 
     met = members.where("cls <> lead").groupBy(F.col("cls").alias("b"), F.col("lead").alias("a")).agg(F.count(F.lit(1)).alias("n"))
-    likeliest = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-    first = with_estimate(likeliest).select("a", "b")
+    # A class meets at most BANDS leaders.
+    likeliest = met.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "a")), asc=False), 1, LEADERS).alias("most"))
+    first = with_estimate(likeliest.select("b", F.explode("most.a").alias("a"))).select("a", "b")
 
     # Whole sets of the classes that share any bucket, from their first documents.
     wanted = members.select("cls").distinct().join(classes.select("cls", "c0", "c1", "first_id"), "cls")
