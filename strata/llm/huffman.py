@@ -30,7 +30,8 @@ END_ID = 2
 MAX_BITS = 16
 STRIDE = 64
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 400_000  # word -> ids entries a worker keeps
+CACHE_WORDS = 1_000_000  # word -> ids entries a worker keeps, some 150 bytes each
+LOOK_UP = 512  # unknown words encoded as one text
 LONG_WORD = 200  # longer words are tokenised without being kept
 
 BLOCK_SCHEMA = (
@@ -55,8 +56,13 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def _look_up(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=self.kind).tobytes() for e in found]
+        """Ids of each word, from one text of them all; offsets tell whose they are."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.asarray(found.ids, dtype=self.kind)
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        at = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), begins)
+        return [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
     def _learn(self, words: set[bytes]) -> None:
         known = self.known
@@ -65,8 +71,9 @@ class WordEncoder:
         plain = set(new).difference(ending)
         plain.update(w for e in ending for w in (e[:-1], e[-1:]) if w not in known)
         plain = list(plain)
-        for i in range(0, len(plain), 8192):
-            known.update(zip(plain[i : i + 8192], self._look_up(plain[i : i + 8192]), strict=True))
+        for i in range(0, len(plain), LOOK_UP):
+            part = plain[i : i + LOOK_UP]
+            known.update(zip(part, self._look_up(part), strict=True))
         for e in ending:
             known[e] = known[e[:-1]] + known[e[-1:]]
 
