@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -156,3 +157,40 @@ def test_block_tables_find_all_neighbours(spark, radius):
     got = rows_of(simhash.neighbours(asked, df, radius))
     want = sorted((a, b) for a in names[::3] for b in names if bin(int(a, 16) ^ int(b, 16)).count("1") <= radius)
     assert sorted(got) == want
+
+
+def test_radius_finds_near_copies(spark):
+    """Copies with a few words replaced, 0.8 similar or more, against brute force."""
+    r = random.Random(11)
+    texts = sorted({t.text for t in table(spark, SMALL, "documents").collect() if t.text and len(t.text.split()) >= 60})[:120]
+    pool = [w for t in texts for w in t.split()]
+
+    def shingles(t):
+        w = t.lower().split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    rows, pairs = [], []
+    for i, t in enumerate(texts):
+        rows.append((10 * i, t))
+        for k, share in enumerate((0.005, 0.01, 0.02)):
+            w = t.split()
+            for at in r.sample(range(len(w)), max(1, round(share * len(w)))):
+                w[at] = r.choice(pool)
+            a, b = shingles(t), shingles(" ".join(w))
+            rows.append((10 * i + k + 1, " ".join(w)))
+            if len(a & b) >= 0.8 * len(a | b):
+                pairs.append((10 * i, 10 * i + k + 1))
+    fps = simhash.fingerprints(spark.createDataFrame(rows, "id bigint, text string"), ["id"]).localCheckpoint()
+    of = {f.id: f.fingerprint for f in fps.collect()}
+    asked = fps.where("id % 10 = 0")
+    found = set(rows_of(simhash.neighbours(asked, fps)))
+    assert len(pairs) > 200
+    assert np.mean([(of[a], of[b]) in found for a, b in pairs]) > 0.97
+    names = sorted(set(of.values()))
+    near = {(of[a], b) for a in of if a % 10 == 0 for b in names if bin(int(of[a], 16) ^ int(b, 16)).count("1") <= simhash.RADIUS}
+    assert found == near
+
+
+@pytest.mark.parametrize("radius", range(32))
+def test_blocks_leave_no_pair_out(radius):
+    assert sum(flips + 1 for _, _, flips in simhash.blocks(radius)) == radius + 1
