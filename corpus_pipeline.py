@@ -8,6 +8,8 @@ from strata.llm import decontaminate, huffman, minhash, mixing, quality
 from strata.llm.common import stage, table
 from strata.llm.queries import word_vocabulary
 
+NEAR = 80  # percent of the word shingles; op9's 85 belongs to its own contract
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: rejected documents go."""
@@ -16,7 +18,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: the smallest id of each group stays."""
-    return minhash.first_of_each(docs)
+    return minhash.first_of_each(docs, threshold=NEAR)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
