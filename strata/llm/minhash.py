@@ -17,9 +17,9 @@
 
 Inputs: null text and text without words have an empty set and are linked with
 nothing.  Fewer than five words are one shingle.  Rows with equal ids are rows
-of their own; rows equal in id and text share their fate.  A null id never is a
-component's id; a component of null ids alone has a null ``component_id`` and its
-rows are kept.
+of their own.  A null id never is a component's id; a component of null ids
+alone has a null ``component_id``.  The contract's ``kept`` marks every row that has
+its component's id; ``first_of_each`` leaves exactly one row of each component.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ LOW_BITS = 4
 THRESHOLD = 85  # percent
 MARGIN = 0.14
 LEADERS = 4
+SALTS = 32  # parts of the rows that repeat one id and text
 CHUNK = 1 << 16  # shingles hashed at a time
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -216,14 +217,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id, text_hash, n_shingles, component_id, kept``."""
+def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, first_hash``: the component's
+    smallest id (null ids last) and that id's smallest text hash."""
     sketched = stage(sketches(docs, id_col, text_col), "sketches")
     classes = stage(
         sketched.where("n_shingles > 0")
         .groupBy("c0", "c1")
-        .agg(F.min("doc_id").alias("first_id"), F.min(F.struct("bands", "sig")).alias("s"))
-        .select(F.monotonically_increasing_id().alias("cls"), "c0", "c1", "first_id", "s.bands", "s.sig"),
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"))).alias("first"),
+            F.min(F.struct("bands", "sig")).alias("s"),
+        )
+        .select(F.monotonically_increasing_id().alias("cls"), "c0", "c1", "first.first_id", "first.first_hash", "s.bands", "s.sig"),
         "shingle-classes",
     )
     least = threshold / 100 - MARGIN
@@ -278,20 +283,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     merged = connected_components(linked)
 
     final = (
-        classes.select("cls", "c0", "c1", "first_id")
+        classes.select("cls", "c0", "c1", "first_id", "first_hash")
         .join(roots, F.col("cls") == F.col("node"), "left")
-        .select("c0", "c1", "first_id", F.coalesce("root", "cls").alias("comp"))
+        .select("c0", "c1", "first_id", "first_hash", F.coalesce("root", "cls").alias("comp"))
         .join(merged, F.col("comp") == F.col("node"), "left")
-        .select("c0", "c1", "first_id", F.coalesce("root", "comp").alias("comp"))
+        .select("c0", "c1", "first_id", "first_hash", F.coalesce("root", "comp").alias("comp"))
     )
-    ids = final.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = final.join(ids, "comp").select(F.col("c0").alias("k0"), F.col("c1").alias("k1"), "component_id")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "first_hash")).alias("first")
+    ids = final.groupBy("comp").agg(first).select("comp", F.col("first.first_id").alias("component_id"), "first.first_hash")
+    named = final.select("c0", "c1", "comp").join(ids, "comp").select(F.col("c0").alias("k0"), F.col("c1").alias("k1"), "component_id", "first_hash")
     rows = sketched.select("doc_id", "text_hash", "n_shingles", "c0", "c1")
     placed_docs = rows.join(named, (F.col("c0") == F.col("k0")) & (F.col("c1") == F.col("k1")), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return placed_docs.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    return placed_docs.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), "first_hash")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """One row per document: ``doc_id, text_hash, n_shingles, component_id, kept``."""
+    placed = _placed(docs, id_col, text_col, threshold).drop("first_hash")
+    return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -299,8 +309,24 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The documents without those that repeat an earlier one, columns as they came."""
-    gone = near_duplicates(docs, id_col, text_col, threshold).where("NOT kept")
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    same = F.col(f"d.`{id_col}`").cast("bigint").eqNullSafe(F.col("g.gone_id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("g.gone_hash"))
-    return docs.alias("d").join(gone.alias("g"), same, "left_anti").select("d.*")
+    """The documents without those that repeat an earlier one, columns as they came:
+    one row of each component, null ids included.  Rows without words stay."""
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    found = _placed(docs, id_col, text_col, threshold).where("n_shingles > 0").withColumn("first", first)
+    keyed = found.groupBy(F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"))
+    repeats = stage(keyed.agg(F.first("first").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 OR NOT first"), "repeats")
+    the_id, the_hash = F.col(f"d.`{id_col}`").cast("bigint"), F.xxhash64(F.col(f"d.`{text_col}`"))
+    same = the_id.eqNullSafe(F.col("r.rep_id")) & (the_hash == F.col("r.rep_hash"))
+    single = docs.alias("d").join(repeats.alias("r"), same, "left_anti").select("d.*")
+    again = repeats.where("first")
+    if again.isEmpty():
+        return single
+    # One row of those equal in id and text: the least by its columns.  They are
+    # spread over SALTS parts, each of which finds its own first.
+    row = F.struct("*")
+    packed = docs.select(row.alias("d"), F.xxhash64(F.to_json(row)).alias("place"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    parts = again.select("rep_id", "rep_hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("rep_salt")).alias("r")
+    one = packed.join(parts, same & (F.col("salt") == F.col("rep_salt")))
+    for keys in (["rep_id", "rep_hash", "rep_salt"], ["rep_id", "rep_hash"]):
+        one = one.groupBy(*keys).agg(F.min_by("d", "place").alias("d"), F.min("place").alias("place"))
+    return single.unionByName(one.select("d.*"))

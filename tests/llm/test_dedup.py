@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import components, minhash, suffix_dedup
 from strata.llm.common import table
@@ -38,6 +39,21 @@ def test_first_of_each_keeps_columns(edge_docs, doc_rows):
     assert kept.where("doc_id = 70").count() == 1
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Redelivered rows, copies without ids, and one id with several near texts."""
+    base, other, third = (" ".join(f"{c}{k}" for k in range(100)) for c in "abc")
+    rows = [(5, base, "x"), (5, base, "y"), (5, base, "x"), (9, base, "z"), (5, base + " end", "x"), (5, third, "x")]
+    rows += [(None, other, "x"), (None, other, "x"), (None, other, "y"), (None, other + " end", "x")]
+    rows += [(None, None, "x"), (None, None, "x"), (7, "", "x"), (7, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    kept = minhash.first_of_each(docs.withColumns({c: F.lit("extra") for c in ("row", "place", "salt", "d", "r", "n", "first", "rep_id")}))
+    left = kept.select("doc_id", "text", "source").collect()
+    full = [r for r in left if r.text]
+    assert sorted((r.doc_id is None, r.text.split()[0]) for r in full) == [(False, "a0"), (False, "c0"), (True, "b0")]
+    assert {tuple(r) for r in full} <= set(rows)
+    assert len(left) - len(full) == 4
+
+
 def test_classes_beyond_the_leader_are_found(spark):
     """A chain: neighbours are similar, ends are not; the bucket's leader knows few of them."""
     r = random.Random(3)
