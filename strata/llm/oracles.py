@@ -138,3 +138,31 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 ORACLES |= {"op3_link_graph": OP3, "op9_minhash": OP9, "op10_suffix_dedup": OP10}
+
+# ---- fill in the middle
+
+_DRAW = "CAST('0x' || substr(h, {}, 8) AS BIGINT)"
+
+OP11 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+cut AS (
+  SELECT doc_id, t, n, least({_DRAW.format(1)} % (n + 1), {_DRAW.format(9)} % (n + 1)) AS a,
+    greatest({_DRAW.format(1)} % (n + 1), {_DRAW.format(9)} % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {_DRAW.format(17)} % 100 >= 90
+      THEN 'plain' WHEN {_DRAW.format(25)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+),
+piece AS (
+  SELECT *, left(t, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM piece
+"""
+
+ORACLES["op11_fill_in_middle"] = OP11

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, huffman, linkgraph, lm_score, minhash, mixing, quality, simhash, suffix_dedup
+from . import chat, decontaminate, fim, huffman, linkgraph, lm_score, minhash, mixing, quality, simhash, suffix_dedup
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -85,5 +85,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(fim.transform(table(spark, sf_dir, "documents")))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
