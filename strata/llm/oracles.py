@@ -166,3 +166,51 @@ FROM piece
 """
 
 ORACLES["op11_fill_in_middle"] = OP11
+
+# ---- ranked search: all documents scored, integer division rounding down
+
+_TERMS = (
+    "list_filter(string_split_regex(" + _LOWER.format("text") + r", '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+)
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, coalesce({_TERMS}, []) AS ts FROM documents),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+held AS (SELECT doc_id, len(ts) AS n, unnest(ts) AS t FROM d),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM held WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total
+),
+part AS (
+  SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))) AS part
+  FROM tf JOIN w USING (t), total
+),
+score AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN part USING (t) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM score WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+ORACLES["op12_ranked_search"] = OP12
+
+# ---- lines that many documents share
+
+_KEY = "trim(" + _LOWER.format("line") + ", ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+OP13 = f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+),
+k AS (SELECT doc_id, line, place, {_KEY} AS key FROM l),
+gone AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(gone.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN gone USING (key) GROUP BY doc_id
+"""
+
+ORACLES["op13_line_dedup"] = OP13

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fim, huffman, linkgraph, lm_score, minhash, mixing, quality, simhash, suffix_dedup
+from . import (
+    chat,
+    decontaminate,
+    fim,
+    huffman,
+    line_dedup,
+    linkgraph,
+    lm_score,
+    minhash,
+    mixing,
+    quality,
+    ranked_search,
+    simhash,
+    suffix_dedup,
+)
 from .common import stage, table
 from .oracles import ORACLES
 
@@ -90,5 +104,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.report(fim.transform(table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
