@@ -3,8 +3,9 @@
 Double sums depend on the order rows arrive in, which differs between runs,
 executors and engines.  Amounts are summed as decimals (exact, order-free) and
 only the final value becomes a double.  The number of decimals is a declared
-part of a metric (``SCALE`` unless given); digits beyond it are rounded.  A NaN
-among the inputs makes the result NaN, as in Spark's own ``sum`` and ``avg``.
+part of a metric (``SCALE`` unless given); digits beyond it are rounded.  A group with a
+value that no such decimal holds (too large, infinite or NaN) gets Spark's own ``sum``
+and ``avg`` of doubles.
 """
 
 from __future__ import annotations
@@ -24,18 +25,22 @@ def as_amount(c: str | Column, scale: int = SCALE) -> Column:
     return _col(c).try_cast(f"decimal({PRECISION},{scale})")
 
 
-def _or_nan(c: Column, result: Column) -> Column:
-    return F.when(F.max(F.isnan(c.try_cast("double"))), F.lit(float("nan"))).otherwise(result)
+def _total(c: Column, scale: int) -> Column:
+    """The exact sum where every value fits the decimal, else Spark's own sum of doubles: amounts of
+    1e20 or more are added up as they are, infinities and NaN carry over."""
+    double = c.try_cast("double")
+    fit = F.count(as_amount(c, scale)) == F.count(double)
+    return F.when(fit, F.sum(as_amount(c, scale)).cast("double")).otherwise(F.sum(double))
 
 
 def money_sum(c: str | Column, scale: int = SCALE) -> Column:
     """Exact ``sum`` as double."""
-    return _or_nan(_col(c), F.sum(as_amount(c, scale)).cast("double"))
+    return _total(_col(c), scale)
 
 
 def money_avg(c: str | Column, scale: int = SCALE) -> Column:
     """``avg`` ignoring nulls, computed from the exact sum; null for no values."""
-    return _or_nan(_col(c), F.try_divide(F.sum(as_amount(c, scale)).cast("double"), F.count(_col(c))))
+    return F.try_divide(_total(_col(c), scale), F.count(_col(c)))
 
 
 def long_sum(c: str | Column) -> Column:

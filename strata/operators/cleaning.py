@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+# How the messages of three faults begin.
+CAST_NOTHING, NO_STEP, STEP_FAILED = "cast_types requires", "Unknown transformer", "Transformer '{}' failed"
+
 # ---------------------------------------------------------------- projections
 
 
@@ -27,7 +30,7 @@ def cast_types(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Cast columns to Spark SQL type names.  Malformed values become null
     (``try_cast``), so they reach the null checks instead of failing the job."""
     if not columns:
-        raise ValueError("cast_types requires at least one entry in 'columns'")
+        raise ValueError(f"{CAST_NOTHING}: 'columns' maps names to types and may not be empty")
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"cast_types: unknown column(s) {missing}")
@@ -150,8 +153,29 @@ _TRANSFORMS: dict[str, Transform] = {
 }
 
 
-def register_transform(name: str, fn: Transform) -> None:
+#: The columns a step writes, from its parameters; a step that is not here may write any.
+_WRITES: dict[str, Callable[[Mapping], Iterable[str]]] = {
+    "add_ingestion_date": lambda p: [p.get("column", "ingestion_date")],
+    "cast_types": lambda p: p["columns"],
+    "standardize_strings": lambda p: p["columns"],
+    "filter_nulls": lambda p: [],
+    "drop_duplicates": lambda p: [],
+    "latest_per_key": lambda p: [],
+}
+
+
+def register_transform(name: str, fn: Transform, writes: Callable[[Mapping], Iterable[str]] | None = None) -> None:
+    """``writes`` tells the columns that the step may write, from its parameters."""
     _TRANSFORMS[name] = fn
+    _WRITES.pop(name, None)
+    if writes is not None:
+        _WRITES[name] = writes
+
+
+def written_columns(step: Mapping) -> set[str] | None:
+    """Columns a step may change or add; None if that is not known."""
+    told = _WRITES.get(step["name"])
+    return None if told is None else set(told(step.get("params") or {}))
 
 
 def transform_names() -> list[str]:
@@ -160,7 +184,7 @@ def transform_names() -> list[str]:
 
 def get_transform(name: str) -> Transform:
     if name not in _TRANSFORMS:
-        raise ValueError(f"Unknown transformer: '{name}'. Registered: {transform_names()}")
+        raise ValueError(f"{NO_STEP}: '{name}' (known: {', '.join(transform_names())})")
     return _TRANSFORMS[name]
 
 
@@ -175,5 +199,5 @@ def apply_steps(df: DataFrame, steps: Sequence[Mapping]) -> DataFrame:
         try:
             df = fn(df, **params)
         except Exception as exc:  # noqa: BLE001 - re-raised with context
-            raise RuntimeError(f"Transformer '{name}' failed: {exc}") from exc
+            raise RuntimeError(f"{STEP_FAILED.format(name)}: {exc}") from exc
     return df

@@ -150,8 +150,8 @@ SILVER_JOBS: dict[str, dict] = {
     },
 }
 
-# Dataset build order (a job's joins only name earlier datasets).
-SILVER_ORDER = ["retail_customers", "retail_products", "retail_stores", "retail_orders", "retail_order_items"]
+# The jobs in their order (a job's joins only name earlier datasets).
+SILVER_ORDER = ["retail_customers", "retail_stores", "retail_products", "retail_orders", "retail_order_items"]
 
 # --------------------------------------------------------------------------
 # Gold marts.  Metric functions: sum_money / avg_money (exact

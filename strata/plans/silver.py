@@ -22,9 +22,9 @@ def version_order(df: DataFrame, column: str = "ingestion_date") -> list:
     return [(column, "desc")] if column in df.columns else []
 
 
-def prepare_side(side: DataFrame, lookup: Mapping, batch: DataFrame | None = None) -> DataFrame:
+def prepare_side(side: DataFrame, lookup: Mapping, batch: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """The right side of a lookup: selected columns, latest version per key
-    when the side is a versioned (bronze) table.
+    when the side is a versioned (bronze) table and not ``unique`` per key already.
 
     With ``batch`` given, the versioned side is first reduced to the keys the
     batch looks up (left-semi join): an incremental day touches few keys,
@@ -41,7 +41,7 @@ def prepare_side(side: DataFrame, lookup: Mapping, batch: DataFrame | None = Non
     side = side.select(*keep)
     if batch is not None:
         side = side.join(batch.select(on).filter(batch[on].isNotNull()).distinct(), on, "left_semi")
-    return latest_per_key(side, [on])
+    return side if unique else latest_per_key(side, [on])
 
 
 def build_silver(

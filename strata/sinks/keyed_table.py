@@ -6,7 +6,7 @@ Layout::
     <path>/_commits/<n>/                                  one JSON row per commit
 
 A commit names the key, the bucket count, the schema, and for every bucket the
-version folder that holds it and its rows.  The newest complete commit (its
+version folder that holds it and its rows, and those of rows appended since.  The newest complete commit (its
 ``_SUCCESS`` is there) *is* the table; nothing it points to is ever changed in
 place.  A merge writes new versions of the buckets it touches beside the old
 ones and then one commit, so a crash at any point leaves the table as it was,
@@ -29,6 +29,10 @@ Rows with a null key never match; they live in the bucket of their row's hash,
 so they are spread over all buckets.  When a table outgrows its buckets fourfold
 the next merge rewrites it with as many as it needs now; so each row is moved a
 bounded number of times as the table grows, and merge tasks stay bounded.
+
+Files are read with the commit's schema, so a column that a merge adds is null in all
+buckets that the merge doesn't touch: only a changed type rewrites the others.  An
+append adds files to the buckets of its rows.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ from __future__ import annotations
 import json
 import logging
 import math
+import threading
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -45,7 +50,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.upsert import any_null, duplicate_keys, spread, upsert_frames
+from ..operators.upsert import any_null, spread, upsert_frames
 from ..session import new_scratch_path
 
 log = logging.getLogger(__name__)
@@ -66,10 +71,14 @@ class TableMeta:
     buckets: int
     schema_json: str
     places: dict[int, tuple[str, int]] = field(default_factory=dict)  # bucket -> (version, rows)
+    added: dict[int, list[tuple[str, int]]] = field(default_factory=dict)  # and what was appended to it since
+
+    def parts(self, bucket: int) -> list[tuple[str, int]]:
+        return [self.places[bucket], *self.added.get(bucket, [])]
 
     @property
     def rows(self) -> int:
-        return sum(n for _, n in self.places.values())
+        return sum(n for b in self.places for _, n in self.parts(b))
 
     @property
     def splits(self) -> int:
@@ -133,7 +142,8 @@ def read_meta(spark: SparkSession, path: str) -> TableMeta | None:
         if doc.get("creating"):
             return None
         places = {int(b): (v, int(n)) for b, (v, n) in doc["places"].items()}
-        return TableMeta(int(name), doc["keys"], doc["buckets"], doc["schema"], places)
+        added = {int(b): [(v, int(n)) for v, n in parts] for b, parts in doc.get("added", {}).items()}
+        return TableMeta(int(name), doc["keys"], doc["buckets"], doc["schema"], places, added)
     if not names and _children(spark, f"{root}/{DATA}"):
         raise RuntimeError(f"{root} holds data but no commits; restore {COMMITS} or move the data away")
     return None
@@ -156,14 +166,14 @@ def _announce(spark: SparkSession, path: str) -> None:
 def _publish(spark: SparkSession, path: str, meta: TableMeta) -> None:
     _commit(
         spark, path, meta.commit,
-        {"keys": meta.keys, "buckets": meta.buckets, "schema": meta.schema_json, "places": {str(b): list(p) for b, p in meta.places.items()}},
+        {"keys": meta.keys, "buckets": meta.buckets, "schema": meta.schema_json, "places": meta.places, "added": meta.added},
     )
 
 
 def _sweep(spark: SparkSession, path: str, before: TableMeta | None, now: TableMeta) -> None:
     """Delete versions that neither this commit nor the one before needs."""
     root = path.rstrip("/")
-    used = {v for m in (before, now) if m is not None for v, _ in m.places.values()}
+    used = {v for m in (before, now) if m is not None for b in m.places for v, _ in m.parts(b)}
     for version in _children(spark, f"{root}/{DATA}"):
         if version not in used:
             delete_folder(spark, f"{root}/{DATA}/{version}")
@@ -180,7 +190,7 @@ def _read_buckets(spark: SparkSession, path: str, meta: TableMeta, only: Sequenc
     schema = StructType([*meta.schema.fields, StructField(BUCKET, IntegerType()), StructField("version__", StringType())])
     if not wanted:
         return spark.createDataFrame([], schema).drop("version__")
-    paths = [f"{root}/version__={meta.places[b][0].split('=', 1)[1]}/{BUCKET}={b}" for b in wanted]
+    paths = [f"{root}/{version}/{BUCKET}={b}" for b in wanted for version, _ in meta.parts(b)]
     return spark.read.schema(schema).option("basePath", root).parquet(*paths).drop("version__")
 
 
@@ -195,23 +205,34 @@ def read_keyed_table(spark: SparkSession, path: str, fallback=None) -> DataFrame
     return _read_buckets(spark, path, meta).drop(BUCKET)
 
 
+_toggle = threading.Lock()
+_merging = {"now": 0, "before": None}
+
+
 @contextmanager
 def _co_partitioned_join(spark: SparkSession):
     """Let a join on (bucket, split, key) use inputs hash-partitioned by
     (bucket, split) as they are.  Spark otherwise re-shuffles on all join
     keys (``requireAllClusterKeysForCoPartition``, a guard against skew from
     low-cardinality partial keys); (bucket, split) slices are balanced by
-    construction, so the guard only costs a second shuffle per side."""
+    construction, so the guard only costs a second shuffle per side.  Merges may
+    run side by side in one session: the last one that ends restores the setting."""
     key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
+    with _toggle:
+        if not _merging["now"]:
+            _merging["before"] = spark.conf.get(key, None)
+            spark.conf.set(key, "false")
+        _merging["now"] += 1
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        with _toggle:
+            _merging["now"] -= 1
+            if not _merging["now"]:
+                if _merging["before"] is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, _merging["before"])
 
 
 def _write_version(df: DataFrame, path: str) -> dict[int, tuple[str, int]]:
@@ -226,6 +247,16 @@ def _write_version(df: DataFrame, path: str) -> dict[int, tuple[str, int]]:
     return {r[BUCKET]: (version, r["n"]) for r in counts}
 
 
+def _with_columns_of(table: StructType, batch: StructType) -> StructType:
+    """The table's columns, then those that only the batch has."""
+    known = set(table.names)
+    return StructType([*table.fields, *(f for f in batch.fields if f.name not in known)])
+
+
+def retyped(table: StructType, batch: StructType) -> list[str]:
+    return [f.name for f in batch.fields if f.name in table.names and table[f.name].dataType != f.dataType]
+
+
 def write_keyed_table(
     df: DataFrame,
     path: str,
@@ -234,7 +265,8 @@ def write_keyed_table(
     buckets: int | None = None,
 ) -> None:
     """Create/replace (``overwrite``) or add rows to (``append``) a keyed
-    table; ``errorifexists`` raises and ``ignore`` does nothing when it exists."""
+    table; ``errorifexists`` raises and ``ignore`` does nothing when it exists.  A new
+    table gets ``buckets`` buckets, or one per ``ROWS_PER_BUCKET`` rows."""
     if mode not in ("overwrite", "append", "errorifexists", "error", "ignore"):
         raise ValueError(f"Unsupported mode '{mode}' for a keyed table")
     spark = df.sparkSession
@@ -244,18 +276,31 @@ def write_keyed_table(
         raise ValueError(f"table already exists at {path}")
     if meta is not None and mode == "ignore":
         return
+    if meta is not None and mode == "append":
+        changed = retyped(meta.schema, df.schema)
+        if changed:
+            raise ValueError(f"append changes the type of {changed} in {path}")
+        # Files are added to the buckets; what they hold already stays as it is.
+        new = _write_version(df.withColumn(BUCKET, bucket_of(df, keys, meta.buckets)).hint("rebalance", BUCKET), path)
+        added = meta.added | {b: [*meta.added.get(b, []), p] for b, p in new.items() if b in meta.places}
+        schema = _with_columns_of(meta.schema, df.schema).json()
+        after = TableMeta(meta.commit + 1, keys, meta.buckets, schema, new | meta.places, added)
+        _publish(spark, path, after)
+        _sweep(spark, path, meta, after)
+        return
+    if buckets is None:  # staged to be counted, not computed twice
+        staging = new_scratch_path(spark, "keyed-write")
+        df.write.parquet(staging)
+        try:
+            staged = spark.read.schema(df.schema).parquet(staging)
+            return write_keyed_table(staged, path, keys, "overwrite", buckets_for(staged.count()))
+        finally:
+            delete_folder(spark, staging)
     if meta is None:
         _announce(spark, path)
-    add = meta is not None and mode == "append"
-    n = meta.buckets if add else buckets or 1
-    rows = df.withColumn(BUCKET, bucket_of(df, keys, n))
-    if add:  # a bucket is one version: its rows are written again with the new ones
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-        rows = _read_buckets(spark, path, meta, touched).unionByName(rows, allowMissingColumns=True)
     # One writer per bucket (AQE splits a bucket that is too large).
-    places = _write_version(rows.hint("rebalance", BUCKET), path)
-    schema = meta.schema_json if add else df.schema.json()
-    after = TableMeta(meta.commit + 1 if meta else 1, keys, n, schema, {**meta.places, **places} if add else places)
+    places = _write_version(df.withColumn(BUCKET, bucket_of(df, keys, buckets)).hint("rebalance", BUCKET), path)
+    after = TableMeta(meta.commit + 1 if meta else 1, keys, buckets, df.schema.json(), places)
     _publish(spark, path, after)
     _sweep(spark, path, meta, after)
 
@@ -275,11 +320,14 @@ def merge_into(
     check_unique: bool = True,
     version: str | None = None,
     check=None,
+    after_commit=None,
 ) -> MergeResult:
     """Upsert ``source`` into the keyed table at ``path`` (created if absent; a new
     table gets ``buckets`` buckets, or one per ``ROWS_PER_BUCKET`` rows of this
     batch).  ``version`` names a column by which older rows never replace newer
-    ones.  ``check()`` is called when the batch is staged and may raise."""
+    ones.  ``check()`` is called when the batch is staged and may raise;
+    ``after_commit(batch, before, after)`` gets the staged batch and the table's
+    metadata before (None for a new table) and after the commit."""
     spark = source.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     meta = read_meta(spark, path)
@@ -292,15 +340,31 @@ def merge_into(
         if check is not None:
             check()
         batch = spark.read.schema(source.schema).parquet(staging)
-        return _merge_staged(batch, path, keys, meta, buckets, check_unique, version)
+        result = _merge_staged(batch, path, keys, meta, buckets, check_unique, version)
+        if after_commit is not None:
+            after_commit(batch, meta, read_meta(spark, path))
+        return result
     finally:
         delete_folder(spark, staging)
 
 
+def _batch_profile(batch: DataFrame, keys: Sequence[str], buckets: int, check_unique: bool) -> tuple[int, list[int], bool]:
+    """Rows, the buckets they belong to, and whether a key is repeated: one job."""
+    in_bucket = batch.select(*keys, bucket_of(batch, keys, buckets).alias(BUCKET))
+    if check_unique:
+        per_key = in_bucket.groupBy(BUCKET, *keys).agg(F.count(F.lit(1)).alias("n"))
+        repeated = F.max((F.col("n") > 1) & ~any_null(keys))
+    else:
+        per_key = in_bucket.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"))
+        repeated = F.lit(False)
+    found = per_key.groupBy(BUCKET).agg(F.sum("n").alias("n"), repeated.alias("repeated")).collect()
+    return sum(r["n"] for r in found), sorted(r[BUCKET] for r in found), any(r["repeated"] for r in found)
+
+
 def _merge_staged(batch, path, keys, meta, buckets, check_unique, version) -> MergeResult:
     spark = batch.sparkSession
-    rows = batch.count()
-    if check_unique and rows > 1 and not duplicate_keys(batch, keys).isEmpty():
+    rows, touched, repeated = _batch_profile(batch, keys, meta.buckets if meta else 1, check_unique)
+    if repeated:
         raise ValueError(f"upsert: several source rows share a key in {keys}; deduplicate the batch first")
 
     if meta is None:
@@ -316,26 +380,22 @@ def _merge_staged(batch, path, keys, meta, buckets, check_unique, version) -> Me
 
     wanted = buckets_for(meta.rows + rows)
     n = wanted if wanted >= OUTGROWN * meta.buckets else meta.buckets
-    known = {f.name: f.dataType for f in meta.schema.fields}
-    new_cols = [c for c in batch.columns if c not in known]
-    changed = [f.name for f in batch.schema.fields if f.name in known and known[f.name] != f.dataType]
+    changed = retyped(meta.schema, batch.schema)
     staged = batch.withColumn(BUCKET, bucket_of(batch, keys, n))
-    if new_cols or changed or n != meta.buckets:
-        # Every file keeps one schema and one bucket count: rewrite all buckets.
-        log.info("upsert adds %s / retypes %s / %d -> %d buckets: rewriting all", new_cols, changed, meta.buckets, n)
+    if changed or n != meta.buckets:
+        # Every file keeps one type per column and one bucket count: rewrite all buckets.
+        log.info("upsert retypes %s / %d -> %d buckets: rewriting all", changed, meta.buckets, n)
         target = _read_buckets(spark, path, meta).drop(BUCKET)
         target = target.withColumn(BUCKET, bucket_of(target, keys, n))
         touched = None
     else:
-        # (a one-bucket table is always touched whole: no job to find out)
-        touched = [0] if n == 1 else sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
         target = _read_buckets(spark, path, meta, touched)
 
     splits = max(1, math.ceil((meta.rows + rows) / n / ROWS_PER_TASK))
     parts = (n if touched is None else max(1, len(touched))) * splits
     target = target.withColumn(SPLIT, split_of(target.drop(BUCKET), keys, splits))
     staged = staged.withColumn(SPLIT, split_of(staged.drop(BUCKET), keys, splits))
-    guard = version if version in known and version in batch.columns else None
+    guard = version if version in meta.schema.names and version in batch.columns else None
     merged = upsert_frames(
         target.repartition(parts, BUCKET, SPLIT),
         staged.repartition(parts, BUCKET, SPLIT),
@@ -345,8 +405,9 @@ def _merge_staged(batch, path, keys, meta, buckets, check_unique, version) -> Me
     ).drop(SPLIT)
     with _co_partitioned_join(spark):
         places = _write_version(merged, path)
-    schema = merged.drop(BUCKET).schema.json() if touched is None else meta.schema_json
-    after = TableMeta(meta.commit + 1, keys, n, schema, places if touched is None else {**meta.places, **places})
+    schema = merged.drop(BUCKET).schema if touched is None else _with_columns_of(meta.schema, batch.schema)
+    stay = {} if touched is None else {b: p for b, p in meta.places.items() if b not in places}
+    after = TableMeta(meta.commit + 1, keys, n, schema.json(), stay | places, {b: p for b, p in meta.added.items() if b in stay})
     _publish(spark, path, after)
     _sweep(spark, path, meta, after)
     return MergeResult(rows, n if touched is None else len(touched), False)

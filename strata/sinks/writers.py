@@ -59,7 +59,8 @@ def write_table(df, path, mode="overwrite", spec=None):
         if not key:
             raise ValueError("merge mode needs 'merge_key'")
         return merge_into(
-            df, path, key, check_unique=spec.get("check_unique", True), version=spec.get("version_column"), check=spec.get("check")
+            df, path, key, check_unique=spec.get("check_unique", True), version=spec.get("version_column"),
+            check=spec.get("check"), after_commit=spec.get("after_commit"),
         )
     if not key:
         raise ValueError("keyed table writes need 'merge_key' (the table key)")

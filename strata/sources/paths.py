@@ -3,39 +3,54 @@
 from __future__ import annotations
 
 import string
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What a template field stands for, as date format codes.
-FIELD_FORMATS = {"year": "%Y", "month": "%m", "day": "%d"}
 
+@dataclass(frozen=True)
+class DropFolder:
+    """A path in which ``{year}``, ``{month}`` and ``{day}`` stand for parts of a date.
 
-def template_fields(path: str) -> set[str]:
-    return {name for _, name, _, _ in string.Formatter().parse(path) if name}
+    It is parsed once, into literal text and the fields between; a field that no date
+    has is an error then, not in the middle of a run.  Days that a path doesn't tell
+    apart share a folder."""
+
+    parts: tuple[tuple[str, str | None], ...]
+
+    @classmethod
+    def parse(cls, path: str) -> DropFolder:
+        parts = tuple((text, field) for text, field, _, _ in string.Formatter().parse(path))
+        unknown = sorted({f for _, f in parts if f is not None} - {"year", "month", "day"})
+        if unknown:
+            raise ValueError(f"Unknown placeholder(s) {unknown} in path '{path}'")
+        return cls(parts)
+
+    def on(self, day: date) -> str:
+        """The folder of one day: four digits of the year, two of month and day."""
+        digits = dict(zip(("year", "month", "day"), day.isoformat().split("-"), strict=True))
+        return "".join(text + digits.get(field, "") for text, field in self.parts)
+
+    def between(self, first: date, last: date) -> list[str]:
+        """The folders of all days from ``first`` to ``last``, each once: one scan for a backfill."""
+        if last < first:
+            raise ValueError("end date before start date")
+        days = (first + timedelta(k) for k in range((last - first).days + 1))
+        return list(dict.fromkeys(map(self.on, days)))
 
 
 def check_template(path: str) -> None:
-    """Reject unknown placeholders up front instead of failing mid-run."""
-    unknown = template_fields(path) - set(FIELD_FORMATS)
-    if unknown:
-        raise ValueError(f"Unknown placeholder(s) {sorted(unknown)} in path '{path}'")
+    DropFolder.parse(path)
 
 
 def resolve_date_template(path: str, run_date: date) -> str:
-    """The template's fields filled in for ``run_date`` (two-digit month and day)."""
-    check_template(path)
-    return path.format(**{name: run_date.strftime(code) for name, code in FIELD_FORMATS.items()})
+    return DropFolder.parse(path).on(run_date)
 
 
 def resolve_date_range(path: str, start: date, end: date) -> list[str]:
-    """Paths for every day in ``[start, end]``: a backfill reads them as one scan."""
-    if end < start:
-        raise ValueError("end date before start date")
-    days = (end - start).days + 1
-    paths = [resolve_date_template(path, start + timedelta(d)) for d in range(days)]
-    return list(dict.fromkeys(paths))
+    return DropFolder.parse(path).between(start, end)
 
 
 def after_date(column: str, lower_exclusive: date | str) -> Column:
