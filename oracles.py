@@ -281,6 +281,43 @@ LEDGER_SQL = " UNION ALL ".join([
     _ledger_row("gold_sales_by_store", "gold", "SELECT count(*) FROM gold_sales_by_store_v2"),
 ])
 
+
+KPIS_EXACT = f"""
+        SELECT {money_sum('total_amount')} AS total_revenue, count(order_id) AS total_orders,
+               {money_avg('total_amount')} AS avg_order_value, count(DISTINCT customer_id) AS unique_customers
+        FROM orders_enriched"""
+REGIONS_EXACT = f"""
+        SELECT region, {money_sum('total_amount')} AS total_revenue, count(order_id) AS order_count,
+               count(DISTINCT customer_id) AS unique_customers
+        FROM orders_enriched WHERE region IS NOT NULL GROUP BY region"""
+
+
+def _named_versions(stays: str) -> str:
+    """The newest version of each order among those that stay after the lookup of names."""
+    return f"""
+        SELECT * EXCLUDE (rn, found) FROM (
+          SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ingestion_date DESC) AS rn FROM (
+            SELECT v.* EXCLUDE (customer) REPLACE (v.customer AS customer_id), n.name, n.customer_id IS NOT NULL AS found
+            FROM (SELECT *, CASE WHEN ingestion_date = {LATER_INGESTION_SQL} AND cast(order_id AS BIGINT) % 20 = 0 THEN '-1'
+                  ELSE customer_id END AS customer FROM orders_versions) v
+            LEFT JOIN (SELECT cast(c_custkey AS VARCHAR) AS customer_id, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS name
+                       FROM customer) n ON v.customer = n.customer_id
+          ) WHERE {stays}
+        ) WHERE rn = 1"""
+
+
+def _breakdown(mart: str, names: list[str], groupings: list[list[str]]) -> str:
+    """One SELECT per grouping; shares and leaders within each."""
+    parts = []
+    for g in groupings:
+        columns = ", ".join(c if c in g else f"cast(NULL AS VARCHAR) AS {c}" for c in names)
+        parts.append(f"""SELECT '{','.join(g)}' AS grouping, {columns}, {money_sum('total_revenue')} AS total_revenue,
+            cast(sum(order_count) AS BIGINT) AS order_count FROM {mart}""" + (f" GROUP BY {', '.join(g)}" if g else ""))
+    order = "total_revenue DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS FIRST" for c in names)
+    return f"""SELECT *, total_revenue / cast(sum(cast(total_revenue AS DECIMAL(28,6))) OVER (PARTITION BY grouping) AS DOUBLE) AS share,
+        row_number() OVER (PARTITION BY grouping ORDER BY {order}) = 1 AS leads FROM ({' UNION ALL '.join(parts)})"""
+
+
 ORACLES: dict[str, str] = {
     # silver
     "silver_customers": with_model("SELECT * FROM customers_silver"),
@@ -302,10 +339,9 @@ ORACLES: dict[str, str] = {
                (SELECT cast(sum(order_count) AS BIGINT) FROM gold_daily_trend) AS total_orders,
                (SELECT {mean('avg_order_value')} FROM gold_daily_trend) AS avg_order_value,
                (SELECT cast(sum(unique_customers) AS BIGINT) FROM gold_regional_sales) AS unique_customers"""),
-    "kpis_exact": with_model(f"""
-        SELECT {money_sum('total_amount')} AS total_revenue, count(order_id) AS total_orders,
-               {money_avg('total_amount')} AS avg_order_value, count(DISTINCT customer_id) AS unique_customers
-        FROM orders_enriched"""),
+    "kpis_exact": with_model(KPIS_EXACT),
+    "kpis_rollup": with_model(KPIS_EXACT),
+    "regions_rollup": with_model(REGIONS_EXACT),
     "report_top_stores": with_reports("SELECT * FROM top_stores"),
     "report_store_type_split": with_reports("SELECT * FROM store_types"),
     "report_top_customers": with_model("""
@@ -318,11 +354,24 @@ ORACLES: dict[str, str] = {
         ORDER BY total_revenue DESC NULLS FIRST, product_id ASC NULLS FIRST LIMIT 15"""),
     "report_categories": with_reports("SELECT * FROM cats"),
     "report_regions": with_reports("SELECT * FROM regs"),
-    "regions_exact": with_model(f"""
-        SELECT region, {money_sum('total_amount')} AS total_revenue, count(order_id) AS order_count,
-               count(DISTINCT customer_id) AS unique_customers
-        FROM orders_enriched WHERE region IS NOT NULL GROUP BY region"""),
+    "regions_exact": with_model(REGIONS_EXACT),
     "report_channels": with_reports("SELECT * FROM chans"),
+    "report_regional_breakdown": with_model(_breakdown(
+        "gold_regional_sales", ["region", "channel", "segment"], [[], ["region"], ["channel"], ["segment"], ["region", "segment"]])),
+    "report_category_breakdown": with_model(_breakdown(
+        "gold_category_performance", ["category", "channel", "status"], [[], ["category"], ["channel"], ["status"], ["category", "status"]])),
+    "money_extremes": """
+        SELECT status, half, CASE status WHEN 'F' THEN count(*) * pow(2::DOUBLE, 70) WHEN 'O' THEN CASE WHEN bool_or(odd) THEN 'inf'::DOUBLE ELSE exact END
+                 WHEN 'P' THEN CASE WHEN bool_or(odd) THEN 'nan'::DOUBLE ELSE exact END END AS total,
+               CASE status WHEN 'F' THEN pow(2::DOUBLE, 70) WHEN 'O' THEN CASE WHEN bool_or(odd) THEN 'inf'::DOUBLE ELSE exact / count(*) END
+                 WHEN 'P' THEN CASE WHEN bool_or(odd) THEN 'nan'::DOUBLE ELSE exact / count(*) END END AS mean
+        FROM (
+          SELECT *, cast(sum(cast(price AS DECIMAL(28,6))) OVER (PARTITION BY status, half) AS DOUBLE) AS exact FROM (
+            SELECT o_orderstatus AS status, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS half, o_totalprice AS price,
+                   CASE o_orderstatus WHEN 'O' THEN o_orderkey % 100 = 1 WHEN 'P' THEN o_orderkey % 50 = 1 ELSE FALSE END AS odd
+            FROM orders))
+        GROUP BY status, half, exact""",
+    "order_items_colocated": with_model("SELECT * FROM items_enriched"),
     "report_region_segment_matrix": with_model(
         "SELECT region, "
         + ", ".join(
@@ -426,6 +475,13 @@ ORACLES: dict[str, str] = {
     "pipeline_regional_sales": with_model("SELECT * FROM gold_regional_sales_v2", RUN_CTES),
     "pipeline_daily_trend": with_model("SELECT * FROM gold_daily_trend_v2", RUN_CTES),
     "pipeline_category_performance": with_model("SELECT * FROM gold_category_performance", RUN_CTES),
+    "pipeline_sales_by_store": with_model("SELECT * FROM gold_sales_by_store_v2", RUN_CTES),
+    "pipeline_sales_by_customer": with_model("SELECT * FROM gold_sales_by_customer_v2", RUN_CTES),
+    "pipeline_product_performance": with_model("SELECT * FROM gold_product_performance", RUN_CTES),
+    "mart_groups_touched": with_model("""SELECT DISTINCT store_id, store_name, store_type, order_date FROM orders_enriched_v2
+        WHERE cast(order_id AS BIGINT) % 10 = 0""", RUN_CTES),
+    "pipeline_joined_not_null": with_model(_named_versions("name IS NOT NULL"), DEFECT_CTES),
+    "pipeline_inner_lookup": with_model(_named_versions("found"), DEFECT_CTES),
     "ledger_after_runs": with_model(LEDGER_SQL, RUN_CTES),
     "skip_rule": with_model(LEDGER_SQL, RUN_CTES),
     # streaming (availableNow + foreachBatch upsert)

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import add_ingestion_date
+from ..operators.distinct import CODE, VALUE, assign_codes, distinct_state
 from ..session import new_scratch_path
 from ..sources.retail import raw_dataset
 from .marts import build_named_mart
@@ -75,6 +76,17 @@ class StoredModel(RetailModel):
             self._silver[dataset] = self._store(f"silver-{dataset}", super().silver(dataset))
         return self._silver[dataset]
 
+    def customer_state(self) -> DataFrame:
+        """Orders per region, segment and channel with the codes of their customers: a mart whose
+        unique customers can be added up (``operators/distinct.py``)."""
+        if "customer_state" not in self._marts:
+            orders = self.silver("retail_orders")
+            codes = assign_codes(orders.select("customer_id")).withColumnRenamed(VALUE, "customer_id")
+            coded = orders.select("customer_id", "region", "segment", "channel", "total_amount").join(codes, "customer_id", "left")
+            state = distinct_state(coded, ["region", "segment", "channel"], CODE, ["total_amount"])
+            self._marts["customer_state"] = self._store("customer-state", state)
+        return self._marts["customer_state"]
+
     def mart(self, mart: str) -> DataFrame:
         name = _mart_name(mart)
         if name not in self._marts:

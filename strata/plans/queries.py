@@ -6,18 +6,21 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.money import money_avg, money_sum
 from ..operators import cleaning as C
 from ..operators.joins import join_using
 from ..operators.schema import enforce_schema
 from ..operators.schema import null_violations as _null_violations
+from ..session import new_scratch_path
 from ..sources import defects as D
 from ..sources.retail import order_items_raw, table
+from . import colocated
 from . import reports as R
 from .marts import build_mart, build_named_mart
 from .model import RetailModel, stored_model
 from .registry import REGISTRY, register
-from .retail_model import DEFAULT_RUN_DATE, SILVER_JOBS
-from .silver import build_silver
+from .retail_model import DEFAULT_RUN_DATE, SILVER_JOBS, SILVER_SCHEMAS
+from .silver import build_silver, prepare_side
 
 
 def model(spark: SparkSession, sf_dir: str) -> RetailModel:
@@ -107,9 +110,61 @@ def sql_text_metrics(spark, sf_dir):
     return build_mart(spec, stored_model(spark, sf_dir).silver("retail_orders"))
 
 
+@register()
+def money_extremes(spark, sf_dir):
+    """Sums and means of amounts that no decimal holds: huge ones, infinities and NaN, by order status."""
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+    amount = (
+        F.when(status == "F", F.lit(2.0**70))
+        .when((status == "O") & (F.col("o_orderkey") % 100 == 1), F.lit(float("inf")))
+        .when((status == "P") & (F.col("o_orderkey") % 50 == 1), F.lit(float("nan")))
+        .otherwise(price)
+    )
+    half = F.when(F.col("o_orderkey") % 2 == 0, "even").otherwise("odd").alias("half")
+    rows = table(spark, sf_dir, "orders").select(status.alias("status"), half, amount.alias("amount"))
+    return rows.groupBy("status", "half").agg(money_sum("amount").alias("total"), money_avg("amount").alias("mean"))
+
+
+@register()
+def order_items_colocated(spark, sf_dir):
+    """Line items enriched from facts stored bucketed by order: their join shuffles nothing."""
+    m, job = model(spark, sf_dir), SILVER_JOBS["retail_order_items"]
+    lookup, products = job["joins"]
+    items = C.latest_per_key(C.filter_nulls(m.bronze("retail_order_items"), job["not_null_columns"]), job["dedup_key"])
+    facts = {"items": items, "orders": prepare_side(m.bronze("retail_orders"), lookup).select(*lookup["select"])}
+    stored = colocated.store(facts, lookup["on"], new_scratch_path(spark, "colocated"), colocated.buckets_of(facts["items"]))
+    df = join_using(stored["items"], stored["orders"], lookup["on"], lookup["type"], lookup["select"])
+    df = join_using(df, m.silver("retail_products"), products["on"], products["type"], products["select"])
+    return enforce_schema(df, SILVER_SCHEMAS[job["target"]])[0]
+
+
 # ----------------------------------------------------------------- reports
 
 
+@register()
+def regions_rollup(spark, sf_dir):
+    """Exact unique customers per region from the mergeable mart, without silver."""
+    return R.regions_from_state(stored_model(spark, sf_dir).customer_state())
+
+
+@register()
+def kpis_rollup(spark, sf_dir):
+    return R.kpis_from_state(stored_model(spark, sf_dir).customer_state())
+
+
+@register()
+def report_regional_breakdown(spark, sf_dir):
+    """Total, regions, channels, segments and regions by segment: one scan of the mart."""
+    groupings = [(), ("region",), ("channel",), ("segment",), ("region", "segment")]
+    return R.breakdown(stored_model(spark, sf_dir).mart("regional_sales"), groupings)
+
+
+@register()
+def report_category_breakdown(spark, sf_dir):
+    groupings = [(), ("category",), ("channel",), ("status",), ("category", "status")]
+    return R.breakdown(stored_model(spark, sf_dir).mart("category_performance"), groupings)
+
+
 @register()
 def report_trend(spark, sf_dir):
     return R.trend(stored_model(spark, sf_dir).mart("daily_trend"))

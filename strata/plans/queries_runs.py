@@ -51,6 +51,29 @@ def pipeline_category_performance(spark, sf_dir):
     return lake.mart(spark, "gold_category_performance").frame()
 
 
+@register()
+def pipeline_sales_by_store(spark, sf_dir):
+    return two_day_lake(spark, sf_dir).mart(spark, "gold_sales_by_store").frame()
+
+
+@register()
+def pipeline_sales_by_customer(spark, sf_dir):
+    return two_day_lake(spark, sf_dir).mart(spark, "gold_sales_by_customer").frame()
+
+
+@register()
+def pipeline_product_performance(spark, sf_dir):
+    return two_day_lake(spark, sf_dir).mart(spark, "gold_product_performance").frame()
+
+
+@register()
+def mart_groups_touched(spark, sf_dir):
+    """Groups of the store mart that day 2 wrote: those of its orders, no others."""
+    lake = two_day_lake(spark, sf_dir)
+    commit = read_meta(spark, lake.layout.silver("retail_orders_enriched")).commit
+    return lake.mart(spark, "gold_sales_by_store").touched_by(commit)
+
+
 def _ledger_rows(spark, layout):
     return RunLedger(spark, layout.ledger).frame().drop("last_run_timestamp")
 
@@ -84,7 +107,7 @@ def incremental_bound(spark, sf_dir):
 
 
 def _own_lake(spark, sf_dir, name, orders_job, lookups, days):
-    """A lake of one job over orders, run for each of ``days`` (date, raw frame)."""
+    """A lake of one job over orders, run for each of ``days``: date, raw frame and, if not all, layers."""
     root = new_scratch_path(spark, name)
     layout = LakeLayout(raw=f"{root}/raw", lake=f"{root}/lake")
     for path, df in lookups.items():
@@ -97,9 +120,9 @@ def _own_lake(spark, sf_dir, name, orders_job, lookups, days):
             "not_null_columns": ["order_id"], "dedup_key": ["order_id"], **orders_job(root),
         },
     }
-    for day, raw in days:
+    for day, raw, *layers in days:
         land_raw(layout, day, {"retail_orders": raw})
-        if run_configs(spark, [job], [], layout.ledger, day):
+        if run_configs(spark, [job], [], layout.ledger, day, *layers):
             raise RuntimeError(f"run of {day} failed")
     return read_keyed_table(spark, layout.silver("orders"))
 
@@ -128,6 +151,37 @@ def pipeline_post_join_clean(spark, sf_dir):
     return _own_lake(spark, sf_dir, "postjoin", job, {"names": names}, [(DAY_ONE, orders_raw(spark, sf_dir))])
 
 
+def _two_versions(spark, sf_dir, name, job):
+    """Silver's first run over two landed days: of every tenth order a newer version, half of those
+    for a customer that the lookup doesn't have."""
+    names = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("name")
+    )
+    unknown = F.when(F.col("order_id").cast("long") % 20 == 0, F.lit("-1")).otherwise(F.col("customer_id"))
+    newer = newer_orders(spark, sf_dir).withColumn("customer_id", unknown)
+    days = [(DAY_ONE, orders_raw(spark, sf_dir), ("bronze",)), (DAY_TWO, newer, ("bronze", "silver"))]
+    return _own_lake(spark, sf_dir, name, job, {"names": names}, days)
+
+
+@register()
+def pipeline_joined_not_null(spark, sf_dir):
+    """A null in a joined column drops a version, not its key: the older version stays."""
+    job = lambda root: {
+        "not_null_columns": ["order_id", "name"],
+        "joins": [{"format": "parquet", "path": f"{root}/names", "on": "customer_id", "type": "left", "select": ["customer_id", "name"]}],
+    }
+    return _two_versions(spark, sf_dir, "joined-null", job)
+
+
+@register()
+def pipeline_inner_lookup(spark, sf_dir):
+    """An inner lookup drops a version, not its key."""
+    job = lambda root: {
+        "joins": [{"format": "parquet", "path": f"{root}/names", "on": "customer_id", "type": "inner", "select": ["customer_id", "name"]}],
+    }
+    return _two_versions(spark, sf_dir, "inner", job)
+
+
 @register()
 def backfill_older_day(spark, sf_dir):
     """Day 2 runs first, then day 1 is filled in: its new orders reach silver, its older
