@@ -475,9 +475,9 @@ ORACLES: dict[str, str] = {
     "pipeline_regional_sales": with_model("SELECT * FROM gold_regional_sales_v2", RUN_CTES),
     "pipeline_daily_trend": with_model("SELECT * FROM gold_daily_trend_v2", RUN_CTES),
     "pipeline_category_performance": with_model("SELECT * FROM gold_category_performance", RUN_CTES),
-    "pipeline_sales_by_store": with_model("SELECT * FROM gold_sales_by_store_v2", RUN_CTES),
-    "pipeline_sales_by_customer": with_model("SELECT * FROM gold_sales_by_customer_v2", RUN_CTES),
-    "pipeline_product_performance": with_model("SELECT * FROM gold_product_performance", RUN_CTES),
+    **{f"refreshed_{m}": with_model(f"SELECT * FROM gold_{m}_v2", RUN_CTES)
+       for m in ("regional_sales", "daily_trend", "sales_by_store", "sales_by_customer")},
+    **{f"refreshed_{m}": with_model(f"SELECT * FROM gold_{m}", RUN_CTES) for m in ("product_performance", "category_performance")},
     "mart_groups_touched": with_model("""SELECT DISTINCT store_id, store_name, store_type, order_date FROM orders_enriched_v2
         WHERE cast(order_id AS BIGINT) % 10 = 0""", RUN_CTES),
     "pipeline_joined_not_null": with_model(_named_versions("name IS NOT NULL"), DEFECT_CTES),
