@@ -452,6 +452,9 @@ ORACLES: dict[str, str] = {
     "incremental_scan": "SELECT *, cast(ts AS DATE) AS ingestion_date FROM events WHERE cast(ts AS DATE) > DATE '2024-01-15'",
     "date_folder_scan": "SELECT * FROM events WHERE cast(ts AS DATE) = DATE '2024-01-15'",
     "date_range_scan": "SELECT * FROM events WHERE cast(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'",
+    "drops_filtered_scan": """SELECT *, cast(ts AS DATE) AS drop_date FROM events
+        WHERE cast(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
+    "drops_stream": "SELECT *, cast(ts AS DATE) AS drop_date FROM events WHERE cast(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'",
     "upsert_first_write": with_model("SELECT * FROM orders_bronze"),
     "upsert": with_model(LATEST_VERSIONS, DEFECT_CTES),
     "upsert_rerun": with_model(LATEST_VERSIONS, DEFECT_CTES),

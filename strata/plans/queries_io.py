@@ -16,6 +16,7 @@ from ..session import new_scratch_path
 from ..sinks.keyed_table import merge_into, read_keyed_table, write_keyed_table
 from ..sinks.writers import write_spec
 from ..sources import defects as D
+from ..sources import drops
 from ..sources.paths import incremental, resolve_date_range, resolve_date_template
 from ..sources.readers import read
 from ..sources.retail import events_raw, orders_raw
@@ -111,6 +112,32 @@ def date_range_scan(spark, sf_dir):
     return spark.read.schema(EVENT_SCHEMA).parquet(*paths)
 
 
+def _drops(spark, sf_dir):
+    """The ``drops`` source over the landed event folders; no file is opened yet."""
+    drops.register(spark)
+    root = _date_folders(spark, sf_dir)
+    return root + "/year={year}/month={month}/day={day}", {"first": "2024-01-01", "last": "2024-01-31"}
+
+
+@register()
+def drops_filtered_scan(spark, sf_dir):
+    """A filter on the day chooses the folders."""
+    path, days = _drops(spark, sf_dir)
+    events = spark.read.format("drops").schema(f"{EVENT_SCHEMA}, drop_date date").options(**days).load(path)
+    return events.where(F.col("drop_date").between(F.lit(BACKFILL_FROM), F.lit(BACKFILL_TO)))
+
+
+@register()
+def drops_stream(spark, sf_dir):
+    """The folders as a stream: everything landed so far in one run, days as offsets."""
+    path, days = _drops(spark, sf_dir)
+    root = new_scratch_path(spark, "drops-stream")
+    events = spark.readStream.format("drops").schema(f"{EVENT_SCHEMA}, drop_date date").options(**days).load(path)
+    query = events.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_checkpoint")
+    query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/out")
+
+
 # ------------------------------------------------------------------ upserts
 
 
