@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 
 from ..session import new_scratch_path
 from ..sources import defects as D
-from ..sources.retail import RAW_DATASETS
+from ..sources.readers import file_stamps
+from ..sources.retail import RAW_DATASETS, TABLES
 from .mart_refresh import Mart
 from .pipeline import LakeLayout, land_raw, run
 from .retail_model import DEFAULT_RUN_DATE, GOLD_MARTS
@@ -24,7 +25,7 @@ from .retail_model import DEFAULT_RUN_DATE, GOLD_MARTS
 DAY_ONE = DEFAULT_RUN_DATE
 DAY_TWO = D.LATER_INGESTION
 
-_CACHE: dict[tuple[str, str, str], "TwoDayLake"] = {}
+_CACHE: dict[tuple, "TwoDayLake"] = {}
 
 
 @dataclass
@@ -44,7 +45,8 @@ def newer_orders(spark: SparkSession, sf_dir: str):
 
 
 def two_day_lake(spark: SparkSession, sf_dir: str, gold_refresh: str = "full") -> TwoDayLake:
-    key = (spark.sparkContext.applicationId, sf_dir, gold_refresh)
+    stamps = file_stamps(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES])
+    key = (spark.sparkContext.applicationId, sf_dir, gold_refresh, stamps)
     if key in _CACHE:
         return _CACHE[key]
     root = new_scratch_path(spark, "lake")

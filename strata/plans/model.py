@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.cleaning import add_ingestion_date
 from ..operators.distinct import CODE, VALUE, assign_codes, distinct_state
 from ..session import new_scratch_path
-from ..sources.retail import raw_dataset
+from ..sources.readers import file_stamps
+from ..sources.retail import TABLES, raw_dataset
 from .marts import build_named_mart
 from .retail_model import DEFAULT_RUN_DATE, GOLD_MARTS, SILVER_JOBS
 from .silver import build_silver
@@ -94,12 +95,12 @@ class StoredModel(RetailModel):
         return self._marts[name]
 
 
-_STORED: dict[tuple[str, str], StoredModel] = {}
+_STORED: dict[str, tuple[tuple, StoredModel]] = {}
 
 
 def stored_model(spark: SparkSession, sf_dir: str) -> StoredModel:
-    """One stored model per Spark application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        _STORED[key] = StoredModel(spark, sf_dir)
-    return _STORED[key]
+    """One stored model per Spark application and input; a new one when a table has changed."""
+    now = (spark.sparkContext.applicationId, *file_stamps(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES]))
+    if sf_dir not in _STORED or _STORED[sf_dir][0] != now:
+        _STORED[sf_dir] = now, StoredModel(spark, sf_dir)
+    return _STORED[sf_dir][1]

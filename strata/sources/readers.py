@@ -7,7 +7,7 @@ pushes filters and column pruning into it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -90,3 +90,14 @@ def read_spec(spark: SparkSession, spec: Mapping) -> DataFrame:
 def is_missing_path(exc: BaseException) -> bool:
     """True when Spark refused a read because the input path does not exist."""
     return isinstance(exc, AnalysisException) and exc.getCondition() == "PATH_NOT_FOUND"
+
+
+def file_stamps(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """Size and time of change of each path, None where there is none: whether inputs are still the same."""
+    out = []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        status = fs.getFileStatus(where) if fs.exists(where) else None
+        out.append(status and (status.getLen(), status.getModificationTime()))
+    return tuple(out)

@@ -206,3 +206,28 @@ def test_amounts_beyond_the_decimal_range_are_added_up(spark):
     got = {r.g: (r.s, r.a) for r in df.groupBy("g").agg(money_sum("v").alias("s"), money_avg("v").alias("a")).collect()}
     assert got[1] == (1e21, 5e20) and got[2] == (float("inf"), float("inf")) and got[4] == (0.3, 0.15) and got[5] == (None, None)
     assert all(math.isnan(x) for g in (3, 6) for x in got[g])
+
+
+def test_a_changed_table_is_not_read_from_the_store(spark, scratch, tmp_path):
+    import shutil
+
+    sf = tmp_path / "sf"
+    shutil.copytree(SF, sf)
+    first = stored_model(spark, str(sf))
+    assert stored_model(spark, str(sf)) is first
+    spark.read.parquet(f"{SF}/orders.parquet").limit(10).toPandas().to_parquet(sf / "orders2.parquet")
+    (sf / "orders.parquet").unlink()
+    (sf / "orders2.parquet").rename(sf / "orders.parquet")
+    assert stored_model(spark, str(sf)) is not first
+
+
+def test_given_segments_take_no_job_and_are_checked(spark):
+    mart = stored_model(spark, SF).mart("regional_sales")
+    names = [r.segment for r in mart.select("segment").distinct().collect() if r.segment]
+    spark.sparkContext.setJobGroup("matrix", "matrix")
+    matrix = R.region_segment_matrix(mart, sorted(names))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("matrix")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert _norm(matrix) == _norm(R.region_segment_matrix(mart))
+    with pytest.raises(Exception, match="outside the given columns"):
+        R.region_segment_matrix(mart, names[:1]).collect()
