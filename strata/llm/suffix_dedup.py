@@ -107,7 +107,8 @@ class Anchors:
             m = min(BLOCK, n - s)
             h = _grams(raw[s : s + m + LENGTH - 1])
             start, anchor = _block_anchors(h, m)
-            parts.append((start + s, anchor + s, h[anchor]))
+            # The least hash of a window is a small one: mixed again, so that ranges get equal shares.
+            parts.append((start + s, anchor + s, _mix(h[anchor]) >> _U(16)))
         if not parts:
             self.at = self.lo = self.hi = self.doc = np.zeros(0, np.int64)
             self.gram = np.zeros(0, np.uint64)
