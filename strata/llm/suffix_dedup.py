@@ -11,7 +11,8 @@ the run of windows that name it.
 1. ``chunks``: documents packed into compressed chunks of about 2 MB, staged; all
    later steps read these, and a chunk is the unit of every answer.
 2. ``repeated``: gram hashes that occur in more than one chunk.  A chunk asks with
-   sorted hashes, split over hash ranges, and gets bits back.
+   sorted hashes and their counts, split over hash ranges, and gets bits back: which
+   grams repeat, and which are hot, that is more than ``HOT`` times there.
 3. ``runs``: suffixes at repeated anchors, sorted per chunk, equal ones reduced to
    the earliest (the others are settled on the spot, so a passage that a third of
    all documents share leaves a chunk once), front-coded and cut by hash range.
@@ -21,8 +22,19 @@ the run of windows that name it.
 4. ``merge_range``: loser trees combine the runs of a range.  Every contender
    carries the length of the prefix it shares with the last winner, characters
    are compared from there on only, and the merged order comes with its LCPs.
-5. Windows are equal where right LCP and left context reach; all but the first
-   are repeats.  Their intervals go back to the chunks, which drop the bytes.
+5. Windows are equal where right LCP and left context reach (bytes are compared, the
+   rolling hash only sorts); all but the first are repeats.  Their intervals go back to
+   the chunks, which drop the bytes.
+
+A hot gram is a phrase shorter than a window in many surroundings (longer ones leave a
+chunk as few suffixes).  Its suffixes can't all meet in one task, so each of its windows
+goes by itself, as a 128-bit hash with its earliest place in the chunk, to the range of
+that hash, where again all but the first are repeats.
+
+Ranges are as many as the input asks for (``RANGE_BYTES`` of text each), and a chunk
+builds its suffixes in slices, so a task's memory depends neither on the size of the
+corpus nor on how often a gram or a byte repeats; a text of one repeated byte has an anchor
+at every byte, but few different suffixes.  A text longer than a chunk is a chunk of its own.
 
 Inputs: null text counts as empty.  Null ids are smaller than all others.  Among
 rows with equal ids the chunk order, fixed once chunks are staged, says which is
@@ -43,6 +55,9 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1  # grams of a window; an anchor has up to SPAN - 1 bytes of it to the left
 CHUNK_BYTES = 2 << 20
 BLOCK = 1 << 17
+SLICE = 1 << 16  # suffixes built at a time
+RANGE_BYTES = 4 << 20  # of text
+HOT = 20_000  # occurrences
 HEAD = 6  # bytes of the gram hash in front of a suffix
 RIGHT = HEAD + LENGTH
 WIDTH = HEAD + LENGTH + SPAN - 1 + 2  # and how far back its windows begin, least and most
@@ -61,13 +76,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 # ---- anchors ----------------------------------------------------------------------
 
-def _grams(raw: np.ndarray) -> np.ndarray:
-    """48-bit hash of the gram at every position."""
-    h, n = _BYTE[raw], 1
+def _gram_hashes(raw: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """64-bit hash of the gram at every position."""
+    h, n = table[raw], 1
     for c in _STEP:
         h = h[:-n] * c + h[n:]
         n *= 2
-    return _mix(h) >> _U(16)
+    return _mix(h)
+
+
+def _grams(raw: np.ndarray) -> np.ndarray:
+    """48 bits of it."""
+    return _gram_hashes(raw, _BYTE) >> _U(16)
 
 
 def _block_anchors(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,10 +213,14 @@ def _ranges(gram: np.ndarray, n: int) -> np.ndarray:
 
 # ---- which grams repeat ------------------------------------------------------------------
 
+ASKED = "chunk bigint, range int, grams binary, counts binary"
+ANSWERED = "chunk bigint, range int, bits binary, hot binary"
+
+
 def _ask(n_ranges: int):
     def run(batches):
         for row in _each(batches):
-            grams = np.unique(Chunk(row).anchors().gram)
+            grams, count = np.unique(Chunk(row).anchors().gram, return_counts=True)
             cut = np.searchsorted(_ranges(grams, n_ranges), np.arange(n_ranges + 1))
             full = np.flatnonzero(np.diff(cut))
             six = grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
@@ -205,6 +229,7 @@ def _ask(n_ranges: int):
                     "chunk": pa.array(np.full(len(full), row["chunk"]), pa.int64()),
                     "range": pa.array(full, pa.int32()),
                     "grams": pa.array([six[cut[r] : cut[r + 1]].tobytes() for r in full], pa.binary()),
+                    "counts": pa.array([_pack(count[cut[r] : cut[r + 1]].astype("<u4").tobytes()) for r in full], pa.binary()),
                 }
             )
 
@@ -212,20 +237,24 @@ def _ask(n_ranges: int):
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    rows = table.column("grams").to_pylist()
+    rows, counts = table.column("grams").to_pylist(), table.column("counts").to_pylist()
     sizes = [len(r) // 6 for r in rows]
     wide = np.zeros((sum(sizes), 8), np.uint8)
     wide[:, :6] = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 6)
-    _, where, count = np.unique(wide.reshape(-1).view("<u8"), return_inverse=True, return_counts=True)
-    more = count[where] > 1
+    times = np.frombuffer(b"".join(_unpack(c, 4 * n) for c, n in zip(counts, sizes, strict=True)), "<u4")
+    _, where, chunks_of = np.unique(wide.reshape(-1).view("<u8"), return_inverse=True, return_counts=True)
+    more, hot = chunks_of[where] > 1, (np.bincount(where, times) > HOT)[where]
     cuts = np.cumsum([0, *sizes])
-    bits = [np.packbits(more[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pa.table({"chunk": table.column("chunk"), "range": table.column("range"), "bits": pa.array(bits, pa.binary())})
+    out = {"chunk": table.column("chunk"), "range": table.column("range")}
+    for name, flags in (("bits", more), ("hot", hot)):
+        out[name] = pa.array([np.packbits(flags[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+    return pa.table(out)
 
 
 # ---- sorted runs --------------------------------------------------------------------------
 
-RUNS = "chunk bigint, range int, n int, size bigint, lcps binary, tails binary, meta binary, settled binary"
+RUNS = "chunk bigint, range int, n int, size bigint, lcps binary, tails binary, meta binary, settled binary, windows binary"
+WINDOWS = np.dtype([("h0", "<u8"), ("h1", "<u8"), ("doc_id", "<i8"), ("doc", "<i4"), ("at", "<i8")])
 META = np.dtype([("doc_id", "<i8"), ("doc", "<i4"), ("at", "<i8"), ("lo", "u1"), ("hi", "u1")])
 SPANS = np.dtype([("lo", "<i8"), ("hi", "<i8")])
 
@@ -267,52 +296,117 @@ def _meta(x: bytes, n: int) -> np.ndarray:
     return out
 
 
+def _window_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the ``LENGTH`` bytes at each place (ascending), from those of the grams that cover them."""
+    out = np.empty((2, len(at)), np.uint64)
+    for s in range(0, len(raw), BLOCK):
+        lo, hi = np.searchsorted(at, [s, s + BLOCK])
+        if lo < hi:
+            piece, here = raw[s : s + BLOCK + LENGTH - 1], at[lo:hi] - s
+            for k, table in enumerate((_BYTE, _mix(_BYTE))):
+                g = _gram_hashes(piece, table)
+                x = np.zeros(hi - lo, np.uint64)
+                for offset in (*range(0, LENGTH - GRAM, GRAM), LENGTH - GRAM):
+                    x = _mix((x ^ g[here + offset]) * _M + _U(offset + 1))
+                out[k, lo:hi] = x
+    return out[0], out[1]
+
+
+def _distinct(rows: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted different rows, their LCPs, the index of the earliest (by ``place``) of each, and
+    those of all others."""
+    text = np.ascontiguousarray(rows).view(f"S{WIDTH}").ravel()
+    order = np.argsort(place, kind="stable")
+    order = order[np.argsort(text[order], kind="stable")]
+    rows = rows[order]
+    lcps = _lcps(rows) if len(rows) else np.zeros(0, np.uint8)
+    first = lcps < WIDTH
+    return rows[first], lcps[first], order[first], order[~first]
+
+
+def _places(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rank of each place: by id, then by where it is in the chunk (documents follow each other there)."""
+    rank = np.empty(len(ids), np.int64)
+    rank[np.lexsort((at, ids))] = np.arange(len(ids))
+    return rank
+
+
+def _hot_windows(c: Chunk, a: Anchors, hot: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different windows of hot anchors at their earliest places, and the starts of the others."""
+    size = a.hi[hot] - a.lo[hot] + 1
+    at = np.repeat(a.lo[hot] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    doc = np.repeat(a.doc[hot], size)
+    order = np.argsort(at, kind="stable")
+    at, doc = at[order], doc[order]
+    found = np.empty(len(at), WINDOWS)
+    found["h0"], found["h1"] = _window_hashes(c.raw, at)
+    found["doc_id"], found["doc"], found["at"] = ids[doc], doc, at
+    found = found[np.lexsort((found["at"], found["doc_id"], found["h1"], found["h0"]))]
+    again = _same_windows(found)
+    return found[~again], found["at"][again]
+
+
+def _same_windows(w: np.ndarray) -> np.ndarray:
+    """Whether each has the hashes of the one before."""
+    same = (w["h0"][1:] == w["h0"][:-1]) & (w["h1"][1:] == w["h1"][:-1])
+    return np.concatenate([[False], same])[: len(w)]
+
+
 def _runs(n_ranges: int):
     def one(row: dict):
         c = Chunk(row)
         a = c.anchors()
         grams, where, count = np.unique(a.gram, return_inverse=True, return_counts=True)
-        known = count > 1
+        known, hot = count > 1, np.zeros(len(grams), bool)
         cut = np.searchsorted(_ranges(grams, n_ranges), np.arange(n_ranges + 1))
         for r in row["answers"] or []:
             lo, hi = cut[r["range"]], cut[r["range"] + 1]
             known[lo:hi] |= np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=hi - lo).astype(bool)
-        pick = np.flatnonzero(known[where])
-        at, doc = a.at[pick], a.doc[pick]
-        least, most = at - a.hi[pick], at - a.lo[pick]
-        rows = _suffixes(c.raw, at, least, most, a.gram[pick])
-        ids = np.array([-(1 << 63) if x is None else x for x in c.doc_ids], np.int64)[doc]
-        text = np.ascontiguousarray(rows).view(f"S{WIDTH}").ravel()
-        order = np.lexsort((at, doc, ids))
-        order = order[np.argsort(text[order], kind="stable")]  # equal suffixes: earliest first
-        rows = rows[order]
-        lcps = _lcps(rows) if len(rows) else np.zeros(0, np.uint8)
-        first = lcps < WIDTH
+            hot[lo:hi] = np.unpackbits(np.frombuffer(r["hot"], np.uint8), count=hi - lo)
+        ids = np.array([-(1 << 63) if x is None else x for x in c.doc_ids], np.int64)
+        pick = np.flatnonzero((known & ~hot)[where])
+        place = _places(ids[a.doc[pick]], a.at[pick])
+        # Slice by slice, different suffixes only; then those of all slices together.
+        kept, gone = [np.zeros((0, WIDTH), np.uint8)], []
+        index = [np.zeros(0, np.int64)]
+        for s in range(0, len(pick), SLICE):
+            some = pick[s : s + SLICE]
+            at = a.at[some]
+            rows, _, first, rest = _distinct(_suffixes(c.raw, at, at - a.hi[some], at - a.lo[some], a.gram[some]), place[s : s + SLICE])
+            kept.append(rows)
+            index.append(s + first)
+            gone.append(s + rest)
+        index = np.concatenate(index)
+        rows, lcps, first, rest = _distinct(np.concatenate(kept), place[index])
         # All but the first of equal suffixes repeat with every window they stand for.
-        rest = pick[order[~first]]
-        settled = np.empty(len(rest), SPANS)
-        settled["lo"], settled["hi"] = a.lo[rest], a.hi[rest]
-        order, rows, lcps = order[first], rows[first], lcps[first]
-        meta = np.empty(len(order), META)
-        meta["doc_id"], meta["doc"], meta["at"] = ids[order], doc[order], at[order]
-        meta["lo"], meta["hi"] = least[order], most[order]
-        cut = np.searchsorted(_ranges(a.gram[pick][order], n_ranges), np.arange(n_ranges + 1))
-        names, parts = np.flatnonzero(np.diff(cut)), []
-        for r in names:
+        rest = pick[np.concatenate([index[rest], *gone])]
+        own = pick[index[first]]
+        windows, again = _hot_windows(c, a, np.flatnonzero(hot[where]), ids)
+        settled = np.empty(len(rest) + len(again), SPANS)
+        settled["lo"], settled["hi"] = np.append(a.lo[rest], again), np.append(a.hi[rest], again)
+        meta = np.empty(len(own), META)
+        meta["doc_id"], meta["doc"], meta["at"] = ids[a.doc[own]], a.doc[own], a.at[own]
+        meta["lo"], meta["hi"] = a.at[own] - a.hi[own], a.at[own] - a.lo[own]
+        cut = np.searchsorted(_ranges(a.gram[own], n_ranges), np.arange(n_ranges + 1))
+        parts = []
+        for r in np.flatnonzero(np.diff(cut)):
             lo, hi = cut[r], cut[r + 1]
-            own = lcps[lo:hi].copy()
-            own[0] = 0
-            tails = rows[lo:hi][np.arange(WIDTH) >= own[:, None]]
+            mine = lcps[lo:hi].copy()
+            mine[0] = 0
+            tails = rows[lo:hi][np.arange(WIDTH) >= mine[:, None]]
             # Columns of equal kind side by side compress better.
             flat = b"".join(np.ascontiguousarray(meta[f][lo:hi]).tobytes() for f in META.names)
-            parts.append((int(r), hi - lo, len(tails), _pack(own.tobytes()), _pack(tails.tobytes()), _pack(flat), None))
-        if len(rest):
+            parts.append((int(r), hi - lo, len(tails), _pack(mine.tobytes()), _pack(tails.tobytes()), _pack(flat), None, None))
+        cut = np.searchsorted(_ranges(windows["h0"] >> _U(16), n_ranges), np.arange(n_ranges + 1))
+        for r in np.flatnonzero(np.diff(cut)):
+            parts.append((int(r), 0, int(cut[r + 1] - cut[r]), None, None, None, None, _pack(windows[cut[r] : cut[r + 1]].tobytes())))
+        if len(settled):
             # No range: these only pass by, under keys of their own.
-            parts.append((-1 - c.id % n_ranges, 0, 0, None, None, None, settled.tobytes()))
+            parts.append((-1 - c.id % n_ranges, 0, 0, None, None, None, settled.tobytes(), None))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(parts), c.id), pa.int64())]
-            + [pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4))],
-            names=["chunk", "range", "n", "size", "lcps", "tails", "meta", "settled"],
+            + [pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5))],
+            names=["chunk", "range", "n", "size", "lcps", "tails", "meta", "settled", "windows"],
         )
 
     def run(batches):
@@ -418,18 +512,19 @@ def _repeats(rows: np.ndarray, lcps: np.ndarray, meta: np.ndarray, chunk: np.nda
         group = np.cumsum(lcps < RIGHT - back)[here]
         order = np.lexsort((rank[here], left[here], group))
         g, x = group[order], left[here][order]
-        again = (g[1:] == g[:-1]) & (x[1:] == x[:-1])
-        out[here[order[1:][again]], back] = True
+        again = np.flatnonzero((g[1:] == g[:-1]) & (x[1:] == x[:-1]))
+        now, before = here[order[again + 1]], here[order[again]]
+        if back:
+            equal = (rows[now, RIGHT : RIGHT + back] == rows[before, RIGHT : RIGHT + back]).all(axis=1)
+            now = now[equal]
+        out[now, back] = True
     return out
 
 
-def merge_range(table: pa.Table) -> pa.Table:
-    """Merge the runs of one hash range and report the windows that repeat."""
-    if table.column("range")[0].as_py() < 0:
-        return pa.table({"chunk": table.column("chunk"), "spans": table.column("settled")})
+def _merged_suffixes(found: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of the windows that repeat, and their chunks, from the runs of one range."""
     runs, metas, owners = [], [], []
-    for k in range(table.num_rows):
-        row = table.slice(k, 1).to_pylist()[0]
+    for row in found:
         n = row["n"]
         lcps = np.frombuffer(_unpack(row["lcps"], n), np.uint8)
         whole = _unfold(n, lcps, _unpack(row["tails"], row["size"])).tobytes()
@@ -448,7 +543,29 @@ def merge_range(table: pa.Table) -> pa.Table:
     last = np.nonzero(edge == -1)[1] - 1
     spans = np.empty(len(r), SPANS)
     spans["lo"], spans["hi"] = meta["at"][r] - last, meta["at"][r] - first
-    owner = owner[r]
+    return spans, owner[r]
+
+
+def _merged_windows(found: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The same from windows of hot grams."""
+    parts = [np.frombuffer(_unpack(row["windows"], row["size"] * WINDOWS.itemsize), WINDOWS) for row in found]
+    w, owner = np.concatenate(parts), np.repeat([row["chunk"] for row in found], [len(p) for p in parts])
+    order = np.lexsort((w["at"], w["doc"], owner, w["doc_id"], w["h1"], w["h0"]))
+    w, owner = w[order], owner[order]
+    again = _same_windows(w)
+    spans = np.empty(int(again.sum()), SPANS)
+    spans["lo"] = spans["hi"] = w["at"][again]
+    return spans, owner[again]
+
+
+def merge_range(table: pa.Table) -> pa.Table:
+    """Merge the runs of one hash range and report the windows that repeat."""
+    if table.column("range")[0].as_py() < 0:
+        return pa.table({"chunk": table.column("chunk"), "spans": table.column("settled")})
+    rows = table.to_pylist()
+    suffixes, windows = [r for r in rows if r["n"]], [r for r in rows if not r["n"]]
+    found = ([_merged_suffixes(suffixes)] if suffixes else []) + ([_merged_windows(windows)] if windows else [])
+    spans, owner = (np.concatenate(x) for x in zip(*found, strict=True))
     by = np.argsort(owner, kind="stable")
     names, cut = np.unique(owner[by], return_index=True)
     blobs = np.split(spans[by], cut[1:]) if len(names) else []
@@ -459,10 +576,11 @@ def merge_range(table: pa.Table) -> pa.Table:
 
 def repeated_spans(packed: DataFrame) -> DataFrame:
     """``chunk, spans``: intervals of window starts that occur earlier."""
-    n_ranges = 4 * shuffle_width(packed.sparkSession)
-    asked = packed.mapInArrow(_ask(n_ranges), "chunk bigint, range int, grams binary")
-    answered = asked.groupBy("range").applyInArrow(_answer, "chunk bigint, range int, bits binary")
-    per_chunk = answered.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias("answers"))
+    n_bytes = packed.agg(F.sum("n_bytes")).first()[0] or 0
+    n_ranges = max(4 * shuffle_width(packed.sparkSession), -(-n_bytes // RANGE_BYTES))
+    asked = packed.mapInArrow(_ask(n_ranges), ASKED)
+    answered = asked.groupBy("range").applyInArrow(_answer, ANSWERED)
+    per_chunk = answered.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits", "hot")).alias("answers"))
     runs = packed.join(per_chunk, "chunk").mapInArrow(_runs(n_ranges), RUNS)
     return runs.groupBy("range").applyInArrow(merge_range, "chunk bigint, spans binary")
 

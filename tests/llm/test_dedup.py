@@ -144,3 +144,64 @@ def test_front_coding_round_trip():
     lcps = suffix_dedup._lcps(rows)
     tails = rows[np.arange(suffix_dedup.WIDTH) >= lcps[:, None]].tobytes()
     assert (suffix_dedup._unfold(len(rows), lcps, tails) == rows).all()
+
+
+def _in_rows(rows, spark):
+    got = suffix_dedup.report(suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)))
+    return rows_of(got)
+
+
+def _wanted(rows):
+    return sorted(repeats(sorted(rows, key=lambda r: r[0])))
+
+
+@pytest.mark.parametrize("hot, slice_, range_bytes", [(2, 1 << 16, 4 << 20), (20_000, 50, 4 << 20), (5, 7, 500)])
+def test_hot_grams_slices_and_ranges_change_nothing(spark, monkeypatch, hot, slice_, range_bytes):
+    for name, value in (("HOT", hot), ("SLICE", slice_), ("RANGE_BYTES", range_bytes), ("CHUNK_BYTES", 3000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    r = random.Random(hot)
+
+    def word():
+        return "".join(r.choice("abcdeé") for _ in range(r.randint(2, 9)))
+
+    phrase = " ".join(word() for _ in range(14))[:60]
+    passage = " ".join(word() for _ in range(60))
+    rows = [(k, f"{' '.join(word() for _ in range(r.randint(5, 40)))} {phrase} {' '.join(word() for _ in range(r.randint(5, 40)))}") for k in range(120)]
+    rows += [(200 + k, f"{word()} {passage} {word()} {phrase}{'x' * k}") for k in range(40)]
+    rows += [(300, "ab" * 400), (301, " " * 700), (302, "x" + " " * 300 + "y"), (303, phrase * 9)]
+    assert _in_rows(rows, spark) == _wanted(rows)
+
+
+def test_a_long_uniform_text(spark):
+    """Two million blanks, twice: all but the first window of the first text repeat."""
+    n = 2_000_000
+    rows = [(1, " " * n), (2, "start " + " " * n), (3, "ab" * 100_000)]
+    got = {r[0]: r[1:4] for r in _in_rows(rows, spark)}
+    assert got[1] == (n, n - 1, 1)  # every window after the first covers all but the first byte
+    assert got[2] == (n + 6, n + 1, 1)  # with the blank before them
+    assert got[3] == (200_000, 200_000 - 2, 1)
+
+
+def test_a_phrase_in_many_surroundings(spark):
+    """Shorter than a window: nothing repeats, although every document has it."""
+    r = random.Random(8)
+    phrase = "all rights reserved, no part may be reproduced without leave"
+    rows = [(k, f"{r.getrandbits(300):x} {phrase} {r.getrandbits(300):x}") for k in range(30_000)]
+    rows += [(50_000, rows[77][1]), (50_001, "x" + rows[78][1])]
+    got = {r[0]: r[2] for r in _in_rows(rows, spark)}
+    n = len(rows[77][1])
+    assert got[50_000] == n and got[50_001] == len(rows[78][1])
+    assert sum(got.values()) == n + len(rows[78][1])
+
+
+def test_left_context_is_compared_by_bytes(monkeypatch):
+    """A rolling hash that takes all left contexts for equal removes nothing."""
+    monkeypatch.setattr(suffix_dedup, "_M", np.uint64(0))
+    r = np.random.default_rng(2)
+    rows = r.integers(97, 123, (40, suffix_dedup.WIDTH)).astype(np.uint8)
+    rows[:, : suffix_dedup.RIGHT] = rows[0, : suffix_dedup.RIGHT]
+    rows = np.unique(rows, axis=0)
+    meta = np.zeros(len(rows), suffix_dedup.META)
+    meta["at"], meta["lo"], meta["hi"] = np.arange(len(rows)) * 1000, 0, suffix_dedup.SPAN - 1
+    again = suffix_dedup._repeats(rows, suffix_dedup._lcps(rows).astype(np.int64), meta, np.zeros(len(rows), np.int64))
+    assert again[:, 0].sum() == len(rows) - 1 and not again[:, 30:].any()
