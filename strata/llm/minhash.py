@@ -4,16 +4,19 @@
    keys of 5 minima each; the low 4 bits of every minimum packed into 8 longs.
    Two sets of similarity 0.85 share no band with probability 4e-7.
 2. Documents with equal sets form a class; from here on a class is one row.
-3. Candidates: in every band bucket each class meets the bucket's leader, drawn by
-   a hash.  Each class confirms the LEADERS leaders it meets in most buckets.  The
+3. Candidates: in every band bucket each class meets the bucket's leader: the class that
+   shares most buckets with others, as the text does that near copies were made from.
+   Each class confirms the LEADERS leaders it meets in most buckets.  The
    packed bits estimate the similarity, ``(matches - C) / (1 - C)`` with
    ``C = 1/16`` for chance; pairs far below the threshold go (0.14 is more than
    four standard deviations).
-4. Buckets that still hold several components compare the classes outside their
-   largest component with those of other components; a pair counts in the first
-   bucket it shares.  So every pair of a bucket is either known to be connected or
-   tested, and a large group of copies costs its size, not its square.
-5. Components of the confirmed links.
+4. Confirmed links make components.  Buckets that still hold several draw other leaders,
+   ROUNDS times, for the classes of other components than the leader's.
+5. What is left then compares the classes outside a bucket's largest component with those
+   of other components; a pair counts in the first bucket it shares.  So every pair of a
+   bucket is either known to be connected or tested.  A round costs the size of its
+   buckets; pairs are left only of classes that no leader of 25 buckets, 1 + ROUNDS times
+   drawn, has tied to the others.
 
 Inputs: null text and text without words have an empty set and are linked with
 nothing.  Fewer than five words are one shingle.  Rows with equal ids are rows
@@ -39,6 +42,7 @@ LOW_BITS = 4
 THRESHOLD = 85  # percent
 MARGIN = 0.14
 LEADERS = 4
+ROUNDS = 3  # of drawn leaders, after the first ones
 SALTS = 32  # parts of the rows that repeat one id and text
 CHUNK = 1 << 16  # shingles hashed at a time
 
@@ -233,9 +237,8 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
     )
     least = threshold / 100 - MARGIN
     keys = classes.select("cls", F.posexplode("bands").alias("band", "bucket"))
-    drawn = F.min_by("cls", F.xxhash64("bucket", "cls")).alias("lead")
-    leaders = keys.groupBy("bucket").agg(drawn, F.min("cls").alias("low"), F.max("cls").alias("high")).where("low < high").drop("low", "high")
-    members = stage(keys.join(leaders, "bucket"), "bucket-members")
+    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = stage(keys.join(shared, "bucket"), "bucket-members")
     sigs = classes.select("cls", "sig")
 
     def with_estimate(pairs: DataFrame) -> DataFrame:
@@ -243,11 +246,6 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
         sb = sigs.select(F.col("cls").alias("b"), F.col("sig").alias("gb"))
         return pairs.join(sa, "a").join(sb, "b").withColumn("est", estimate("ga", "gb")).where(F.col("est") >= least).drop("ga", "gb")
 
-    met = members.where("cls <> lead").groupBy(F.col("cls").alias("b"), F.col("lead").alias("a")).agg(F.count(F.lit(1)).alias("n"))
-    # A class meets at most BANDS leaders.
-    likeliest = met.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "a")), asc=False), 1, LEADERS).alias("most"))
-    first = with_estimate(likeliest.select("b", F.explode("most.a").alias("a"))).select("a", "b")
-
     # Whole sets of the classes that share any bucket, from their first documents.
     wanted = members.select("cls").distinct().join(classes.select("cls", "c0", "c1", "first_id"), "cls")
     read = docs.alias("d").join(
@@ -257,13 +255,41 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
         shingle_sets(read, id_col, text_col).join(wanted.select("c0", "c1", "cls"), ["c0", "c1"]).select("cls", "shingles").dropDuplicates(["cls"]),
         "shingle-sets",
     )
-    roots = connected_components(_confirmed(first, sets, threshold))
-
-    # Buckets that still hold several components.
-    placed = members.join(roots, members.cls == roots.node, "left").select("bucket", "band", "cls", F.coalesce("root", "cls").alias("comp"))
-    sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    rest = stage(placed.join(mixed.select("bucket", "major"), "bucket").join(classes.select("cls", "sig", "bands"), "cls"), "mixed-buckets")
+    def meet_leaders(placed: DataFrame, weight: Column) -> DataFrame:
+        """Links ``a, b`` between components, from each class and the likeliest leaders of its buckets."""
+        lead = F.max_by(F.struct(F.col("cls").alias("lead"), F.col("comp").alias("of")), weight).alias("l")
+        met = placed.join(placed.groupBy("bucket").agg(lead), "bucket").where("comp <> l.of")
+        met = met.groupBy("cls", "comp", "l.lead", "l.of").agg(F.count(F.lit(1)).alias("n"))
+        # A class meets at most BANDS leaders.
+        best = F.slice(F.sort_array(F.collect_list(F.struct("n", "lead", "of")), asc=False), 1, LEADERS)
+        likeliest = met.groupBy(F.col("cls").alias("b"), "comp").agg(F.explode(best).alias("m"))
+        pairs = stage(with_estimate(likeliest.select("b", F.col("m.lead").alias("a"), F.col("comp").alias("cb"), F.col("m.of").alias("ca"))), "leader-pairs")
+        return _confirmed(pairs, sets, threshold).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+    def moved(nodes: DataFrame, merged: DataFrame) -> DataFrame:
+        """With ``comp`` replaced by the component it is part of now."""
+        to = merged.select(F.col("node").alias("comp"), "root")
+        return nodes.join(to, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
+
+    def still_mixed(placed: DataFrame) -> DataFrame:
+        """Rows of the buckets that hold several components, with the largest one's ``major``."""
+        sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+        mixed = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        return placed.drop("major").join(mixed.select("bucket", "major"), "bucket")
+
+    central = members.groupBy("cls").agg(F.sum("size").alias("central"))
+    placed = members.join(central, "cls").select("bucket", "band", "cls", F.col("cls").alias("comp"), "central")
+    comps = classes.select("cls", F.col("cls").alias("comp"))
+    for k in range(1 + ROUNDS):
+        weight = F.struct("central", F.xxhash64("cls")) if not k else F.struct(F.xxhash64("bucket", "cls", F.lit(k)), "cls")
+        merged = connected_components(meet_leaders(placed, weight))
+        comps = stage(moved(comps, merged), "components")
+        placed = stage(still_mixed(moved(placed, merged)), "mixed-buckets")
+        if placed.isEmpty():
+            break
+
+    # Pairs of what is left.
+    rest = placed.join(classes.select("cls", "sig", "bands"), "cls")
     minor = rest.where("comp <> major").select("bucket", F.col("cls").alias("a"), F.col("comp").alias("ca"), F.col("sig").alias("ga"), "band", F.col("bands").alias("ba"))
     other = rest.select("bucket", F.col("cls").alias("b"), F.col("comp").alias("cb"), F.col("sig").alias("gb"), F.col("bands").alias("bb"), (F.col("comp") == F.col("major")).alias("is_major"))
     cross = (
@@ -282,13 +308,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
     linked = _confirmed(cross, sets, threshold).join(cross, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     merged = connected_components(linked)
 
-    final = (
-        classes.select("cls", "c0", "c1", "first_id", "first_hash")
-        .join(roots, F.col("cls") == F.col("node"), "left")
-        .select("c0", "c1", "first_id", "first_hash", F.coalesce("root", "cls").alias("comp"))
-        .join(merged, F.col("comp") == F.col("node"), "left")
-        .select("c0", "c1", "first_id", "first_hash", F.coalesce("root", "comp").alias("comp"))
-    )
+    final = moved(classes.select("cls", "c0", "c1", "first_id", "first_hash").join(comps, "cls"), merged)
     first = F.min(F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "first_hash")).alias("first")
     ids = final.groupBy("comp").agg(first).select("comp", F.col("first.first_id").alias("component_id"), "first.first_hash")
     named = final.select("c0", "c1", "comp").join(ids, "comp").select(F.col("c0").alias("k0"), F.col("c1").alias("k1"), "component_id", "first_hash")
