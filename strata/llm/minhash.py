@@ -6,17 +6,18 @@
 2. Documents with equal sets form a class; from here on a class is one row.
 3. Candidates: in every band bucket each class meets the bucket's leader: the class that
    shares most buckets with others, as the text does that near copies were made from.
-   Each class confirms the LEADERS leaders it meets in most buckets.  The
+   Each class confirms the leader it meets in most buckets.  The
    packed bits estimate the similarity, ``(matches - C) / (1 - C)`` with
    ``C = 1/16`` for chance; pairs far below the threshold go (0.14 is more than
    four standard deviations).
 4. Confirmed links make components.  Buckets that still hold several draw other leaders,
-   ROUNDS times, for the classes of other components than the leader's.
+   and the classes of other components confirm the likeliest two, then four and four again.
 5. What is left then compares the classes outside a bucket's largest component with those
    of other components; a pair counts in the first bucket it shares.  So every pair of a
    bucket is either known to be connected or tested.  A round costs the size of its
-   buckets; pairs are left only of classes that no leader of 25 buckets, 1 + ROUNDS times
-   drawn, has tied to the others.
+   buckets; pairs are left only of classes that no leader has tied to the others.  Those
+   classes get a longer sketch, of LONG_HASHES minima, which rules out pairs over 0.055 (four
+   standard deviations) below the threshold within the join; only the others are confirmed.
 
 Inputs: null text and text without words have an empty set and are linked with
 nothing.  Fewer than five words are one shingle.  Rows with equal ids are rows
@@ -41,8 +42,8 @@ BANDS, ROWS = 25, 5
 LOW_BITS = 4
 THRESHOLD = 85  # percent
 MARGIN = 0.14
-LEADERS = 4
-ROUNDS = 3  # of drawn leaders, after the first ones
+LONG_HASHES, LONG_MARGIN = 1024, 0.055
+LEADERS = (1, 2, 4, 4)  # that a class confirms, round by round
 SALTS = 32  # parts of the rows that repeat one id and text
 CHUNK = 1 << 16  # shingles hashed at a time
 
@@ -83,23 +84,33 @@ class Shingler:
         return np.unique(_mix(total))
 
 
-def _functions() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20240229)
-    draw = rng.integers(0, 1 << 63, size=(2, HASHES), dtype=np.int64).astype(np.uint64)
+def _functions(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    draw = rng.integers(0, 1 << 63, size=(2, n), dtype=np.int64).astype(np.uint64)
     return draw[0] * np.uint64(2) + np.uint64(1), draw[1] * np.uint64(2)
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """``len(sets) x HASHES`` minima of non-empty sets."""
-    a, b = _functions()
+def minima(sets: list[np.ndarray], n: int = HASHES, seed: int = 20240229) -> np.ndarray:
+    """``len(sets) x n`` minima of non-empty sets."""
+    a, b = _functions(n, seed)
     x = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
-    out = np.empty((HASHES, len(sets)), np.uint64)
-    for j in range(HASHES):
+    out = np.empty((n, len(sets)), np.uint64)
+    for j in range(n):
         out[j] = np.minimum.reduceat(x * a[j] + b[j], starts)
     return out.T
 
 
+def low_bits(m: np.ndarray) -> np.ndarray:
+    """The low bits of minima, packed into longs."""
+    low = _mix(m) & np.uint64((1 << LOW_BITS) - 1)
+    per = 64 // LOW_BITS
+    packed = np.zeros((len(m), m.shape[1] // per), np.uint64)
+    for k in range(per):
+        packed |= low[:, k::per] << np.uint64(LOW_BITS * k)
+    return packed.view(np.int64)
+
+
 def sketch(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and packed low bits of non-empty sets."""
     m = minima(sets)
@@ -109,12 +120,7 @@ def sketch(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         for k in range(ROWS):
             key = _mix(key * _M + m[:, i * ROWS + k])
         bands[:, i] = key
-    low = _mix(m) & np.uint64((1 << LOW_BITS) - 1)
-    per = 64 // LOW_BITS
-    packed = np.zeros((len(sets), HASHES // per), np.uint64)
-    for k in range(per):
-        packed |= low[:, k::per] << np.uint64(LOW_BITS * k)
-    return bands.view(np.int64), packed.view(np.int64)
+    return bands.view(np.int64), low_bits(m)
 
 
 def _set_key(s: np.ndarray) -> tuple[int, int]:
@@ -194,18 +200,32 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return _id_and_bytes(docs, id_col, text_col).select("text").mapInArrow(run, "c0 bigint, c1 bigint, shingles array<bigint>")
 
 
-def estimate(x: str, y: str) -> Column:
+def long_sketches(sets: DataFrame) -> DataFrame:
+    """``cls, long``: the packed low bits of LONG_HASHES minima of whole sets."""
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                found = [np.asarray(x.as_py(), np.int64).view(np.uint64) for x in part.column(1)]
+                packed = low_bits(minima(found, LONG_HASHES, 20240301))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(packed), pa.list_(pa.int64()))], names=["cls", "long"])
+
+    return sets.select("cls", "shingles").mapInArrow(run, "cls bigint, long array<bigint>")
+
+
+def estimate(x: str, y: str, hashes: int = HASHES) -> Column:
     """Similarity from two packed signatures: equal lanes by bit counts, less
     those that agree by chance."""
     lanes = 0x1111111111111111
     differ = F.lit(0)
-    for k in range(HASHES * LOW_BITS // 64):
+    for k in range(hashes * LOW_BITS // 64):
         d = F.col(x)[k].bitwiseXOR(F.col(y)[k])
         d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
         d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
         differ = differ + F.bit_count(d.bitwiseAND(lanes))
     chance = 1.0 / (1 << LOW_BITS)
-    return (F.lit(1.0) - differ / F.lit(float(HASHES)) - chance) / (1 - chance)
+    return (F.lit(1.0) - differ / F.lit(float(hashes)) - chance) / (1 - chance)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -255,13 +275,14 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
         shingle_sets(read, id_col, text_col).join(wanted.select("c0", "c1", "cls"), ["c0", "c1"]).select("cls", "shingles").dropDuplicates(["cls"]),
         "shingle-sets",
     )
-    def meet_leaders(placed: DataFrame, weight: Column) -> DataFrame:
-        """Links ``a, b`` between components, from each class and the likeliest leaders of its buckets."""
+
+    def meet_leaders(placed: DataFrame, weight: Column, n: int) -> DataFrame:
+        """Links ``a, b`` between components, from each class and the ``n`` likeliest leaders of its buckets."""
         lead = F.max_by(F.struct(F.col("cls").alias("lead"), F.col("comp").alias("of")), weight).alias("l")
         met = placed.join(placed.groupBy("bucket").agg(lead), "bucket").where("comp <> l.of")
         met = met.groupBy("cls", "comp", "l.lead", "l.of").agg(F.count(F.lit(1)).alias("n"))
         # A class meets at most BANDS leaders.
-        best = F.slice(F.sort_array(F.collect_list(F.struct("n", "lead", "of")), asc=False), 1, LEADERS)
+        best = F.slice(F.sort_array(F.collect_list(F.struct("n", "lead", "of")), asc=False), 1, n)
         likeliest = met.groupBy(F.col("cls").alias("b"), "comp").agg(F.explode(best).alias("m"))
         pairs = stage(with_estimate(likeliest.select("b", F.col("m.lead").alias("a"), F.col("comp").alias("cb"), F.col("m.of").alias("ca"))), "leader-pairs")
         return _confirmed(pairs, sets, threshold).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
@@ -280,18 +301,22 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
     central = members.groupBy("cls").agg(F.sum("size").alias("central"))
     placed = members.join(central, "cls").select("bucket", "band", "cls", F.col("cls").alias("comp"), "central")
     comps = classes.select("cls", F.col("cls").alias("comp"))
-    for k in range(1 + ROUNDS):
+    for k, n in enumerate(LEADERS):
         weight = F.struct("central", F.xxhash64("cls")) if not k else F.struct(F.xxhash64("bucket", "cls", F.lit(k)), "cls")
-        merged = connected_components(meet_leaders(placed, weight))
+        merged = connected_components(meet_leaders(placed, weight, n))
         comps = stage(moved(comps, merged), "components")
         placed = stage(still_mixed(moved(placed, merged)), "mixed-buckets")
         if placed.isEmpty():
             break
 
     # Pairs of what is left.
-    rest = placed.join(classes.select("cls", "sig", "bands"), "cls")
-    minor = rest.where("comp <> major").select("bucket", F.col("cls").alias("a"), F.col("comp").alias("ca"), F.col("sig").alias("ga"), "band", F.col("bands").alias("ba"))
-    other = rest.select("bucket", F.col("cls").alias("b"), F.col("comp").alias("cb"), F.col("sig").alias("gb"), F.col("bands").alias("bb"), (F.col("comp") == F.col("major")).alias("is_major"))
+    left = placed.select("cls").distinct()
+    longer = stage(long_sketches(sets.join(left, "cls", "left_semi")).join(classes.select("cls", "sig", "bands"), "cls"), "long-sketches")
+    rest = placed.join(longer, "cls")
+    own = {"cls": "{}", "comp": "c{}", "sig": "g{}", "bands": "b{}", "long": "l{}"}
+    side = lambda x: [F.col(c).alias(name.format(x)) for c, name in own.items()]
+    minor = rest.where("comp <> major").select("bucket", "band", *side("a"))
+    other = rest.select("bucket", (F.col("comp") == F.col("major")).alias("is_major"), *side("b"))
     cross = (
         minor.alias("m").join(
             other.alias("o"),
@@ -299,7 +324,8 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
             & (F.col("is_major") | (F.col("ca") < F.col("cb")))
             & (F.col("ca") != F.col("cb"))
             & (estimate("ga", "gb") >= least)
-            & ~F.arrays_overlap(F.slice("ba", 1, F.col("band")), F.slice("bb", 1, F.col("band"))),
+            & ~F.arrays_overlap(F.slice("ba", 1, F.col("band")), F.slice("bb", 1, F.col("band")))
+            & (estimate("la", "lb", LONG_HASHES) >= threshold / 100 - LONG_MARGIN),
         )
         .select("a", "b", "ca", "cb")
         .distinct()
