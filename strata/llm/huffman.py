@@ -1,22 +1,25 @@
 """Token-id output: canonical length-limited Huffman coding in independent blocks.
 
 Texts are tokenised in ascending ``doc_id`` order (null ids first, ties by
-a hash of the text), every document ends with ``end_id``.  Code lengths come from the counts
-of all ids, at most ``MAX_BITS`` bits, and the canonical code follows from the
-lengths alone.  A file row is a block of whole documents: its bit string, a
-checkpoint (bit offset) every ``STRIDE`` ids, and the documents' ids and lengths.
-Blocks decode on their own: one table look-up per id, all stretches between
-checkpoints side by side.
+a hash of the text and a place of the row), every document ends with ``end_id``.  Code lengths
+come from the counts of all ids, at most ``MAX_BITS`` bits (more where so many different ids
+need them), and the canonical code follows from the lengths alone.  A file row is a block
+of whole documents: its bit string, a checkpoint (bit offset) every ``STRIDE`` ids, and the
+documents' ids and lengths.  The code lengths are written beside the blocks, so another
+session decodes the files by themselves: one table look-up per id, all stretches
+between checkpoints side by side.
 
 A block closes at ``BLOCK_IDS`` ids, so a longer document is a block by itself.
 Inputs: null text counts as empty (one id, the end).  Repeated rows are written
-once each.  An empty table writes no blocks.
+once each, and may be written by several tasks, however often they occur.  An empty table
+writes no blocks.  Very long texts are tokenised whole.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,7 @@ from .common import shuffle_width, stage
 
 END_ID = 2
 MAX_BITS = 16
+WIDEST = 25  # bits of a code that, wherever it begins in a byte, is read from four bytes
 STRIDE = 64
 BLOCK_IDS = 1 << 18
 CACHE_WORDS = 1_000_000  # word -> ids entries a worker keeps, some 150 bytes each
@@ -42,17 +46,50 @@ BLOCK_SCHEMA = (
 
 # ---- tokenising ---------------------------------------------------------------
 
+PROBES = ("Mixed CASE, and 1234 numbers\n\tnew lines", "  x  y ", "d'accord l'été ...!?", "naïve Ünïcode 中文 ok")
+
+
+def _steps(spec: dict | None) -> list[dict]:
+    """A normaliser or pre-tokenizer, taken apart."""
+    inner = (spec or {}).get("normalizers") or (spec or {}).get("pretokenizers")
+    return [x for part in inner for x in _steps(part)] if inner else [spec] if spec else []
+
+
+def splits_at_space(tokenizer) -> bool:
+    """Whether a text's ids are those of its lower-cased words, one after another: white space
+    is dropped before the model sees it, and case doesn't matter."""
+    spec = json.loads(tokenizer.to_str())
+    lowers = any(s["type"] == "Lowercase" for s in _steps(spec["normalizer"]))
+    cuts = _steps(spec["pre_tokenizer"])
+    drops = any(s["type"] in ("Whitespace", "WhitespaceSplit") or s["type"] == "Split" and s["behavior"] == "Removed" for s in cuts)
+    if not (lowers and drops) or any(s.get("add_prefix_space") for s in cuts):
+        return False
+
+    def ids(text):
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    return all(ids(t) == [i for w in t.lower().split() for i in ids(w)] for t in PROBES)
+
+
+class TextEncoder:
+    """Ids of whole texts (UTF-8 bytes), each given to the tokenizer as it is."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.kind = tokenizer, id_kind(tokenizer.get_vocab_size())
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        whole = [(t or b"").decode("utf-8", "replace") for t in texts]
+        return [np.asarray(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)]
+
+
 class WordEncoder:
-    """Ids of whole texts (UTF-8 bytes).  The vocabulary lower-cases, drops white space and
-    never joins across it, so texts are encoded word by word and words are kept.
+    """The same for vocabularies that lower-case, drop white space and never join across it
+    (``splits_at_space``): texts are encoded word by word and words are kept.
     A full stop or comma after letters alone is a token of its own, so such words
     are put together from two known ones."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = id_kind(self.tokenizer.get_vocab_size())
+    def __init__(self, tokenizer):
+        self.tokenizer, self.kind = tokenizer, id_kind(tokenizer.get_vocab_size())
         self.known: dict[bytes, bytes] = {}
 
     def _look_up(self, words: list[bytes]) -> list[bytes]:
@@ -101,13 +138,16 @@ def id_kind(size: int) -> str:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str) -> WordEncoder | TextEncoder:
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return (WordEncoder if splits_at_space(tokenizer) else TextEncoder)(tokenizer)
 
 
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
-    """``doc_id, tie, ids``: every text's ids and the end id, staged, so that each text is
-    tokenised once.  ``tie`` orders rows of equal id."""
+    """``doc_id, tie, place, ids``: every text's ids and the end id, staged, so that each text is
+    tokenised once.  ``tie`` orders rows of equal id, and ``place`` those that are equal."""
 
     def run(batches):
         enc = encoder(path)
@@ -119,7 +159,8 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
 
     read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary"))
-    return stage(read.mapInArrow(run, "doc_id bigint, tie bigint, ids binary"), "token-ids")
+    found = read.mapInArrow(run, "doc_id bigint, tie bigint, ids binary")
+    return stage(found.withColumn("place", F.monotonically_increasing_id()), "token-ids")
 
 
 def count_ids(tokens: DataFrame, path: str) -> DataFrame:
@@ -143,6 +184,8 @@ def code_lengths(counts: dict[int, int], limit: int = MAX_BITS) -> dict[int, int
     """Optimal prefix code lengths of at most ``limit`` bits (package-merge)."""
     if len(counts) > 1 << limit:
         raise ValueError(f"{len(counts)} ids don't fit {limit} bits")
+    if limit > WIDEST:
+        raise ValueError(f"codes have at most {WIDEST} bits")
     symbols = sorted(counts, key=lambda s: (counts[s], s))
     if len(symbols) == 1:
         return {symbols[0]: 1}
@@ -189,26 +232,26 @@ class Code:
         size = self.size[ids].astype(np.int64)
         ends = np.cumsum(size)
         starts = ends - size
-        out = np.zeros(int(ends[-1] if len(ends) else 0) // 8 + 4, np.uint8)
-        # A code of at most 16 bits touches three bytes; codes never share a bit, so adding is or-ing.
-        window = self.code[ids].astype(np.uint32) << (24 - size - (starts & 7)).astype(np.uint32)
+        out = np.zeros(int(ends[-1] if len(ends) else 0) // 8 + 5, np.uint8)
+        # A code of at most 25 bits touches four bytes; codes never share a bit, so adding is or-ing.
+        window = self.code[ids].astype(np.uint32) << (32 - size - (starts & 7)).astype(np.uint32)
         at = starts >> 3
-        for k in range(3):
-            part = (window >> np.uint32(16 - 8 * k)) & np.uint32(255)
+        for k in range(3 if self.width <= 17 else 4):
+            part = (window >> np.uint32(24 - 8 * k)) & np.uint32(255)
             first = np.flatnonzero(np.diff(at, prepend=-1))
             if len(first):
                 out[at[first] + k] += np.add.reduceat(part, first).astype(np.uint8)
-        return out.tobytes(), starts[::STRIDE].astype(np.uint32)
+        return out.tobytes(), starts[::STRIDE].astype(np.uint64)
 
     def decode(self, bits: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         raw = np.frombuffer(bits + b"\0\0\0\0", np.uint8).astype(np.uint32)
-        words = (raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]
+        words = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
         at = checkpoints.astype(np.int64)
         out = np.zeros((STRIDE, len(at)), np.uint32)
         last = len(words) - 1
         for k in range(STRIDE):
             here = np.minimum(at >> 3, last)
-            window = (words[here] >> (24 - self.width - (at & 7)).astype(np.uint32)) & np.uint32((1 << self.width) - 1)
+            window = (words[here] >> (32 - self.width - (at & 7)).astype(np.uint32)) & np.uint32((1 << self.width) - 1)
             out[k] = self.symbol_of[window]
             at += self.size_of[window]
         return out.T.reshape(-1)[:n]
@@ -217,9 +260,11 @@ class Code:
 # ---- files ----------------------------------------------------------------------
 
 def write_blocks(tokens: DataFrame, path: str, lengths: dict[int, int], to: str) -> None:
-    """Encode what :func:`tokenise` made, in id order, and write the blocks as a table at ``to``."""
+    """Encode what :func:`tokenise` made, in id order, and write the blocks, and the code lengths
+    that they are read by, as tables at ``to``."""
     spark = tokens.sparkSession
-    code = spark.sparkContext.broadcast(lengths)  # at most 2**MAX_BITS entries
+    spark.createDataFrame(sorted(lengths.items()), "id int, length int").coalesce(1).write.parquet(f"{to}/lengths")
+    code = spark.sparkContext.broadcast(lengths)  # an entry per id of the vocabulary
 
     def encode(batches):
         from pyspark import TaskContext
@@ -258,14 +303,16 @@ def write_blocks(tokens: DataFrame, path: str, lengths: dict[int, int], to: str)
         if n:
             yield close()
 
-    ordered = tokens.repartitionByRange(shuffle_width(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
-    ordered.mapInArrow(encode, BLOCK_SCHEMA).write.option("compression", "none").parquet(to)
+    order = ["doc_id", "tie", "place"]
+    ordered = tokens.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    ordered.mapInArrow(encode, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{to}/blocks")
 
 
-def read_blocks(spark, at: str, lengths: dict[int, int]) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` (little-endian uint32 binary) from the files."""
+def read_blocks(spark, at: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids`` (little-endian uint32 binary) from the files alone."""
+    lengths = {r.id: r.length for r in spark.read.parquet(f"{at}/lengths").collect()}  # a row per id of the vocabulary
     code = spark.sparkContext.broadcast(lengths)
-    blocks = spark.read.parquet(at)
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{at}/blocks")
     # Where each written part begins: a row per part.
     sizes = sorted((r.part, r.n) for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     before, total = [], 0
@@ -281,7 +328,7 @@ def read_blocks(spark, at: str, lengths: dict[int, int]) -> DataFrame:
         table = Code(code.value)
         for batch in batches:
             for row in batch.to_pylist():
-                ids = table.decode(row["bits"], np.frombuffer(row["checkpoints"], np.uint32), row["n_ids"])
+                ids = table.decode(row["bits"], np.frombuffer(row["checkpoints"], np.uint64), row["n_ids"])
                 n = np.asarray(row["lengths"], np.int64)
                 ends = np.cumsum(n)
                 raw = ids.astype("<u4").tobytes()
@@ -303,12 +350,13 @@ def write_and_read(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """Encode ``docs`` to files in the shared folder and read the ids back."""
     spark = docs.sparkSession
     tokens = tokenise(docs, path, id_col, text_col, end_id)
-    # The tokenizer's vocabulary bounds this: at most 2**MAX_BITS rows.
+    # The tokenizer's vocabulary bounds this: a row per id.
     counts = {r.id: r.n for r in count_ids(tokens, path).collect()}
     to = new_scratch_path(spark, "token-blocks")
-    lengths = code_lengths(counts) if counts else {}
+    # Some bits more than the ids need, so that frequent ones can be short.
+    lengths = code_lengths(counts, max(MAX_BITS, len(counts).bit_length() + 2)) if counts else {}
     write_blocks(tokens, path, lengths, to)
-    return read_blocks(spark, to, lengths)
+    return read_blocks(spark, to)
 
 
 def digest(read: DataFrame) -> DataFrame:

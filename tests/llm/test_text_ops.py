@@ -90,6 +90,48 @@ def test_token_files_match_the_tokenizer(edge_docs, doc_rows, monkeypatch):
     assert ids == [i for i, _ in order]
 
 
+def test_codes_of_more_than_16_bits():
+    r = np.random.default_rng(6)
+    ids = np.concatenate([np.arange(70_000), np.minimum(r.zipf(1.2, 50_000), 69_999)]).astype(np.uint32)
+    r.shuffle(ids)
+    counts = dict(zip(*(x.tolist() for x in np.unique(ids, return_counts=True)), strict=True))
+    with pytest.raises(ValueError, match="don't fit"):
+        huffman.code_lengths(counts)
+    lengths = huffman.code_lengths(counts, 19)
+    assert 16 < max(lengths.values()) <= 19
+    code = huffman.Code(lengths)
+    bits, marks = code.encode(ids)
+    assert marks.dtype == np.uint64
+    assert (code.decode(bits, marks, len(ids)) == ids).all()
+
+
+def test_token_files_are_read_by_another_session(spark, scratch):
+    rows = [(k, "some words, once more " * k) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tokens = huffman.tokenise(docs, word_vocabulary())
+    counts = {r.id: r.n for r in huffman.count_ids(tokens, word_vocabulary()).collect()}
+    to = scratch("files")
+    huffman.write_blocks(tokens, word_vocabulary(), huffman.code_lengths(counts), to)
+    got = huffman.read_blocks(spark.newSession(), to)
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(word_vocabulary())
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got.collect()} == {i: [*t.encode(x, add_special_tokens=False).ids, 2] for i, x in rows}
+
+
+def test_vocabularies_that_keep_spaces_get_whole_texts(edge_docs, doc_rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    assert not huffman.splits_at_space(t) and huffman.splits_at_space(Tokenizer.from_file(word_vocabulary()))
+    got = huffman.digest(huffman.write_and_read(edge_docs, path)).collect()
+    want = [np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4") for _, x in doc_rows]
+    want = [(i, len(ids), zlib.crc32(ids.tobytes())) for (i, _), ids in zip(doc_rows, want, strict=True)]
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_token_files_empty_table(no_docs):
     assert huffman.write_and_read(no_docs, word_vocabulary()).count() == 0
 
