@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import chat, linkgraph, lm_score, mixing, quality, select
 from strata.llm.common import table
@@ -108,13 +109,92 @@ def test_mixing_report_on_edge_cases(edge_docs):
     assert kept.count() == sum(r.kept for r in rows)
 
 
-def test_mixing_given_targets_and_folding(edge_docs, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_CATEGORIES", 2)
+def test_mixing_given_targets_and_others(edge_docs):
     rows = mixing.sample_report(edge_docs, targets={"lang": {"en": 0.8, "fr": 0.1, mixing.OTHER: 0.1}}).toPandas()
     cells = rows.assign(w=rows.n_tokens * rows.factor)
     assert np.isclose(cells[cells.lang == "en"].w.sum() / cells.w.sum(), 0.8, atol=0.02)
 
 
+def _mix(spark, rows, targets=None, share=0.5):
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string")
+    names = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.lit("one")}
+    return mixing.Mix(docs, names, F.col("text"), targets, share), docs, names
+
+
+def _plain_factors(rows, targets, rounds=500):
+    """Raking by dictionaries: tokens and factor of each (source, lang)."""
+    w = collections.Counter()
+    for _, s, lang, t in rows:
+        w[s, lang] += len((t or "").split())
+    f = dict.fromkeys(w, 1.0)
+    for _ in range(rounds):
+        for k in (0, 1):
+            now = collections.Counter()
+            for c in w:
+                now[c[k]] += w[c] * f[c]
+            goal = targets[k] or {x: sum(n for c, n in w.items() if c[k] == x) ** mixing.TEMPER for x in now}
+            there = sum(goal.get(x, 0) for x in now if now[x] > 0)
+            for c in w:
+                f[c] *= goal.get(c[k], 0) / there * sum(now.values()) / now[c[k]] if now[c[k]] else 1.0
+    return w, f
+
+
+@pytest.mark.parametrize("cells", [0, 10**6])
+@pytest.mark.parametrize("given", [False, True])
+def test_mixing_matches_brute_force(spark, monkeypatch, cells, given):
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", cells)  # 0: as Spark jobs
+    r = np.random.default_rng(3)
+    rows = [(k, f"s{r.integers(6)}", ["en", "fr", None][r.integers(3)], "w " * int(r.integers(1, 60))) for k in range(150)]
+    targets = {"source": {f"s{k}": 1.0 + k for k in range(6)}, "lang": {"en": 0.5, "fr": 0.3, None: 0.2}} if given else {}
+    mix, _, _ = _mix(spark, rows, targets, 0.4)
+    w, f = _plain_factors(rows, [targets.get("source"), targets.get("lang")])
+    got = {(x.source, x.lang): x for x in mix.table.collect()}
+    assert set(got) == set(w)
+    assert all(math.isclose(got[c].factor, f[c], rel_tol=1e-5) for c in w)
+    assert math.isclose(sum(w[c] * got[c].probability for c in w), 0.4 * sum(w.values()), rel_tol=1e-6)
+    assert mix.misfit < 1e-4
+    reached = {(m.margin, m.category): (m.target, m.reached) for m in mix.margins().collect()}
+    assert all(math.isclose(a, b, rel_tol=1e-4) for a, b in reached.values())
+
+
+@pytest.mark.parametrize("cells", [0, 10**6])
+def test_every_source_keeps_its_target(spark, monkeypatch, cells):
+    """Eighty sources, each with a target of its own: none loses its documents."""
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", cells)
+    rows = [(k, f"s{k % 80}", "en", "a b c " * (1 + k % 7)) for k in range(1600)]
+    mix, docs, names = _mix(spark, rows, {"source": {f"s{k}": 1.0 + k % 3 for k in range(80)}})
+    assert mix.table.where("probability <= 0").isEmpty()
+    kept = mixing.sampled_documents(docs, names=names, targets={"source": {f"s{k}": 1.0 for k in range(80)}}, share=0.5)
+    assert kept.select("source").distinct().count() == 80
+
+
+@pytest.mark.parametrize("cells", [0, 10**6])
+def test_a_target_of_zero_keeps_nothing(spark, monkeypatch, cells):
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", cells)
+    rows = [(k, "bad" if k % 2 else "good", "en", "a b c") for k in range(200)]
+    rows += [(900, "bad", "en", None), (901, "good", "en", "")]
+    for share in (0.3, 0.9):  # 0.9 is out of reach: all good ones are kept
+        mix, docs, names = _mix(spark, rows, {"source": {"good": 1.0, "bad": 0.0}}, share)
+        p = {x.source: x.probability for x in mix.table.collect()}
+        assert p["bad"] == 0.0 and math.isclose(p["good"], min(1.0, 2 * share))
+    kept = mixing.sampled_documents(docs, names=names, targets={"source": {"good": 1.0}}, share=0.9)
+    assert {x.source for x in kept.collect()} == {"good"} and kept.count() == 101
+
+
+def test_names_like_the_artificial_ones_stay_apart(spark):
+    rows = [(1, None, "en", "a b"), (2, mixing.NONE, "en", "a b"), (3, mixing.OTHER, "en", "a b"), (4, "x", "en", "a b")]
+    mix, docs, names = _mix(spark, rows, {"source": {None: 0.4, mixing.NONE: 0.1, "x": 0.3, mixing.OTHER: 0.2}})
+    got = {m.category: m.reached for m in mix.margins().where("margin = 'source'").collect()}
+    assert {k: round(v, 6) for k, v in got.items()} == {None: 0.4, mixing.NONE: 0.1, mixing.OTHER: 0.2, "x": 0.3}
+    assert mixing.sample_report(docs, names=names).count() == 4
+
+
+def test_targets_that_contradict_are_reported(spark, caplog):
+    rows = [(1, "a", "en", "x y"), (2, "b", "fr", "x y")]
+    mix, _, _ = _mix(spark, rows, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "fr": 0.9}})
+    assert mix.misfit > 0.5 and "off its target" in caplog.text
+
+
 def test_mixing_sampled_shares(spark):
     docs = table(spark, MID, "documents")
     rows = mixing.sample_report(docs).toPandas()
