@@ -11,7 +11,7 @@
    ``C = 1/16`` for chance; pairs far below the threshold go (0.14 is more than
    four standard deviations).
 4. Confirmed links make components.  Buckets that still hold several draw other leaders,
-   and the classes of other components confirm the likeliest two, then four and four again.
+   and the classes of other components confirm the likeliest three.
 5. What is left then compares the classes outside a bucket's largest component with those
    of other components; a pair counts in the first bucket it shares.  So every pair of a
    bucket is either known to be connected or tested.  A round costs the size of its
@@ -43,7 +43,7 @@ LOW_BITS = 4
 THRESHOLD = 85  # percent
 MARGIN = 0.14
 LONG_HASHES, LONG_MARGIN = 1024, 0.055
-LEADERS = (1, 2, 4, 4)  # that a class confirms, round by round
+LEADERS = (1, 3)  # that a class confirms, round by round
 SALTS = 32  # parts of the rows that repeat one id and text
 CHUNK = 1 << 16  # shingles hashed at a time
 
@@ -214,20 +214,30 @@ def long_sketches(sets: DataFrame) -> DataFrame:
     return sets.select("cls", "shingles").mapInArrow(run, "cls bigint, long array<bigint>")
 
 
-def estimate(x: str, y: str, hashes: int = HASHES) -> Column:
-    """Similarity from two packed signatures: equal lanes by bit counts, less
-    those that agree by chance."""
-    lanes = 0x1111111111111111
-    differ = F.lit(0)
-    for k in range(hashes * LOW_BITS // 64):
-        d = F.col(x)[k].bitwiseXOR(F.col(y)[k])
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        differ = differ + F.bit_count(d.bitwiseAND(lanes))
+def _unlike(x: Column, y: Column) -> Column:
+    """How many lanes of two longs differ."""
+    d = x.bitwiseXOR(y)
+    d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+    d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+    return F.bit_count(d.bitwiseAND(0x1111111111111111))
+
+
+def _similarity(differ: Column, hashes: int) -> Column:
+    """Share of equal lanes, less those that agree by chance."""
     chance = 1.0 / (1 << LOW_BITS)
     return (F.lit(1.0) - differ / F.lit(float(hashes)) - chance) / (1 - chance)
 
 
+def estimate(x: str, y: str) -> Column:
+    """Similarity from two packed signatures."""
+    return _similarity(sum((_unlike(F.col(x)[k], F.col(y)[k]) for k in range(HASHES * LOW_BITS // 64)), F.lit(0)), HASHES)
+
+
+def long_estimate(x: str, y: str) -> Column:
+    """The same from two long ones, written as a loop: they have many longs."""
+    return _similarity(F.aggregate(F.zip_with(x, y, _unlike), F.lit(0), lambda total, d: total + d), LONG_HASHES)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar enough."""
     sa = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
@@ -325,7 +335,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
             & (F.col("ca") != F.col("cb"))
             & (estimate("ga", "gb") >= least)
             & ~F.arrays_overlap(F.slice("ba", 1, F.col("band")), F.slice("bb", 1, F.col("band")))
-            & (estimate("la", "lb", LONG_HASHES) >= threshold / 100 - LONG_MARGIN),
+            & (long_estimate("la", "lb") >= threshold / 100 - LONG_MARGIN),
         )
         .select("a", "b", "ca", "cb")
         .distinct()
