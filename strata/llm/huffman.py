@@ -23,6 +23,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ STRIDE = 64
 BLOCK_IDS = 1 << 18
 CACHE_WORDS = 1_000_000  # word -> ids entries a worker keeps, some 150 bytes each
 LOOK_UP = 512  # unknown words encoded as one text
+SLICE_BYTES = 16 << 20  # of texts split at a time
 LONG_WORD = 200  # longer words are tokenised without being kept
 
 BLOCK_SCHEMA = (
@@ -71,66 +73,90 @@ def splits_at_space(tokenizer) -> bool:
     return all(ids(t) == [i for w in t.lower().split() for i in ids(w)] for t in PROBES)
 
 
+def packed(ids: np.ndarray, ends: np.ndarray, end_id: int, kind: str) -> pa.BinaryArray:
+    """The ids of texts that end at ``ends``, each followed by ``end_id``, as byte strings."""
+    raw = np.insert(ids.astype(kind, copy=False), ends, end_id)
+    cuts = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * raw.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw)])
+
+
 class TextEncoder:
-    """Ids of whole texts (UTF-8 bytes), each given to the tokenizer as it is."""
+    """Ids of whole texts, each given to the tokenizer as it is."""
 
     def __init__(self, tokenizer):
         self.tokenizer, self.kind = tokenizer, id_kind(tokenizer.get_vocab_size())
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        whole = [(t or b"").decode("utf-8", "replace") for t in texts]
-        return [np.asarray(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)]
+    def encode(self, texts: pa.StringArray, end_id: int) -> pa.BinaryArray:
+        """The ids of each text and ``end_id``, as little-endian numbers of ``kind``."""
+        found = [e.ids for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+        ids = np.array(list(itertools.chain.from_iterable(found)), self.kind)
+        return packed(ids, np.cumsum([len(x) for x in found]), end_id, self.kind)
 
 
 class WordEncoder:
     """The same for vocabularies that lower-case, drop white space and never join across it
     (``splits_at_space``): texts are encoded word by word and words are kept.
-    A full stop or comma after letters alone is a token of its own, so such words
-    are put together from two known ones."""
+    A slice's texts are split and their different words numbered by Arrow; only those
+    are looked up, and a word's ids are taken by its number.  A full stop or comma after
+    letters alone is a token of its own, so such words are put together from two."""
 
     def __init__(self, tokenizer):
         self.tokenizer, self.kind = tokenizer, id_kind(tokenizer.get_vocab_size())
         self.known: dict[bytes, bytes] = {}
+        # Ids that end a piece of letters, if the vocabulary marks them.
+        suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or "\0"
+        self.ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
     def _look_up(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word, from one text of them all; offsets tell whose they are."""
+        """Ids of each word, from one text of them all.  Words of letters are one piece each, so
+        their last ids tell them apart; else offsets tell whose ids they are."""
         texts = [w.decode("utf-8", "replace") for w in words]
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.asarray(found.ids, dtype=self.kind)
+        if all(map(bytes.isalpha, words)):
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(words):
+                return [ids[a:b].tobytes() for a, b in itertools.pairwise([0, *ends.tolist()])]
         begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
         at = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), begins)
         return [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         known = self.known
-        new = [w for w in words if w not in known]
         ending = [w for w in new if w[-1:] in b".," and len(w) > 1 and w[:-1].decode("utf-8", "replace").isalpha()]
         plain = set(new).difference(ending)
         plain.update(w for e in ending for w in (e[:-1], e[-1:]) if w not in known)
-        plain = list(plain)
+        plain = sorted(plain, key=bytes.isalpha)
         for i in range(0, len(plain), LOOK_UP):
             part = plain[i : i + LOOK_UP]
             known.update(zip(part, self._look_up(part), strict=True))
         for e in ending:
             known[e] = known[e[:-1]] + known[e[-1:]]
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """The ids of each text, as little-endian numbers of ``kind``."""
-        # Bytes split at ASCII white space alone; other kinds stay with the tokenizer.
-        # Special tokens are told by case, so texts that may hold one keep theirs.
-        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+    def _ids(self, words: list[bytes]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        flat = list(itertools.chain.from_iterable(split))
-        ids = list(map(self.known.get, flat))
-        gaps = [i for i, x in enumerate(ids) if x is None]
-        if gaps:
-            self._learn({flat[i] for i in gaps if len(flat[i]) <= LONG_WORD})
-            for i in gaps:
-                w = flat[i]
-                ids[i] = self.known[w] if w in self.known else self._look_up([w])[0]
-        ends = [0, *itertools.accumulate(map(len, split))]
-        return [b"".join(ids[a:b]) for a, b in itertools.pairwise(ends)]
+        found = list(map(self.known.get, words))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        self._learn([words[i] for i in gaps if len(words[i]) <= LONG_WORD])
+        for i in gaps:
+            found[i] = self.known[words[i]] if len(words[i]) <= LONG_WORD else self._look_up([words[i]])[0]
+        return found
+
+    def encode(self, texts: pa.StringArray, end_id: int) -> pa.BinaryArray:
+        """The ids of each text and ``end_id``, as little-endian numbers of ``kind``."""
+        # Texts split at ASCII white space alone; other kinds stay with the tokenizer.
+        # Special tokens are told by case, so texts that may hold one keep theirs.
+        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lower)
+        word = split.flatten().dictionary_encode()
+        found = self._ids(word.dictionary.cast(pa.binary()).to_pylist())
+        cuts = np.cumsum([0, *map(len, found)]) // np.dtype(self.kind).itemsize
+        table = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.frombuffer(b"".join(found), self.kind)))
+        ids = table.take(word.indices).flatten().to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(np.diff(cuts)[word.indices.to_numpy(zero_copy_only=False)])])
+        return packed(ids, before[np.asarray(split.offsets)[1:]], end_id, self.kind)
 
 
 def id_kind(size: int) -> str:
@@ -145,20 +171,30 @@ def encoder(path: str) -> WordEncoder | TextEncoder:
     return (WordEncoder if splits_at_space(tokenizer) else TextEncoder)(tokenizer)
 
 
+def slices(texts: pa.StringArray):
+    """Runs of rows of at most ``SLICE_BYTES``, or one longer row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(ends):
+        held = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, held + SLICE_BYTES, side="right")))
+        yield first, last
+        first = last
+
+
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """``doc_id, tie, place, ids``: every text's ids and the end id, staged, so that each text is
     tokenised once.  ``tie`` orders rows of equal id, and ``place`` those that are equal."""
 
     def run(batches):
         enc = encoder(path)
-        end = np.asarray([end_id], enc.kind).tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                ids = [x + end for x in enc.encode(part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
+            for a, b in slices(batch.column(2)):
+                part = batch.slice(a, b - a)
+                texts = pa.concat_arrays([pc.fill_null(part.column(2), "")])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), enc.encode(texts, end_id)], names=["doc_id", "tie", "ids"])
 
-    read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary"))
+    read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string"))
     found = read.mapInArrow(run, "doc_id bigint, tie bigint, ids binary")
     return stage(found.withColumn("place", F.monotonically_increasing_id()), "token-ids")
 
