@@ -3,12 +3,18 @@
 Trust starts at hosts whose pages the allow rules fit and follows links
 (personalised PageRank); distrust starts at hosts whose pages the block rules
 fit and follows links backwards.  Both start from the fitting share of a host's
-pages.  Ranks are whole numbers of ``UNIT``-ths, so sums don't depend on their
-order and every run gives the same verdicts.
+pages; a host that is linked to but has no pages starts from the rule for all its
+paths, if there is one.  A host hands trust on in equal parts, and takes distrust over
+in equal parts of its links: how much it gets says how many of its own links lead to
+blocked hosts, however many other hosts link there too.  Ranks are whole numbers of
+``UNIT``-ths, so sums don't depend on their order and every run gives the same verdicts.
 
 Inputs: a null url, or one without ``://``, has empty host and path, fits no
-rule and is allowed.  Null html has no links.  Repeated pages count as pages.
-Repeated links between two hosts count once; links within a host don't count.
+rule and is allowed.  Null html has no links; links that begin with ``//`` count like
+those with a scheme.  Repeated pages count as pages.  Repeated links between two hosts count
+once; links within a host don't count.  Very long pages are read whole.  Of fitting rules of
+equal length the greater one (by text) wins.  An empty table gives an empty one; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,9 +28,9 @@ UNIT = 10**12
 DAMPING = 85  # percent of a host's rank that its links carry on
 ROUNDS = 12
 # A host is blocked when distrust exceeds trust by half of what a host keeps
-# whose pages are all blocked by rules.
+# whose pages are all blocked by rules: about when three in five of its links lead to such.
 THRESHOLD = UNIT * (100 - DAMPING) // 200
-LINK = r"""(?i)\bhref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^\s"'<>]+)"""
+LINK = r"""(?i)\bhref\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^\s"'<>]+)"""
 
 
 def _rest(url: Column) -> Column:
@@ -63,22 +69,24 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     return fits.groupBy("host").agg(F.sort_array(F.collect_set(one), asc=False).alias("rules"))
 
 
-def edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Distinct ``src, dst`` between the hosts of ``pages``, by their absolute links."""
+def edges(pages: DataFrame) -> DataFrame:
+    """Distinct ``src, dst`` between hosts, by the absolute links of ``pages``."""
     links = pages.select("host", F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("link"))
-    pairs = links.select(F.col("host").alias("src"), host_of(F.col("link")).alias("dst")).where("src <> dst AND src <> ''")
-    return pairs.distinct().join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi")
+    link = F.when(F.col("link").startswith("//"), F.concat(F.lit("x:"), "link")).otherwise(F.col("link"))
+    pairs = links.select(F.col("host").alias("src"), host_of(link).alias("dst"))
+    return pairs.where("src <> dst AND src <> '' AND dst <> ''").distinct()
 
 
 def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
     """``kind, host, rank``: ``seeds`` (``kind, host, seed`` in UNITs) spread over
     ``links`` (``kind, src, dst``) by personalised PageRank, one per kind.
 
-    A host hands ``damping`` percent of its rank to its links in equal parts;
-    one without links hands nothing on.  Every few rounds the ranks are staged,
-    which keeps the plan short and survives lost executors."""
-    out = links.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("fanout"))
-    graph = stage(links.join(out, ["kind", "src"]), "host-links")
+    A host hands ``damping`` percent of its rank to its links in equal parts, or to each
+    the part that its ``fanout`` says; one without links hands nothing on.  Every few rounds
+    the ranks are staged, which keeps the plan short and survives lost executors."""
+    if "fanout" not in links.columns:
+        links = links.join(links.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("fanout")), ["kind", "src"])
+    graph = stage(links, "host-links")
     base = seeds.select("kind", "host", ((100 - damping) * F.col("seed") / 100).cast("long").alias("own"))
     ranks = base.withColumnRenamed("own", "rank")
     if graph.isEmpty():
@@ -110,7 +118,8 @@ def judge_pages(
     base = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), F.col(html_col).alias("html"))
     plain = base.drop("html")
     hosts = plain.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where("host <> ''")
-    fits = stage(host_rules(hosts, parse_rules(spark, block, allow)), "host-rules")
+    rules = parse_rules(spark, block, allow)
+    fits = stage(host_rules(hosts, rules), "host-rules")
     fitting = F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"]))
     ruled = plain.join(fits, "host", "left").withColumn("best", F.get(fitting, F.lit(0)))
     ruled = ruled.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.ruling").alias("ruling"))
@@ -125,7 +134,12 @@ def judge_pages(
         ),
         "host-counts",
     )
-    seeds = counted.select(
+    links = stage(edges(base), "host-edges")
+    # Hosts without pages: what the rule for all their paths says.
+    unseen = links.select(F.col("dst").alias("host")).distinct().join(counted.select("host"), "host", "left_anti")
+    told = host_rules(unseen, rules.where("rule_path = '/'")).select("host", F.get("rules", F.lit(0))["ruling"].alias("ruling"))
+    told = told.select("host", F.lit(1).cast("bigint").alias("pages"), *[(F.col("ruling") == v).cast("bigint").alias(c) for v, c in (("allow", "allowed"), ("block", "blocked"))])
+    seeds = counted.unionByName(told).select(
         "host",
         F.inline(
             F.array(
@@ -134,9 +148,9 @@ def judge_pages(
             )
         ),
     ).where("seed > 0")
-    there = edges(base, counted)
-    both = there.select(F.lit("trust").alias("kind"), "src", "dst").unionByName(
-        there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"))
+    there = links.join(links.groupBy("src").agg(F.count(F.lit(1)).alias("fanout")), "src")
+    both = there.select(F.lit("trust").alias("kind"), "src", "dst", "fanout").unionByName(
+        there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "fanout")
     )
     ranks = propagate(seeds, both)
     verdicts = counted.select("host").join(

@@ -69,7 +69,7 @@ def _op3(block: list[str], allow: list[str], rounds: int, damping: int, unit: in
         host = f"regexp_extract({rest}, '^([^/?#]*)', 1)"
         return f"coalesce({_LOWER.format(host)}, '') AS host, coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '') AS path"
 
-    link = r"""(?i)\bhref\s*=\s*["'']?([a-z][a-z0-9+.-]*://[^\s"''<>]+)"""
+    link = r"""(?i)\bhref\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^\s"''<>]+)"""
     steps = ["r0 AS (SELECT kind, host, own AS rank FROM base)"]
     for i in range(rounds):
         steps.append(
@@ -89,16 +89,21 @@ hosts AS (
   SELECT host, count(*) AS n, count(*) FILTER (WHERE ruling = 'allow') AS al, count(*) FILTER (WHERE ruling = 'block') AS bl
   FROM ruled WHERE host <> '' GROUP BY host
 ),
+found AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM p),
+whole AS (SELECT src, CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END AS url FROM found),
+edge AS (SELECT DISTINCT src, host AS dst FROM (SELECT src, {split('url')} FROM whole) WHERE src <> host AND src <> '' AND host <> ''),
+unseen AS (
+  SELECT dst AS host, 1 AS n, CAST(arg_max(ruling, length(rule)) = 'allow' AS INTEGER) AS al, CAST(arg_max(ruling, length(rule)) = 'block' AS INTEGER) AS bl
+  FROM (SELECT DISTINCT dst FROM edge WHERE dst NOT IN (SELECT host FROM hosts)) JOIN rules ON (dst = rh OR ends_with(dst, '.' || rh)) AND rp = '/' GROUP BY dst
+),
+start AS (SELECT * FROM hosts UNION ALL SELECT * FROM unseen),
 base AS (
   SELECT kind, host, ((100 - {damping}) * seed) // 100 AS own FROM (
-    SELECT 'trust' AS kind, host, (al * {unit}) // n AS seed FROM hosts UNION ALL SELECT 'distrust', host, (bl * {unit}) // n FROM hosts
+    SELECT 'trust' AS kind, host, (al * {unit}) // n AS seed FROM start UNION ALL SELECT 'distrust', host, (bl * {unit}) // n FROM start
   ) WHERE seed > 0
 ),
-found AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS url FROM p),
-ends AS (SELECT DISTINCT src, host AS dst FROM (SELECT src, {split('url')} FROM found) WHERE src <> host AND src <> ''),
-edge AS (SELECT src, dst FROM ends WHERE dst IN (SELECT host FROM hosts)),
-both_ways AS (SELECT 'trust' AS kind, src, dst FROM edge UNION ALL SELECT 'distrust', dst, src FROM edge),
-graph AS (SELECT kind, src, dst, count(*) OVER (PARTITION BY kind, src) AS fanout FROM both_ways),
+fan AS (SELECT src, dst, count(*) OVER (PARTITION BY src) AS fanout FROM edge),
+graph AS (SELECT 'trust' AS kind, src, dst, fanout FROM fan UNION ALL SELECT 'distrust', dst, src, fanout FROM fan),
 {", ".join(steps)},
 ranks AS (
   SELECT host, sum(rank) FILTER (WHERE kind = 'trust') AS t, sum(rank) FILTER (WHERE kind = 'distrust') AS d FROM r{rounds} GROUP BY host
