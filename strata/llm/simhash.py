@@ -2,13 +2,16 @@
 
 A fingerprint has 128 bits, written as 32 hex digits.  Terms are ASCII-lower-
 cased words; each occurrence votes with weight ``(min(length, 8) - 1) ** 2``, so
-short function words, shared by unrelated texts, hardly count.  Two 32-bit
+short function words, shared by unrelated texts, hardly count.  A text without words of
+two or more characters, or whose words have over GLUED characters on average (scripts that
+don't put blanks between words), votes by its GRAM-character runs instead.  Two 32-bit
 vote counters share one long, so 128 bits need 64 sums; they hold a text of
 more than 40 million words.
 
-Inputs: null text counts as empty.  A text without (weighty) terms has the
-fingerprint of 32 zeros.  Repeated rows are rows of their own.  The order of
-documents is ``doc_id`` descending, null ids last, ties by text.
+Inputs: null text counts as empty, and only empty texts have the fingerprint of 32
+zeros.  Repeated rows are rows of their own.  The order of documents is ``doc_id``
+descending, null ids last (spread by a hash of their text), ties by text.  An empty table
+gives an empty one; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,13 +21,14 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_width
+from .common import ascii_lower, shuffle_width
 from .decontaminate import words
 
 BITS = 128
 LANES = 0x0000000100000001  # one counter in either half of a long
 LOW = 0xFFFFFFFF
 MAX_LEN = 8
+GRAM, GLUED = 3, 24
 # Copies with a 5-word Jaccard similarity of 0.8 or more lie 6 bits away on average; 16
 # bits hold 99.5 % of them, while unrelated texts are about 63 away.
 RADIUS = 16
@@ -37,6 +41,18 @@ def term_weight(term: Column) -> Column:
     return F.when(term.isNotNull(), (short * short).cast("long")).otherwise(F.lit(0).cast("long"))
 
 
+def character_runs(text: Column) -> Column:
+    """All runs of GRAM characters, or the whole text if it is shorter."""
+    runs = F.regexp_extract_all(ascii_lower(text), F.lit("(?s)(?=(.{%d}))" % GRAM), F.lit(1))
+    return F.when(F.length(text) >= GRAM, runs).otherwise(F.array(ascii_lower(text)))
+
+
+def _is_wordless(ws: Column, text: Column) -> Column:
+    n = F.size(ws)
+    letters = F.aggregate(ws, F.lit(0), lambda total, w: total + F.length(w))
+    return (F.length(text) > 0) & (F.forall(ws, lambda w: F.length(w) < 2) | ((F.length(text) > n * GLUED) & (letters > n * GLUED)))
+
+
 def _half_hex(half: int) -> Column:
     """16 hex digits from the 32 counter pairs of one 64-bit half."""
     bits = []
@@ -55,8 +71,13 @@ def _half_hex(half: int) -> Column:
 def fingerprints(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """``keys`` and ``fingerprint``: one row per key tuple.  Where ``texts`` is already
     partitioned by some of the keys, nothing is shuffled."""
-    terms = texts.select(*keys, F.explode_outer(words(F.col(text_col))).alias("term"))
-    hashed = terms.select(*keys, term_weight(F.col("term")).alias("w"), F.xxhash64("term").alias("h0"), F.xxhash64("term", F.lit(17)).alias("h1"))
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text__")
+    parts = texts.select(*keys, text, words(text).alias("words__"))
+    parts = parts.withColumn("runs__", _is_wordless(F.col("words__"), F.col("text__")))
+    found = F.when(F.col("runs__"), character_runs(F.col("text__"))).otherwise(F.col("words__"))
+    terms = parts.select(*keys, "runs__", F.explode_outer(found).alias("term"))
+    weight = F.when(F.col("runs__"), F.lit(1).cast("long")).otherwise(term_weight(F.col("term")))
+    hashed = terms.select(*keys, weight.alias("w"), F.xxhash64("term").alias("h0"), F.xxhash64("term", F.lit(17)).alias("h1"))
     sums = [F.sum("w").alias("votes")]
     for half in (0, 1):
         h = F.col(f"h{half}")

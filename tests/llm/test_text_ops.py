@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from strata.llm import decontaminate, huffman, simhash
 from strata.llm.common import table
 from strata.llm.queries import word_vocabulary
 
-from .brute import hits
+from .brute import hits, lower
 from .conftest import rows_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -236,3 +237,43 @@ def test_radius_finds_near_copies(spark):
 @pytest.mark.parametrize("radius", range(32))
 def test_blocks_leave_no_pair_out(radius):
     assert sum(flips + 1 for _, _, flips in simhash.blocks(radius)) == radius + 1
+
+
+def _plain_fingerprint(text):
+    """Votes in whole numbers, with Spark's own hashes given."""
+    words = [w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))]
+    if text and (all(len(w) < 2 for w in words) or (len(text) > 24 * len(words) and sum(map(len, words)) > 24 * len(words))):
+        low = lower(text)
+        return [(low[k : k + 3], 1) for k in range(len(low) - 2)] if len(low) >= 3 else [(low, 1)]
+    return [(w, (min(len(w), 8) - 1) ** 2) for w in words]
+
+
+def test_simhash_votes_match_brute_force(spark):
+    """Every bit of the fingerprint, from the same term hashes."""
+    texts = ["", "a b c d e", "1 2 3 x y z", "one Word two words", "x", "新年快乐大家好" * 9, "A-B-C!", "the the the cat", "word " * 50 + "Ünïcode été", "ab"]
+    terms = sorted({t for x in texts for t, _ in _plain_fingerprint(x)})
+    rows = spark.createDataFrame([(t,) for t in terms], "t string").selectExpr("t", "xxhash64(t) AS h0", "xxhash64(t, 17) AS h1").collect()
+    hashes = {r.t: (r.h0, r.h1) for r in rows}
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = {r.k: r.fingerprint for r in simhash.fingerprints(docs, ["k"]).collect()}
+    for k, x in enumerate(texts):
+        votes = _plain_fingerprint(x)
+        total, bits = sum(w for _, w in votes), 0
+        for half in (0, 1):
+            for b in range(64):
+                if 2 * sum(w for t, w in votes if hashes[t][half] >> b & 1) > total:
+                    bits |= 1 << (64 * half + b)
+        assert got[k] == f"{bits:032X}", x
+    assert [k for k, f in got.items() if f == "0" * 32] == [0]
+
+
+def test_simhash_of_texts_without_blanks(spark):
+    r = random.Random(3)
+    signs = [chr(0x4E00 + k) for k in range(600)]
+    base = "".join(r.choice(signs) for _ in range(400))
+    other = "".join(r.choice(signs) for _ in range(400))
+    docs = spark.createDataFrame([(1, base), (2, base + "。"), (3, other)], "doc_id bigint, text string")
+    f = {x.doc_id: x.fingerprint for x in simhash.fingerprints(docs, ["doc_id"]).collect()}
+    assert _likeness(f[1], f[2]) > 0.95 and _likeness(f[1], f[3]) < 0.7
+    long = spark.createDataFrame([(1, "长" * 300_000)], "doc_id bigint, text string")
+    assert simhash.fingerprints(long, ["doc_id"]).first().fingerprint != "0" * 32
