@@ -8,6 +8,11 @@ question.  Transitions, first roles and features are counted over all blocks
 with a known role; log probabilities are whole millionths, so the best path's
 value doesn't depend on how a conversation was cut.
 
+Where a role is known of no block (raw transcripts), the model is learnt by Baum-Welch: it
+begins with what MARKERS say (``prior``), known roles are held fixed, and expected counts
+of each part are added up in Spark, EM_ROUNDS times.  ``segment`` cuts transcripts that are
+one text into blocks, at lines that begin with a marker.
+
 Order and size: blocks are range-sorted by (conversation, turn, text) and staged
 in parts of about a shuffle partition.  A conversation may span many parts: each
 part boils its first and last conversation down to a table (best value from
@@ -15,10 +20,11 @@ each role before it to each role at its end), the driver chains those tables
 (two small rows per part), and each part then decodes with the roles at its
 ends known.  So no conversation is ever gathered in one task.
 
-Inputs: a null text is an empty block.  A null or unknown role trains nothing
-but the block still gets a role.  Blocks with equal conversation and turn are
+Inputs: a null text is an empty block, a very long one a block like any.  A null or unknown
+role trains nothing where others are known, but the block still gets a role.  Blocks with equal conversation and turn are
 ordered by text, null turns first.  Null conversations form one conversation.
-Equally likely paths: one of them, the same in each run.
+Equally likely paths: one of them, the same in each run.  An empty table gives an empty
+one; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +46,7 @@ MARKERS = {
     "assistant": ("assistant", "ai", "bot", "a", "answer", "agent"),
 }
 SCALE = 1_000_000
+EM_ROUNDS = 6
 NEVER = -(1 << 60)
 FEATURES = (len(MARKERS) + 1, 4, 5, 2)  # marker kind, lines, length, question
 _KIND = {w: k for k, words in enumerate(MARKERS.values()) for w in words}
@@ -58,6 +65,18 @@ def features(text: str | None) -> tuple[tuple[int, int, int, int], str]:
     return (kind, lines, length, int(body.rstrip().endswith("?"))), body
 
 
+def segment(raw: DataFrame, conv: str = "conv_id", text: str = "text") -> DataFrame:
+    """Blocks ``conv, turn, role, text`` of transcripts that are one text each: a block begins at
+    the text's start and at every line that begins with a marker.  Roles are unknown."""
+    words = "|".join(w for kinds in MARKERS.values() for w in kinds)
+    line = r"(?im)(?=^[ \t]*[\[<(*#]*[ \t]*(?:%s)[ \t]*[\])>*]*[ \t]*(?::|-|>))" % words
+    blocks = F.split(F.coalesce(F.col(text), F.lit("")), line)
+    # What stands before a marker that opens the text is no block.
+    full = F.when(F.size(blocks) > 1, F.filter(blocks, lambda b: F.trim(b) != "")).otherwise(blocks)
+    cut = raw.select(F.col(conv).alias("conv"), F.posexplode(full).alias("turn", "text"))
+    return cut.select("conv", F.col("turn").cast("bigint").alias("turn"), F.lit(None).cast("string").alias("role"), "text")
+
+
 def render(role: str, body: str) -> str:
     """A turn in the canonical form."""
     return f"<|{role}|>\n{body.strip()}\n<|end|>"
@@ -171,7 +190,81 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.table({n: pa.array([o[k] for o in out], t) for k, (n, t) in enumerate(zip(names, kinds, strict=True))})
 
 
+def prior() -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Counts to begin with where no role is known: a marker mostly means its role, users begin,
+    users and assistants take turns."""
+    n = len(ROLES)
+    first, step = np.ones(n), np.ones((n, n))
+    seen = [np.ones((n, f)) for f in FEATURES]
+    user, assistant = ROLES.index("user"), ROLES.index("assistant")
+    first[user] = 4
+    step[:, user], step[user, assistant], step[assistant, user] = 4, 20, 20
+    seen[0][:, 0] = 10
+    for k in range(n):
+        seen[0][k, k + 1] = 60
+    return first, step, seen
+
+
+def _expected(hmm):
+    """Expected counts of a part, in SCALE-ths; a conversation's piece in it is a sequence of its own."""
+    def run(table: pa.Table) -> pa.Table:
+        rows, starts, codes, _ = _columns(table)
+        n = len(ROLES)
+        emit = hmm.value.emit(codes) / SCALE
+        known = np.array([ROLES.index(r["role"]) if r["role"] in ROLES else -1 for r in rows])
+        emit[(known >= 0)[:, None] & (np.arange(n) != known[:, None])] = -np.inf
+        b = np.exp(emit - emit.max(axis=1, keepdims=True))
+        first, step = np.exp(hmm.value.first / SCALE), np.exp(hmm.value.step / SCALE)
+        gamma, begin, steps = np.empty_like(b), np.zeros(n), np.zeros((n, n))
+        for lo, hi in zip(starts, [*starts[1:], len(rows)], strict=True):
+            ahead = np.empty((hi - lo, n))
+            for t in range(lo, hi):
+                x = (first if t == lo else ahead[t - lo - 1] @ step) * b[t]
+                ahead[t - lo] = x / x.sum()
+            back = np.ones(n)
+            for t in range(hi - 1, lo - 1, -1):
+                x = ahead[t - lo] * back
+                gamma[t] = x / x.sum()
+                if t > lo:
+                    both = ahead[t - lo - 1][:, None] * step * (b[t] * back)
+                    steps += both / both.sum()
+                    back = step @ (b[t] * back)
+                    back /= back.sum()
+            begin += gamma[lo]
+        out = [(0, 0, k, begin[k]) for k in range(n)] + [(1, a, k, steps[a, k]) for a in range(n) for k in range(n)]
+        for f, size in enumerate(FEATURES):
+            for k in range(size):
+                at = gamma[codes[:, f] == k].sum(axis=0)
+                out += [(2 + f, a, k, at[a]) for a in range(n)]
+        kinds = [pa.int32(), pa.int32(), pa.int32()]
+        cols = {name: pa.array([o[i] for o in out], t) for i, (name, t) in enumerate(zip(("kind", "a", "b"), kinds, strict=True))}
+        # Whole numbers add up alike in any order.
+        return pa.table(cols | {"n": pa.array([round(SCALE * o[3]) for o in out], pa.int64())})
+
+    return run
+
+
+def learn(parts: DataFrame, rounds: int = EM_ROUNDS) -> Hmm:
+    """Baum-Welch from ``prior``; roles that are known are held fixed."""
+    spark = parts.sparkSession
+    hmm = Hmm(*prior())
+    for _ in range(rounds):
+        held = spark.sparkContext.broadcast(hmm)
+        found = parts.groupBy("part").applyInArrow(_expected(held), "kind int, a int, b int, n bigint")
+        first, step, seen = prior()
+        for r in found.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect():  # a few dozen
+            (first if r.kind == 0 else step if r.kind == 1 else seen[r.kind - 2])[(r.b,) if r.kind == 0 else (r.a, r.b)] += r.n / SCALE
+        hmm = Hmm(first, step, seen)
+    return hmm
+
+
 def fit(parts: DataFrame) -> Hmm:
+    """From known roles; if there is a role that no block is known to have, by ``learn``."""
+    known = {r.role for r in parts.where(F.col("role").isin(*ROLES)).select("role").distinct().collect()}
+    return count(parts) if known == set(ROLES) else learn(parts)
+
+
+def count(parts: DataFrame) -> Hmm:
     n = len(ROLES)
     first, step = np.zeros(n), np.zeros((n, n))
     seen = [np.zeros((n, f)) for f in FEATURES]

@@ -272,6 +272,30 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     assert got[4].verdict == "allow" and got[3].trust > 0
 
 
+def _judged(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    return {r.page_id: r for r in linkgraph.judge_pages(pages, BLOCK, ALLOW).collect()}
+
+
+@pytest.mark.parametrize("crawled", [True, False])
+@pytest.mark.parametrize("linkers", [1, 2, 10, 100])
+def test_a_link_farm_is_blocked_however_large(spark, linkers, crawled):
+    """Hosts that link to a blocked host alone, whether it was crawled or not; and a portal that
+    links there too, among many other links."""
+    rows = [(k, f"http://farm{k}.com/", "<a href='//bad.net/x'>") for k in range(linkers)]
+    rows += [(1000, "http://bad.net/x", "")] if crawled else []
+    rows += [(2000, "http://portal.com/", "<a href=http://bad.net/>" + "".join(f"<a href='http://site{k}.com/'>" for k in range(20)))]
+    got = _judged(spark, rows)
+    assert all(got[k].verdict == "block" and got[k].distrust > 0.1 for k in range(linkers))
+    assert got[2000].verdict == "allow" and 0 < got[2000].distrust < 0.01
+
+
+def test_uncrawled_trusted_hosts_count(spark):
+    got = _judged(spark, [(1, "http://good.org/fr/a", "<a href=http://mid.com/>"), (2, "http://mid.com/", "<a href='http://evil.net/'>"), (3, "http://x.com/", "<a href='http://q.org/fr/'>")])
+    assert got[2].trust > 0 and got[2].distrust > 0
+    assert got[3].distrust == 0  # org/fr/ is no rule for all paths of a host
+
+
 def test_pages_empty(spark):
     none = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert linkgraph.judge_pages(none, BLOCK, ALLOW).count() == 0
@@ -336,6 +360,60 @@ def test_chat_accuracy_and_rendering(spark):
     assert chat.features("Hello: there")[0][0] == 0
 
 
+def _accuracy(rows, truth):
+    return np.mean([r.parsed_role == truth[r.conv, r.turn] for r in rows])
+
+
+def test_chat_accuracy_on_held_out_and_unknown_roles(spark):
+    """Roles known of half the conversations, and of none."""
+    blocks = chat.as_transcript(table(spark, MID, "conversations"))
+    truth = {(r.conv, r.turn): r.role for r in blocks.collect()}
+    half = blocks.withColumn("role", F.when(F.col("conv") % 2 == 0, F.col("role")))
+    assert _accuracy([r for r in chat.parse_transcripts(half).collect() if r.conv % 2], truth) > 0.95
+    none = blocks.withColumn("role", F.lit(None).cast("string"))
+    assert _accuracy(chat.parse_transcripts(none).collect(), truth) > 0.9
+
+
+def test_chat_clear_markers_need_no_known_role(spark):
+    rows = [(c, t, None, f"{'User' if t % 2 == 0 else 'Assistant'}: line {c} {t}") for c in range(2) for t in range(10)]
+    blocks = spark.createDataFrame(rows, "conv bigint, turn bigint, role string, text string")
+    got = chat.parse_transcripts(blocks).collect()
+    assert all(r.parsed_role == ("user" if r.turn % 2 == 0 else "assistant") for r in got) and len(got) == 20
+
+
+def test_chat_segments_raw_text(spark):
+    raw = [(1, "System: be brief\nUser: hello\nsecond line\n\n**Assistant**: hi\nthere: not a marker\n> quoted\nQ - why?\n[Bot]: because"),
+           (2, "no marker at all\nbut two lines"), (3, None), (4, ""), (5, "opening words\nHuman: hm"), (6, "user: " + "long " * 50_000)]
+    docs = spark.createDataFrame(raw, "conv_id bigint, text string").selectExpr("*", "'x' as turn", "'x' as role")
+    cut = chat.segment(docs)
+    texts = {}
+    for r in cut.orderBy("conv", "turn").collect():
+        texts.setdefault(r.conv, []).append(r.text.strip())
+    assert texts[1] == ["System: be brief", "User: hello\nsecond line", "**Assistant**: hi\nthere: not a marker\n> quoted", "Q - why?", "[Bot]: because"]
+    assert texts[2] == ["no marker at all\nbut two lines"] and texts[3] == texts[4] == [""]
+    assert texts[5] == ["opening words", "Human: hm"] and len(texts[6]) == 1
+    got = {(r.conv, r.turn): r.parsed_role for r in chat.parse_transcripts(cut).collect()}
+    assert [got[1, t] for t in range(5)] == ["system", "user", "assistant", "user", "assistant"]
+
+
+def test_chat_raw_transcripts_come_back(spark):
+    """Conversations of a table as one text each, cut and labelled again without any role."""
+    blocks = chat.as_transcript(table(spark, MID, "conversations")).where("text RLIKE '^[A-Z][a-z]*: '")
+    whole = blocks.groupBy(F.col("conv").alias("conv_id")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n").alias("text")
+    )
+    got = chat.parse_transcripts(chat.segment(whole))
+    truth = {}
+    for r in blocks.orderBy("conv", "turn").collect():
+        truth.setdefault(r.conv, []).append(r.role)
+    found = {}
+    for r in got.orderBy("conv", "turn").collect():
+        found.setdefault(r.conv, []).append(r.parsed_role)
+    same = [c for c in truth if len(found[c]) == len(truth[c])]
+    assert len(same) > 0.9 * len(truth)
+    assert np.mean([a == b for c in same for a, b in zip(found[c], truth[c], strict=True)]) > 0.85
+
+
 def test_chat_empty(spark):
     none = spark.createDataFrame([], "conv bigint, turn bigint, role string, text string")
     assert chat.parse_transcripts(none).count() == 0
