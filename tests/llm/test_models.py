@@ -429,6 +429,55 @@ def test_quality_rejects_held_out_bad_documents(spark):
     assert found[~good].kept.mean() < 0.25
 
 
+def test_quality_matches_brute_force(spark):
+    """Counts, ratios, cut, weights, keys and the selection by dictionaries and sorting."""
+    from strata.llm.ngrams import HashedNgrams
+
+    r = np.random.default_rng(12)
+    plain = [f"w{k}" for k in range(60)]
+    rows, marks = [], []
+    for k in range(400):
+        good = k % 4 != 0
+        words = list(r.choice(plain, int(r.integers(5, 40)))) + ([] if good else list(r.choice(["junk!!", "SPAM", "zz9"], 6)))
+        r.shuffle(words)
+        rows.append((k, " ".join(words)))
+        if k < 300:
+            marks.append((k, int(good or k % 8 == 0), int(k % 8 == 0)))  # half of the bad ones are toxic, not junk
+    rows += [(900, None), (901, ""), (902, rows[3][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    hashes = docs.selectExpr("doc_id", f"xxhash64(doc_id, {quality.SEED}) AS l", f"xxhash64(doc_id, xxhash64(text), {quality.SEED}) AS h").collect()
+    by_label, by_text = {x.doc_id: x.l for x in hashes}, {x.doc_id: x.h for x in hashes}
+    known = {i: q == 1 and t == 0 for i, q, t in marks}
+    held = {i for i in known if by_label[i] % 100 < quality.HOLD}
+    grams = {i: set(HashedNgrams()(t).tolist()) for i, t in rows}
+    raw, target = collections.Counter(), collections.Counter()
+    inside = [i for i in known if known[i] and i not in held]
+    for i, g in grams.items():
+        raw.update(g)
+        if i in inside:
+            target.update(g)
+    share = len(inside) / len(rows)
+    best = None
+    for sigmas in quality.SIGMAS:
+        ratio = {b: math.log((target[b] + 1) / (n * share + 1)) for b, n in raw.items() if (target[b] - n * share) / math.sqrt(n * share + 1) <= -sigmas}
+        weight = {i: sum(ratio.get(b, 0.0) for b in g) for i, g in grams.items()}
+        cut, cost = quality.best_cut(np.array([weight[i] for i in held if known[i]]), np.array([weight[i] for i in held if not known[i]]))
+        if best is None or cost < best[0]:
+            best = (cost, weight, cut)
+    _, weight, cut = best
+    key = {}
+    for i, w in weight.items():
+        u = (((by_text[i] % (1 << 64)) >> 11) + 0.5) / (1 << 53)
+        key[i] = max(w * quality.SHARPNESS, -1e6) - math.log(-math.log(u))
+    k = sum(w >= cut for w in weight.values())
+    kept = set(sorted(key, key=key.get, reverse=True)[:k])
+    got = quality.decide(quality.resampler(docs, labels)).collect()
+    assert {x.doc_id for x in got if x.kept} == kept
+    assert not [(x, weight[x.doc_id]) for x in got if not math.isclose(x.log_weight, weight[x.doc_id], abs_tol=1e-9)]
+    assert 0.6 < len(kept) / len(rows) < 0.9
+
+
 def test_quality_on_edge_cases(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(30)] + [(65, 0, 0), (66, 0, 0), (67, 0, 1), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
     rows = quality.decide(quality.resampler(edge_docs, labels)).collect()
