@@ -35,9 +35,9 @@ MAX_BITS = 16
 WIDEST = 25  # bits of a code that, wherever it begins in a byte, is read from four bytes
 STRIDE = 64
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 1_000_000  # word -> ids entries a worker keeps, some 150 bytes each
+CACHE_WORDS = 800_000  # word -> ids entries a worker keeps, some 150 bytes each
 LOOK_UP = 512  # unknown words encoded as one text
-SLICE_BYTES = 16 << 20  # of texts split at a time
+SLICE_BYTES = 2 << 20  # of texts split at a time
 LONG_WORD = 200  # longer words are tokenised without being kept
 
 BLOCK_SCHEMA = (
@@ -193,6 +193,7 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 part = batch.slice(a, b - a)
                 texts = pa.concat_arrays([pc.fill_null(part.column(2), "")])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), enc.encode(texts, end_id)], names=["doc_id", "tie", "ids"])
+            pa.default_memory_pool().release_unused()
 
     read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string"))
     found = read.mapInArrow(run, "doc_id bigint, tie bigint, ids binary")
