@@ -60,7 +60,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Distinct shingle hashes of texts (as UTF-8 bytes); keeps word hashes."""
 
-    def __init__(self, size: int = SHINGLE, keep: int = 500_000):
+    def __init__(self, size: int = SHINGLE, keep: int = 250_000):
         self.size, self.keep, self.known = size, keep, {}
 
     def __call__(self, text: bytes | None) -> np.ndarray:

@@ -47,7 +47,7 @@ def shape(token: str) -> str:
 class HashedNgrams:
     """Distinct n-gram buckets of a text; keeps the hashes of tokens."""
 
-    def __init__(self, keep: int = 400_000):
+    def __init__(self, keep: int = 250_000):
         self.keep, self.known, self.shapes = keep, {}, {}
 
     def _token(self, token: str) -> bytes:

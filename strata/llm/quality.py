@@ -75,11 +75,11 @@ def _counts(docs: DataFrame, target: set[int]) -> DataFrame:
     ids = docs.sparkSession.sparkContext.broadcast(target)
 
     def count(batches):
-        grams, inside = HashedNgrams(), ids.value
+        inside = ids.value
         raw, good = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.append(grams(text.as_py()), BUCKETS)
+                found = np.append(_grams(text.as_py()), BUCKETS)
                 raw[found] += 1
                 if doc_id in inside:
                     good[found] += 1
