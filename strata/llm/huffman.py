@@ -35,9 +35,9 @@ MAX_BITS = 16
 WIDEST = 25  # bits of a code that, wherever it begins in a byte, is read from four bytes
 STRIDE = 64
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 800_000  # word -> ids entries a worker keeps, some 150 bytes each
+CACHE_WORDS = 1_000_000  # word -> ids entries a worker keeps, some 150 bytes each
 LOOK_UP = 512  # unknown words encoded as one text
-SLICE_BYTES = 2 << 20  # of texts split at a time
+SLICE_BYTES = 4 << 20  # of texts split at a time
 LONG_WORD = 200  # longer words are tokenised without being kept
 
 BLOCK_SCHEMA = (
