@@ -24,6 +24,7 @@ share their fate, so ties may keep a few rows more than k.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,11 +76,11 @@ def _counts(docs: DataFrame, target: set[int]) -> DataFrame:
     ids = docs.sparkSession.sparkContext.broadcast(target)
 
     def count(batches):
-        inside = ids.value
+        grams, inside = HashedNgrams(), ids.value
         raw, good = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.append(_grams(text.as_py()), BUCKETS)
+                found = np.append(grams(text.as_py()), BUCKETS)
                 raw[found] += 1
                 if doc_id in inside:
                     good[found] += 1
@@ -98,21 +99,14 @@ def log_weights(model: Model, spark) -> callable:
     held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def weigh(batches: pd.Series) -> pd.Series:
-        return pd.Series([held.value.weigh(_grams(t)) for t in batches], dtype="float64")
+    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        grams = HashedNgrams()  # goes with the task: a worker serves the next stages too
+        for texts in batches:
+            yield pd.Series([held.value.weigh(grams(t)) for t in texts], dtype="float64")
 
     return weigh
 
 
-_KEPT: list[HashedNgrams] = []
-
-
-def _grams(text: str | None) -> np.ndarray:
-    if not _KEPT:
-        _KEPT.append(HashedNgrams())
-    return _KEPT[0](text)
-
-
 def best_cut(good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
     """The cut between two weights with the least cost, and that cost."""
     if not len(bad):
@@ -148,9 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     tried = spark.sparkContext.broadcast(models)
 
     def weigh(batches):
+        grams = HashedNgrams()
         for batch in batches:
-            grams = [_grams(t.as_py()) for t in batch.column(1)]
-            weights = [[m.weigh(g) for m in tried.value] for g in grams]
+            weights = [[m.weigh(g) for m in tried.value] for g in (grams(t.as_py()) for t in batch.column(1))]
             yield pa.RecordBatch.from_pydict({"good": batch.column(0), "w": pa.array(weights, pa.list_(pa.float64()))})
 
     # At most HOLD percent of the sampled labels: small enough to broadcast, by FIT_ROWS.
