@@ -37,7 +37,7 @@ STRIDE = 64
 BLOCK_IDS = 1 << 18
 CACHE_WORDS = 1_000_000  # word -> ids entries a worker keeps, some 150 bytes each
 LOOK_UP = 512  # unknown words encoded as one text
-SLICE_BYTES = 4 << 20  # of texts split at a time
+SLICE_BYTES = 8 << 20  # of texts split at a time
 LONG_WORD = 200  # longer words are tokenised without being kept
 
 BLOCK_SCHEMA = (
@@ -200,13 +200,19 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     return stage(found.withColumn("place", F.monotonically_increasing_id()), "token-ids")
 
 
+def joined(rows: pa.BinaryArray) -> memoryview:
+    """The bytes of all rows, as they follow each other in the array."""
+    ends = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset : rows.offset + len(rows) + 1]
+    return memoryview(rows.buffers()[2] or b"")[int(ends[0]) : int(ends[-1])] if len(rows) else memoryview(b"")
+
+
 def count_ids(tokens: DataFrame, path: str) -> DataFrame:
     """``id, n`` over all documents."""
 
     def counts(batches):
         total, kind = np.zeros(0, np.int64), encoder(path).kind
         for batch in batches:
-            more = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(total))
+            more = np.bincount(np.frombuffer(joined(batch.column(0)), kind), minlength=len(total))
             more[: len(total)] += total
             total = more
         found = np.flatnonzero(total)
