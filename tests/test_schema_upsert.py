@@ -246,3 +246,29 @@ def test_money_keeps_decimals_and_nan(spark):
     assert got[1] == (0.254, 0.254 / 3)
     assert math.isnan(got[2][0]) and math.isnan(got[2][1])
     assert got[3] == (None, None)
+
+
+def test_a_slice_is_a_task_of_its_own(spark, scratch, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from strata.sinks import keyed_table as K
+
+    assert K.splits_for(4_000_000, 1) >= 16  # a bucket is never sorted in one task
+    monkeypatch.setattr(K, "ROWS_PER_TASK", 100)
+
+    def files(path):
+        read = K._read_buckets(spark, path, K.read_meta(spark, path))
+        return [r["n"] for r in read.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
+
+    path = scratch("tbl")
+    merge_into(_keyed(spark, 0, 2000, 1.0), path, "k", buckets=4)
+    assert max(files(path)) <= 150
+    merge_into(_keyed(spark, 0, 2400, 2.0), path, "k")
+    assert max(files(path)) <= 150 and sum(files(path)) == 2400
+    # rows of some buckets only, and a key that a table holds many times
+    merge_into(_keyed(spark, 7, 8, 3.0), path, "k")
+    got = read_keyed_table(spark, path)
+    assert got.count() == 2400 and got.filter("v = 3.0").count() == 1 and got.filter("v = 2.0").count() == 2399
+    same = scratch("same")
+    K.write_keyed_table(spark.range(1000).select(F.lit("a").alias("k"), "id"), same, "k")
+    assert max(files(same)) <= 150 and sum(files(same)) == 1000
