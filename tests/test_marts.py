@@ -231,3 +231,20 @@ def test_given_segments_take_no_job_and_are_checked(spark):
     assert _norm(matrix) == _norm(R.region_segment_matrix(mart))
     with pytest.raises(Exception, match="outside the given columns"):
         R.region_segment_matrix(mart, names[:1]).collect()
+
+
+def test_distinct_counts_leave_the_sums_at_home(spark):
+    """The shuffle of (group, value) pairs carries nothing else; groups of nulls and values that are null count as before."""
+    import re
+
+    from strata.plans.marts import build_mart
+
+    rows = [("a", None, 1, 2.5), ("a", None, 1, 0.5), ("a", None, None, 1.0), (None, "x", 3, 1.0), (None, "x", 4, None), ("b", "y", None, None)]
+    df = spark.createDataFrame(rows, "g string, h string, v int, m double")
+    metrics = [("n", "count_distinct", "v"), ("total", "sum_money", "m"), {"name": "again", "fn": "count_distinct", "column": "v"}, ("rows", "count", "v"), ("groups", "count_distinct", "g")]
+    out = build_mart({"group_by": ["g", "h"], "metrics": metrics}, df)
+    assert out.columns == ["g", "h", "n", "total", "again", "rows", "groups"]
+    got = {(r.g, r.h): tuple(r)[2:] for r in out.collect()}
+    assert got == {("a", None): (1, 4.0, 1, 2, 1), (None, "x"): (2, 1.0, 2, 2, 0), ("b", "y"): (0, None, 0, 0, 1)}
+    plan = out._jdf.queryExecution().toString()
+    assert not [x for x in re.findall(r"HashAggregate\(keys=\[([^\]]*)\], functions=\[([^\]]*)\]", plan) if "v#" in x[0] and "sum" in x[1]]
