@@ -106,3 +106,17 @@ def test_empty_table(no_docs):
     assert out.count() == 0
     with pytest.raises(ValueError, match="line dedup"):
         line_dedup.drop_repeated_lines(no_docs, min_docs=1)
+
+
+def test_a_chunk_holds_two_megabytes_at_most(spark):
+    """Each worker holds a chunk's lines and keys at once, so its size bounds an executor's memory."""
+    from pyspark.sql import functions as F
+
+    from strata.llm import line_dedup
+    from strata.llm.suffix_dedup import chunks
+
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.col("id").cast("string"), F.lit("\nshared line\n")), 7000).alias("text"))
+    packed = chunks(docs, "doc_id", "text", line_dedup.CHUNK_BYTES)
+    assert max(r.n_bytes for r in packed.select("n_bytes").collect()) <= 2 << 20
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert len(got) == 60 and all("shared" not in r.text and r.n_dropped >= 7000 for r in got.values())
