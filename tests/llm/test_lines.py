@@ -110,9 +110,6 @@ def test_empty_table(no_docs):
 
 def test_a_chunk_holds_two_megabytes_at_most(spark):
     """Each worker holds a chunk's lines and keys at once, so its size bounds an executor's memory."""
-    from pyspark.sql import functions as F
-
-    from strata.llm import line_dedup
     from strata.llm.suffix_dedup import chunks
 
     docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.col("id").cast("string"), F.lit("\nshared line\n")), 7000).alias("text"))
