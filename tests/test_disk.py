@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from strata.plans import change_feed, passes
+from strata.plans import change_feed, lineage, passes
 from strata.plans import pipeline as P
 from strata.plans.versions import side_path
 from strata.session import freed_shuffles, held_setting, scratch_root
@@ -244,3 +244,21 @@ def test_changes_written_in_passes(spark, scratch, passes_of_100, monkeypatch):
         K.merge_into(rows(0, 500, 3), path, "k", after_commit=change_feed.recorder(path, "k"))
     meta = K.read_meta(spark, path)
     assert meta.commit == 3 and change_feed.changes_of(spark, path, meta, 3) is None
+
+
+def test_readers_of_a_large_table_take_turns(spark, scratch, monkeypatch):
+    """One after another, a failed one too; readers of others and small tables don't wait."""
+    spec = lambda src, out, *joins: P.DatasetSpec("t", {"path": src}, {"path": out}, joins=[{"path": j} for j in joins])
+    specs = {"a": spec("big", "x1"), "b": spec("big", "x2"), "c": spec("small", "x3"), "d": spec("big/", "x4"), "e": spec("small", "x5"), "f": spec("big", "x6", "x4")}
+    waits = lineage.dependencies(specs)
+    turns = lineage.taking_turns(waits, specs, lambda s: lineage.LARGE if "big" in s.source["path"] else 0)
+    assert turns == {"a": set(), "b": {"a"}, "c": set(), "d": {"b"}, "e": set(), "f": {"d"}}
+    src, root, ends = scratch("src"), scratch("gold"), []
+    _shuffled(spark, 100).write.parquet(src)
+    golds = [{"dataset": f"g{k}", "source": {"format": "parquet", "path": src}, "sink": {"format": "parquet", "path": f"{root}/{k}"},
+              "aggregation": {"group_by": ["k" if k != 1 else "none"], "metrics": [["n", "count", "v"]]}} for k in range(3)]
+    monkeypatch.setattr(lineage, "LARGE", 1)
+    monkeypatch.setattr(P, "run_dataset", lambda s, c, f=P.run_dataset: (ends.append((c.dataset, "begins")), f(s, c), ends.append((c.dataset, "ends")))[1])
+    P.run_configs(spark, [], golds, f"{root}/ledger", DAY, ["gold"])
+    assert ends == [("g0", "begins"), ("g0", "ends"), ("g1", "begins"), ("g2", "begins"), ("g2", "ends")]
+    assert spark.read.parquet(f"{root}/2").count() == 100
