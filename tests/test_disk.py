@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from strata.plans import change_feed, lineage, passes
 from strata.plans import pipeline as P
-from strata.plans.versions import side_path
 from strata.session import freed_shuffles, held_setting, scratch_root
 from strata.sinks import keyed_table as K
 
@@ -210,7 +209,8 @@ def test_only_large_batches_of_lookups_are_joined_in_passes(spark, scratch):
     whole = passes.landed_bytes(spark, spec())
     assert 0 < day(third, first) < day(second, third) < day(first, second) < whole == day(first, first)
     assert passes.Passes.of(spark, spec()) is None
-    assert side_path(src, "id") and passes.landed_bytes(spark, P.DatasetSpec("t", {"format": "parquet", "path": f"{src}/none"}, {})) == 0
+    for path in (f"{src}/none", "jdbc:postgresql://h/db", "no such:scheme", "public.orders"):
+        assert passes.landed_bytes(spark, P.DatasetSpec("t", {"format": "parquet", "path": path}, {})) == 0
     for kind, wanted in (("left", True), ("leftsemi", True), ("full", False), ("right", False)):
         with pytest.MonkeyPatch.context() as m:
             m.setattr(passes, "BYTES", whole)
