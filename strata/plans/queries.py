@@ -80,7 +80,7 @@ def daily_trend(spark, sf_dir):
 
 @register()
 def product_performance(spark, sf_dir):
-    return stored_model(spark, sf_dir).gold("product_performance")
+    return stored_model(spark, sf_dir).gold("product_performance", apart=False)
 
 
 @register()
